@@ -83,9 +83,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cell = F.shiftrightunsigned("h", 64 - max_depth).cast("int")
     cells = {r.cell: r.n for r in entries.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()}  # 2 ** max_depth rows at most
     depth, slots, _ = build_directory(cells, max_depth, capacity)
-    directory = spark.createDataFrame([(i, b) for i, b in enumerate(slots)], "slot int, bucket int")
-    slot = F.shiftrightunsigned("h", 64 - depth).cast("int") if depth else F.lit(0)
-    owned = entries.withColumn("slot", slot).join(F.broadcast(directory), "slot").repartitionByRange("bucket", "h")
+    if depth:
+        directory = spark.createDataFrame(list(enumerate(slots)), "slot int, bucket int")
+        owned = entries.withColumn("slot", F.shiftrightunsigned("h", 64 - depth).cast("int")).join(F.broadcast(directory), "slot")
+    else:
+        owned = entries.withColumn("bucket", F.lit(0))
+    owned = owned.repartitionByRange("bucket", "h")
     chain = Window.partitionBy("bucket", "h").orderBy("text_sha256")
     index = owned.withColumn("chain", F.row_number().over(chain) - 1).select("bucket", "h", "chain", "text_sha256", "keep_id", "keep_row", "group_size")
     return rows, materialise(index, "dedup-index")
