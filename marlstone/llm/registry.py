@@ -5,15 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language_id, quality_classifier
 from .chat_format import best_paths, chain_replies, format_paths, read_back
 from .exact_dedup import exact_dedup
 from .quality_rules import quality_rules, ratio_weights
+from .secret_scan import secret_scan
+from .vocabularies import vocabulary
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _remainder(mod: int):
+    return F.crc32(F.col("doc_id").cast("string")) % mod
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pieces = _documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")
+    model = language_id.train(language_id.learning_rows(docs), pieces)
+    found = language_id.identify(docs, model, pieces)
+    return found.select("doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = quality_classifier.score(docs, quality_classifier.train(docs, quality_classifier.learning_rows(labels)))
+    return found.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -34,6 +55,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 AND coalesce(toxic, 0) = 0")
@@ -41,8 +66,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op3_quality_classifier": op3_quality_classifier,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_chat_format": op7_chat_format,
+    "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 
