@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_classifier
+from . import language_id, packing, quality_classifier
 from .chat_format import best_paths, chain_replies, format_paths, read_back
 from .exact_dedup import exact_dedup
 from .quality_rules import quality_rules, ratio_weights
@@ -35,6 +35,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -68,6 +72,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_chat_format": op7_chat_format,
     "op9_secret_scan": op9_secret_scan,
