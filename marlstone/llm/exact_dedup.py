@@ -84,7 +84,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cells = {r.cell: r.n for r in entries.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()}  # 2 ** max_depth rows at most
     depth, slots, _ = build_directory(cells, max_depth, capacity)
     if depth:
-        directory = spark.createDataFrame(list(enumerate(slots)), "slot int, bucket int")
+        buckets = F.split(F.lit(",".join(map(str, slots))), ",").cast("array<int>")
+        directory = spark.range(len(slots)).select(F.col("id").cast("int").alias("slot"), F.get(buckets, F.col("id").cast("int")).alias("bucket"))
         owned = entries.withColumn("slot", F.shiftrightunsigned("h", 64 - depth).cast("int")).join(F.broadcast(directory), "slot")
     else:
         owned = entries.withColumn("bucket", F.lit(0))
