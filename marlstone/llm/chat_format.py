@@ -64,23 +64,25 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     known = here.select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"))
     step = here.join(known, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("parent_id") == F.col("_m")), "left")
     step = materialise(step.select(*key, F.col("_m").alias("up"), "score", F.lit(1).cast("long").alias("n")), "chat-step")
-    first, levels = step, []
+    first, levels, rooted = step, [], step.where("up IS NULL")
     rounds = math.ceil(math.log2(max(2, first.count()))) + 1
     for _ in range(rounds):
-        if step.where("up IS NOT NULL").isEmpty():
+        moving = step.where("up IS NOT NULL")  # only these can still climb
+        if moving.isEmpty():
             break
-        levels.append(step)
-        above = step.select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"), F.col("up").alias("_up"), F.col("score").alias("_s"), F.col("n").alias("_n"))
-        joined = step.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_m")), "left")
-        step = materialise(joined.select(*key, F.col("_up").alias("up"), (F.col("score") + F.coalesce("_s", F.lit(0.0))).alias("score"), (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n")), "chat-step")
-    rooted = step.where("up IS NULL").select(*key, "score", F.col("n").alias("depth"))
+        levels.append(moving)
+        above = rooted.unionByName(moving).select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"), F.col("up").alias("_up"), F.col("score").alias("_s"), F.col("n").alias("_n"))
+        joined = moving.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_m")))
+        step = materialise(joined.select(*key, F.col("_up").alias("up"), (F.col("score") + F.col("_s")).alias("score"), (F.col("n") + F.col("_n")).alias("n")), "chat-step")
+        rooted = rooted.unionByName(step.where("up IS NULL"))
+    rooted = rooted.select(*key, "score", F.col("n").alias("depth"))
 
     parents = first.select(F.col("conv_id").alias("_c"), F.col("up").alias("_m")).where("_m IS NOT NULL").distinct()
     leaves = rooted.join(parents, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("msg_id") == F.col("_m")), "left_anti")
     rank = Window.partitionBy("conv_id").orderBy(F.desc(F.col("score") / F.col("depth")), "msg_id")
     paths = leaves.withColumn("branch", F.row_number().over(rank) - 1).where(F.col("branch") < branches).select("conv_id", "branch", "msg_id")
     for level in reversed(levels):
-        up = level.where("up IS NOT NULL").select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"), "up")
+        up = level.select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"), "up")
         more = paths.join(up, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("msg_id") == F.col("_m"))).select("conv_id", "branch", F.col("up").alias("msg_id"))
         paths = materialise(paths.unionByName(more), "chat-paths")
     texts = messages.join(rooted, [messages.conv_id.eqNullSafe(rooted.conv_id), messages.msg_id == rooted.msg_id]).select(messages.conv_id.alias("_c"), messages.msg_id.alias("_m"), "depth", "role", "text")
