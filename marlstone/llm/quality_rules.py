@@ -20,14 +20,20 @@ SYMBOLS = r"[#*$%&|<>]"
 
 
 def _bucket(buckets: int, *parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*parts), F.lit(buckets))
 
 
-def ngram_buckets(w: Column, buckets: int) -> Column:
-    """Buckets of all words and all adjacent pairs of an array of words."""
-    n = F.size(w)
-    pairs = F.zip_with(F.slice(w, 1, F.greatest(n - 1, F.lit(0))), F.slice(w, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: _bucket(buckets, a, b))
-    return F.concat(F.transform(w, lambda a: _bucket(buckets, a)), pairs)
+def packed_ngrams(w: Column, buckets: int) -> Column:
+    """For each word of an array, in one number: its bucket * (buckets + 1) + that of the pair it opens.
+
+    The last word opens no pair; ``buckets`` stands for that.
+    """
+
+    def both(a: Column, i: Column) -> Column:
+        after = F.get(w, i + 1)
+        return _bucket(buckets, a) * (buckets + 1) + F.when(after.isNull(), buckets).otherwise(_bucket(buckets, a, after))
+
+    return F.transform(w, both)
 
 
 def ratio_weights(docs: DataFrame, trusted: DataFrame, buckets: int = 16384, prior: float = 256.0, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
@@ -40,7 +46,10 @@ def ratio_weights(docs: DataFrame, trusted: DataFrame, buckets: int = 16384, pri
     """
     ids = trusted.select(F.col(id_col).alias("_trusted_id")).where("_trusted_id IS NOT NULL").distinct()
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(ids.hint("shuffle_hash"), F.col("_id") == F.col("_trusted_id"), "left")
-    grams = marked.select(F.col("_trusted_id").isNotNull().cast("int").alias("t"), F.explode(ngram_buckets(words(F.col("_text")), buckets)).alias("b"))
+    marked = marked.select(F.col("_trusted_id").isNotNull().cast("int").alias("t"), words(F.col("_text")).alias("w"))
+    packed = marked.select("t", F.explode(packed_ngrams(F.col("w"), buckets)).alias("x"))
+    pair = F.pmod("x", F.lit(buckets + 1))
+    grams = packed.select("t", F.explode(F.array(F.expr(f"x div {buckets + 1}"), pair)).alias("b")).where(F.col("b") < buckets)
     raw, target = [1] * buckets, [0] * buckets
     for r in grams.groupBy("b").agg(F.count("*").alias("n"), F.sum("t").alias("t")).collect():  # one row a bucket at most
         raw[r.b] += r.n
@@ -64,7 +73,7 @@ def quality_rules(
     five words are compared by a 64-bit hash. Repeated rows are each judged; ids are passed
     through, null ones too; extra columns are ignored.
     """
-    table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")  # folded to one literal
+    table = F.split(F.lit(",".join(map(repr, [*weights, 0.0]))), ",").cast("array<double>")  # folded to one literal
     buckets = len(weights)
     d = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
     d = d.withColumn("w", words(F.col("text"))).withColumn("n_words", F.size("w").cast("long"))
@@ -78,7 +87,7 @@ def quality_rules(
             lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2), F.get("w", i + 3), F.get("w", i + 4)),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
-    d = d.withColumn("windows", windows).withColumn("ngrams", ngram_buckets(F.col("w"), buckets))
+    d = d.withColumn("windows", windows).withColumn("ngrams", packed_ngrams(F.col("w"), buckets))
     d = d.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows"))
     placed = F.when(F.col("repeats"), F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
     d = d.withColumn("placed", placed)
@@ -87,7 +96,7 @@ def quality_rules(
         lambda x, i: F.coalesce(x["h"] == F.get("placed", i - 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get("placed", i + 1)["h"], F.lit(False)),
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.sequence(x["i"], x["i"] + 4)))))
-    total = F.aggregate("ngrams", F.lit(0.0), lambda s, b: s + F.get(table, b))
+    total = F.aggregate("ngrams", F.lit(0.0), lambda s, x: s + F.get(table, (x / (buckets + 1)).cast("int")) + F.get(table, F.pmod(x, F.lit(buckets + 1)).cast("int")))
     d = d.select(
         "doc_id",
         "n_words",
@@ -95,7 +104,7 @@ def quality_rules(
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("repeats"), covered).otherwise(0).cast("long").alias("n_repeat_words"),
-        F.when(F.size("ngrams") > 0, total / F.size("ngrams")).otherwise(0.0).alias("ratio"),
+        F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(0.0).alias("ratio"),
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return d.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= min_ratio))
