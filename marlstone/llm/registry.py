@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import language_id, packing, quality_classifier
 from .chat_format import best_paths, chain_replies, format_paths, read_back
 from .exact_dedup import exact_dedup
+from .license_scan import license_scan
 from .quality_rules import quality_rules, ratio_weights
 from .secret_scan import secret_scan
 from .source_mix import mix_sources
@@ -40,6 +41,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -78,6 +83,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_source_mix": op8_source_mix,
