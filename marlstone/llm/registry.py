@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import language_id, packing, quality_classifier
 from .chat_format import best_paths, chain_replies, format_paths, read_back
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .license_scan import license_scan
 from .quality_rules import quality_rules, ratio_weights
 from .secret_scan import secret_scan
@@ -23,6 +24,10 @@ def _remainder(mod: int):
     return F.crc32(F.col("doc_id").cast("string")) % mod
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pieces = _documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")
     model = language_id.train(language_id.learning_rows(docs), pieces)
@@ -80,6 +85,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_language_id": op2_language_id,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
