@@ -1,8 +1,60 @@
-"""A corpus pipeline; its stages are filled in as their operators are built."""
+"""From raw documents to packed training sequences, in five stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and
+read again as the next stage's ``docs``. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from marlstone.llm.common import materialise
+from marlstone.llm.exact_dedup import drop_copies
+from marlstone.llm.jaccard_join import keep_one_of_each
+from marlstone.llm.packing import pack
+from marlstone.llm.quality_classifier import keep_good
+from marlstone.llm.source_mix import repeat_mixed
+from marlstone.llm.vocabularies import vocabulary
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the smallest doc_id stays."""
+    return drop_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of linked texts the document with the smallest doc_id stays."""
+    return keep_one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it: not at all, once or twice."""
+    return repeat_mixed(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("exact_dedup", copies),
+    ("jaccard_join", near_copies),
+    ("source_mix", mix),
+    ("best_fit_packing", packed),
+]
+#: A learned classifier and a tokenizer decide about rows: SQL can't express run().
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
