@@ -11,6 +11,7 @@ one task.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +22,11 @@ from pyspark.sql import functions as F
 
 from .common import materialise, salted_rank
 
-ASCII_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+#: Words that are one run of letters to the tokenizer, before and after its normalisation.
+LETTERS = "[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+PLAIN = re.compile(LETTERS)
+#: A run of letters, then a run of marks: two tokens of their own.
+MARKED = re.compile(f"({LETTERS})([!-/:-@\\[-`{{-~]+)")
 
 
 class WordEncoder:
@@ -32,63 +37,83 @@ class WordEncoder:
     together. ASCII letters are lower-cased first, as the tokenizer itself does.
     """
 
-    def __init__(self, vocabulary_file: str, remembered: int = 250_000):
+    def __init__(self, vocabulary_file: str, remembered: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary_file)
         self.tokenizer.encode_special_tokens = True
+        # for runs of letters nothing is left to normalise and only white space to split at
+        self.plain_tokenizer = Tokenizer.from_file(vocabulary_file)
+        self.plain_tokenizer.encode_special_tokens = True
+        self.plain_tokenizer.normalizer = normalizers.Sequence([])
+        self.plain_tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.most = remembered
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def _encode_words(self, words: list[bytes]) -> None:
-        """Words of ASCII letters give one end-of-word token each, so they can be encoded as one text."""
-        plain = [w for w in words if w.isalpha() and w.isascii()]
-        rest = [w for w in words if not (w.isalpha() and w.isascii())]
-        for begin in range(0, len(plain), 2000):
-            part = plain[begin : begin + 2000]
-            got = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
-            ids, ends = np.array(got.ids, "<u4"), np.array([t.endswith("</w>") for t in got.tokens])
-            cuts = np.flatnonzero(ends) + 1
+    def _encode_words(self, words: list[str]) -> None:
+        """Runs of letters end in one end-of-word token each, so they can be encoded as one text."""
+        plain = [w for w in words if PLAIN.fullmatch(w)]
+        rest = [w for w in words if not PLAIN.fullmatch(w)]
+        for begin in range(0, len(plain), 1000):
+            part = plain[begin : begin + 1000]
+            ids = np.array(self.plain_tokenizer.encode_batch_fast([" ".join(part).lower()], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             assert len(cuts) == len(part)
-            first = 0
-            for w, last in zip(part, cuts, strict=True):
-                self.young[w] = ids[first:last].tobytes()
-                first = last
-        for begin in range(0, len(rest), 2000):
-            part = rest[begin : begin + 2000]
-            for w, got in zip(part, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                self.young[w] = self._bytes(got.ids)
+            raw = ids.tobytes()
+            self.young.update((w.encode(), raw[a:b]) for w, a, b in zip(part, [0, *cuts], cuts))
+        for begin in range(0, len(rest), 1000):
+            part = rest[begin : begin + 1000]
+            for w, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+                self.young[w.encode()] = np.array(got.ids, "<u4").tobytes()
 
     def __call__(self, texts) -> list[bytes]:
         split = [t.encode("utf-8", "replace").lower().split() if isinstance(t, str) else [] for t in texts]
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        missing = {w for ws in split for w in ws if w not in young}
+        found = [list(map(young.get, ws)) for ws in split]  # one look-up a word
+        holes = [(got, ws, [i for i, x in enumerate(got) if x is None]) for got, ws in zip(found, split, strict=True) if None in got]
         todo, joined = set(), []
-        for w in missing:
+        for w in {ws[i] for _, ws, at in holes for i in at}:
             if w in old:
                 young[w] = old[w]
-            elif len(w) > 1 and w[-1] in b".," and w[-2] in ASCII_LETTERS:  # a lone mark after a letter is a token of its own
-                joined.append(w)
-                for x in (w[:-1], w[-1:]):
-                    if x in old:
-                        young[x] = old[x]
-                    elif x not in young:
-                        todo.add(x)
-            else:
-                todo.add(w)
+                continue
+            s = w.decode()
+            m = MARKED.fullmatch(s)
+            if not m:
+                todo.add(s)
+                continue
+            parts = m[1].encode(), m[2].encode()
+            joined.append((w, *parts))
+            for x, part in zip(parts, m.groups(), strict=True):
+                if x in old:
+                    young[x] = old[x]
+                elif x not in young:
+                    todo.add(part)
         self._encode_words(sorted(todo))
-        for w in joined:
-            young[w] = young[w[:-1]] + young[w[-1:]]
-        return [b"".join(map(young.__getitem__, ws)) for ws in split]
+        for w, word, marks in joined:
+            young[w] = young[word] + young[marks]
+        for got, ws, at in holes:
+            for i in at:
+                got[i] = young[ws[i]]
+        return list(map(b"".join, found))
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def worker_encoder(vocabulary_file: str) -> WordEncoder:
+    """One encoder for each Python worker: the tasks it runs share the words it remembers."""
+    if vocabulary_file not in _encoders:
+        _encoders[vocabulary_file] = WordEncoder(vocabulary_file)
+    return _encoders[vocabulary_file]
 
 
 def tokenize_pieces(docs: DataFrame, vocabulary_file: str, capacity: int = 4096, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
@@ -101,10 +126,10 @@ def tokenize_pieces(docs: DataFrame, vocabulary_file: str, capacity: int = 4096,
     fields = "doc_id long, text_crc long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = WordEncoder(vocabulary_file)
+        encode = worker_encoder(vocabulary_file)
         for b in batches:
-            for begin in range(0, len(b), 250):
-                part = b.iloc[begin : begin + 250]
+            for begin in range(0, len(b), 50):
+                part = b.iloc[begin : begin + 50]
                 rows = []
                 for doc_id, ids in zip(part.doc_id, encode(part.text), strict=True):
                     ids += end
