@@ -2,5 +2,514 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions import values as V
+from ..functions.chunking import ChunkRules, chunks
+from ..operators import evaluation, filters, matching, relational, requirements, retrieval
+from ..operators.contracts import issue_rows
+from ..sources.readers import hyperlinks
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+WORDS = r"'[\p{L}\p{N}]+'"
+ALLOWED = ["src0", "src1", "src2", "src3", "src4", "src5"]
+ALLOWED_SQL = ", ".join(f"'{s}'" for s in ALLOWED)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(oracle: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return register
+
+
+# -- text --------------------------------------------------------------------------------------
+
+
+@query(r"""SELECT doc_id, length(text) AS character_count, len(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word_count,
+    len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S'))) AS line_count,
+    len(regexp_extract_all(text, '\p{Latin}')) AS latin_character_count, len(regexp_extract_all(text, '\p{Arabic}')) AS arabic_character_count FROM documents""")
+def text_metrics(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", *[c.alias(n) for n, c in T.text_metrics(F.col("text")).items()])
+
+
+@query(r"""SELECT doc_id, len(regexp_extract_all(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b')) AS emails,
+    sha256(regexp_replace(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b', '[EMAIL]', 'g')) AS masked_sha256 FROM documents""")
+def redact_emails(spark, sf):
+    masked, n = T.redact(F.col("text"), (("EMAIL", T.EMAIL),))
+    return table(spark, sf, "documents").select("doc_id", n["EMAIL"].alias("emails"), F.sha2(masked, 256).alias("masked_sha256"))
+
+
+@query()
+def redact_pages(spark, sf):
+    masked, n = T.redact(F.col("text"), T.PAGE_RULES)
+    return table(spark, sf, "documents").select("doc_id", F.to_json(T.counts_map(n)).alias("redaction_counts"), F.sha2(masked, 256).alias("masked_sha256"))
+
+
+@query()
+def clean_pages(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", T.clean_redacted(F.col("text")).alias("clean"))
+    return d.select("doc_id", F.length("clean").alias("clean_chars"), F.sha2("clean", 256).alias("clean_sha256"))
+
+
+FR = ", ".join(f"'{w}'" for w in T.FRENCH_WORDS)
+EN = ", ".join(f"'{w}'" for w in T.ENGLISH_WORDS)
+
+
+@query(rf"""WITH w AS (SELECT doc_id, len(regexp_extract_all(text, '\p{{Arabic}}')) AS ar, len(regexp_extract_all(text, '\p{{Latin}}')) AS la,
+      len(list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+'), lambda x: x IN ({FR}))) AS fr,
+      len(list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+'), lambda x: x IN ({EN}))) AS en FROM documents),
+    s AS (SELECT doc_id, CASE WHEN fr >= en THEN 'fr' ELSE 'en' END AS l, ar / greatest(ar + la, 1) AS a, la / greatest(ar + la, 1) AS b FROM w)
+    SELECT doc_id, CASE WHEN a >= 0.18 AND b >= 0.18 THEN l || '-ar' WHEN a >= 0.55 THEN 'ar' WHEN b >= 0.40 THEN l ELSE 'und' END AS page_language FROM s""")
+def page_language(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.page_language(F.col("text")).alias("page_language"))
+
+
+@query("""SELECT doc_id, CASE WHEN h LIKE '%attestation%' OR h LIKE '%certificate%' OR h LIKE '%certificat%' OR h LIKE '%lettre de référence%' OR h LIKE '%شهادة%' OR h LIKE '%إفادة%' THEN 'ATTESTATION'
+      WHEN h LIKE '%procès-verbal%' OR h LIKE '%proces-verbal%' OR h LIKE '%p.v.%' OR h LIKE '% pv %' OR h LIKE '%minutes of%' OR h LIKE '%محضر%' THEN 'MINUTES'
+      WHEN h LIKE '%cahier des charges%' OR h LIKE '%terms of reference%' OR h LIKE '% cdc %' OR h LIKE '%spécification%' THEN 'SPECIFICATION'
+      WHEN h LIKE '%contrat%' OR h LIKE '%contract%' OR h LIKE '%avenant%' OR h LIKE '%convention%' OR h LIKE '%marché%' OR h LIKE '%marche%' OR h LIKE '%accord%' OR h LIKE '%عقد%' OR h LIKE '%اتفاقية%' THEN 'CONTRACT'
+      ELSE 'OTHER_EVIDENCE' END AS document_type FROM (SELECT doc_id, ' ' || lower(source) || ' ' || lower(text[1:6000]) || ' ' AS h FROM documents)""")
+def document_types(spark, sf):
+    kind, _ = T.document_type(F.col("source"), F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", kind.alias("document_type"))
+
+
+@query(r"""SELECT user_id, sum(case when y = 2024 then 1 else 0 end)::BIGINT AS y2024, count(*) AS n FROM (SELECT user_id, year(ts) AS y FROM events) GROUP BY user_id""")
+def year_facets(spark, sf):
+    e = table(spark, sf, "events").select("user_id", V.years(F.date_format("ts", "yyyy-MM-dd")).alias("ys"))
+    return e.groupBy("user_id").agg(F.count_if(V.any_year(F.col("ys"), 2024, 2024)).alias("y2024"), F.count("*").alias("n"))
+
+
+@query()
+def text_chunks(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.posexplode(chunks(F.col("text"), ChunkRules())).alias("chunk_index", "c"))
+    return d.select("doc_id", "chunk_index", "c.start", "c.end", F.sha2("c.text", 256).alias("chunk_sha256"), V.stable_id(F.col("doc_id"), F.col("c.start"), F.col("c.end"), F.sha2("c.text", 256)).alias("chunk_id"))
+
+
+@query()
+def search_tokens(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", T.tokens(F.col("text"), folded=True).alias("t"))
+    return d.select("doc_id", F.size("t").alias("tokens"), F.size(F.array_distinct("t")).alias("distinct_tokens"))
+
+
+@query(r"""SELECT page_id, target, string_agg(DISTINCT channel, ',' ORDER BY channel) AS channels FROM (
+      SELECT page_id, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']([^"'']+)["'']', 1)) AS target, 'attribute' AS channel FROM pages
+      UNION ALL SELECT page_id, unnest(regexp_extract_all(html, 'https?://[^\s"'')]+')), 'text' FROM pages) GROUP BY page_id, target""")
+def url_links(spark, sf):
+    return hyperlinks(table(spark, sf, "pages"), "page_id", "html")
+
+
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '["' || event_type || '"]' AS types FROM events""")
+def json_props(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", F.from_json("props", "k long")["k"].alias("k"), F.to_json(V.json_values(F.col("event_type"))).alias("types"))
+
+
+@query(r"""SELECT p_partkey, CASE WHEN regexp_matches(ltrim('=' || p_name), '^[=+@-]') THEN '''=' || p_name ELSE p_name END AS cell,
+    CASE WHEN regexp_matches(ltrim(p_name), '^[=+@-]') THEN '''' || p_name ELSE p_name END AS plain FROM part""")
+def safe_cells(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", T.safe_cell(F.concat(F.lit("="), "p_name")).alias("cell"), T.safe_cell(F.col("p_name")).alias("plain"))
+
+
+# -- corpus ------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, sha256(text) AS text_sha256, count(*) OVER (PARTITION BY sha256(text)) AS duplicate_count FROM documents")
+def exact_duplicates(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+    return d.join(d.groupBy("text_sha256").agg(F.count("*").alias("duplicate_count")), "text_sha256")  # counts combine before the shuffle
+
+
+QUALITY_SQL = """CASE WHEN c < 20 THEN 'FAILED' WHEN c < 80 THEN 'REVIEW' WHEN q < 0.25 THEN 'FAILED' WHEN q < 0.75 THEN 'REVIEW' ELSE 'PASS' END"""
+
+
+def quality_state(chars, confidence, fail_chars=20, pass_chars=80, fail_confidence=0.25, pass_confidence=0.75):
+    """PASS, REVIEW or FAILED by text volume, then by confidence where there is one."""
+    return F.when(chars < fail_chars, "FAILED").when(chars < pass_chars, "REVIEW").when(confidence < fail_confidence, "FAILED").when(confidence < pass_confidence, "REVIEW").otherwise("PASS")
+
+
+@query(f"SELECT status, count(*) AS n FROM (SELECT {QUALITY_SQL} AS status FROM (SELECT length(text) AS c, l.quality AS q FROM documents d LEFT JOIN labels l USING (doc_id))) GROUP BY status")
+def quality_states(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.length("text").alias("c")).join(table(spark, sf, "labels"), "doc_id", "left")
+    return d.groupBy(quality_state(F.col("c"), F.col("quality")).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT count(*) AS documents, sum(length(text))::BIGINT AS characters, round(avg(length(text)), 2) AS mean_characters, max(length(text)) AS max_characters,
+    count(DISTINCT source) AS sources, count(DISTINCT lang) AS languages, count(DISTINCT text) AS distinct_texts FROM documents""")
+def corpus_statistics(spark, sf):
+    d = table(spark, sf, "documents").select("source", "lang", F.length("text").alias("c"), F.sha2("text", 256).alias("h"))
+    return d.agg(F.count("*").alias("documents"), F.sum("c").alias("characters"), F.round(F.avg("c"), 2).alias("mean_characters"), F.max("c").alias("max_characters"), F.count_distinct("source").alias("sources"), F.count_distinct("lang").alias("languages"), F.count_distinct("h").alias("distinct_texts"))
+
+
+@query("SELECT conv_id, count(*) AS parts, sha256(string_agg(text, chr(10) || chr(10) ORDER BY turn)) AS full_sha256 FROM conversations GROUP BY conv_id")
+def document_rollup(spark, sf):
+    r = relational.ordered_text(table(spark, sf, "conversations"), ["conv_id"], "turn", "text")
+    return r.select("conv_id", "parts", F.sha2("full_text", 256).alias("full_sha256"))
+
+
+@query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic, l.doc_id IS NOT NULL AS evidence_available FROM documents d LEFT JOIN labels l USING (doc_id)")
+def missing_evidence(spark, sf):
+    right = table(spark, sf, "labels").withColumn("evidence_available", F.lit(True))
+    return relational.left_with_defaults(table(spark, sf, "documents").select("doc_id"), right, ["doc_id"], {"quality": -1, "toxic": -1, "evidence_available": False})
+
+
+@query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN 'REVIEWED' ELSE d.source END AS source, l.doc_id IS NOT NULL AS repaired FROM documents d LEFT JOIN (SELECT doc_id FROM labels WHERE quality = 0) l USING (doc_id)""")
+def curated_upsert(spark, sf):
+    fixed = table(spark, sf, "labels").where("quality = 0").select("doc_id", F.lit("REVIEWED").alias("source"))
+    return relational.upsert(table(spark, sf, "documents").select("doc_id", "source"), fixed, ["doc_id"], ["source"])
+
+
+@query("SELECT doc_id, 'DOC-' || sha256(doc_id::VARCHAR || '|' || source || '|' || n_chars::VARCHAR)[1:16] AS stable_id FROM documents")
+def stable_ids(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", V.stable_id(F.col("doc_id"), F.col("source"), F.col("n_chars"), prefix="DOC-", length=16).alias("stable_id"))
+
+
+# -- retrieval ---------------------------------------------------------------------------------
+
+TOKENS_SQL = rf"list_filter(regexp_extract_all(lower(coalesce(text, '')), {WORDS}), lambda x: length(x) >= 2)"
+BM25_SQL = rf"""
+    d AS (SELECT doc_id, source, {TOKENS_SQL} AS t FROM documents), n AS (SELECT count(*) AS n, avg(len(t)) AS m FROM d),
+    p AS (SELECT doc_id, source, dl, term, count(*) AS tf FROM (SELECT doc_id, source, len(t) AS dl, unnest(t) AS term FROM d) GROUP BY ALL),
+    s AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+    q AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({TOKENS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+    r AS (SELECT item_id, doc_id, source, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / m))), 6) AS score FROM p JOIN s USING (term) JOIN q USING (term), n GROUP BY ALL)"""
+
+
+@query(rf"""WITH d AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents), p AS (SELECT doc_id, unnest(t) AS term FROM d), n AS (SELECT count(*) AS n FROM d)
+    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf, round(ln(1 + (any_value(n) - count(DISTINCT doc_id) + 0.5) / (count(DISTINCT doc_id) + 0.5)), 8) AS idf FROM p, n GROUP BY term HAVING count(*) > 1""")
+def bm25_terms(spark, sf):
+    s = retrieval.term_statistics(retrieval.tokenized(table(spark, sf, "documents"), "doc_id", "text"))
+    return s.where("cf > 1").withColumn("idf", F.round("idf", 8))
+
+
+def _lexical(spark, sf, limit, positive_only=False, classes=ALLOWED):
+    docs = table(spark, sf, "documents")
+    allowed = retrieval.authorized(docs, "source", classes).select(F.col("doc_id").alias("id"))
+    corpus = retrieval.tokenized(docs, "doc_id", "text")
+    asked = retrieval.tokenized(table(spark, sf, "benchmark"), "item_id", "text")
+    return retrieval.lexical_top(corpus, asked, allowed, limit, positive_only)
+
+
+@query(f"""WITH {BM25_SQL}, a AS (SELECT b.item_id, d.doc_id, round(coalesce(r.score, 0), 6) AS score, row_number() OVER (PARTITION BY b.item_id ORDER BY coalesce(r.score, 0) DESC, d.doc_id) AS rank
+      FROM benchmark b CROSS JOIN documents d LEFT JOIN r ON r.item_id = b.item_id AND r.doc_id = d.doc_id WHERE d.source IN ({ALLOWED_SQL}))
+    SELECT item_id, doc_id, score, rank FROM a WHERE rank <= 10""")
+def bm25_topk(spark, sf):
+    return _lexical(spark, sf, 10).select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), F.round("score", 6).alias("score"), "rank")
+
+
+@query(f"""WITH {BM25_SQL}, a AS (SELECT item_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE source IN ('src0'))
+    SELECT item_id, doc_id, score, rank FROM a WHERE rank <= 5""")
+def auth_filter_topk(spark, sf):
+    return _lexical(spark, sf, 5, True, ["SRC0", " "]).select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), F.round("score", 6).alias("score"), "rank")
+
+
+def _dense(spark, sf, limit):
+    e = table(spark, sf, "embeddings")
+    asked = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))  # the stated query set
+    scores = retrieval.dense_scores(e.select(F.col("vec_id").alias("id"), "embedding"), asked).where("id <> query_id")
+    return retrieval.top_ranked(scores, limit)
+
+
+DENSE_SQL = """x AS (SELECT q.vec_id AS query_id, v.vec_id AS id, v.label, list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS s
+      FROM embeddings q JOIN embeddings v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id)"""
+
+
+@query(f"WITH {DENSE_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM x) SELECT query_id, id, round(s, 6) AS score, rank FROM r WHERE rank <= 10")
+def dense_topk(spark, sf):
+    return _dense(spark, sf, 10).withColumn("score", F.round("score", 6))
+
+
+def _by_label(spark, sf, limit):
+    """A second ranking of the query set: vectors of the query's label first, by id."""
+    e = table(spark, sf, "embeddings").select("vec_id", "label")
+    q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label")
+    same = e.select(F.col("vec_id").alias("id"), "label").join(q, "label").where("id <> query_id")
+    return retrieval.top_ranked(same.select("query_id", "id", F.lit(1.0).alias("score")), limit)
+
+
+@query(f"""WITH {DENSE_SQL}, a AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM x),
+    b AS (SELECT q.vec_id AS query_id, v.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY v.vec_id) AS rank FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id),
+    f AS (SELECT query_id, id, sum(0.5 / (60 + rank)) AS score FROM (SELECT * FROM a WHERE rank <= 100 UNION ALL SELECT * FROM b WHERE rank <= 100) GROUP BY ALL),
+    r AS (SELECT query_id, id, round(score, 9) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM f) SELECT * FROM r WHERE rank <= 10""")
+def hybrid_rrf(spark, sf):
+    fused = retrieval.reciprocal_rank_fusion([(_dense(spark, sf, 100), 0.5), (_by_label(spark, sf, 100), 0.5)])
+    return retrieval.top_ranked(fused.withColumn("score", F.round("score", 9)), 10)
+
+
+@query(f"""WITH {DENSE_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY s DESC, id) AS n FROM x),
+    g AS (SELECT query_id, label, max(s) AS score, min(id) FILTER (n = 1) AS best_id, string_agg(id::VARCHAR, ',' ORDER BY n) FILTER (n <= 3) AS evidence FROM r GROUP BY ALL),
+    k AS (SELECT query_id, label AS document_id, round(score, 6) AS score, best_id, evidence, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, label) AS rank FROM g) SELECT * FROM k WHERE rank <= 5""")
+def rollup_topk(spark, sf):
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("document_id"), "embedding")
+    asked = e.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    scores = retrieval.dense_scores(e, asked).where("id <> query_id").join(e.select("id", "document_id"), "id")
+    return retrieval.roll_up(scores, 5).select("query_id", "document_id", F.round("score", 6).alias("score"), "best_id", F.array_join(F.transform("evidence", lambda x: x.cast("string")), ",").alias("evidence"), "rank")
+
+
+# -- filters and facets ------------------------------------------------------------------------
+
+
+def _orders(spark, sf):
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    return o.join(c, o.o_custkey == c.c_custkey)
+
+
+@query("SELECT o_orderkey, o_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE lower(c_mktsegment) IN ('building', 'machinery') AND lower(o_orderstatus) = 'f'")
+def hard_filters(spark, sf):
+    wanted = filters.compile_filters({"c_mktsegment": "one", "o_orderstatus": "one"}, {"c_mktsegment": ["Building ", "machinery", ""], "o_orderstatus": ["F"]})
+    return _orders(spark, sf).where(wanted).select("o_orderkey", "o_custkey", "c_mktsegment")
+
+
+@query("""SELECT o_custkey, min(year(o_orderdate)) AS year_start, max(year(o_orderdate)) AS year_end FROM orders GROUP BY o_custkey HAVING max(year(o_orderdate)) >= 1996 AND min(year(o_orderdate)) <= 1997""")
+def year_overlap(spark, sf):
+    spans = table(spark, sf, "orders").groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).cast("long").alias("year_start"), F.max(F.year("o_orderdate")).cast("long").alias("year_end"))
+    return spans.where(V.overlaps_years(F.col("year_start"), F.col("year_end"), 1996, 1997))
+
+
+@query("""WITH f AS (SELECT o_orderstatus IN ('F', 'O') AS a, o_totalprice >= 1000 AS e, c_mktsegment <> 'AUTOMOBILE' AS h, o_totalprice > 200000 AS x FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT count(*) AS rows, count(*) FILTER (NOT a) AS unauthorized, count(*) FILTER (a AND NOT e) AS ineligible, count(*) FILTER (a AND e AND NOT h) AS filtered, count(*) FILTER (a AND e AND h AND x) AS excluded, count(*) FILTER (a AND e AND h AND NOT x) AS kept FROM f""")
+def exclusion_audit(spark, sf):
+    _, audit = filters.filter_with_audit(_orders(spark, sf), F.col("o_orderstatus").isin("F", "O"), F.col("o_totalprice") >= 1000, ~filters.exclusion("c_mktsegment", "eq", "AUTOMOBILE"), filters.exclusion("o_totalprice", "gt", 200000))
+    return audit
+
+
+@query("""WITH j AS (SELECT o_orderstatus, c_mktsegment, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+    SELECT 'o_orderstatus' AS facet, o_orderstatus AS value, count(*) AS n FROM j GROUP BY ALL UNION ALL SELECT 'c_mktsegment', c_mktsegment, count(*) FROM j GROUP BY ALL
+    UNION ALL SELECT 'n_name', n_name, count(*) FROM j GROUP BY ALL UNION ALL SELECT 'r_name', r_name, count(*) FROM j GROUP BY ALL""")
+def facets(spark, sf):
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
+    j = _orders(spark, sf).join(n, F.col("c_nationkey") == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    return filters.facet_counts(j, ["o_orderstatus", "c_mktsegment", "n_name", "r_name"])
+
+
+@query("""SELECT c_custkey, coalesce(n_name, '') AS country_name, coalesce(r_name, '') AS region FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
+def canonical_country(spark, sf):
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
+    codes = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_name"), F.col("r_name").alias("region"))
+    return relational.left_with_defaults(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), codes, ["c_nationkey"], {"country_name": "", "region": ""}).drop("c_nationkey")
+
+
+@query("""SELECT p_partkey, concat_ws(',', CASE WHEN lower(p_type) LIKE '%brass%' OR lower(p_type) LIKE '%copper%' THEN 'alloy' END, CASE WHEN lower(p_type) LIKE '%plated%' THEN 'finish' END, CASE WHEN lower(p_type) LIKE '%small%' OR lower(p_type) LIKE '%economy%' THEN 'low_end' END) AS tags FROM part""")
+def tag_detection(spark, sf):
+    found = V.tags(F.col("p_type"), {"alloy": ["brass", "copper"], "finish": ["PLATED"], "low_end": ["small", "economy"]})
+    return table(spark, sf, "part").select("p_partkey", F.array_join(found, ",").alias("tags"))
+
+
+@query("""SELECT p_partkey, 'LOW_PRICE' AS issue, 'WARNING' AS severity FROM part WHERE p_retailprice < 1000 UNION ALL SELECT p_partkey, 'ODD_SIZE', 'ERROR' FROM part WHERE p_size % 7 = 0 UNION ALL SELECT p_partkey, 'NO_NAME', 'ERROR' FROM part WHERE p_name IS NULL OR p_name = ''""")
+def data_quality_issues(spark, sf):
+    checks = {"LOW_PRICE": ("WARNING", F.col("p_retailprice") < 1000), "ODD_SIZE": ("ERROR", F.col("p_size") % 7 == 0), "NO_NAME": ("ERROR", F.coalesce(F.col("p_name"), F.lit("")) == "")}
+    return issue_rows(table(spark, sf, "part"), "p_partkey", checks)
+
+
+# -- matching ----------------------------------------------------------------------------------
+
+CLASSES = {"1-URGENT": "MUST", "2-HIGH": "MUST", "3-MEDIUM": "SHOULD", "4-NOT SPECIFIED": "PREFERRED", "5-LOW": "CONTEXT"}
+
+
+def _evidence(spark, sf):
+    """Orders stand in for evidence: the customer is the reference, the priority the requirement."""
+    o = table(spark, sf, "orders")
+    return o.select(F.col("o_custkey").alias("reference_id"), F.col("o_orderpriority").alias("requirement_id"), F.col("o_orderkey").alias("chunk_id"), F.col("o_totalprice").alias("score"), F.lit(0.5).alias("term_coverage"))
+
+
+def _requirements(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_orderpriority").alias("requirement_id")).distinct().select("requirement_id", F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in CLASSES.items() for x in kv]), F.col("requirement_id")), F.lit("CONTEXT")).alias("classification"))
+
+
+CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CLASSES.items())
+GRID_SQL = f"""e AS (SELECT o_custkey AS reference_id, o_orderpriority AS requirement_id, o_orderkey AS chunk_id, 0.8 * least(1.0, greatest(0.0, o_totalprice / max(o_totalprice) OVER (PARTITION BY o_orderpriority))) + 0.2 * 0.5 AS rr FROM orders),
+    req AS (SELECT DISTINCT o_orderpriority AS requirement_id, CASE o_orderpriority {CASES} ELSE 'CONTEXT' END AS classification FROM orders),
+    b AS (SELECT reference_id, requirement_id, max(rr) AS relevance FROM e GROUP BY ALL),
+    g AS (SELECT r.reference_id, q.requirement_id, q.classification, coalesce(b.relevance, 0) AS relevance, coalesce(b.relevance >= 0.3, false) AS covered FROM (SELECT DISTINCT reference_id FROM b) r CROSS JOIN req q LEFT JOIN b ON b.reference_id = r.reference_id AND b.requirement_id = q.requirement_id)"""
+
+
+def _grid(spark, sf):
+    return matching.coverage_grid(matching.rerank(_evidence(spark, sf)), _requirements(spark, sf))
+
+
+@query(f"WITH {GRID_SQL} SELECT reference_id, requirement_id, classification, round(relevance, 6) AS relevance, covered FROM g")
+def coverage_grid(spark, sf):
+    return _grid(spark, sf).withColumn("relevance", F.round("relevance", 6))
+
+
+@query(f"WITH {GRID_SQL}, k AS (SELECT *, row_number() OVER (PARTITION BY reference_id, requirement_id ORDER BY rr DESC, chunk_id) AS evidence_rank FROM e) SELECT reference_id, requirement_id, chunk_id, round(rr, 6) AS rerank_score, evidence_rank FROM k WHERE evidence_rank <= 3")
+def evidence_topk(spark, sf):
+    return matching.keep_evidence(matching.rerank(_evidence(spark, sf))).select("reference_id", "requirement_id", "chunk_id", F.round("rerank_score", 6).alias("rerank_score"), "evidence_rank")
+
+
+SCORE_SQL = f"""{GRID_SQL}, w AS (SELECT *, CASE classification WHEN 'MUST' THEN 1.0 WHEN 'SHOULD' THEN 0.7 WHEN 'PREFERRED' THEN 0.4 ELSE 0.15 END::DOUBLE AS wt FROM g),
+    c AS (SELECT reference_id, sum(wt * relevance) / sum(wt) AS wr, sum(CASE WHEN covered THEN wt ELSE 0 END) / sum(wt) AS wc, count(*) FILTER (classification = 'MUST' AND covered) AS mc, count(*) FILTER (classification = 'MUST') AS mt FROM w GROUP BY ALL),
+    y AS (SELECT o_custkey, max(year(o_orderdate)) AS year_end FROM orders GROUP BY ALL),
+    s AS (SELECT reference_id, round(0.6 * wr + 0.2 * wc + 0.1 * 0.8 + 0.05 * greatest(0.0, 1 - (1998 - least(year_end, 1998)) / 20.0) + 0.05 * (CASE WHEN lower(c_mktsegment) = 'building' THEN 1 ELSE 0 END), 8) AS final_score, mc, mt, c_acctbal > 0 AS ok, c_nationkey AS dup
+      FROM c JOIN customer ON c_custkey = reference_id JOIN y ON o_custkey = reference_id),
+    t AS (SELECT *, concat_ws(';', CASE WHEN mc < mt THEN 'MISSING_MUST:' || mc || '/' || mt END, CASE WHEN NOT ok THEN 'BASE_ELIGIBILITY_FAILED' END) AS r FROM s),
+    u AS (SELECT *, CASE WHEN r = '' AND row_number() OVER (PARTITION BY dup, r = '' ORDER BY final_score DESC, reference_id) > 1 THEN 'DUPLICATE_GROUP_SUPPRESSED' ELSE r END AS reasons FROM t),
+    z AS (SELECT *, CASE WHEN reasons = '' THEN row_number() OVER (PARTITION BY reasons = '' ORDER BY final_score DESC, reference_id) END AS rk FROM u)"""
+
+
+@query(f"WITH {SCORE_SQL} SELECT reference_id, round(final_score, 6) AS final_score, reasons, CASE WHEN rk <= 10 THEN rk END AS final_rank FROM z")
+def weighted_score_mustgate(spark, sf):
+    ends = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("reference_id")).agg(F.max(F.year("o_orderdate")).alias("year_end"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("reference_id"), F.lit(0.8).alias("evidence_strength"), matching.soft_fit({"c_mktsegment": "BUILDING"}).alias("soft_fit"), (F.col("c_acctbal") > 0).alias("base_eligible"), F.col("c_nationkey").alias("duplicate_group_id"))
+    scored = matching.score_matches(_grid(spark, sf), c.join(ends, "reference_id"), reference_year=1998)
+    return scored.select("reference_id", F.round("final_score", 6).alias("final_score"), "reasons", F.col("final_rank").cast("long").alias("final_rank"))
+
+
+@query(f"WITH {GRID_SQL} SELECT requirement_id, classification, count(DISTINCT reference_id) FILTER (covered) AS supporting FROM g GROUP BY ALL")
+def requirement_gaps(spark, sf):
+    return matching.requirement_gaps(_grid(spark, sf)).drop("reference_ids")
+
+
+@query("SELECT p_partkey, p_brand, CASE WHEN row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) > 1 THEN 'DUPLICATE_GROUP_SUPPRESSED' END AS suppressed FROM part")
+def duplicate_suppression(spark, sf):
+    return relational.keep_first(table(spark, sf, "part"), ["p_brand"], [F.desc("p_retailprice"), F.col("p_partkey")], "DUPLICATE_GROUP_SUPPRESSED").select("p_partkey", "p_brand", "suppressed")
+
+
+@query("""WITH a AS (SELECT c_custkey, c_nationkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer), b AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY r) > 2 AS late FROM a WHERE r <= 100)
+    SELECT c_custkey, c_nationkey, final_rank FROM (SELECT *, row_number() OVER (ORDER BY late, r) AS final_rank FROM b) WHERE final_rank <= 60""")
+def diversify(spark, sf):
+    best = table(spark, sf, "customer").orderBy(F.desc("c_acctbal"), "c_custkey").limit(100)  # a top-k report
+    ranked = best.withColumn("r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("c_acctbal"), "c_custkey")))
+    return relational.diversify(ranked, "c_nationkey", "r", 2, 60).select("c_custkey", "c_nationkey", F.col("final_rank").cast("long").alias("final_rank"))
+
+
+@query("""WITH s AS (SELECT count(*) AS total, count(*) FILTER (s_acctbal > 5000) AS a, count(*) FILTER (s_nationkey < 10) AS b, count(*) FILTER (s_acctbal > -1000) AS c FROM supplier)
+    SELECT 'rich' AS rule, a AS matching, total, a >= 5 AS met FROM s UNION ALL SELECT 'near', b, total, b >= 1000000 FROM s UNION ALL SELECT 'all_solvent', c, total, c >= total FROM s""")
+def portfolio_rules(spark, sf):
+    return matching.evaluate_rules(table(spark, sf, "supplier"), {"rich": (F.col("s_acctbal") > 5000, 5), "near": (F.col("s_nationkey") < 10, 1_000_000), "all_solvent": (F.col("s_acctbal") > -1000, None)})
+
+
+# -- evaluation --------------------------------------------------------------------------------
+
+
+def _rankings(spark, sf):
+    return _dense(spark, sf, 20).select(F.lit("dense").alias("mode"), "query_id", "id", "rank").unionByName(_by_label(spark, sf, 20).select(F.lit("label").alias("mode"), "query_id", "id", "rank"))
+
+
+def _grades(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", "label")
+    q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label")
+    return q.join(e.select(F.col("vec_id").alias("id"), "label"), "label").where("id <> query_id").select("query_id", "id", F.lit(1).alias("grade"))
+
+
+METRICS_SQL = f"""{DENSE_SQL}, a AS (SELECT 'dense' AS mode, query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM x),
+    b AS (SELECT 'label' AS mode, q.vec_id AS query_id, v.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY v.vec_id) AS rank FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id),
+    k AS (SELECT * FROM (SELECT * FROM a UNION ALL SELECT * FROM b) WHERE rank <= 20),
+    l AS (SELECT q.vec_id AS query_id, v.vec_id AS id FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id), n AS (SELECT query_id, count(*) AS rel FROM l GROUP BY ALL),
+    f AS (SELECT k.mode, k.query_id, count(*) FILTER (l.id IS NOT NULL AND rank <= 10) AS h10, count(*) FILTER (l.id IS NOT NULL AND rank <= 5) AS h5, min(rank) FILTER (l.id IS NOT NULL) AS fst, coalesce(sum(1 / log2(rank + 1)) FILTER (l.id IS NOT NULL AND rank <= 10), 0) AS dcg FROM k LEFT JOIN l ON l.query_id = k.query_id AND l.id = k.id GROUP BY ALL),
+    m AS (SELECT mode, f.query_id, coalesce(rel, 0) > 0 AS answerable, h10 / rel AS recall_at_10, CASE WHEN rel > 0 THEN h5 / 5.0 ELSE 0 END AS precision_at_5, CASE WHEN rel > 0 THEN coalesce(1.0 / fst, 0) END AS mrr,
+      dcg / list_sum(list_transform(range(1, least(rel, 10) + 1), lambda i: 1 / log2(i + 1))) AS ndcg_at_10 FROM f LEFT JOIN n USING (query_id))"""
+
+
+@query(f"WITH {METRICS_SQL} SELECT mode, query_id, answerable, round(recall_at_10, 6) AS recall_at_10, round(precision_at_5, 6)::DOUBLE AS precision_at_5, round(mrr, 6)::DOUBLE AS mrr, round(ndcg_at_10, 6) AS ndcg_at_10 FROM m")
+def ranking_metrics(spark, sf):
+    m = evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf))
+    return m.withColumns({c: F.round(c, 6) for c in ("recall_at_10", "precision_at_5", "mrr", "ndcg_at_10")})
+
+
+@query(f"WITH {METRICS_SQL} SELECT mode, count(*) AS queries, count(*) FILTER (answerable) AS answerable, round(avg(recall_at_10), 6) AS recall_at_10, round(avg(precision_at_5), 6)::DOUBLE AS precision_at_5, round(avg(mrr), 6)::DOUBLE AS mrr, round(avg(ndcg_at_10), 6) AS ndcg_at_10 FROM m GROUP BY mode")
+def system_means(spark, sf):
+    m = evaluation.system_means(evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf)))
+    return m.withColumns({c: F.round(c, 6) for c in ("recall_at_10", "precision_at_5", "mrr", "ndcg_at_10")})
+
+
+@query(f"WITH {METRICS_SQL} SELECT query_id, max(recall_at_10) FILTER (mode = 'dense') AS dense, max(recall_at_10) FILTER (mode = 'label') AS label FROM (SELECT mode, query_id, round(recall_at_10, 6) AS recall_at_10 FROM m) GROUP BY query_id")
+def system_pivot(spark, sf):
+    m = evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf))
+    return m.groupBy("query_id").pivot("mode", ["dense", "label"]).agg(F.first(F.round("recall_at_10", 6)))
+
+
+@query()
+def bootstrap_interval(spark, sf):
+    return evaluation.paired_bootstrap(evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf)), "ndcg_at_10", "label", "dense")
+
+
+@query("""SELECT lang, source, count(*) AS n, round(avg(quality), 6) AS quality, sum(toxic)::BIGINT AS toxic FROM documents JOIN labels USING (doc_id) GROUP BY GROUPING SETS ((lang), (source))""")
+def subgroup_metrics(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source").join(table(spark, sf, "labels"), "doc_id")
+    return d.groupingSets([["lang"], ["source"]], "lang", "source").agg(F.count("*").alias("n"), F.round(F.avg("quality"), 6).alias("quality"), F.sum("toxic").alias("toxic"))
+
+
+@query("""WITH t AS (SELECT count(*)::DOUBLE AS t, count(*) FILTER (quality = toxic) AS s, sum((quality - toxic) ** 2) AS o FROM labels), a AS (SELECT quality AS g, count(*)::DOUBLE AS n FROM labels GROUP BY ALL), b AS (SELECT toxic AS g, count(*)::DOUBLE AS n FROM labels GROUP BY ALL),
+    e AS (SELECT sum((a.g - b.g) ** 2 * a.n * b.n) AS e FROM a, b) SELECT round(1 - (o / t) / (e / t / t), 6) AS kappa, round(s / t, 6) AS agreement, t::BIGINT AS pairs FROM t, e""")
+def weighted_kappa(spark, sf):
+    k = evaluation.weighted_kappa(table(spark, sf, "labels"), "quality", "toxic", 2)
+    return k.select(F.round("kappa", 6).alias("kappa"), F.round("agreement", 6).alias("agreement"), "pairs")
+
+
+@query("SELECT lang, doc_id, sha256('seed-1|' || lang || '|' || doc_id::VARCHAR) AS blind_key, row_number() OVER (PARTITION BY lang ORDER BY sha256('seed-1|' || lang || '|' || doc_id::VARCHAR)) AS position FROM documents")
+def blinded_order(spark, sf):
+    return relational.blinded_order(table(spark, sf, "documents").select("lang", "doc_id"), "lang", "doc_id", "seed-1").withColumn("position", F.col("position").cast("long"))
+
+
+@query("""WITH k AS (SELECT doc_id, lang, sha256('audit|' || doc_id::VARCHAR) AS sample_key FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY sample_key) > 5 AS late FROM k)
+    SELECT doc_id, lang, sample_key FROM r ORDER BY late, sample_key LIMIT 30""")
+def stratified_sample(spark, sf):
+    return relational.stratified_sample(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", 5, 30, "audit")
+
+
+@query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY event_type")
+def latency_percentiles(spark, sf):
+    p = table(spark, sf, "events").groupBy("event_type").agg(F.percentile("value", F.array(F.lit(0.5), F.lit(0.95))).alias("p"))
+    return p.select("event_type", F.round(F.get("p", 0), 6).alias("p50"), F.round(F.get("p", 1), 6).alias("p95"))
+
+
+@query("SELECT avg(quality) AS value, 0.5::DOUBLE AS threshold, avg(quality) >= 0.5 AS passed, 'quality' AS metric FROM labels UNION ALL SELECT avg(1 - toxic), 0.95, avg(1 - toxic) >= 0.95, 'clean' FROM labels")
+def quality_gate(spark, sf):
+    one = table(spark, sf, "labels").agg(F.avg("quality").alias("quality"), F.avg(1 - F.col("toxic")).alias("clean"))
+    return evaluation.gate(one, {"quality": 0.5, "clean": 0.95})
+
+
+# -- requests ----------------------------------------------------------------------------------
+
+MARKERS = {"MUST": ["the", "doit"], "SHOULD": ["and", "der"], "PREFERRED": ["of", "que"]}
+
+
+@query()
+def requirement_units(spark, sf):
+    r = requirements.requirements(table(spark, sf, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("locator"), "text"), "locator", "text", MARKERS)
+    return r.select("requirement_id", "locator", "unit", "classification", F.length("unit_text").alias("chars"))
+
+
+@query(r"""WITH r AS (SELECT item_id::VARCHAR AS id, regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g') AS t FROM benchmark), v AS (SELECT DISTINCT lower(w) AS value FROM (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS w FROM documents WHERE doc_id < 3))
+    SELECT 'word' AS field, value, 'HARD_CANDIDATE' AS behavior, min(id) AS requirement_id FROM r JOIN v ON ' ' || t || ' ' LIKE '% ' || value || ' %' GROUP BY ALL""")
+def filter_proposals(spark, sf):
+    reqs = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("requirement_id"), F.lit("MUST").alias("classification"), F.col("text").alias("folded"))
+    listed = table(spark, sf, "documents").where("doc_id < 3").select(F.explode(F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))).alias("w"))  # three documents as the list of facet values
+    return requirements.filter_proposals(reqs, listed.select(F.lit("word").alias("field"), F.lower("w").alias("value")).distinct())
+
+
+@query("""WITH RECURSIVE e AS (SELECT 'root' AS parent, 'r' || r_regionkey AS id, r_name AS name FROM region UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_name FROM nation UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, s_name FROM supplier),
+    t AS (SELECT id, 1 AS depth, name AS path FROM e WHERE parent = 'root' UNION ALL SELECT e.id, t.depth + 1, t.path || '/' || e.name FROM e JOIN t ON e.parent = t.id) SELECT id, depth, path FROM t""")
+def tree_inventory(spark, sf):
+    r, n, s = (table(spark, sf, t) for t in ("region", "nation", "supplier"))
+
+    def edge(df, parent, prefix, key, name):
+        return df.select(parent.alias("parent"), F.concat(F.lit(prefix), F.col(key).cast("string")).alias("id"), F.col(name).alias("name"))
+
+    edges = edge(r, F.lit("root"), "r", "r_regionkey", "r_name").unionByName(edge(n, F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), "n", "n_nationkey", "n_name")).unionByName(edge(s, F.concat(F.lit("n"), F.col("s_nationkey").cast("string")), "s", "s_suppkey", "s_name"))
+    return relational.tree_paths(edges, "root")
+
+
+@query("""SELECT 'both' AS part, count(*) AS n FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders) UNION ALL SELECT 'only_left', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)""")
+def id_set_ops(spark, sf):
+    a, b = table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
+    return a.intersect(b).agg(F.lit("both").alias("part"), F.count("*").alias("n")).unionByName(a.subtract(b).agg(F.lit("only_left").alias("part"), F.count("*").alias("n")))
+
+
+@query()
+def table_hash(spark, sf):
+    return relational.logical_hash(table(spark, sf, "documents"), ["doc_id", "text", "lang", "source"])
