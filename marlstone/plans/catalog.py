@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import values as V
 from ..functions.chunking import ChunkRules, chunks
-from ..operators import evaluation, filters, matching, relational, requirements, retrieval
+from ..operators import corpus, evaluation, filters, matching, relational, requirements, retrieval, search
 from ..operators.contracts import issue_rows
 from ..sources.readers import hyperlinks
 
@@ -513,3 +513,94 @@ def id_set_ops(spark, sf):
 @query()
 def table_hash(spark, sf):
     return relational.logical_hash(table(spark, sf, "documents"), ["doc_id", "text", "lang", "source"])
+
+
+# -- engines -----------------------------------------------------------------------------------
+
+
+def _chunks(spark, sf):
+    """Documents as chunks of their source, with hashed-word vectors."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("document_id"), "text", F.when(F.col("lang") == "de", "RESTRICTED").otherwise("PUBLIC").alias("security_classification"))
+    return search.encoded(d, "text", search.HashEncoder())
+
+
+def _asked(spark, sf):
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
+    return search.encoded(b, "text", search.HashEncoder(), "query", "query_vector")
+
+
+@query()
+def hybrid_chunks(spark, sf):
+    return search.search_chunks(_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"]).withColumn("score", F.round("score", 9))
+
+
+@query()
+def hybrid_documents(spark, sf):
+    r = search.search_documents(_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"], limit=5)
+    return r.select("query_id", "document_id", F.round("score", 9).alias("score"), "best_id", "rank")
+
+
+@query()
+def matched_evidence(spark, sf):
+    refs = table(spark, sf, "documents").select("source").distinct().select(F.concat(F.lit("REF-"), "source").alias("reference_id"), F.col("source").alias("document_id"))
+    return search.match(_chunks(spark, sf), _asked(spark, sf), refs, ["PUBLIC"], mode="bm25").withColumn("rerank_score", F.round("rerank_score", 6)).withColumn("term_coverage", F.round("term_coverage", 6))
+
+
+@query(f"""WITH {DENSE_SQL}, a AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM x),
+    b AS (SELECT q.vec_id AS query_id, v.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY v.vec_id) AS rank FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id),
+    w AS (SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS weight), f AS (SELECT weight, query_id, id, round(sum(p), 12) AS score FROM (SELECT weight, query_id, id, weight / (60 + rank) AS p FROM a, w WHERE rank <= 20 UNION ALL SELECT weight, query_id, id, (1 - weight) / (60 + rank) FROM b, w WHERE rank <= 20) GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY weight, query_id ORDER BY score DESC, id) AS rank FROM f), l AS (SELECT q.vec_id AS query_id, v.vec_id AS id FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id), n AS (SELECT query_id, count(*) AS rel FROM l GROUP BY ALL),
+    h AS (SELECT weight, r.query_id, count(*) FILTER (l.id IS NOT NULL AND rank <= 10) AS h10 FROM r LEFT JOIN l ON l.query_id = r.query_id AND l.id = r.id GROUP BY ALL)
+    SELECT weight, count(*) AS queries, round(avg(h10 / rel), 6) AS recall_at_10 FROM h JOIN n USING (query_id) GROUP BY weight""")
+def fusion_sweep(spark, sf):
+    m = search.fusion_sweep(_by_label(spark, sf, 20).select("query_id", "id", "rank"), _dense(spark, sf, 20).select("query_id", "id", "rank"), _grades(spark, sf), [0.25, 0.5, 0.75])
+    flipped = m.withColumn("weight", 1 - F.col("weight"))  # the weight of the first ranking in the oracle
+    return flipped.select("weight", "queries", F.round("recall_at_10", 6).alias("recall_at_10"))
+
+
+@query(f"""WITH {METRICS_SQL} SELECT query_id, id, 'CAND-' || sha256('pool|' || query_id || '|' || id)[1:16] AS candidate_id, string_agg(DISTINCT mode, ',' ORDER BY mode) AS modes FROM k WHERE rank <= 10 GROUP BY query_id, id""")
+def candidate_pool(spark, sf):
+    p = search.candidate_pool(_rankings(spark, sf))
+    return p.select("query_id", "id", "candidate_id", F.array_join("modes", ",").alias("modes"))
+
+
+@query("""WITH a AS (SELECT DISTINCT c_custkey AS id, 1 AS a FROM customer), b AS (SELECT DISTINCT o_custkey AS id, 1 AS b FROM orders), j AS (SELECT a, b FROM a FULL JOIN b USING (id))
+    SELECT count(a) AS left, count(b) AS right, count(*) FILTER (a = 1 AND b = 1) AS shared, count(*) AS "union", round(count(*) FILTER (a = 1 AND b = 1) / count(*), 6) AS jaccard FROM j""")
+def id_overlap(spark, sf):
+    a, b = table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
+    return search.overlap(a, b, "id").withColumn("jaccard", F.round("jaccard", 6))
+
+
+def _pages(spark, sf):
+    c = table(spark, sf, "conversations")
+    return c.select(F.col("conv_id").alias("document_id"), F.col("turn").alias("page"), F.sha2(F.col("conv_id").cast("string"), 256).alias("source_sha256"), "text", (F.length("text") >= 20).alias("retrieval_eligible"), F.col("role").alias("file_name"))
+
+
+@query()
+def canonical_documents(spark, sf):
+    return corpus.document_catalogue(corpus.canonical_pages(_pages(spark, sf)))
+
+
+@query()
+def canonical_chunks(spark, sf):
+    return corpus.chunk_table(corpus.canonical_pages(_pages(spark, sf))).drop("text")
+
+
+@query("""SELECT user_id, arg_max(event_id, (CASE event_type WHEN 'purchase' THEN 3 WHEN 'click' THEN 2 ELSE 1 END, -event_id)) AS attempt FROM events GROUP BY user_id""")
+def best_repair(spark, sf):
+    e = table(spark, sf, "events")
+    status = F.when(F.col("event_type") == "purchase", "PASS").when(F.col("event_type") == "click", "REVIEW").otherwise("FAILED")
+    tries = e.select("user_id", F.col("event_id").alias("attempt"), status.alias("status"), F.lit(5).alias("words"), F.lit(9).alias("chars"), F.lit(0.5).alias("confidence"))
+    return corpus.best_attempt(tries, ["user_id"]).select("user_id", "attempt")
+
+
+@query("""SELECT o_custkey AS canonical_document_id, string_agg(v, ',' ORDER BY r) AS status, max(n) AS rows FROM (SELECT o_custkey, o_orderstatus AS v, min(o_orderkey) AS r, any_value(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) GROUP BY ALL) GROUP BY o_custkey""")
+def reference_metadata(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("canonical_document_id"), F.col("o_orderkey").alias("row_number"), F.col("o_orderkey").cast("string").alias("reference_id"), F.col("o_orderstatus").alias("status"))
+    m = corpus.reference_metadata(o, ["status"])
+    return m.select("canonical_document_id", F.array_join("status", ",").alias("status"), F.size("reference_rows").cast("long").alias("rows"))
+
+
+@query("SELECT page_id, CASE WHEN length(html) > 5000 THEN 'SKIPPED:size' ELSE 'DOWNLOADED' END AS status FROM pages")
+def route_status(spark, sf):
+    return table(spark, sf, "pages").select("page_id", corpus.route_status(F.lit("text/html"), F.length("html"), ["text/html"], 5000).alias("status"))
