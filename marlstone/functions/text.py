@@ -165,8 +165,10 @@ def document_type(file_name: Column, text: Column, rules=DOCUMENT_TYPES) -> tupl
 
 def whole_words(folded_text: Column, phrases: list[str]) -> Column:
     """Whether any phrase occurs in the folded text on word boundaries."""
-    padded = F.concat(F.lit(" "), folded_text, F.lit(" "))
-    return F.exists(F.array(*[F.lit(f" {p} ") for p in phrases]), lambda p: padded.contains(p)) if phrases else F.lit(False)
+    padded, out = F.concat(F.lit(" "), folded_text, F.lit(" ")), F.lit(False)
+    for p in phrases:
+        out = out | padded.contains(f" {p} ")
+    return out
 
 
 def safe_file_name(name: Column) -> Column:
