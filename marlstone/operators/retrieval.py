@@ -74,14 +74,22 @@ def lexical_top(docs: DataFrame, queries: DataFrame, allowed_ids: DataFrame, lim
     return top_ranked(best.unionByName(zero.withColumn("score", F.lit(0.0))), limit)
 
 
-def dense_scores(vectors: DataFrame, queries: DataFrame, block: int = 4096) -> DataFrame:
+def dense_scores(vectors: DataFrame, queries: DataFrame, block: int = 4096, most_broadcast: int = 16_384) -> DataFrame:
     """(query_id, id, score): exact inner products of all vectors with a stated set of queries.
 
-    ``vectors``: id, embedding. ``queries``: query_id, query_vector; they are taken in one
-    array per ``block`` of queries, so each vector is read once per block.
+    ``vectors``: id, embedding. ``queries``: query_id, query_vector. Queries are held in arrays
+    of about ``block``. Up to ``most_broadcast`` of them go to every task; beyond that number
+    each vector is sent to every block instead.
     """
-    blocks = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(64))).groupBy("_b").agg(F.collect_list(F.struct("query_id", "query_vector")).alias("qs"))
-    pairs = vectors.join(F.broadcast(blocks)).select("id", "embedding", F.explode("qs").alias("q"))
+    n = queries.count()
+    count = max(1, -(-n // block))
+    dealt = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(count)).cast("int"))
+    blocks = dealt.groupBy("_b").agg(F.collect_list(F.struct("query_id", "query_vector")).alias("qs"))
+    if n <= most_broadcast:
+        pairs = vectors.join(F.broadcast(blocks))
+    else:
+        pairs = vectors.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(blocks, "_b")
+    pairs = pairs.select("id", "embedding", F.explode("qs").alias("q"))
     return pairs.select(F.col("q.query_id").alias("query_id"), "id", dot(F.col("embedding"), F.col("q.query_vector")).alias("score"))
 
 

@@ -39,6 +39,14 @@ def test_filter_reaches_the_scan(spark):
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
 
 
+def test_dense_scores_do_not_depend_on_how_queries_are_dealt(spark):
+    v = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "id long, embedding array<float>")
+    q = v.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    want = {(a, b): a * b + 1.0 for a in range(6) for b in range(6)}
+    for options in ({}, {"block": 2, "most_broadcast": 0}):
+        assert {(r.query_id, r.id): r.score for r in retrieval.dense_scores(v, q, **options).collect()} == want
+
+
 def test_fusion_and_roll_up(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "query_id long, id long, rank int")
     b = spark.createDataFrame([(1, 11, 1)], "query_id long, id long, rank int")
