@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from .common import SPACE, materialise, salted_rank, text_or_empty
 
 
+#: Up to so many sources their targets go to every task; beyond, they are joined by a shuffle.
+MOST_BROADCAST = 20_000
+
+
 def share_targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (3, 1, 2), total_share: float = 1.5, most: float = 2.0) -> dict[str | None, float]:
     """Target words of each source.
 
@@ -110,20 +114,22 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), total_s
     # one row per source; sources are a catalogue of named origins, as their weights by name presume
     found = [(r.source, r.source_size) for r in totals.collect()]
     target = share_targets(found, weights, total_share, most)
-    sources = spark.createDataFrame([(s, n, target[s]) for s, n in found], "source string, source_size long, target double")
+    sources = spark.createDataFrame([(s, n, target[s]) for s, n in found], "source string, source_size long, target double").withColumnRenamed("source", "_s")
+    if len(found) <= MOST_BROADCAST:
+        sources = F.broadcast(sources)
 
     def fitted(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("size")
         copies = fit_counts(part["size"].to_numpy(), most * part.n.to_numpy(), int(round(part.target.iloc[0])))
         return part[["source", "size", "n"]].assign(copies=copies)
 
-    fit_in = lengths.join(F.broadcast(sources.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s"))).select("source", "size", "n", "target")
+    fit_in = lengths.join(sources, F.col("source").eqNullSafe(F.col("_s"))).select("source", "size", "n", "target")
     fit = fit_in.groupBy("source").applyInPandas(lambda part: fitted(part), "source string, size long, n long, copies long")
     fit = materialise(fit.withColumnsRenamed({"source": "_fs", "size": "_fn"}), "mix-fit")
 
     order = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "row_key"))
     ranked = salted_rank(order, ["source", "size"], "_h", ["doc_id", "row_key"], slot_bits=8)
-    joined = ranked.join(F.broadcast(sources.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s"))).join(fit, F.col("source").eqNullSafe(F.col("_fs")) & (F.col("size") == F.col("_fn")))
+    joined = ranked.join(sources, F.col("source").eqNullSafe(F.col("_s"))).join(fit, F.col("source").eqNullSafe(F.col("_fs")) & (F.col("size") == F.col("_fn")))
     times = F.expr("copies div n") + F.when(F.col("rank") < F.expr("copies % n"), 1).otherwise(0)
     return joined.select("doc_id", "row_key", "source", "size", "source_size", "target", (times * F.col("size")).alias("taken"))
 
