@@ -85,3 +85,15 @@ def _null_safe(keys: list[str]) -> Column:
         c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         condition = c if condition is None else condition & c
     return condition
+
+
+#: What Python workers remember from task to task, by operator.
+_worker_caches: dict[str, dict] = {}
+
+
+def worker_cache(operator: str) -> dict:
+    """A dictionary that lives as long as the Python worker, or until another operator runs in it."""
+    for other in _worker_caches:
+        if other != operator:
+            _worker_caches[other].clear()
+    return _worker_caches.setdefault(operator, {})

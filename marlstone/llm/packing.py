@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, salted_rank
+from .common import materialise, salted_rank, worker_cache
 
 #: Words that are one run of letters to the tokenizer, before and after its normalisation.
 LETTERS = "[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
@@ -37,7 +37,7 @@ class WordEncoder:
     together. ASCII letters are lower-cased first, as the tokenizer itself does.
     """
 
-    def __init__(self, vocabulary_file: str, remembered: int = 500_000):
+    def __init__(self, vocabulary_file: str, remembered: int = 350_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -106,14 +106,12 @@ class WordEncoder:
         return list(map(b"".join, found))
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def worker_encoder(vocabulary_file: str) -> WordEncoder:
     """One encoder for each Python worker: the tasks it runs share the words it remembers."""
-    if vocabulary_file not in _encoders:
-        _encoders[vocabulary_file] = WordEncoder(vocabulary_file)
-    return _encoders[vocabulary_file]
+    encoders = worker_cache("packing")
+    if vocabulary_file not in encoders:
+        encoders[vocabulary_file] = WordEncoder(vocabulary_file)
+    return encoders[vocabulary_file]
 
 
 def tokenize_pieces(docs: DataFrame, vocabulary_file: str, capacity: int = 4096, end_id: int = 1, keep_ids: bool = False) -> DataFrame:

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import worker_cache
+
 TOKEN = re.compile(r"[^\W\d_]+|\d+|([^\w\s]|_)\1*")
 MULTIPLIER = np.uint32(2654435761)
 #: All pairs of a token with itself are one and the same n-gram.
@@ -67,6 +69,7 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_train: int = 8
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id"))  # max_train rows at most
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_cache("quality")
         for b in batches:
             yield pd.DataFrame({"doc_id": b.doc_id, "x": [features(t, bits).tobytes() for t in b.text], "label": b.label})
 
@@ -114,10 +117,15 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_cache("quality")
         w = shared.value.astype(np.float64)
         cut = np.log(threshold / (1 - threshold))
         for b in batches:
-            x = [features(t, bits) for t in b.text]
-            yield b[[w[-1] + (w[v].sum() / np.sqrt(len(v)) if len(v) else 0.0) >= cut for v in x]]
+            ok = np.empty(len(b), bool)
+            for i, t in enumerate(b.text):
+                x = features(t, bits)
+                ok[i] = w[-1] + (w[x].sum() / np.sqrt(len(x)) if len(x) else 0.0) >= cut
+            for begin in range(0, len(b), 1000):  # small batches on the way out, too
+                yield b.iloc[begin : begin + 1000][ok[begin : begin + 1000]]
 
     return docs.mapInPandas(kept, docs.schema)
