@@ -49,11 +49,12 @@ def encoded(df: DataFrame, text: str, encoder: Encoder, kind: str = "passage", n
     return df.withColumn(name, encode(F.col(text)))
 
 
-def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mode: str = "hybrid", limit: int = 10, hard: Column | None = None, pool: int = 100, weights: tuple[float, float] = (0.5, 0.5), k: int = 60) -> DataFrame:
+def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mode: str = "hybrid", limit: int = 10, hard: Column | None = None, pool: int = 100, weights: tuple[float, float] = (0.5, 0.5), k: int = 60, documents: DataFrame | None = None) -> DataFrame:
     """(query_id, id, score, rank) over ``chunks``: id, document_id, text, embedding, security_classification.
 
-    ``queries``: id, text, query_vector. Authorization and hard filters hold before ranking;
-    term statistics are those of all chunks. ``limit`` 0 means the default of 10.
+    ``queries``: id, text, query_vector. Authorization, hard filters and ``documents``
+    (document_id: those that may be found) hold before ranking; term statistics are those of all
+    chunks. ``limit`` 0 means the default of 10.
     """
     if mode not in MODES:
         raise EngineError(f"unknown mode {mode}")
@@ -61,6 +62,8 @@ def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mod
     may = retrieval.authorized(chunks, "security_classification", allowed)
     if hard is not None:
         may = may.where(hard)
+    if documents is not None:
+        may = may.join(documents.select("document_id").distinct(), "document_id", "left_semi")
     lexical = dense = None
     if mode != "dense":
         lexical = retrieval.lexical_top(retrieval.tokenized(chunks, "id", "text"), retrieval.tokenized(queries, "id", "text"), may.select("id"), pool if mode == "hybrid" else limit)
@@ -78,15 +81,15 @@ def search_documents(chunks: DataFrame, queries: DataFrame, allowed: list[str],
     return retrieval.roll_up(found.join(chunks.select("id", "document_id"), "id"), limit)
 
 
-def match(chunks: DataFrame, requirements: DataFrame, references: DataFrame, allowed: list[str], score_share: float = 0.8, **options) -> DataFrame:
+def match(chunks: DataFrame, requirements: DataFrame, references: DataFrame, allowed: list[str], score_share: float = 0.8, limit: int = 100, pool: int = 100, **options) -> DataFrame:
     """Evidence rows of all requirements in one plan: reference_id, requirement_id, chunk_id, scores, rank.
 
     ``requirements``: id, text, query_vector. ``references``: reference_id, document_id, those
-    eligible. Chunks fan out to the references of their document, are reranked by scaled score
-    and term coverage, and three stay for each (reference, requirement).
+    eligible. Of each requirement the ``limit`` best chunks of their documents are candidates.
+    These fan out to the references of their document, are reranked by scaled score and term
+    coverage, and three stay for each (reference, requirement).
     """
-    eligible = chunks.join(references.select("document_id").distinct(), "document_id", "left_semi")
-    found = search_chunks(eligible, requirements, allowed, **options)
+    found = search_chunks(chunks, requirements, allowed, limit=limit, pool=max(pool, limit), documents=references, **options)
     texts = retrieval.tokenized(chunks, "id", "text").select("id", F.col("terms").alias("have"))
     asked = retrieval.tokenized(requirements, "id", "text").select(F.col("id").alias("query_id"), F.col("terms").alias("want"))
     rows = found.join(texts, "id").join(asked, "query_id").join(chunks.select("id", "document_id"), "id").join(references, "document_id")

@@ -43,6 +43,24 @@ def test_match_only_uses_eligible_references(spark, chunks, asked):
     assert {r.term_coverage for r in got if r.requirement_id == "R1" and r.chunk_id == 1} == {1.0}
 
 
+@pytest.mark.parametrize("mode", search.MODES)
+def test_match_finds_evidence_behind_a_document_that_fills_the_first_ranks(spark, mode):
+    rows = [(i, "hot", "solar power plant", "PUBLIC") for i in range(30)] + [(90, "cold", "solar power and other works", "PUBLIC")]
+    chunks = search.encoded(spark.createDataFrame(rows, "id long, document_id string, text string, security_classification string"), "text", search.HashEncoder())
+    asked = search.encoded(spark.createDataFrame([("R1", "solar power plant")], "id string, text string"), "text", search.HashEncoder(), "query", "query_vector")
+    refs = spark.createDataFrame([("A", "hot"), ("B", "cold")], "reference_id string, document_id string")
+    got = {(r.reference_id, r.chunk_id): r.retrieval_rank for r in search.match(chunks, asked, refs, ["PUBLIC"], mode=mode).collect()}
+    assert len(got) == 4 and got["B", 90] == 31
+    assert {r.reference_id for r in search.match(chunks, asked, refs, ["PUBLIC"], mode=mode, limit=30).collect()} == {"A"}
+
+
+def test_match_takes_term_statistics_from_all_chunks(spark, chunks, asked):
+    refs = spark.createDataFrame([("B", "d2")], "reference_id string, document_id string")
+    got = {r.requirement_id: r.score for r in search.match(chunks, asked, refs, ["PUBLIC", "INTERNAL"], mode="bm25").collect()}
+    whole = {r.query_id: r.score for r in search.search_chunks(chunks, asked, ["PUBLIC", "INTERNAL"], "bm25").where("id = 3").collect()}
+    assert got == whole and got["R2"] > 0
+
+
 def test_encoder_is_deterministic_and_unit():
     v = search.HashEncoder(16).encode(["a b", "", "a b"], "passage")
     assert np.allclose(np.linalg.norm(v, axis=1), 1) and np.array_equal(v[0], v[2])
