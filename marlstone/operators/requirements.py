@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BRIEF_RULES, fold_wide, redact, squeeze, whole_words
@@ -11,6 +13,8 @@ from ..functions.values import stable_id
 # Fixed values
 BULLET = r"^\s*(?:[-*•▪◦‣]+|\d+[.)]|[A-Za-z][.)])\s*"
 SENTENCE_END = r"(?<=[.!?؟;؛])\s+"
+EXCLUSION_MARKERS = ("exclure", "exclu", "hors", "sauf", "sans", "exclude", "excluding", "without", "باستثناء", "بدون")
+VALUE_ALIASES = {"country": {"Tunisia": "Tunisie", "Tunis": "Tunisie", "تونس": "Tunisie", "Libya": "Libye", "ليبيا": "Libye", "Côte d Ivoire": "Côte d'Ivoire", "Ivory Coast": "Côte d'Ivoire"}}
 
 
 def units(segments: DataFrame, locator: str, text: str, least: int = 12, long_line: int = 280) -> DataFrame:
@@ -41,19 +45,34 @@ def requirements(segments: DataFrame, locator: str, text: str, markers: dict[str
     return rows.withColumn("requirement_id", stable_id(F.col("locator"), F.col("unit"), F.col("folded"), prefix="REQ-", length=12))
 
 
-def filter_proposals(reqs: DataFrame, values: DataFrame, text: str = "folded") -> DataFrame:
+def word_key(text: Column) -> Column:
+    """Lower-case runs of letters and digits, one space between them; accents stay."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+
+
+def filter_proposals(reqs: DataFrame, values: DataFrame, text: str = "folded", key: Callable[[Column], Column] = fold_wide, aliases: dict[str, dict[str, str]] = VALUE_ALIASES, exclusion_markers: Sequence[str] = EXCLUSION_MARKERS) -> DataFrame:
     """(field, value, behavior, requirement_id): facet values that occur on word boundaries in a requirement.
 
-    Values of up to four words are found by an equi-join on the requirement's word n-grams, so
-    no requirement meets every value. Of equal proposals the first requirement by id stays.
+    Values of any number of words are found by an equi-join on word n-grams of just the lengths
+    that the values have, so no requirement meets every value. ``aliases`` (by field: alias to
+    value) propose the value that they stand for. A requirement with an exclusion marker (folded
+    words) proposes exclusions. ``key`` is the form in which texts, values and aliases are
+    compared. Of equal proposals the first requirement by id stays.
     """
-    w = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    grams = reqs.select("requirement_id", "classification", w.alias("w")).select(
-        "requirement_id",
-        "classification",
-        F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.transform("w", lambda x, i: F.array_join(F.slice("w", i + 1, n), " ")))))).alias("gram"),
-    )
-    keyed = values.withColumn("gram", F.trim(F.regexp_replace(F.lower("value"), r"[^\p{L}\p{N}]+", " ")))
-    behavior = F.when(F.col("classification") == "MUST", "HARD_CANDIDATE").when(F.col("classification") == "CONTEXT", "CONTEXT_ONLY").otherwise("SOFT_PREFERENCE")
-    found = grams.join(keyed, "gram").select("field", "value", behavior.alias("behavior"), "requirement_id")
+    keyed = values.select("field", "value", key(F.col("value")).alias("gram"))
+    listed = [(f, a, v) for f, names in aliases.items() for a, v in names.items()]
+    if listed:
+        also = values.sparkSession.createDataFrame(listed, "field string, alias string, stands_for string")
+        also = also.select("field", key(F.col("alias")).alias("other"), key(F.col("stands_for")).alias("gram"))
+        keyed = keyed.unionByName(keyed.join(F.broadcast(also), ["field", "gram"]).select("field", "value", F.col("other").alias("gram")))  # a fixed list
+    keyed = keyed.where("gram <> ''").distinct()
+    lengths = keyed.agg(F.collect_set(F.size(F.split("gram", " "))).alias("lengths"))  # one row
+    asked = reqs.select("requirement_id", "classification", key(F.col(text)).alias("said"))
+    excluded = whole_words(F.col("said"), list(exclusion_markers))
+    behavior = F.when(excluded, "EXCLUSION_CANDIDATE").when(F.col("classification") == "MUST", "HARD_CANDIDATE").when(F.col("classification") == "CONTEXT", "CONTEXT_ONLY").otherwise("SOFT_PREFERENCE")
+    words = asked.select("requirement_id", behavior.alias("behavior"), F.split("said", " ").alias("w")).join(F.broadcast(lengths))
+    each = words.select("requirement_id", "behavior", "w", F.explode("lengths").alias("n")).where(F.col("n") <= F.size("w"))
+    slices = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1), lambda i: F.array_join(F.slice("w", i, F.col("n")), " "))
+    grams = each.select("requirement_id", "behavior", F.explode(F.array_distinct(slices)).alias("gram"))
+    found = grams.join(keyed, "gram")
     return found.groupBy("field", "value", "behavior").agg(F.min("requirement_id").alias("requirement_id"))

@@ -489,7 +489,7 @@ def requirement_units(spark, sf):
 def filter_proposals(spark, sf):
     reqs = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("requirement_id"), F.lit("MUST").alias("classification"), F.col("text").alias("folded"))
     listed = table(spark, sf, "documents").where("doc_id < 3").select(F.explode(F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))).alias("w"))  # three documents as the list of facet values
-    return requirements.filter_proposals(reqs, listed.select(F.lit("word").alias("field"), F.lower("w").alias("value")).distinct())
+    return requirements.filter_proposals(reqs, listed.select(F.lit("word").alias("field"), F.lower("w").alias("value")).distinct(), key=requirements.word_key)
 
 
 @query("""WITH RECURSIVE e AS (SELECT 'root' AS parent, 'r' || r_regionkey AS id, r_name AS name FROM region UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_name FROM nation UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, s_name FROM supplier),

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,6 +131,26 @@ def test_requirements_are_masked_classified_and_first_seen(spark):
     assert all(r.requirement_id.startswith("REQ-") and len(r.requirement_id) == 16 for r in got)
 
 
+def test_filter_values_of_any_length_aliases_and_exclusions(spark):
+    long = "Ministère de l'Économie, des Finances et de la Planification du Développement"
+    said = [("q1", "MUST", f"(reference for {long}) or !!!"), ("q2", "MUST", "works in tunisia only"), ("q3", "SHOULD", "anywhere but without Libya"), ("q4", "CONTEXT", "in Côte d'Ivoire"), ("q5", "SHOULD", "tunisian financesx de la"), ("q6", "CONTEXT", "")]
+    values = [("client", long), ("client", "Économie"), ("client", "nances"), ("client", "!!!"), ("country", "Tunisie"), ("country", "Libye"), ("country", "Côte d'Ivoire"), ("sector", "Tunisie")]
+    reqs = spark.createDataFrame(said, "requirement_id string, classification string, folded string")
+    got = requirements.filter_proposals(reqs, spark.createDataFrame(values, "field string, value string"))
+    assert sorted(map(tuple, got.collect())) == sorted([("client", long, "HARD_CANDIDATE", "q1"), ("client", "Économie", "HARD_CANDIDATE", "q1"), ("country", "Tunisie", "HARD_CANDIDATE", "q2"), ("country", "Libye", "EXCLUSION_CANDIDATE", "q3"), ("country", "Côte d'Ivoire", "CONTEXT_ONLY", "q4")])
+    assert requirements.filter_proposals(reqs, spark.createDataFrame([], "field string, value string")).count() == 0
+
+
+def test_filter_proposals_agree_with_containment_of_every_value(spark):
+    rng = random.Random(5)
+    said = [(f"q{i:03}", " ".join(rng.choices("abcd", k=rng.randint(0, 14)))) for i in range(60)]
+    values = sorted({" ".join(rng.choices("abcd", k=rng.choice((1, 2, 5, 6, 9)))) for _ in range(200)})
+    want = {(v, min(q for q, t in said if f" {v} " in f" {t} ")) for v in values if any(f" {v} " in f" {t} " for _, t in said)}
+    reqs = spark.createDataFrame(said, "requirement_id string, folded string").withColumn("classification", F.lit("MUST"))
+    got = requirements.filter_proposals(reqs, spark.createDataFrame([(v,) for v in values], "value string").withColumn("field", F.lit("f")))
+    assert {(r.value, r.requirement_id) for r in got.collect()} == want and max(len(v.split()) for v, _ in want) > 4
+
+
 def test_sources_and_sinks_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, "=x", ["a"]), (2, None, [])], "id long, v string, tags array<string>")
     sinks.write_csv(df, f"{tmp_path}/csv")
