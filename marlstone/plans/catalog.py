@@ -492,6 +492,16 @@ def filter_proposals(spark, sf):
     return requirements.filter_proposals(reqs, listed.select(F.lit("word").alias("field"), F.lower("w").alias("value")).distinct(), key=requirements.word_key)
 
 
+@query(r"""WITH w AS (SELECT DISTINCT item_id::VARCHAR AS id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS value FROM benchmark), x AS (SELECT id FROM w WHERE value IN ('exclure', 'exclu', 'hors', 'sauf', 'sans', 'exclude', 'excluding', 'without', 'باستثناء', 'بدون')),
+    v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS value FROM documents)
+    SELECT 'word' AS field, value, CASE WHEN id IN (SELECT id FROM x) THEN 'EXCLUSION_CANDIDATE' ELSE 'HARD_CANDIDATE' END AS behavior, min(id) AS requirement_id FROM w JOIN v USING (value) GROUP BY ALL""")
+def filter_proposals_all(spark, sf):
+    """Like ``filter_proposals``, with every word of every document as a facet value."""
+    reqs = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("requirement_id"), F.lit("MUST").alias("classification"), F.col("text").alias("folded"))
+    listed = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))).alias("value"))
+    return requirements.filter_proposals(reqs, listed.select(F.lit("word").alias("field"), "value").distinct(), key=requirements.word_key)
+
+
 @query("""WITH RECURSIVE e AS (SELECT 'root' AS parent, 'r' || r_regionkey AS id, r_name AS name FROM region UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_name FROM nation UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, s_name FROM supplier),
     t AS (SELECT id, 1 AS depth, name AS path FROM e WHERE parent = 'root' UNION ALL SELECT e.id, t.depth + 1, t.path || '/' || e.name FROM e JOIN t ON e.parent = t.id) SELECT id, depth, path FROM t""")
 def tree_inventory(spark, sf):

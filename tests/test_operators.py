@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marlstone.operators import evaluation, filters, matching, relational, requirements, retrieval
 from marlstone.operators.contracts import EngineError, NotAuthorized, forbid_columns, issue_rows, require_columns, require_unique, same_rows
+from marlstone.plans import catalog
 from marlstone.sources import readers, sinks
 from marlstone.streaming.incremental import ingest
 
@@ -131,6 +132,14 @@ def test_requirements_are_masked_classified_and_first_seen(spark):
     assert all(r.requirement_id.startswith("REQ-") and len(r.requirement_id) == 16 for r in got)
 
 
+def test_every_document_gives_filter_values(spark, tmp_path):
+    texts = [(0, "solar plant"), (1, "Water"), (2, "roads"), (3, "bridges water"), (9, "harbour")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "Bridges, a harbour and water"), (8, "harbour without cranes or bridges")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(map(tuple, catalog.filter_proposals_all(spark, str(tmp_path)).collect()))
+    assert got == [("word", w, b, i) for w in ("bridges", "harbour") for b, i in (("EXCLUSION_CANDIDATE", "8"), ("HARD_CANDIDATE", "7"))] + [("word", "water", "HARD_CANDIDATE", "7")]
+
+
 def test_filter_values_of_any_length_aliases_and_exclusions(spark):
     long = "Ministère de l'Économie, des Finances et de la Planification du Développement"
     said = [("q1", "MUST", f"(reference for {long}) or !!!"), ("q2", "MUST", "works in tunisia only"), ("q3", "SHOULD", "anywhere but without Libya"), ("q4", "CONTEXT", "in Côte d'Ivoire"), ("q5", "SHOULD", "tunisian financesx de la"), ("q6", "CONTEXT", "")]
