@@ -195,6 +195,14 @@ def bm25_terms(spark, sf):
     return s.where("cf > 1").withColumn("idf", F.round("idf", 8))
 
 
+@query(rf"""WITH d AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents), p AS (SELECT doc_id, unnest(t) AS term FROM d), n AS (SELECT count(*) AS n FROM d)
+    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf, round(ln(1 + (any_value(n) - count(DISTINCT doc_id) + 0.5) / (count(DISTINCT doc_id) + 0.5)), 8) AS idf FROM p, n GROUP BY term""")
+def bm25_terms_all(spark, sf):
+    """Like ``bm25_terms``, with the terms that occur once."""
+    s = retrieval.term_statistics(retrieval.tokenized(table(spark, sf, "documents"), "doc_id", "text"))
+    return s.withColumn("idf", F.round("idf", 8))
+
+
 def _lexical(spark, sf, limit, positive_only=False, classes=ALLOWED):
     docs = table(spark, sf, "documents")
     allowed = retrieval.authorized(docs, "source", classes).select(F.col("doc_id").alias("id"))

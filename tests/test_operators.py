@@ -132,12 +132,13 @@ def test_requirements_are_masked_classified_and_first_seen(spark):
     assert all(r.requirement_id.startswith("REQ-") and len(r.requirement_id) == 16 for r in got)
 
 
-def test_every_document_gives_filter_values(spark, tmp_path):
+def test_every_document_gives_filter_values_and_every_term_statistics(spark, tmp_path):
     texts = [(0, "solar plant"), (1, "Water"), (2, "roads"), (3, "bridges water"), (9, "harbour")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(7, "Bridges, a harbour and water"), (8, "harbour without cranes or bridges")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = sorted(map(tuple, catalog.filter_proposals_all(spark, str(tmp_path)).collect()))
     assert got == [("word", w, b, i) for w in ("bridges", "harbour") for b, i in (("EXCLUSION_CANDIDATE", "8"), ("HARD_CANDIDATE", "7"))] + [("word", "water", "HARD_CANDIDATE", "7")]
+    assert {r.term: (r.df, r.cf) for r in catalog.bm25_terms_all(spark, str(tmp_path)).collect()} == {"solar": (1, 1), "plant": (1, 1), "water": (2, 2), "roads": (1, 1), "bridges": (1, 1), "harbour": (1, 1)}
 
 
 def test_filter_values_of_any_length_aliases_and_exclusions(spark):
