@@ -46,19 +46,39 @@ def share_targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...
     return target
 
 
-def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 20_000) -> np.ndarray:
+def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 20_000, widest: int = 1_280_000) -> np.ndarray:
     """How many documents of each length to take so that their words come as near ``budget`` as fits.
 
-    A share in proportion first, up to ``window / 2`` words short of the budget; then the
-    longest that still fit, until at most ``window`` words are open; then dynamic programming
-    over the counts left, which finds the reachable sum nearest to the gap. Budgets within the
-    window are fitted by dynamic programming alone.
+    Fitted within ``window`` first. Where the sum then misses the budget by more than the common
+    divisor of the lengths explains, as with documents longer than the window, the fit is tried
+    in windows four times as wide, up to ``widest``, and the nearest sum stays. Budgets up to
+    half of ``widest`` are thus fitted exactly.
     """
     lengths, counts = lengths.astype(np.int64), np.where(lengths > 0, counts, 0).astype(np.int64)
     total = int((lengths * counts).sum())
     budget = max(0, min(budget, total))
     if budget in (0, total):
         return counts if budget else np.zeros_like(counts)
+    step = int(np.gcd.reduce(lengths[counts > 0]))
+    least = min(budget % step, step - budget % step)  # no sum is nearer
+    best, miss = None, None
+    while True:
+        taken = _fit_within(lengths, counts, budget, total, window)
+        off = abs(int((lengths * taken).sum()) - budget)
+        if best is None or off < miss:
+            best, miss = taken, off
+        if miss == least or window >= min(widest, 2 * budget):
+            return best
+        window = min(4 * window, max(window, widest))
+
+
+def _fit_within(lengths: np.ndarray, counts: np.ndarray, budget: int, total: int, window: int) -> np.ndarray:
+    """A share in proportion first, up to ``window / 2`` words short of the budget; then the
+    longest that still fit, until at most ``window`` words are open; then dynamic programming
+    over the counts left, which finds the reachable sum nearest to the gap. Budgets up to
+    ``window / 2`` are fitted by dynamic programming alone. A wider gap stays open only where all
+    documents left are longer than it; then the shortest of them goes in if that is nearer.
+    """
     bulk = max(0, budget - window // 2)
     taken = np.array([int(c) * bulk // total for c in counts], np.int64)  # Python integers: no overflow
     gap = budget - int((lengths * taken).sum())
@@ -71,26 +91,30 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
             taken[i] += n
             gap -= n * int(lengths[i])
     items = [(int(lengths[i]), int(counts[i] - taken[i]), i) for i in order[::-1] if lengths[i] > 0 and counts[i] > taken[i]]
-    # sums beyond the gap count too; the nearest such exceeds it by less than one document
-    goal = min(gap, window) + min(max((n for n, _, _ in items), default=0), window)
-    aim = min(gap, goal)
-    came = np.full(goal + 1, -2, np.int64)  # the item by which a sum was first reached; -2 never, -1 start
+    if gap > window:
+        if items and items[0][0] < 2 * gap:
+            taken[items[0][2]] += 1
+        return taken
+    # sums beyond the gap count too; one of twice the gap is no nearer than none
+    goal = min(2 * gap, gap + max((n for n, _, _ in items), default=0))
+    came = np.full(goal + 1, -2, np.int32)  # the item by which a sum was first reached; -2 never, -1 start
     came[0] = -1
     for k, (n, have, _) in enumerate(items):
         if n > goal:
             break
-        source = np.flatnonzero(came != -2)
-        for _ in range(min(have, goal // n)):
-            source = source + n
-            source = source[source <= goal]
-            source = source[came[source] == -2]
-            if not len(source):
-                break
-            came[source] = k
-        if came[aim] != -2:
+        # sums of one remainder by n in a column: those up to ``have`` rows below a reached one
+        rows = goal // n + 1
+        held = np.zeros(rows * n, bool)
+        held[: goal + 1] = came != -2
+        held = held.reshape(rows, n)
+        place = np.arange(rows, dtype=np.int32)[:, None]
+        last = np.maximum.accumulate(np.where(held, place, np.int32(-goal - 2)), axis=0)
+        fresh = ~held & (place - last <= min(have, goal))
+        came[fresh.reshape(-1)[: goal + 1]] = k
+        if came[gap] != -2:
             break
     reached = np.flatnonzero(came != -2)
-    v = int(reached[np.abs(reached - aim).argmin()])
+    v = int(reached[np.abs(reached - gap).argmin()])
     while v > 0:
         n, _, i = items[came[v]]
         taken[i] += 1

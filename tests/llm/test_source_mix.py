@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from marlstone.llm.source_mix import fit_counts, mix_sources, repeat_mixed, share_targets
 
@@ -24,6 +25,37 @@ def test_fit_finds_the_nearest_subset_sum():
         assert abs(sum(np.array(lengths) * x) - min(budget, total)) == min(abs(r - min(budget, total)) for r in reach)
 
 
+def test_fit_overshoots_by_a_long_document_where_that_is_nearer():
+    assert fit_counts(np.array([100_000]), np.array([1]), 99_000).tolist() == [1]
+    assert fit_counts(np.array([100_000]), np.array([2]), 99_000).tolist() == [1]
+    assert fit_counts(np.array([100_000]), np.array([20]), 990_000).tolist() == [10]
+    assert fit_counts(np.array([70_000, 100_000]), np.array([1, 1]), 95_000).tolist() == [0, 1]
+    assert fit_counts(np.array([3_000_000]), np.array([4]), 5_000_000).tolist() == [2]  # beyond the widest window
+
+
+def test_fit_of_long_documents_is_the_nearest_subset_sum():
+    rng = random.Random(2)
+    for _ in range(25):
+        lengths = sorted(rng.sample(range(41_000, 120_000), rng.randint(1, 5)) + rng.sample(range(1, 3_000), rng.randint(0, 2)))
+        counts = [rng.randint(0, 2) for _ in lengths]
+        total = sum(a * b for a, b in zip(lengths, counts))
+        budget = rng.randint(0, min(total, 640_000))
+        x = fit_counts(np.array(lengths), np.array(counts), budget)
+        assert all(0 <= a <= b for a, b in zip(x, counts))
+        reach = {0}
+        for a, b in zip(lengths, counts):
+            for _ in range(b):
+                reach |= {r + a for r in reach}
+        assert abs(sum(np.array(lengths) * x) - budget) == min(abs(r - budget) for r in reach)
+
+
+def test_a_sole_long_document_stays_in_the_mix(spark):
+    rows = [(1, "long ", "en", "a"), (2, "w", "en", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("text", F.when(F.col("source") == "a", F.repeat("text", 100_000)).otherwise(F.repeat(F.lit("w "), 40_000)))
+    got = {r.source: r.taken for r in mix_sources(df, weights=(3, 4), total_share=1.0).collect()}
+    assert got == {"a": 100_000, "b": 80_000}  # targets 60,000 and 80,000
+
+
 def test_fit_of_large_budgets_keeps_the_mix_of_lengths():
     lengths = np.arange(1, 3000)
     counts = np.full(len(lengths), 100)
