@@ -4,7 +4,8 @@ For each class (hexadecimal, alphanumeric, base64-like) the maximal runs of its
 candidates. A window slides over a candidate; the counts of its characters, and with them the
 entropy, are updated by the one character that leaves and the one that enters. Windows at or
 above the threshold of the class merge into spans of kind ``entropy``. Allow-listed candidates
-(plain words and identifiers, UUIDs, dates and numbers, repeats) are left alone.
+(plain words and identifiers, UUIDs, dates and numbers, repeats) are left alone. Letters of one
+case count as a word up to 30 letters; no shape tells a random key of such letters from a word.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "entropy")
+#: A word: letters of one case, with a capital or not, or such words joined by capitals.
+WORD = r"(?:[A-Z]?[a-z]{1,30}|[A-Z]{1,30}|[A-Z]?[a-z]{1,20}(?:[A-Z][a-z]{2,20}){1,8})"
+#: A part of a path, name or date: a word, digits, a numbered word, a version, a time of day.
+NAME = rf"(?:{WORD}|[0-9]{{1,12}}|[A-Za-z][a-z]{{2,30}}[0-9]{{1,4}}|v[0-9]{{1,2}}|[0-9]{{2}}T[0-9]{{2,6}}Z?)"
 
 
 @dataclass(frozen=True)
@@ -31,14 +36,13 @@ class EntropyRules:
     #: name, characters of the class, least entropy in bits of a window
     classes: tuple = (("hex", "0-9a-fA-F", 3.0), ("alnum", "A-Za-z0-9", 3.6), ("base64", "A-Za-z0-9+/_=-", 3.8))
     allow: tuple = (
-        r"[A-Za-z]+",  # words
         r"[0-9]+",
-        r"[A-Za-z]+(?:[/_-][A-Za-z]*)*",  # paths and names in words
+        rf"[/_=+-]*{NAME}(?:[/_=+-]+{NAME})*[/_=+-]*",  # words, paths, names, dates
         r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUIDs
-        r"[A-Za-z/_-]*[0-9]{1,4}(?:[/_-][A-Za-z0-9]{1,12})*",  # dates, numbered names
         r"(.{1,4})\1{4,}.{0,3}",  # repeats
-        r"[=_+/-]{2,}[A-Za-z]*[=_+/-]*",  # rules under headings
     )
+    #: Report only windows with both a digit and a letter; leaves out every key of letters alone.
+    digit_and_letter: bool = False
     runs: tuple = field(init=False, default=())
     allowed: re.Pattern = field(init=False, default=None)
 
@@ -107,7 +111,7 @@ def scan_text(text: str | None, rules: EntropyRules) -> tuple[list, list]:
                 if not rules.allowed.fullmatch(m[0]):
                     for a, b in entropy_windows(m[0], rules.window, least):
                         s = m[0][a:b]
-                        if any(c.isdigit() for c in s) and any(c.isalpha() for c in s):
+                        if not rules.digit_and_letter or (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)):
                             found.add((m.start() + a, m.start() + b))
     merged: list[list[int]] = []
     for a, b in sorted(found):  # the classes overlap

@@ -47,6 +47,14 @@ def test_entropy_finds_keys_and_leaves_plain_text_alone():
         assert scan_text(clean, EntropyRules())[1] == base_spans(clean)
 
 
+def test_entropy_finds_grouped_keys_and_keys_of_letters():
+    for key in ("Zk7-q9XwB2mL4pRt-V8sYc3Nd6HgJ", "QxZvKpTrWmLsBnYcDfGhJkRw", "qzvkptrwmlsbnycdfghjkrwxqzvkptaeiou", "use/QxZvKpTrWmLsBnYcDfGhJkRw", "QxZvKpTrWmLsBnYcDfGhJk7"):
+        assert any(k == 3 for _, k, _ in scan_text(f"use {key} now", EntropyRules())[1]), key
+    assert scan_text("use QxZvKpTrWmLsBnYcDfGhJkRw now", EntropyRules(digit_and_letter=True))[1] == []
+    for clean in ("getUserNameFromRequestHeader", "Donaudampfschifffahrtskapitaen", "2024-01-02T101112Z-report-final", "https/example/api/v2/user-accounts/part7", "utm_source=newsletter_campaign", "==Quarterly_planning_world=="):
+        assert scan_text(f"use {clean} now", EntropyRules())[1] == [], clean
+
+
 def test_rows(spark):
     rows = awkward() + [(910, None, "", "", 0), (911, "é secret = abcdef0 " + "x " * 30_000 + "token:'zzzzzz'", "", "", 1)]
     got = secret_scan(frame(spark, rows)).collect()
