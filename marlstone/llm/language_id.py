@@ -79,29 +79,43 @@ def word_scores(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothing: float = 0.05) -> np.ndarray:
-    """Piece probabilities of one language from word counts, by expectation maximisation."""
-    words = [w for w in counts if len(w) <= 40]
+def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothing: float = 0.05, letters_kept: int = 4_000_000) -> np.ndarray:
+    """Piece probabilities of one language from word counts, by expectation maximisation.
+
+    Words of any length teach: forward sums are rescaled at every letter. The piece numbers of
+    about ``letters_kept`` letters are kept between rounds; those of further words are made anew.
+    """
+    words = list(counts)
     p = np.full(pieces.none + 1, 1.0 / (pieces.none + 1))
     p[pieces.none] = 0.0
-    batches = [(pieces.numbers(same), np.array([counts[w] for w in same], float)) for _, same in _by_length(words)] if words else []
+    batches, held = [], 0
+    for _, same in _by_length(words):
+        held += len(same) * len(same[0])
+        batches.append((same, pieces.numbers(same) if held <= letters_kept else None, np.array([counts[w] for w in same], float)))
     for _ in range(rounds):
         expected = np.full(pieces.none + 1, smoothing)
-        for x, n in batches:
+        for same, x, n in batches:
+            if x is None:
+                x = pieces.numbers(same)
             q = p[x]
             m, length, _ = x.shape
-            alpha, beta = np.zeros((m, length + 1)), np.zeros((m, length + 1))
-            alpha[:, 0] = beta[:, length] = 1.0
-            for j in range(1, length + 1):
-                for k in range(1, min(LONGEST, j) + 1):
-                    alpha[:, j] += alpha[:, j - k] * q[:, j - 1, k - 1]
-            for j in range(length, 0, -1):
-                for k in range(1, min(LONGEST, j) + 1):
-                    beta[:, j - k] += beta[:, j] * q[:, j - 1, k - 1]
-            scale = n / alpha[:, length]
-            for j in range(1, length + 1):
-                for k in range(1, min(LONGEST, j) + 1):
-                    expected += np.bincount(x[:, j - 1, k - 1], alpha[:, j - k] * q[:, j - 1, k - 1] * beta[:, j] * scale, minlength=len(p))
+            before = np.empty((m, length, LONGEST))  # forward sums where a piece starts, over that of the letter before
+            now = np.empty((m, length, 1))  # forward sum of a letter over that of the letter before
+            window = np.zeros((m, LONGEST))
+            window[:, 0] = 1.0
+            for j in range(length):
+                before[:, j] = window
+                now[:, j, 0] = (window * q[:, j]).sum(1)
+                window[:, 1:] = window[:, :-1] / now[:, j]
+                window[:, 0] = 1.0
+            share = before * q / now  # of the segmentations up to a letter, by their last piece
+            cut = np.zeros((m, length + 1))  # probability that a piece ends there
+            cut[:, length] = 1.0
+            for j in range(length - 1, -1, -1):
+                share[:, j] *= cut[:, j + 1 : j + 2]
+                k = min(LONGEST, j + 1)
+                cut[:, j - k + 1 : j + 1] += share[:, j, :k][:, ::-1]
+            expected += np.bincount(x.ravel(), (share * n[:, None, None]).ravel(), minlength=len(p))
         expected[pieces.none] = 0.0
         p = expected / expected.sum()
     return p

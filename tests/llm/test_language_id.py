@@ -51,6 +51,33 @@ def test_expectation_maximisation_raises_the_likelihood(pieces):
     assert likelihood[0] < likelihood[1] <= likelihood[2] + 1e-9
 
 
+def test_words_of_any_length_teach(pieces):
+    plain, short, long = (fit_pieces(c, pieces) for c in ({}, {"字母" * 3: 1}, {"字母" * 3000: 1}))
+    of = [pieces.of.get(x, pieces.other) for x in "字母"]
+    assert np.isfinite(long).all() and math.isclose(long.sum(), 1) and long[of].sum() > short[of].sum() > plain[of].sum()
+    kept, anew = (fit_pieces({"there": 3, "whenever" * 9: 2, "x": 1}, pieces, letters_kept=n) for n in (1000, 5))
+    assert np.array_equal(kept, anew)
+
+
+def test_expected_counts_are_those_of_all_segmentations(pieces):
+    words, start = {"therein": 3, "abc": 2}, 1 / (pieces.none + 1)
+    want = np.full(pieces.none + 1, 0.05)
+    for word, n in words.items():
+        found = []
+        for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+            ends = [i for i, c in enumerate(cuts, 1) if c] + [len(word)]
+            parts = [word[a:b] for a, b in zip([0, *ends], ends)]
+            number = [pieces.of.get(x, pieces.other if len(x) == 1 else pieces.none) for x in parts]
+            if pieces.none not in number:
+                found.append((start ** len(number), number))
+        whole = sum(f for f, _ in found)
+        for f, number in found:
+            for i in number:
+                want[i] += n * f / whole
+    want[pieces.none] = 0
+    assert np.allclose(fit_pieces(words, pieces, rounds=1), want / want.sum(), rtol=1e-9)
+
+
 def test_held_out_accuracy_and_awkward_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = train(learning_rows(docs), V)
