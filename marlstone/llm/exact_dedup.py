@@ -2,24 +2,34 @@
 
 Texts are equal when their bytes are equal after each run of white space became one space.
 
-1. A light row (doc_id, 64-bit hash, SHA-256) per document is written to the shared folder.
-2. Texts are grouped by hash and whole normalised bytes. Spark combines copies inside each
-   map task first, so a text that a third of all rows repeat costs one row per task. Equal
-   hashes with different bytes come out as separate entries: the collision chain.
-3. The directory starts with one bucket. While a bucket holds more entries than ``capacity``
-   it is split on its next hash bit, doubling the directory where needed. It needs only the
-   entry counts of ``2 ** max_depth`` hash cells, so the driver's state has a fixed bound.
-   Entries with one and the same hash can't be split; they stay chained in their bucket.
-4. Owner tasks take ranges of (bucket, hash), number each chain and write the index.
-5. The light rows find their entry by (hash, SHA-256).
+1. A light row (row number, doc_id, 64-bit hash, SHA-256) per document is written to the shared
+   folder, and from these one entry per (hash, SHA-256).
+2. The directory starts with one bucket. While a bucket holds more entries than ``capacity`` it
+   is split on its next hash bit, doubling the directory where needed. Entries are counted by
+   ``step_bits`` bits at a time, and only below prefixes that are still overfull, so depth has
+   no limit; a bucket whose entries all have one hash can't be split and stays a chain. The
+   directory is kept as its buckets, (depth, prefix): slots that share a bucket are not repeated.
+3. A text needs comparing only where its hash occurs more than once. Such texts are combined
+   inside each map task first, so a text that a third of all rows repeat costs one row per task
+   (and ``PARTS`` rows after that), and then go to the owner task of their bucket.
+4. An owner walks the texts of each hash of its buckets in order, comparing bytes: every change
+   begins the next link of the chain. It counts the rows of each link and writes the index.
+5. The light rows find bucket, hash and link in the index, which names the row that stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialise, text_or_empty
+from .common import SPACE, discard, keep_decided, key_bits, materialise, text_or_empty, with_may_hold
+
+#: Rows that one text of one hash may send to its owner at most.
+PARTS = 32
+#: Buckets for each shuffle partition, and the most entries of a bucket, where no capacity is given.
+BUCKETS_A_TASK, LARGEST_BUCKET = 8, 65_536
+#: Directories of more buckets than this are joined by a shuffle instead of a broadcast.
+MOST_BROADCAST = 1_000_000
 
 
 def normalised_text(text):
@@ -61,38 +71,109 @@ def build_directory(cells: dict[int, int], max_depth: int, capacity: int) -> tup
     return global_depth, [place[s] for s in slots], [buckets[b] for b in order]
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1_000_000, max_depth: int = 12, hash_bits: int = 64) -> tuple[DataFrame, DataFrame]:
-    """(rows, index), both on shared files.
+def _prefix(h: str, depth):
+    """The first ``depth`` bits of a hash; a shift by 64 bits would be a shift by none."""
+    shifted = F.call_function("shiftrightunsigned", F.col(h), (64 - depth).cast("int"))
+    return F.when(depth == 0, F.lit(0).cast("long")).otherwise(shifted)
+
+
+def _as_table(spark: SparkSession, buckets: list[tuple[int, int]]) -> DataFrame:
+    """(_d, _p) of the buckets, from one literal."""
+    text = ",".join(f"{d}:{p - (1 << 64) if p >= 1 << 63 else p}" for d, p in buckets)
+    each = spark.range(1).select(F.explode(F.split(F.lit(text), ",")).alias("x"))
+    return each.select(F.split_part("x", F.lit(":"), F.lit(1)).cast("int").alias("_d"), F.split_part("x", F.lit(":"), F.lit(2)).cast("long").alias("_p"))
+
 
-    rows: row_no, doc_id, h, text_sha256, one per document. index: bucket, h, chain,
-    text_sha256, keep_id, keep_row, group_size, one per distinct text.
-    ``hash_bits`` below 64 makes collisions likely, for tests.
+def grow_directory(entries: DataFrame, capacity: int, step_bits: int) -> list[tuple[int, int]]:
+    """(depth, prefix) of all buckets; the driver holds two numbers a bucket.
+
+    Every round counts entries by the next ``step_bits`` bits of the prefixes still overfull.
+    """
+    spark, done, grown = entries.sparkSession, [], [(0, 0)]
+    while grown:
+        depth = grown[0][0]
+        step = min(step_bits, 64 - depth)
+        rows = entries.select("h", _prefix("h", F.lit(depth)).alias("p"))
+        if depth:
+            known = _as_table(spark, grown).hint("shuffle_hash")
+            rows = rows.join(known, F.col("p") == F.col("_p"), "left_semi")
+        cells = rows.groupBy("p", _prefix("h", F.lit(depth + step)).alias("cell")).agg(F.count("*").alias("n"), (F.min("h") < F.max("h")).alias("several"))
+        found: dict[int, dict[int, tuple[int, bool]]] = {p: {} for _, p in grown}
+        for r in cells.collect():  # at most 2 ** step_bits rows a prefix that is overfull
+            found[r.p][r.cell & ((1 << step) - 1)] = (r.n, r.several)
+        grown = []
+        for p, counted in found.items():
+            _, _, buckets = build_directory({c: n for c, (n, _) in counted.items()}, step, capacity)
+            for d, q in buckets:
+                bucket = (depth + d, (p << d) | q)
+                n, several = counted.get(q, (0, False)) if d == step else (0, False)
+                (grown if n > capacity and several and depth + d < 64 else done).append(bucket)
+    return done
+
+
+class Directory:
+    """Finds the bucket of a hash: one equi-join on (depth, prefix) over the depths that occur."""
+
+    def __init__(self, spark, buckets: list[tuple[int, int]]):
+        self.depths = sorted({d for d, _ in buckets})
+        table = _as_table(spark, buckets)
+        self.table = F.broadcast(table) if len(buckets) <= MOST_BROADCAST else table
+
+    def find(self, df: DataFrame) -> DataFrame:
+        """Adds ``depth`` and ``prefix`` of the bucket that holds ``h``."""
+        tried = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix("h", F.lit(d)).alias("prefix")) for d in self.depths])
+        each = df.select("*", F.inline(tried))
+        return each.join(self.table, (F.col("depth") == F.col("_d")) & (F.col("prefix") == F.col("_p"))).drop("_d", "_p")
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int | None = None, step_bits: int = 12, hash_bits: int = 64) -> tuple[DataFrame, DataFrame, Directory]:
+    """(rows, index, directory); the tables lie on shared files.
+
+    rows: row_no, doc_id, h, text_sha256, one per document. index: depth and prefix of the bucket,
+    h, chain, text_sha256, keep_id, keep_row, group_size, one per distinct text. ``capacity``:
+    entries of a bucket; where None, as many as give each shuffle partition ``BUCKETS_A_TASK``
+    buckets, at most ``LARGEST_BUCKET``. ``hash_bits`` below 64 makes collisions likely, for tests.
     """
     spark = docs.sparkSession
     text = docs.select(F.col(id_col).alias("doc_id"), normalised_text(F.col(text_col)).alias("norm"))
     h = F.xxhash64("norm")
-    if hash_bits < 64:
+    if hash_bits == 0:
+        h = F.lit(0).cast("long")
+    elif hash_bits < 64:
         h = F.shiftleft(F.shiftrightunsigned(h, 64 - hash_bits), 64 - hash_bits)
-    text = text.withColumn("h", h)
-    rows = materialise(text.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "h", F.sha2("norm", 256).alias("text_sha256")), "dedup-rows")
-
-    entries = text.groupBy("h", "norm").agg(F.count("*").alias("group_size")).select("h", F.sha2("norm", 256).alias("text_sha256"), "group_size")
-    first = rows.groupBy("h", "text_sha256").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no")).alias("first"))
-    entries = materialise(entries.join(first, ["h", "text_sha256"]).select("h", "text_sha256", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.row_no").alias("keep_row")), "dedup-entries")
-
-    cell = F.shiftrightunsigned("h", 64 - max_depth).cast("int")
-    cells = {r.cell: r.n for r in entries.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()}  # 2 ** max_depth rows at most
-    depth, slots, _ = build_directory(cells, max_depth, capacity)
-    if depth:
-        buckets = F.split(F.lit(",".join(map(str, slots))), ",").cast("array<int>")
-        directory = spark.range(len(slots)).select(F.col("id").cast("int").alias("slot"), F.get(buckets, F.col("id").cast("int")).alias("bucket"))
-        owned = entries.withColumn("slot", F.shiftrightunsigned("h", 64 - depth).cast("int")).join(F.broadcast(directory), "slot")
-    else:
-        owned = entries.withColumn("bucket", F.lit(0))
-    owned = owned.repartitionByRange("bucket", "h")
-    chain = Window.partitionBy("bucket", "h").orderBy("text_sha256")
-    index = owned.withColumn("chain", F.row_number().over(chain) - 1).select("bucket", "h", "chain", "text_sha256", "keep_id", "keep_row", "group_size")
-    return rows, materialise(index, "dedup-index")
+    rows = materialise(text.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", h.alias("h"), F.sha2("norm", 256).alias("text_sha256")), "dedup-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no")).alias("first")
+    entries = rows.groupBy("h", "text_sha256").agg(F.count("*").alias("n"), first)
+    entries = materialise(entries.select("h", "text_sha256", "n", F.col("first.doc_id").alias("keep_id"), F.col("first.row_no").alias("keep_row")), "dedup-entries")
+    if capacity is None:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        capacity = min(LARGEST_BUCKET, max(1, entries.count() // (BUCKETS_A_TASK * tasks)))
+    directory = Directory(spark, grow_directory(entries, capacity, step_bits))
+
+    repeated = entries.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    asked = with_may_hold(text.select("norm", h.alias("h")), "h", key_bits(repeated), "maybe").where("maybe")
+    part = F.pmod(F.spark_partition_id(), F.lit(PARTS))
+    combined = asked.select("h", "norm", part.alias("part")).groupBy("h", "part", "norm").agg(F.count("*").alias("n"))
+    owned = directory.find(combined.select("h", "norm", "n")).repartition("depth", "prefix")
+    walk = Window.partitionBy("depth", "prefix", "h").orderBy("norm")
+    differs = F.coalesce(F.lag("norm").over(walk) != F.col("norm"), F.lit(True))
+    linked = owned.withColumn("differs", differs.cast("int"))
+    linked = linked.withColumn("chain", F.sum("differs").over(walk.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    linked = linked.select("depth", "prefix", "h", "chain", F.sha2("norm", 256).alias("text_sha256"), "n")
+    chains = linked.groupBy("depth", "prefix", "h", "chain", "text_sha256").agg(F.sum("n").alias("group_size"))
+
+    bucket = ["depth", "prefix", "h", "text_sha256"]
+    index = directory.find(entries).join(chains, bucket, "left")  # a hash seen once has no chain to walk
+    index = index.select("depth", "prefix", "h", F.coalesce("chain", F.lit(0)).alias("chain"), "text_sha256", "keep_id", "keep_row", F.coalesce("group_size", "n").alias("group_size"))
+    index = materialise(index, "dedup-index")
+    discard(entries)
+    return rows, index, directory
+
+
+def _looked_up(docs: DataFrame, **options) -> DataFrame:
+    rows, index, directory = build_index(docs, **options)
+    found = directory.find(rows).join(index, ["depth", "prefix", "h", "text_sha256"])
+    return found.select("doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), "text_sha256")
 
 
 def exact_dedup(docs: DataFrame, **options) -> DataFrame:
@@ -103,18 +184,18 @@ def exact_dedup(docs: DataFrame, **options) -> DataFrame:
     group share the smallest doc_id, exactly one of them is kept. Extra columns are ignored;
     an empty table gives an empty result.
     """
-    rows, index = build_index(docs, **options)
-    found = rows.join(index, ["h", "text_sha256"])
-    return found.select("doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), "text_sha256")
+    return _looked_up(docs, **options)
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """The documents, with their own columns, that ``exact_dedup`` keeps: one row of each group.
+    """The documents, with all their columns, that ``exact_dedup`` keeps: one row of each group.
 
-    Of rows that repeat a kept doc_id with an equal text, the first by text stays.
+    Null text is empty text; of several such rows one stays. Where a null doc_id is the only id
+    of a group, one of its rows stays. Of rows that repeat a kept doc_id with an equal text one
+    stays, the first by a hash of its columns. Extra columns are kept, whatever their names; an
+    empty table gives an empty result.
     """
-    kept = exact_dedup(docs, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
-    keyed = docs.withColumn("_sha", F.sha2(normalised_text(F.col("text")), 256))
-    stays = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
-    place = Window.partitionBy("doc_id", "_sha").orderBy(*[c for c in docs.columns if c in ("text", "lang", "source")])
-    return stays.withColumn("_place", F.row_number().over(place)).where("_place = 1").select(*docs.columns)
+    found = _looked_up(docs, **options)
+    decided = found.where("group_size > 1").groupBy("doc_id", F.col("text_sha256").alias("key")).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    decided = materialise(decided.where("n > 1 OR NOT stays").select("doc_id", "key", "stays"), "dedup-decided")
+    return keep_decided(docs, decided, lambda text: F.sha2(normalised_text(text), 256))

@@ -1,6 +1,6 @@
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from marlstone.llm.exact_dedup import build_directory, build_index, drop_copies, exact_dedup
 
@@ -20,16 +20,36 @@ def brute(rows):
 
 def test_matches_brute_force_also_under_collisions(spark):
     rows = awkward()
-    for options in ({}, {"hash_bits": 2, "capacity": 4, "max_depth": 4}, {"capacity": 2, "max_depth": 8}):
+    for options in ({}, {"hash_bits": 2, "capacity": 4, "step_bits": 4}, {"capacity": 2, "step_bits": 3}, {"hash_bits": 10, "capacity": 1, "step_bits": 2}):
         got = sorted(map(tuple, exact_dedup(frame(spark, rows), **options).collect()), key=str)
         assert got == brute(rows)
 
 
 def test_chains_hold_the_texts_of_one_hash(spark):
-    _, index = build_index(frame(spark, awkward()), hash_bits=1, capacity=4, max_depth=3)
+    _, index, _ = build_index(frame(spark, awkward()), hash_bits=1, capacity=4, step_bits=3)
     found = index.collect()
-    assert {r.bucket for r in found} <= set(range(8)) and max(r.chain for r in found) > 10
-    assert len({(r.h, r.chain) for r in found}) == len(found)
+    assert {(r.depth, r.prefix) for r in found} == {(3, 0), (3, 4)} and max(r.chain for r in found) > 10
+    assert sum(r.group_size for r in found) == len(awkward())
+
+
+def test_buckets_split_until_none_is_overfull(spark):
+    """Without a limit of depth: more rounds than one, and every hash in just one bucket."""
+    rows = [(i, f"text {i}", None, None, None) for i in range(300)] * 2
+    for capacity, step in ((7, 2), (1, 5)):
+        _, index, directory = build_index(frame(spark, rows), capacity=capacity, step_bits=step)
+        found = index.collect()
+        assert len(found) == 300 and max(directory.depths) > step and {r.group_size for r in found} == {2}
+        held = Counter((r.depth, r.prefix) for r in found)
+        assert max(held.values()) <= capacity and min(d for d, _ in held) >= 1
+        assert all((r.h & (2**64 - 1)) >> (64 - r.depth) == r.prefix & (2**64 - 1) for r in found)
+
+
+def test_the_owner_compares_bytes(spark):
+    """With a hash of no use at all every text meets every other in one chain."""
+    rows = [(i, f"text {i % 40}", None, None, None) for i in range(200)]
+    _, index, _ = build_index(frame(spark, rows), hash_bits=0, capacity=3)
+    found = index.collect()
+    assert len({(r.depth, r.prefix) for r in found}) == 1 and sorted(r.chain for r in found) == list(range(40)) and {r.group_size for r in found} == {5}
 
 
 def test_directory_splits_only_overfull_buckets():
@@ -52,3 +72,11 @@ def test_drop_copies_keeps_one_whole_row(spark):
     got = drop_copies(frame(spark, rows)).collect()
     assert len(got) == len({re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "") for r in rows})
     assert {tuple(r) for r in got} <= set(rows)
+
+
+def test_drop_copies_with_names_of_its_own(spark):
+    df = frame(spark, awkward()).withColumnsRenamed({"lang": "_sha", "source": "_place", "n_chars": "row"})
+    got = drop_copies(df)
+    assert got.columns == df.columns and got.count() == drop_copies(frame(spark, awkward())).count()
+    assert {tuple(r) for r in got.collect()} <= set(awkward())
+    assert drop_copies(frame(spark, [])).count() == 0
