@@ -3,22 +3,23 @@
 Two documents link when their sets of 5-word shingles have a Jaccard similarity of at least
 ``percent`` / 100. The join is exact up to collisions of 64-bit shingle hashes.
 
-1. Copies (equal lower-cased word sequences) are grouped first; one node stands for each group.
-2. Every document is read for shingles that many documents share. A shingle that a task sees
-   ``local`` times is reported, so any shingle with a count above ``local`` times the number of
-   tasks is found. Those common shingles sort last in the order of all shingles.
-3. Prefix filtering: in that order, linked sets share a shingle among the first
-   n - ceil(t n) + 1 of each. Nodes meet in such shingles; those of one node
-   end here.
-4. Leaders: of the nodes that meet in a shingle, that in whose order it stands earliest leads;
-   each node is compared with its leaders. Exact links found this way join most near copies to
-   their original, so that a large group costs a star, not all pairs.
-5. All nodes that met under one leader are a block. In each block that still holds several
-   components a signature tree is built: leaves hold
-   the OR of their nodes' token bitmaps and the range of their sizes, inner nodes the OR and
-   range of their children. The tree is traversed against itself; a pair of tree nodes is
-   pruned if the most that two of their sets can share falls short of what the smallest sizes
-   need, if the size ranges exclude each other, or if both hold one component only.
+1. Copies (equal texts but for white space) are grouped first; one node stands for each group.
+2. Every document is read for its signature (a bitmap of its shingles) and for shingles that many
+   documents share. A shingle that a task sees ``local`` times is reported, so any shingle with a
+   count above ``local`` times the number of tasks is found. Those common shingles sort last in
+   the order of all shingles.
+3. Partitions: in that order, linked sets share a shingle among the first n - ceil(t n) + 1 of
+   each. Of the nodes that meet in such a shingle, that in whose order it stands earliest leads.
+   All nodes that met under one leader are a block. A common shingle is dealt over several
+   tasks by a hash of the node; the leader of all is the earliest of the leaders of its parts.
+4. In each block a signature tree is built: leaves hold the OR of their nodes' bitmaps and the
+   range of their sizes, inner nodes the OR and range of their children. First the tree is
+   searched with the signature of the block's leader. Links found this way join most near copies
+   to their original, so that a large group costs a star, not all pairs.
+5. In each block that then still holds several components the tree is traversed against itself;
+   a pair of tree nodes is pruned if the most that two of their sets can share falls short of
+   what the smallest sizes need, if the size ranges exclude each other, or if both hold one
+   component only.
 6. Pairs that survive are verified on the shingle sets of the whole texts.
 7. Components of all links: star contraction on a table in the shared folder.
 """
@@ -32,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, worker_cache
+from .common import discard, keep_decided, materialise, worker_cache
 from .exact_dedup import normalised_text
 
 K = 5
@@ -132,6 +133,10 @@ def signature_bits(n: int) -> int:
 
 def fold(bits: np.ndarray, log2_from: int, log2_to: int) -> np.ndarray:
     """Bitmaps (last axis) of the same sets at a smaller width."""
+    if log2_from == log2_to:
+        return bits
+    if bits.ndim == 2 and len(bits) > 256:  # unpacked bits take eight times the room
+        return np.concatenate([fold(bits[i : i + 256], log2_from, log2_to) for i in range(0, len(bits), 256)])
     b = np.unpackbits(bits.view(np.uint8), axis=-1, bitorder="little")
     b = b.reshape(*b.shape[:-1], 1 << log2_to, -1).any(-1)
     return np.packbits(b, axis=-1, bitorder="little").view(np.uint64)
@@ -168,6 +173,19 @@ class SignatureTree:
         sizes = (100 * high_a >= percent * low_b) & (100 * high_b >= percent * low_a)
         return (most >= need) & sizes & ~((comp_a == comp_b) & (comp_a >= 0))
 
+    def search(self, bits: np.ndarray, n: int, percent: int) -> np.ndarray:
+        """Members that the bounds let link to a set of ``n`` tokens with these ``bits``."""
+        lost = n - int(popcount(bits))
+        one = (n, n, lost, -1)
+        at = np.zeros(1, np.int64)
+        for level in range(len(self.levels) - 1, -1, -1):
+            own, low, high, most_lost, _ = (x[at] for x in self.levels[level])
+            at = at[self.may_link(own, low, high, most_lost, np.zeros(len(at)), bits, *one, percent)]
+            wide, below = (LEAF, len(self.n)) if level == 0 else (4, len(self.levels[level - 1][1]))
+            at = (at[:, None] * wide + np.arange(wide)).ravel()
+            at = at[at < below]
+        return at[self.may_link(self.bits[at], self.n[at], self.n[at], self.lost[at], np.zeros(len(at)), bits, *one, percent)]
+
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Member pairs (i < j) of different components that the bounds do not exclude."""
         top = len(self.levels) - 1
@@ -227,6 +245,7 @@ def components(edges: DataFrame) -> DataFrame:
         # done when every node has one parent and no parent has a parent
         many = small.groupBy("a").count().where("count > 1").limit(1).count()
         deep = small.alias("x").join(small.alias("y"), F.col("x.b") == F.col("y.a"), "left_semi").limit(1).count()
+        discard(e, large)
         e = small
         if not many and not deep:
             break
@@ -245,7 +264,7 @@ def _prefix_order(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _seen(local: int, at_once: int = 1_000_000):
-    """Per task: the set size of every node, and the shingles counted ``local`` times or more among ``at_once``."""
+    """Per task: size and signature of every node, and the shingles counted ``local`` times or more among ``at_once``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker_cache("jaccard")
@@ -253,19 +272,18 @@ def _seen(local: int, at_once: int = 1_000_000):
 
         def counted():
             x, n = np.unique(np.concatenate(kept), return_counts=True)
-            return pd.DataFrame({"node": -1, "token": x[n >= local].view(np.int64), "n": n[n >= local]})
+            return pd.DataFrame({"node": -1, "token": x[n >= local].view(np.int64), "n": n[n >= local], "bits": None})
 
         for b in batches:
-            sizes = []
-            for t in b.text:
-                x = shingle_set(t)
-                sizes.append(len(x))
-                kept.append(x)
-                size += len(x)
+            for begin in range(0, len(b), 1000):
+                part = b.iloc[begin : begin + 1000]
+                sets = [shingle_set(t) for t in part.text]
+                kept += sets
+                size += sum(map(len, sets))
                 if size > at_once:
                     yield counted()
                     kept, size = [], 0
-            yield pd.DataFrame({"node": b.node, "token": 0, "n": sizes})
+                yield pd.DataFrame({"node": part.node.to_numpy(), "token": 0, "n": [len(x) for x in sets], "bits": [signature(x, signature_bits(len(x))).tobytes() for x in sets]})
         if kept:
             yield counted()
 
@@ -273,9 +291,11 @@ def _seen(local: int, at_once: int = 1_000_000):
 
 
 def _postings(common: np.ndarray, percent: int):
+    """``common``: shingles and the parts that each is dealt over, two columns in order of the first."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker_cache("jaccard")
-        late = common.value
+        late, parts = common.value
         for b in batches:
             for begin in range(0, len(b), 300):
                 part = b.iloc[begin : begin + 300]
@@ -288,28 +308,41 @@ def _postings(common: np.ndarray, percent: int):
                         sizes.append(len(x))
                         places.append((20 * np.arange(len(tokens[-1])) // len(x)).astype(np.int32))
                 many = [len(x) for x in tokens[1:]]
-                yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64), "node": np.repeat(np.array(nodes, np.int64), many), "n": np.repeat(np.array(sizes, np.int32), many), "place": np.concatenate(places)})
+                token, node = np.concatenate(tokens), np.repeat(np.array(nodes, np.int64), many)
+                dealt = np.zeros(len(token), np.int32)
+                if len(late):
+                    at = np.minimum(np.searchsorted(late, token), len(late) - 1)
+                    split = np.flatnonzero((late[at] == token) & (parts[at] > 1))
+                    dealt[split] = 1 + (_mix(node[split].view(np.uint64)) % parts[at[split]].astype(np.uint64)).astype(np.int32)
+                yield pd.DataFrame({"token": token.view(np.int64), "part": dealt, "node": node, "n": np.repeat(np.array(sizes, np.int32), many), "place": np.concatenate(places)})
 
     return run
 
 
 def _runs(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
-    """Batches cut where the key changes, with the first row of each run; the input is sorted by the key."""
-    rest = None
+    """Batches cut where the key changes, with the first row of each run; the input is sorted by the key.
+
+    The parts of a run that is still open are held as they came and put together once.
+    """
+    rest: list[pd.DataFrame] = []
+
+    def closed() -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+        if rest:
+            whole = pd.concat(rest, ignore_index=True) if len(rest) > 1 else rest[0]
+            rest.clear()
+            yield whole, _starts(whole, key)
+
     for b in batches:
-        if rest is not None and len(rest):
-            b = pd.concat([rest, b], ignore_index=True)
         if not len(b):
             continue
-        same = np.ones(len(b), bool)
-        for k in key:
-            same &= b[k].to_numpy() == b[k].iloc[-1]
-        last = len(b) - int(np.argmin(same[::-1])) if not same.all() else 0
-        rest, b = b.iloc[last:], b.iloc[:last]
-        if len(b):
-            yield b, _starts(b, key)
-    if rest is not None and len(rest):
-        yield rest, _starts(rest, key)
+        last = int(_starts(b, key)[-1])
+        if rest and any(b[k].iloc[0] != rest[0][k].iloc[-1] for k in key):
+            yield from closed()
+        if last:
+            rest.append(b.iloc[:last])
+            yield from closed()
+        rest.append(b.iloc[last:])
+    yield from closed()
 
 
 def _starts(b: pd.DataFrame, key: list[str]) -> np.ndarray:
@@ -322,21 +355,26 @@ def _starts(b: pd.DataFrame, key: list[str]) -> np.ndarray:
 
 
 def _meetings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(leader, node) of every shingle that two nodes or more have, the leader itself included.
+    """(token, leader, place, node, n) of every (shingle, part) that two nodes or more have, the leader included.
 
     The leader of a shingle is the node in whose order it stands earliest, in twentieths of its
     set, then the smallest. An original comes before its edited copies: their own shingles are
-    rarer and stand before the shared ones.
+    rarer and stand before the shared ones. ``token`` is null but for shingles in several parts,
+    of which a single node is reported, too.
     """
-    for b, starts in _runs(batches, ["token"]):
+    for b, starts in _runs(batches, ["token", "part"]):
         sizes = np.diff([*starts, len(b)])
         node, place = b.node.to_numpy(), b.place.to_numpy()
         run_of = np.repeat(np.arange(len(starts)), sizes)
-        early = np.flatnonzero(place == np.minimum.reduceat(place, starts)[run_of])
+        least = np.minimum.reduceat(place, starts)[run_of]
+        early = np.flatnonzero(place == least)
         _, first = np.unique(run_of[early], return_index=True)
         leader = node[early[first]][run_of]
-        shared = (np.maximum.reduceat(node, starts) > np.minimum.reduceat(node, starts))[run_of]
-        yield pd.DataFrame({"leader": leader[shared], "node": node[shared], "n": b.n.to_numpy()[shared]})
+        dealt = b.part.to_numpy() > 0
+        shared = (np.maximum.reduceat(node, starts) > np.minimum.reduceat(node, starts))[run_of] | dealt
+        token = pd.array(b.token.to_numpy()[shared], dtype="Int64")
+        token[~dealt[shared]] = pd.NA
+        yield pd.DataFrame({"token": token, "leader": leader[shared], "place": least[shared], "node": node[shared], "n": b.n.to_numpy()[shared]})
 
 
 class _Signatures:
@@ -374,6 +412,42 @@ class _Signatures:
         return ok
 
 
+def _search(percent: int):
+    """Pairs (leader, node) of each (block, part) by a search of its signature tree with the leader's signature."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b, starts in _runs(batches, ["leader", "part"]):
+            node, n, leader = (b[c].to_numpy(np.int64) for c in ("node", "n", "leader"))
+            signed = _Signatures(b.bits.to_list(), n)
+            sizes = np.diff([*starts, len(b)])
+            run_of = np.repeat(np.arange(len(starts)), sizes)
+            own = np.flatnonzero(node == leader)
+            _, first = np.unique(run_of[own], return_index=True)
+            head = np.full(len(starts), -1)
+            head[run_of[own[first]]] = own[first]
+            small = np.flatnonzero((sizes[run_of] <= LEAF) & (node != leader))  # one leaf: all of them at once
+            i, j = head[run_of[small]], small
+            ok = signed.may_link(i, j, percent)
+            out = [np.stack([i[ok], j[ok]])]
+            for run_no in np.flatnonzero(sizes > LEAF):
+                i = head[run_no]
+                members = starts[run_no] + np.argsort(n[starts[run_no] : starts[run_no] + sizes[run_no]], kind="stable")
+                near = members[np.abs(signed.width[members] - signed.width[i]) <= 1]  # linked sets differ by one width at most
+                w = int(signed.width[near].min())
+                folded = np.empty((len(near), (1 << w) // 64), np.uint64)
+                for width in np.unique(signed.width[near]):
+                    mine = signed.width[near] == width
+                    folded[mine] = signed.of(near[mine], w)
+                tree = SignatureTree(folded, n[near], near)
+                j = near[tree.search(signed.of(np.array([i]), w)[0], int(n[i]), percent)]
+                out.append(np.stack([np.full(len(j), i), j]))
+            i, j = np.concatenate(out, axis=1)
+            pairs = pd.DataFrame({"a": leader[i], "b": node[j]})
+            yield pairs[pairs.a != pairs.b]
+
+    return run
+
+
 def _traverse(percent: int):
     """Candidate pairs of each (block, tile pair) by dual traversal of signature trees."""
 
@@ -426,7 +500,7 @@ FILTER_BITS = 26
 
 
 def _asked_for(wanted: DataFrame) -> np.ndarray:
-    """A bitmap of hashed nodes (one column), combined in the tasks; it has a fixed size and lets some others pass."""
+    """A bitmap of hashed nodes (one column), combined in the tasks: of a fixed size, and some other nodes pass it."""
     slot = F.pmod(F.xxhash64(wanted.columns[0]), F.lit(1 << FILTER_BITS))
     bits = wanted.select(slot.alias("s")).select(F.shiftright("s", 6).alias("word"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit"))
     found = bits.groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()  # 2 ** 20 rows at most
@@ -451,23 +525,6 @@ def _wanted_only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.where(asked(F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))))
 
 
-def _signatures_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(s_node, bits) of the wanted nodes and of some others that pass the filter; one Python step."""
-    shared = texts.sparkSession.sparkContext.broadcast(_asked_for(wanted))
-
-    def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worker_cache("jaccard")
-        for b in batches:
-            for begin in range(0, len(b), 1000):
-                part = b.iloc[begin : begin + 1000]
-                part = part[_in_bitmap(shared.value, part.slot)]
-                sets = [shingle_set(t) for t in part.text]
-                yield pd.DataFrame({"s_node": part.node.to_numpy(), "bits": [signature(x, signature_bits(len(x))).tobytes() for x in sets]})
-
-    slot = F.pmod(F.xxhash64("node"), F.lit(1 << FILTER_BITS))
-    return texts.select("node", slot.alias("slot"), "text").mapInPandas(signed, "s_node long, bits binary")
-
-
 def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts link. Each text is joined to its pairs; a node of many pairs is dealt by Spark's skew join."""
 
@@ -487,8 +544,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInPandas(checked, "a long, b long")
 
 
-def _links(docs: DataFrame, percent: int, local: int, most_common: int, tile_rows: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(ids, groups, sizes, links): tables in the shared folder; links are between nodes."""
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(ids, groups, nodes): rows (doc_id, key), one row per distinct text (key, first, node), and its text."""
     key = F.unhex(F.md5(normalised_text(F.col("text"))))
     keyed = docs.select("doc_id", "text").withColumn("key", key)
     ids = materialise(keyed.select("doc_id", "key"), "jaccard-ids")
@@ -496,72 +553,140 @@ def _links(docs: DataFrame, percent: int, local: int, most_common: int, tile_row
     groups = materialise(groups.withColumn("node", F.monotonically_increasing_id()), "jaccard-groups")
     firsts = groups.withColumnsRenamed({"key": "_key", "first": "_first"}).hint("shuffle_hash")
     nodes = keyed.join(firsts, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_first")))
-    nodes = materialise(nodes.select("node", F.col("_first").isNotNull().alias("named"), "text"), "jaccard-nodes")
+    return ids, groups, materialise(nodes.select("node", F.col("_first").isNotNull().alias("named"), "text"), "jaccard-nodes")
 
-    seen = materialise(nodes.select("node", "text").mapInPandas(_seen(local), "node long, token long, n long"), "jaccard-seen")
-    sizes = seen.where("node >= 0").select("node", "n").distinct()
-    frequent = seen.where("node < 0").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(most_common).select("token").toPandas()
-    common = docs.sparkSession.sparkContext.broadcast(np.sort(frequent.token.to_numpy(np.int64).view(np.uint64)))  # most_common at most
 
-    named = nodes.where("named").select("node", "text")
-    postings = named.mapInPandas(_postings(common, percent), "token long, node long, n int, place int")
-    met = postings.repartition("token").sortWithinPartitions("token", "node").mapInPandas(_meetings, "leader long, node long, n int")
-    met = materialise(met.groupBy("leader", "node").agg(F.count("*").alias("s"), F.max("n").alias("n")), "jaccard-met")
+def _blocks(named: DataFrame, seen: DataFrame, percent: int, most_common: int, part_rows: int) -> DataFrame:
+    """(leader, node, s, n): nodes that share ``s`` prefix shingles under a leader, itself included."""
+    frequent = seen.where("node < 0").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(most_common).toPandas()
+    frequent = frequent.assign(token=frequent.token.to_numpy(np.int64).view(np.uint64)).sort_values("token")
+    common = named.sparkSession.sparkContext.broadcast((frequent.token.to_numpy(), (frequent.n.to_numpy(np.int64) // part_rows + 1).astype(np.int32)))  # most_common at most
 
-    # leaders: only pairs that share some twentieth of the smaller set; what is missed here is found below
-    stars = materialise(met.where("node <> leader AND 20 * s >= n").select(F.col("leader").alias("a"), F.col("node").alias("b")), "jaccard-stars")
-    star_links = materialise(_verify(stars, named, percent), "jaccard-links")
-    known = components(star_links)
+    postings = named.mapInPandas(_postings(common, percent), "token long, part int, node long, n int, place int")
+    met = postings.repartition("token", "part").sortWithinPartitions("token", "part", "node").mapInPandas(_meetings, "token long, leader long, place int, node long, n int")
+    met = met.groupBy("token", "leader", "place", "node", "n").agg(F.count("*").alias("s"))
+    met = materialise(met, "jaccard-parts")
+    # a shingle in several parts: the earliest of their leaders leads all; most_common rows at most
+    dealt = met.where("token IS NOT NULL")
+    heads = dealt.groupBy("token").agg(F.min(F.struct("place", "leader")).alias("head"), F.count("*").alias("k")).where("k > 1").select(F.col("token").alias("_token"), F.col("head.leader").alias("_leader"))
+    dealt = dealt.join(F.broadcast(heads), F.col("token") == F.col("_token")).select(F.col("_leader").alias("leader"), "node", "n", "s")
+    both = met.where("token IS NULL").select("leader", "node", "n", "s").unionByName(dealt)
+    both = materialise(both.groupBy("leader", "node").agg(F.sum("s").alias("s"), F.max("n").alias("n")), "jaccard-met")
+    discard(met)
+    return both
+
+
+def _dealt(rows: DataFrame, part_rows: int) -> DataFrame:
+    """Adds ``parts`` to rows of (leader, node): of so many rows each that a part of a block fits a task.
+
+    Only blocks larger than a part are joined, which are few.
+    """
+    large = rows.groupBy("leader").agg(F.count("*").alias("rows")).where(F.col("rows") > part_rows)
+    large = materialise(large.select(F.col("leader").alias("_leader"), F.ceil(F.col("rows") / part_rows).cast("int").alias("_parts")), "jaccard-large")
+    side = F.broadcast(large) if large.count() <= MOST_BROADCAST else large
+    return rows.join(side, F.col("leader") == F.col("_leader"), "left").withColumn("parts", F.coalesce("_parts", F.lit(1))).drop("_leader", "_parts")
+
+
+#: Large blocks up to this number are made known to every task; more are joined by a shuffle.
+MOST_BROADCAST = 200_000
+
+
+def _star_pairs(met: DataFrame, signed: DataFrame, percent: int, part_rows: int) -> DataFrame:
+    """Pairs (a leader, a node of its block) that the search of its signature tree leaves.
 
-    # a block is all nodes that met under one leader: every pair that shares a prefix shingle is in one
-    held = met.select("leader", "node", "n").join(known.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-    held = materialise(held.select("leader", "node", "n", F.coalesce("component", "node").alias("comp")), "jaccard-held")
+    Only nodes that share a twentieth of their shingles with the leader are searched here; what
+    is missed is found by the traversal.
+    """
+    near = _dealt(met.where("node = leader OR 20 * s >= n"), part_rows)
+    near = near.select("leader", "node", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    parts = F.sequence(F.lit(0), F.col("parts") - 1)
+    heads = near.where("node = leader").select("leader", "node", F.explode(parts).alias("part"))  # the leader goes to every part
+    rows = near.where("node <> leader").select("leader", "node", "part").unionByName(heads)
+    rows = rows.join(signed, F.col("node") == F.col("s_node")).drop("s_node")
+    return rows.repartition("leader", "part").sortWithinPartitions("leader", "part").mapInPandas(_search(percent), "a long, b long")
+
+
+def _tree_pairs(met: DataFrame, known: DataFrame, signed: DataFrame, percent: int, tile_rows: int, salts: int = 16) -> DataFrame:
+    """Pairs of different components in blocks that hold several, by dual traversal."""
+    held = met.select("leader", "node").join(known.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+    held = materialise(held.select("leader", "node", F.coalesce("component", "node").alias("comp")), "jaccard-held")
     open_blocks = held.groupBy("leader").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size")).where("c1 < c2")
-    open_blocks = open_blocks.select(F.col("leader").alias("_leader"), F.ceil(F.col("size") / tile_rows).cast("int").alias("tiles"))
-    left = held.join(open_blocks, F.col("leader") == F.col("_leader")).drop("_leader")
-    left = left.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    # a leader of many nodes is joined in ``salts`` parts
+    open_blocks = open_blocks.select(F.col("leader").alias("_leader"), F.ceil(F.col("size") / tile_rows).cast("int").alias("tiles"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
+    left = held.withColumn("salt", salt).join(open_blocks, (F.col("leader") == F.col("_leader")) & (F.col("salt") == F.col("_salt"))).drop("_leader", "_salt", "salt")
+    left = left.withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    left = materialise(left.select("leader", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "node", "n", "comp"), "jaccard-open")
-
-    # some texts that nobody asks for pass the filter; the join below leaves their signatures out
-    signed = _signatures_of(named, left.select("node"))
-    tree_rows = left.join(signed, F.col("node") == F.col("s_node")).drop("s_node")
-    found = tree_rows.repartition("leader", "t1", "t2").sortWithinPartitions("leader", "t1", "t2", "n", "node").mapInPandas(_traverse(percent), "a long, b long")
+    left = left.select("leader", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "node", "comp")
+    rows = left.join(signed, F.col("node") == F.col("s_node")).drop("s_node")
+    found = rows.repartition("leader", "t1", "t2").sortWithinPartitions("leader", "t1", "t2", "n", "node").mapInPandas(_traverse(percent), "a long, b long")
     pairs = materialise(found.distinct(), "jaccard-pairs")
-    tree_links = materialise(_verify(pairs, named, percent), "jaccard-links")
-    discard(nodes)
-    return ids, groups, sizes, star_links.unionByName(tree_links)
+    discard(held)
+    return pairs
 
 
-def jaccard_components(docs: DataFrame, percent: int = 75, local: int = 8, most_common: int = 1_000_000, tile_rows: int = 20_000) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links.
+def find_links(nodes: DataFrame, percent: int = 75, local: int = 8, most_common: int = 1_000_000, tile_rows: int = 20_000, part_rows: int = 1_000) -> tuple[DataFrame, DataFrame]:
+    """(sizes, links) of ``nodes`` (node, named, text): sets' sizes, and links that span all components.
 
-    ``component_id``: the smallest doc_id that links lead to, the document itself included.
-    ``n_links``: links found between its text and other texts, a spanning part of all links;
-    copies are not counted. Null, empty and blank texts have no shingle and no link but those
-    to nothing: their component is their own doc_id. A null doc_id takes part in no link and has
-    a null component. Rows that repeat a doc_id with different texts are each joined by their
-    own text. Extra columns are ignored; an empty table gives an empty result.
+    Nodes that are not ``named`` have a size, but no link.
     """
-    ids, groups, sizes, links = _links(docs, percent, local, most_common, tile_rows)
+    seen = materialise(nodes.select("node", "text").mapInPandas(_seen(local), "node long, token long, n long, bits binary"), "jaccard-seen")
+    sizes = seen.where("node >= 0").select("node", "n").distinct()
+    signed = seen.where("node >= 0").select(F.col("node").alias("s_node"), "n", "bits").dropDuplicates(["s_node"])
+    named = nodes.where("named").select("node", "text")
+    met = _blocks(named, seen, percent, most_common, part_rows)
+    stars = materialise(_star_pairs(met, signed, percent, part_rows), "jaccard-stars")
+    star_links = materialise(_verify(stars, named, percent), "jaccard-links")
+    known = components(star_links)
+    pairs = _tree_pairs(met, known, signed, percent, tile_rows)
+    tree_links = materialise(_verify(pairs, named, percent), "jaccard-links")
+    sizes = materialise(sizes, "jaccard-sizes")
+    discard(seen, met, stars, known, pairs)
+    return sizes, star_links.unionByName(tree_links)
+
+
+def _components(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """(ids, table): rows (doc_id, key), and key, root, n_shingles, component_id of each distinct text."""
+    ids, groups, nodes = _grouped(docs)
+    sizes, links = find_links(nodes, **options)
+    discard(nodes)
     member = components(links).withColumnsRenamed({"node": "_m"})
-    ends = links.select(F.col("a").alias("_l")).unionByName(links.select(F.col("b").alias("_l"))).groupBy("_l").agg(F.count("*").alias("n_links"))
     sized = sizes.withColumnsRenamed({"node": "_s", "n": "n_shingles"})
-    table = groups.join(sized, F.col("node") == F.col("_s")).join(member, F.col("node") == F.col("_m"), "left").join(ends, F.col("node") == F.col("_l"), "left")
-    table = table.select("key", "first", "node", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "node").alias("root"))
-    table = materialise(table, "jaccard-table")
-    roots = table.groupBy("root").agg(F.min("first").alias("component_id")).withColumnRenamed("root", "_root")
-    table = table.join(roots, F.col("root") == F.col("_root")).select(F.col("key").alias("_key"), "n_shingles", "component_id", "n_links")
-    found = ids.join(table, F.col("key") == F.col("_key"))
+    table = groups.join(sized, F.col("node") == F.col("_s")).join(member, F.col("node") == F.col("_m"), "left")
+    table = materialise(table.select("key", "first", "n_shingles", F.coalesce("component", "node").alias("root")), "jaccard-table")
+    roots = table.groupBy("root").agg(F.min("first").alias("component_id"), F.min(F.struct("first", "key")).alias("stays")).withColumnRenamed("root", "_root")
+    table = table.join(roots, F.col("root") == F.col("_root"))
+    return ids, table.select("key", "n_shingles", "component_id", F.col("stays.key").alias("stays_key"))
+
+
+def jaccard_components(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    ``component_id``: the smallest doc_id that links lead to, the document itself included. Null,
+    empty and blank texts have no shingle and no link: their component is their own doc_id. A
+    null doc_id takes part in no link and has a null component. Rows that repeat a doc_id with
+    different texts are each joined by their own text. Extra columns are ignored; an empty table
+    gives an empty result. A number of links a document is not given: it would take all pairs
+    of a group. ``options``: see ``find_links``.
+    """
+    ids, table = _components(docs, **options)
+    found = ids.join(table.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), "n_links")
+    return found.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents, with their own columns, that are the smallest doc_id of their component.
+    """The documents, with all their columns, one row of each component of linked texts.
 
-    Documents without shingles and those with a null doc_id are all kept.
+    It is a row of the smallest doc_id, and of its texts in that component the smallest by key.
+    Rows are told apart by doc_id and text, not by doc_id alone. Documents without shingles (null,
+    empty, blank) and those with a null doc_id are all kept. Extra columns are kept, whatever
+    their names; an empty table gives an empty result.
     """
-    found = jaccard_components(docs, **options)
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    ids, table = _components(docs, **options)
+    linked = table.where("n_shingles > 0").select(F.col("key").alias("_key"), "component_id", "stays_key")
+    rows = ids.where("doc_id IS NOT NULL").join(linked, F.col("key") == F.col("_key"))
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("key") == F.col("stays_key"))
+    decided = rows.groupBy("doc_id", "key").agg(F.max(stays).alias("stays"), F.count("*").alias("n")).where("n > 1 OR NOT stays")
+    decided = materialise(decided.select("doc_id", "key", "stays"), "jaccard-decided")
+    return keep_decided(docs, decided, lambda text: F.unhex(F.md5(normalised_text(text))))

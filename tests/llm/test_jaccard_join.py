@@ -67,6 +67,7 @@ def test_components_match_brute_force(spark):
     want = brute(rows)
     assert got(spark, rows) == want
     assert got(spark, rows, local=2, tile_rows=3) == want
+    assert got(spark, rows, local=1, tile_rows=5, part_rows=2) == want  # nearly every shared shingle in parts
     rows = near_copies(2, groups=25, size=6)
     assert got(spark, rows, local=10_000) == brute(rows)
 
@@ -94,6 +95,34 @@ def test_signature_tree_loses_no_link():
         assert len(found) < len(sets) * (len(sets) - 1) / 2
 
 
+def test_search_loses_no_link_and_prunes():
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(50)]
+    sets = [np.unique(np.array([x if rng.random() > 0.05 else rng.getrandbits(64) for x in base], np.uint64)) for _ in range(20)]
+    sets += [np.unique(np.array([rng.getrandbits(64) for _ in range(rng.randint(4, 90))], np.uint64)) for _ in range(60)]
+    sets.sort(key=len)
+    tree = J.SignatureTree(np.stack([J.signature(x, 9) for x in sets]), np.array([len(x) for x in sets]), np.arange(len(sets)))
+    for x in sets[::7]:
+        found = set(tree.search(J.signature(x, 9), len(x), 75).tolist())
+        assert {i for i, y in enumerate(sets) if J.linked(x, y, 75)} <= found
+    assert len(found) < len(sets)
+
+
+def test_the_trees_find_the_links(spark):
+    nodes = spark.createDataFrame([(r[0], True, r[1]) for r in near_copies(7)], "node long, named boolean, text string")
+    _, links = J.find_links(nodes)
+    assert links.count() > 20
+
+
+def test_runs_come_whole_whatever_the_batches():
+    rows = J.pd.DataFrame({"k": [1, 1, 2, 2, 2, 2, 2, 3, 4, 4], "v": range(10)})
+    for cut in (1, 2, 3, 10):
+        out = []
+        for b, starts in J._runs((rows.iloc[i : i + cut] for i in range(0, 10, cut)), ["k"]):
+            out += [tuple(x) for x in np.split(b.v.to_numpy(), starts[1:])]
+        assert out == [(0, 1), (2, 3, 4, 5, 6), (7,), (8, 9)]
+
+
 def test_folding_keeps_the_set():
     x = np.array([random.Random(1).getrandbits(64) for _ in range(100)], np.uint64)
     assert np.array_equal(J.fold(J.signature(x, 9), 9, 7), J.signature(x, 7))
@@ -123,6 +152,25 @@ def test_one_of_each_group_stays(spark):
     assert {r.doc_id for r in J.keep_one_of_each(frame(spark, rows)).collect()} == keep
 
 
+def test_rows_are_told_apart_by_text_not_by_id_alone(spark):
+    a = "one two three four five six seven eight nine ten"
+    rows = [(1, a, "en", "s", 1), (5, a + " eleven", "en", "s", 1), (5, "another text of its own that links with none", "en", "s", 1), (5, "another text of its own that links with none", "fr", "s", 1)]
+    kept = J.keep_one_of_each(frame(spark, rows)).collect()
+    assert sorted(r.text for r in kept) == sorted([a, rows[2][1]])
+    same = [(7, a, "en", "s", 1), (7, a + " eleven", "en", "s", 1), (7, a, "en", "s", 1), (None, a, "en", "s", 1), (8, "", "", "", 1), (8, "", "", "", 1)]
+    kept = J.keep_one_of_each(frame(spark, same)).collect()
+    assert sorted((r.doc_id or 0, len(r.text)) for r in kept)[0] == (0, len(a)) and sum(r.doc_id == 7 for r in kept) == 1 and sum(r.doc_id == 8 for r in kept) == 2
+    odd = frame(spark, same).withColumnsRenamed({"lang": "_gone", "source": "key", "n_chars": "row"})
+    assert J.keep_one_of_each(odd).columns == odd.columns and J.keep_one_of_each(odd).count() == len(kept)
+
+
+def test_many_rows_under_one_null_id(spark):
+    a = "one two three four five six seven eight nine ten"
+    rows = [(None, a, "en", "s", i) for i in range(50)] + [(3, a, "en", "s", 0), (4, a + " x", "en", "s", 0)]
+    kept = J.keep_one_of_each(frame(spark, rows)).collect()
+    assert sum(r.doc_id is None for r in kept) == 50 and [r.doc_id for r in kept if r.doc_id] == [3]
+
+
 def test_empty(spark):
     assert J.jaccard_components(frame(spark, [])).count() == 0
     assert got(spark, [(1, None, "", "", 1), (2, "", "", "", 1), (3, "a", "", "", 1)]) == Counter({(1, 0, 1): 1, (2, 0, 2): 1, (3, 1, 3): 1})
