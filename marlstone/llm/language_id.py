@@ -8,20 +8,35 @@ segmentations into pieces, by the forward algorithm; a text's is the product ove
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"[^\W\d_]+")
-LONGEST = 8
+
+def _class_of(*categories: str) -> str:
+    """The inside of a character class: all assigned characters of some Unicode categories, as ranges."""
+    runs: list[list[int]] = []
+    for n in (*range(0x20000), *range(0xE0100, 0xE01F0)):  # no marks or numbers are assigned beyond
+        if unicodedata.category(chr(n)).startswith(categories):
+            if runs and runs[-1][1] == n - 1:
+                runs[-1][1] = n
+            else:
+                runs.append([n, n])
+    return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in runs)
+
+
+#: A word: letters (category L) with the marks (M) on them. Fractions, roman numerals and the like are no letters.
+WORD = re.compile(rf"(?:[^\W\d_{_class_of('Nl', 'No')}]+[{_class_of('M')}]*)+")
 
 
 class Pieces:
-    """Letter pieces of a sentencepiece vocabulary, of at most ``LONGEST`` letters, by number.
+    """Letter pieces of a sentencepiece vocabulary by number; ``longest``: letters of the longest.
 
     The last two numbers are "any other single letter" and "no piece".
     """
@@ -31,16 +46,17 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=vocabulary_file)
         texts = (model.id_to_piece(i).replace("\u2581", "").lower() for i in range(model.get_piece_size()))
-        self.of = {p: i for i, p in enumerate(sorted({t for t in texts if t.isalpha() and len(t) <= LONGEST}))}
+        self.of = {p: i for i, p in enumerate(sorted({t for t in texts if t.isalpha()}))}
+        self.longest = max(map(len, self.of), default=1)
         self.other = len(self.of)
         self.none = self.other + 1
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        """(words, length, LONGEST): the piece that ends at a letter and has so many letters more than one; all of one length."""
-        n, get, none = len(words[0]), self.of.get, self.none
-        cuts = [(j - k, j) for j in range(1, n + 1) for k in range(1, min(LONGEST, j) + 1)]
+        """(words, length, longest): the piece that ends at a letter and has so many letters more than one; all of one length."""
+        n, get, none, longest = len(words[0]), self.of.get, self.none, self.longest
+        cuts = [(j - k, j) for j in range(1, n + 1) for k in range(1, min(longest, j) + 1)]
         found = np.fromiter([get(w[a:b], none) for w in words for a, b in cuts], np.int32, len(words) * len(cuts))
-        out = np.full((len(words), n, LONGEST), none, np.int32)
+        out = np.full((len(words), n, longest), none, np.int32)
         out[:, [b - 1 for _, b in cuts], [b - a - 1 for a, b in cuts]] = found.reshape(len(words), -1)
         single = out[:, :, 0]
         single[single == none] = self.other
@@ -67,11 +83,12 @@ def word_scores(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     out = np.empty((len(words), p.shape[1]))
     for where, same in _by_length(words):
         x = pieces.numbers(same)
-        alpha = np.zeros((LONGEST, len(same), p.shape[1]))  # of the last LONGEST letters, the newest first
+        longest, ends = pieces.longest, (x != pieces.none).any(0)  # where any of the words has a piece
+        alpha = np.zeros((longest, len(same), p.shape[1]))  # of the last letters, the newest first
         alpha[0] = 1.0
         log = np.zeros((len(same), p.shape[1]))
         for j in range(x.shape[1]):
-            now = sum(alpha[k] * p[x[:, j, k]] for k in range(min(LONGEST, j + 1)))
+            now = sum(alpha[k] * p[x[:, j, k]] for k in np.flatnonzero(ends[j, : j + 1]))
             log += np.log(now)
             alpha[1:] = alpha[:-1] / now
             alpha[0] = 1.0
@@ -79,13 +96,13 @@ def word_scores(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothing: float = 0.05, letters_kept: int = 4_000_000) -> np.ndarray:
+def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothing: float = 0.05, letters_kept: int = 2_000_000) -> np.ndarray:
     """Piece probabilities of one language from word counts, by expectation maximisation.
 
     Words of any length teach: forward sums are rescaled at every letter. The piece numbers of
     about ``letters_kept`` letters are kept between rounds; those of further words are made anew.
     """
-    words = list(counts)
+    words, longest = list(counts), pieces.longest
     p = np.full(pieces.none + 1, 1.0 / (pieces.none + 1))
     p[pieces.none] = 0.0
     batches, held = [], 0
@@ -99,9 +116,9 @@ def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothin
                 x = pieces.numbers(same)
             q = p[x]
             m, length, _ = x.shape
-            before = np.empty((m, length, LONGEST))  # forward sums where a piece starts, over that of the letter before
+            before = np.empty((m, length, longest))  # forward sums where a piece starts, over that of the letter before
             now = np.empty((m, length, 1))  # forward sum of a letter over that of the letter before
-            window = np.zeros((m, LONGEST))
+            window = np.zeros((m, longest))
             window[:, 0] = 1.0
             for j in range(length):
                 before[:, j] = window
@@ -113,7 +130,7 @@ def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothin
             cut[:, length] = 1.0
             for j in range(length - 1, -1, -1):
                 share[:, j] *= cut[:, j + 1 : j + 2]
-                k = min(LONGEST, j + 1)
+                k = min(longest, j + 1)
                 cut[:, j - k + 1 : j + 1] += share[:, j, :k][:, ::-1]
             expected += np.bincount(x.ravel(), (share * n[:, None, None]).ravel(), minlength=len(p))
         expected[pieces.none] = 0.0
@@ -121,29 +138,40 @@ def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothin
     return p
 
 
-def train(docs: DataFrame, vocabulary_file: str, max_docs: int = 1500) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, vocabulary_file: str, max_docs: int = 1500, most_languages: int = 1000) -> dict[str, np.ndarray]:
     """Piece probabilities by language, from the texts and non-null ``lang`` of ``docs``.
 
     Of each language at most ``max_docs`` documents are read: those of the smallest hash of
-    their id, whatever the size of the table.
+    their id, whatever the size of the table. A hash threshold from the languages' counts leaves
+    about twice as many before they are ranked. More than ``most_languages`` values of ``lang``
+    are refused, for every task holds the models of all.
     """
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= max_docs)
-    chosen = chosen.select(F.col("doc_id").alias("_id")).distinct()
-    sample = labelled.select("doc_id", "text", "lang").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # max_docs a language at most
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()
+    if len(counts) > most_languages:
+        raise ValueError(f"more than {most_languages} languages to learn")
+    bits = 40
+    limits = docs.sparkSession.createDataFrame([(r.lang, min(1 << bits, (2 * max_docs << bits) // r.n)) for r in counts], "_lang string, _limit long")
+    hashed = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(limits), F.col("lang") == F.col("_lang"))  # most_languages at most
+    hashed = hashed.where(F.pmod("h", F.lit(1 << bits)) < F.col("_limit"))
+    place = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << bits)), "doc_id")
+    chosen = hashed.select("doc_id", "lang", "h").distinct().withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= max_docs)
+    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+    sample = labelled.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))  # max_docs a language at most
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lang, texts in b.groupby("lang").text:
-                n = Counter(w for t in texts for w in WORD.findall(t.lower()))
-                yield pd.DataFrame({"lang": lang, "word": list(n), "n": list(n.values())})
+            found: dict[str, Counter] = {}
+            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+            for lang, n in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["lang", "word", "n"])
 
     def fitted(rows: pd.DataFrame) -> pd.DataFrame:
         p = fit_pieces(dict(zip(rows.word, rows.n, strict=True)), Pieces(vocabulary_file))
         return pd.DataFrame({"lang": rows.lang.iloc[:1], "p": [p.astype("<f8").tobytes()]})
 
-    counts = sample.mapInPandas(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = sample.select("text", "lang").mapInArrow(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     found = counts.groupBy("lang").applyInPandas(lambda rows: fitted(rows), "lang string, p binary").collect()
     return {r.lang: np.frombuffer(bytes(r.p), "<f8") for r in sorted(found, key=lambda r: r.lang)}
 
@@ -191,12 +219,12 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], vocabulary_file: str
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value, vocabulary_file)
         for b in batches:
-            for begin in range(0, len(b), 500):
-                part = b.iloc[begin : begin + 500]
-                got = scorer(part.text)
-                yield pd.DataFrame({"doc_id": part.doc_id, "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]})
+            for begin in range(0, b.num_rows, 500):
+                part = b.slice(begin, 500)
+                got = scorer(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInPandas(scored, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scored, "doc_id long, lang_pred string, score double")

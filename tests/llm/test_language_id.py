@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from marlstone.llm.language_id import LONGEST, Pieces, fit_pieces, identify, learning_rows, train, word_scores
+from marlstone.llm.language_id import WORD, Pieces, fit_pieces, identify, learning_rows, train, word_scores
 from marlstone.llm.vocabularies import vocabulary
 
 from .helpers import awkward, frame
@@ -23,7 +23,8 @@ def test_forward_sums_all_segmentations(pieces):
     p = rng.random((pieces.none + 1, 2))
     p[pieces.none] = 0
     p /= p.sum(0)
-    words = ["there", "abc", "ñandú", "x", "字ing", "whenever"]
+    assert pieces.longest >= 15 and "additional" in pieces.of
+    words = ["there", "abc", "ñandú", "x", "字ing", "whenever", "additionally"]
     for word, got in zip(words, word_scores(words, pieces, p), strict=True):
         total = np.zeros(2)
         for cuts in itertools.product([0, 1], repeat=len(word) - 1):
@@ -33,7 +34,7 @@ def test_forward_sums_all_segmentations(pieces):
                     parts.append(word[last:i])
                     last = i
             parts.append(word[last:])
-            number = [pieces.of.get(x, pieces.other if len(x) == 1 else pieces.none) if len(x) <= LONGEST else pieces.none for x in parts]
+            number = [pieces.of.get(x, pieces.other if len(x) == 1 else pieces.none) for x in parts]
             total += np.prod(p[number], axis=0)
         assert np.allclose(got, np.log(total))
 
@@ -97,3 +98,25 @@ def test_nothing_learned_and_empty(spark):
     assert train(docs, V) == {}
     assert [(r.lang_pred, r.score) for r in identify(docs, {}, V).collect()] == [("und", 0.0)]
     assert identify(frame(spark, []), {}, V).count() == 0
+
+
+def test_words_are_letters_with_their_marks():
+    assert [WORD.findall(t) for t in ("½ ² Ⅷ ① 42 _ -", "one½two", "q\u0301a x_y", "हिन्दी", "日本1語", "\u0301 a")] == [[], ["one", "two"], ["q\u0301a", "x", "y"], ["हिन्दी"], ["日本", "語"], ["a"]]
+
+
+def test_texts_without_a_letter_are_undetermined_and_ids_stay_exact(spark):
+    docs = frame(spark, [(9007199254740993, "½ ²", "en", "", 1), (None, "the words of this text", "en", "", 1), (9007199254740995, "the words", "en", "", 1)] * 2)
+    got = identify(docs, train(docs, V), V).collect()
+    assert sorted((r.doc_id or 0, r.lang_pred) for r in got) == sorted([(9007199254740993, "und"), (0, "en"), (9007199254740995, "en")] * 2)
+
+
+def test_at_most_so_many_documents_and_languages(spark):
+    rows = [(i, f"w{'abcdefghij'[i % 10]}", "en" if i % 3 else "fr", "", 1) for i in range(400)]
+    few = train(frame(spark, rows), V, max_docs=20)
+    ids = {r.h: r.doc_id for r in frame(spark, rows).selectExpr("doc_id", "pmod(xxhash64(doc_id), 1L << 40) AS h").collect()}
+    lang = {r[0]: r[2] for r in rows}
+    first = {x: [i for _, i in sorted(ids.items()) if lang[i] == x][:20] for x in ("en", "fr")}
+    again = train(frame(spark, [r for r in rows if r[0] in first[r[2]]]), V)
+    assert all(np.array_equal(few[x], again[x]) for x in ("en", "fr"))
+    with pytest.raises(ValueError):
+        train(frame(spark, rows), V, most_languages=1)
