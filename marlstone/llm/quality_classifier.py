@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,15 +39,20 @@ def features(text: str | None, bits: int) -> np.ndarray:
     return (x ^ (x >> np.uint32(15))) & np.uint32((1 << bits) - 1)
 
 
+def counted(x: np.ndarray) -> np.ndarray:
+    """(feature, count) of a text as two rows of uint32; at most 2 ** bits columns whatever its length."""
+    idx, count = np.unique(x, return_counts=True)
+    return np.stack([idx.astype(np.uint32), count.astype(np.uint32)])
+
+
 def fit_ftrl(rows: list[tuple[np.ndarray, int]], bits: int, epochs: int = 3, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1) -> np.ndarray:
-    """Weights (2 ** bits, and the bias last) by FTRL-proximal, one labelled text at a time."""
+    """Weights (2 ** bits, and the bias last) by FTRL-proximal, one labelled text (``counted``) at a time."""
     n_weights = (1 << bits) + 1
     z, n, w = np.zeros(n_weights), np.zeros(n_weights), np.zeros(n_weights)
     for _ in range(epochs):
         for x, y in rows:
-            idx, count = np.unique(x, return_counts=True)
-            idx = np.append(idx, n_weights - 1).astype(np.int64)
-            value = np.append(count / np.sqrt(max(1, len(x))), 1.0)
+            idx = np.append(x[0].astype(np.int64), n_weights - 1)
+            value = np.append(x[1] / np.sqrt(max(1, int(x[1].sum(dtype=np.int64)))), 1.0)
             zi, ni = z[idx], n[idx]
             wi = np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2))
             p = 1.0 / (1.0 + np.exp(-np.clip(wi @ value, -30, 30)))
@@ -71,11 +77,11 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_train: int = 8
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker_cache("quality")
         for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id, "x": [features(t, bits).tobytes() for t in b.text], "label": b.label})
+            yield pd.DataFrame({"doc_id": b.doc_id, "x": [counted(features(t, bits)).tobytes() for t in b.text], "label": b.label})
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(k=[zlib.crc32(b"order" + str(i).encode()) for i in rows.doc_id]).sort_values(["k", "doc_id", "x"])
-        w = fit_ftrl([(np.frombuffer(x, np.uint32), int(y)) for x, y in zip(rows.x, rows.label, strict=True)], bits, **ftrl)
+        w = fit_ftrl([(np.frombuffer(x, np.uint32).reshape(2, -1), int(y)) for x, y in zip(rows.x, rows.label, strict=True)], bits, **ftrl)
         return pd.DataFrame({"w": [w.astype("<f4").tobytes()]})
 
     x = sample.mapInPandas(hashed, "doc_id long, x binary, label int")
@@ -89,20 +95,24 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3) -> DataF
     Null and empty texts get the score of the bias alone. Repeated rows and null ids are passed
     through; extra columns are ignored.
     """
-    bits = (len(weights) - 1).bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(np.asarray(weights, "<f4"))
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value.astype(np.float64)
         for b in batches:
-            out = np.empty(len(b))
-            for i, t in enumerate(b.text):
-                x = features(t, bits)
-                out[i] = w[-1] + (w[x].sum() / np.sqrt(len(x)) if len(x) else 0.0)
-            p = 1.0 / (1.0 + np.exp(-np.clip(out, -30, 30)))
-            yield pd.DataFrame({"doc_id": b.doc_id, "score": p, "predicted": (p >= threshold).astype("int32")})
+            p = 1.0 / (1.0 + np.exp(-np.clip(_sums(b.column(1), w), -30, 30)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scored, "doc_id long, score double, predicted int")
+
 
-    return docs.select("doc_id", "text").mapInPandas(scored, "doc_id long, score double, predicted int")
+def _sums(texts: pa.Array, w: np.ndarray) -> np.ndarray:
+    """Bias and sparse dot product of each text; ``w`` holds the bias last."""
+    bits, out = (len(w) - 1).bit_length() - 1, np.empty(len(texts))
+    for i, t in enumerate(texts):
+        x = features(t.as_py(), bits)
+        out[i] = w[-1] + (w[x].sum() / np.sqrt(len(x)) if len(x) else 0.0)
+    return out
 
 
 def learning_rows(labels: DataFrame, label_col: str = "quality") -> DataFrame:
@@ -111,21 +121,23 @@ def learning_rows(labels: DataFrame, label_col: str = "quality") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The documents, with their own columns, that the classifier does not reject."""
+    """The documents, with all their columns, that the classifier does not reject.
+
+    Every row is judged by its whole text, repeated rows each; null and empty texts get the score
+    of the bias alone. All columns, null ids included, pass through unchanged, whatever their
+    names; an empty table gives an empty result.
+    """
     weights = train(docs, learning_rows(labels))
-    bits = (len(weights) - 1).bit_length() - 1
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    text_at = docs.columns.index("text")
 
-    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("quality")
         w = shared.value.astype(np.float64)
         cut = np.log(threshold / (1 - threshold))
         for b in batches:
-            ok = np.empty(len(b), bool)
-            for i, t in enumerate(b.text):
-                x = features(t, bits)
-                ok[i] = w[-1] + (w[x].sum() / np.sqrt(len(x)) if len(x) else 0.0) >= cut
-            for begin in range(0, len(b), 1000):  # small batches on the way out, too
-                yield b.iloc[begin : begin + 1000][ok[begin : begin + 1000]]
-
-    return docs.mapInPandas(kept, docs.schema)
+            for begin in range(0, b.num_rows, 1000):  # small batches on the way out, too
+                part = b.slice(begin, 1000)
+                yield part.filter(pa.array(_sums(part.column(text_at), w) >= cut))
+
+    return docs.mapInArrow(kept, docs.schema)
