@@ -16,7 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,31 +115,31 @@ def worker_encoder(vocabulary_file: str) -> WordEncoder:
 
 
 def tokenize_pieces(docs: DataFrame, vocabulary_file: str, capacity: int = 4096, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
-    """Pieces of every whole text: doc_id, text_crc, piece, start, length, ids_crc32 (and ids).
+    """Pieces of every whole text: doc_id, row_no (of the document), piece, start, length, ids_crc32 (and ids).
 
     Null text is empty text: its only token is ``end_id``. Only texts of more than ``capacity``
     tokens are cut.
     """
     end = np.array([end_id], "<u4").tobytes()
-    fields = "doc_id long, text_crc long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
+    fields = "doc_id long, row_no long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64()] + ([pa.binary()] if keep_ids else [])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = worker_encoder(vocabulary_file)
         for b in batches:
-            for begin in range(0, len(b), 50):
-                part = b.iloc[begin : begin + 50]
-                rows = []
-                for doc_id, ids in zip(part.doc_id, encode(part.text), strict=True):
+            for begin in range(0, b.num_rows, 50):
+                part = b.slice(begin, 50)
+                rows, source = [], []
+                for at_row, ids in enumerate(encode(part.column(2).to_pylist())):
                     ids += end
-                    crc = zlib.crc32(ids)
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         x = ids[at : at + 4 * capacity]
-                        rows.append((doc_id, crc, n, at // 4, len(x) // 4, zlib.crc32(x), *([x] if keep_ids else [])))
-                out = pd.DataFrame(rows, columns=[f.split()[0] for f in fields.split(", ")])
-                out["doc_id"] = out.doc_id.astype("Int64")
-                yield out
+                        source.append(at_row)
+                        rows.append((n, at // 4, len(x) // 4, zlib.crc32(x), *([x] if keep_ids else [])))
+                made = [pa.array(column, t) for column, t in zip(zip(*rows), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(source)), part.column(1).take(pa.array(source)), *made], [f.split()[0] for f in fields.split(", ")])
 
-    return docs.select("doc_id", "text").mapInPandas(cut, fields)
+    return docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row_no"), "text").mapInArrow(cut, fields)
 
 
 class TightestBin:
@@ -211,9 +211,12 @@ def plan_best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int
 
 
 def place(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
-    """Adds sequence_id and offset to rows of doc_id, text_crc, piece, length (at most ``capacity``)."""
+    """Adds sequence_id and offset to rows of row_no, piece, length (at most ``capacity``).
+
+    (row_no, piece) tells pieces apart, also those of repeated rows; it must be stored, not made anew.
+    """
     spark = pieces.sparkSession
-    keyed = pieces.withColumn("_h", F.xxhash64("doc_id", "piece", "text_crc"))
+    keyed = pieces.withColumn("_h", F.xxhash64("row_no", "piece"))
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # ``capacity`` rows at most
     plan, _ = plan_best_fit(counts, capacity)
     plan = sorted(plan)
@@ -223,28 +226,27 @@ def place(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     firsts = np.array([p[2] for p in plan], np.int64)
     offsets = np.array([p[3] for p in plan], np.int64)
     shared = spark.sparkContext.broadcast((keys, ranks, firsts, offsets))
-    ranked = salted_rank(keyed, ["length"], "_h", ["doc_id", "piece", "text_crc"]).drop("_h")
+    ranked = salted_rank(keyed, ["length"], "_h", ["row_no", "piece"]).drop("_h")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank") + ", sequence_id long, offset long"
 
-    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [c for c in ranked.columns if c != "rank"]
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ranks, firsts, offsets = shared.value
         for b in batches:
-            length, rank = b.length.to_numpy(np.int64), b["rank"].to_numpy(np.int64)
+            length, rank = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "rank"))
             at = np.searchsorted(keys, (length << shift) + rank, "right") - 1
-            b = b.drop(columns="rank")
-            if "doc_id" in b:
-                b["doc_id"] = b.doc_id.astype("Int64")
-            yield b.assign(sequence_id=firsts[at] + rank - ranks[at], offset=offsets[at])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(firsts[at] + rank - ranks[at]), pa.array(offsets[at])], [*columns, "sequence_id", "offset"])
 
-    return ranked.mapInPandas(look_up, schema)
+    return ranked.mapInArrow(look_up, schema)
 
 
 def pack(docs: DataFrame, vocabulary_file: str, capacity: int = 4096, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
-    Every whole text is tokenized; ``offset`` runs gapless from 0 in each sequence. Null texts
+    The strings of the vocabulary's special tokens are ordinary text in a document. Every whole text is tokenized; ``offset`` runs gapless from 0 in each sequence. Null texts
     are empty texts. Repeated rows and null ids are packed like any others, extra columns are
     ignored, an empty table gives an empty result.
     """
     pieces = materialise(tokenize_pieces(docs, vocabulary_file, capacity, end_id, keep_ids), "packing-pieces")
-    return place(pieces, capacity).drop("text_crc")
+    return place(pieces, capacity).drop("row_no")

@@ -100,5 +100,12 @@ def test_all_pieces_are_packed_without_gaps(spark):
 
 def test_empty_and_single_length(spark):
     assert pack(frame(spark, []), V).count() == 0
-    df = spark.createDataFrame([(i % 7, 5, 0, 4) for i in range(500)], "doc_id long, text_crc long, piece int, length long")
+    df = spark.createDataFrame([(i // 2, i % 2, 4) for i in range(500)], "row_no long, piece int, length long")
     assert checked(place(df, 9).collect(), 9) == 250
+
+
+def test_repeated_rows_and_ids_beside_nulls(spark):
+    rows = [(9007199254740993, "a few words", None, None, None), (None, None, None, None, None)] * 300
+    got = pack(frame(spark, rows), V, capacity=16).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    assert checked(got, 16) == len(best_fit_decreasing([r.length for r in got], 16))
