@@ -16,8 +16,9 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -135,15 +136,15 @@ def secret_scan(docs: DataFrame, rules: EntropyRules | None = None) -> DataFrame
     """
     rules = rules or EntropyRules()
 
-    def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for t in b.text:
-                base, spans = scan_text(t, rules)
+            for t in b.column(1):
+                base, spans = scan_text(t.as_py(), rules)
                 kinds = [k for _, k, _ in base]
                 rows.append((kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(_said(base).encode()).hexdigest(), _said(spans)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans"], index=b.index)
-            out.insert(0, "doc_id", b.doc_id)
-            yield out
+            counts = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
+            said = [pa.array([r[i] for r in rows], pa.string()) for i in (3, 4)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *counts, *said], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.select("doc_id", "text").mapInPandas(scanned, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scanned, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

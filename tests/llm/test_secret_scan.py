@@ -63,3 +63,12 @@ def test_rows(spark):
     assert sorted((str(r.doc_id), r.base_sha256) for r in got) == want
     assert {r.doc_id: r.n_assign for r in got}[911] == 2
     assert secret_scan(frame(spark, [])).count() == 0
+    big = [(9007199254740993, "x", "", "", 0), (None, "y", "", "", 0)]
+    assert {r.doc_id for r in secret_scan(frame(spark, big)).collect()} == {9007199254740993, None}
+
+
+def test_one_candidate_of_megabytes():
+    rng = random.Random(1)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=2_000_000))
+    assert sum(b - a for a, k, b in scan_text(text, EntropyRules())[1] if k == 3) > 0.99 * len(text)
+    assert scan_text("g" * 2_000_000, EntropyRules())[1] == []
