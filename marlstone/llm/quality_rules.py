@@ -4,7 +4,8 @@ Two multinomials over ``buckets`` hashed word n-grams (single words and adjacent
 counted over all documents: one of the trusted documents, one of the raw corpus. A document's
 ratio is the mean over its n-grams of log p_trusted - log p_raw; below ``min_ratio`` it is
 dropped. Everything is DataFrame expressions; the counts are combined inside each map task, so
-one row per bucket and task is shuffled, and the driver holds two numbers per bucket.
+one row per bucket and task is shuffled, and the driver holds two numbers per bucket. Texts are
+not shuffled: the ids of trusted documents go to every task, up to a checked number.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, words
+from .common import materialise, text_or_empty, words
 
 SYMBOLS = r"[#*$%&|<>]"
+#: Up to so many trusted ids go to every task; beyond, texts are joined to them by a shuffle.
+MOST_BROADCAST = 1_000_000
 
 
 def _bucket(buckets: int, *parts: Column) -> Column:
@@ -45,7 +48,9 @@ def ratio_weights(docs: DataFrame, trusted: DataFrame, buckets: int = 16384, pri
     ``trusted``: its ``id_col`` names the trusted documents. All documents are counted.
     """
     ids = trusted.select(F.col(id_col).alias("_trusted_id")).where("_trusted_id IS NOT NULL").distinct()
-    marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(ids.hint("shuffle_hash"), F.col("_id") == F.col("_trusted_id"), "left")
+    ids = materialise(ids, "quality-trusted")
+    ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids.hint("shuffle_hash")
+    marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(ids, F.col("_id") == F.col("_trusted_id"), "left")
     marked = marked.select(F.col("_trusted_id").isNotNull().cast("int").alias("t"), words(F.col("_text")).alias("w"))
     packed = marked.select("t", F.explode(packed_ngrams(F.col("w"), buckets)).alias("x"))
     pair = F.pmod("x", F.lit(buckets + 1))

@@ -2,6 +2,9 @@ import math
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
+from marlstone.llm import quality_rules as Q
 from marlstone.llm.quality_rules import quality_rules, ratio_weights
 
 from .helpers import awkward, frame, words_of
@@ -48,3 +51,38 @@ def test_threshold_is_deterministic_and_drops_symbol_junk(spark):
 def test_empty_table(spark):
     docs = frame(spark, [])
     assert quality_rules(docs, ratio_weights(docs, docs.select("doc_id"))).count() == 0
+
+
+def test_kept_and_ratio_match_brute_force_over_the_whole_table(spark):
+    """Both multinomials counted by a plain loop over the same hashed buckets, with and without the broadcast."""
+    rows, buckets, prior = awkward(), 1 << 8, 256.0
+    docs = frame(spark, rows)
+    trusted = {1, 2, 3, 5, 8, 13, 903}
+    grams = {w: None for r in rows for w in words_of(r[1])} | {p: None for r in rows for p in zip(words_of(r[1]), words_of(r[1])[1:])}
+    listed = spark.createDataFrame([(i, *(g if isinstance(g, tuple) else (g, None))) for i, g in enumerate(grams)], "i long, a string, b string")
+    hashed = {r.i: (r.x if r.b is None else r.y) for r in listed.select("i", "b", F.pmod(F.xxhash64("a"), F.lit(buckets)).alias("x"), F.pmod(F.xxhash64("a", "b"), F.lit(buckets)).alias("y")).collect()}
+    bucket = dict(zip(grams, (hashed[i] for i in range(len(grams))), strict=True))
+
+    def of(text):
+        w = words_of(text)
+        return [bucket[x] for x in w] + [bucket[x] for x in zip(w, w[1:])]
+
+    raw, good = [1] * buckets, [0] * buckets
+    for r in rows:
+        for b in of(r[1]):
+            raw[b] += 1
+            good[b] += r[0] in trusted
+    p_raw = [x / sum(raw) for x in raw]
+    weight = [math.log((g + prior * p) / (sum(good) + prior)) - math.log(p) for g, p in zip(good, p_raw, strict=True)]
+    want = []
+    for r in rows:
+        x = of(r[1])
+        ratio = sum(weight[b] for b in x) / len(x) if x else 0.0
+        want.append((r[0], round(ratio, 9), not base(r[1])[-1] and ratio >= -0.08))
+    most = Q.MOST_BROADCAST
+    for limit in (most, 0):
+        Q.MOST_BROADCAST = limit
+        got = quality_rules(docs, ratio_weights(docs, spark.createDataFrame([(i,) for i in trusted], "doc_id long"), buckets, prior)).collect()
+        assert sorted([(r.doc_id, round(r.ratio, 9), r.kept) for r in got], key=str) == sorted(want, key=str)
+    Q.MOST_BROADCAST = most
+    assert 0 < sum(w[2] for w in want) < len(want)
