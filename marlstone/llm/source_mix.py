@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, materialise, salted_rank, text_or_empty
@@ -32,17 +32,14 @@ def share_targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...
     order = sorted(sizes, key=lambda s: (s[0] is None, (s[0] or "").encode("utf-32-be")))
     weight = {s: float(weights[i % len(weights)]) for i, (s, _) in enumerate(order)}
     size = dict(order)
-    left, open_sources, target = total_share * sum(size.values()), list(size), {}
-    while open_sources:
-        whole = sum(weight[s] for s in open_sources)
-        full = [s for s in open_sources if left * weight[s] / whole > most * size[s]]
-        if not full:
-            target |= {s: left * weight[s] / whole for s in open_sources}
-            break
-        for s in full:
+    left, whole, target = total_share * sum(size.values()), sum(weight.values()), {}
+    # words a unit of weight rise as full sources leave, so the smallest caps fill first, each once
+    for s in sorted(size, key=lambda s: most * size[s] / weight[s]):
+        if left * weight[s] / whole > most * size[s]:
             target[s] = float(most * size[s])
-        left -= sum(target[s] for s in full)
-        open_sources = [s for s in open_sources if s not in target]
+            left, whole = left - target[s], whole - weight[s]
+        else:
+            target[s] = left * weight[s] / whole
     return target
 
 
@@ -126,12 +123,13 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), total_s
     """One row per document: doc_id, row_key, size, source, source_size, target, taken.
 
     ``size``: words of the text (0 for null). ``taken``: words the mix takes of the document,
-    0 to ``most`` times its size; copies of one length are spread evenly over its documents. Null sources are a source of their own. Repeated rows are
-    documents of their own; among equal rows it does not matter which is taken. An empty table
-    gives an empty result.
+    0 to ``most`` times its size; copies of one length are spread evenly over its documents.
+    Null sources are a source of their own. Repeated rows are documents of their own; among equal
+    rows, and among rows of one length without an id, it does not matter which is taken. Extra
+    columns are ignored; an empty table gives an empty result.
     """
     size = F.regexp_count(text_or_empty(F.col("text")), F.lit("[^" + SPACE[1:] + "+")).cast("long")
-    rows = materialise(docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("row_key")), "mix-rows")
+    rows = materialise(docs.select("doc_id", "source", size.alias("size"), _row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.monotonically_increasing_id().alias("row_no")), "mix-rows")
     lengths = rows.groupBy("source", "size").agg(F.count("*").alias("n"))
     totals = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     spark = docs.sparkSession
@@ -151,26 +149,38 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), total_s
     fit = fit_in.groupBy("source").applyInPandas(lambda part: fitted(part), "source string, size long, n long, copies long")
     fit = materialise(fit.withColumnsRenamed({"source": "_fs", "size": "_fn"}), "mix-fit")
 
-    order = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "row_key"))
-    ranked = salted_rank(order, ["source", "size"], "_h", ["doc_id", "row_key"], slot_bits=8)
+    # rows without an id may all be alike: their number keeps them from meeting in one slot
+    alike = F.when(F.col("doc_id").isNull(), F.col("row_no"))
+    order = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "row_key", alike))
+    ranked = salted_rank(order, ["source", "size"], "_h", ["doc_id", "row_key", "row_no"], slot_bits=8)
     joined = ranked.join(sources, F.col("source").eqNullSafe(F.col("_s"))).join(fit, F.col("source").eqNullSafe(F.col("_fs")) & (F.col("size") == F.col("_fn")))
     times = F.expr("copies div n") + F.when(F.col("rank") < F.expr("copies % n"), 1).otherwise(0)
     return joined.select("doc_id", "row_key", "source", "size", "source_size", "target", (times * F.col("size")).alias("taken"))
 
 
+def _row_key(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(text, doc_id.isNull())
+
+
 def repeat_mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents, with their own columns, as the mix takes them: left out, once or twice.
+    """The documents, with all their columns, as the mix takes them: left out, once or twice.
 
-    Documents without words take no part of any budget and stay once.
+    Documents without words (null, empty, blank) take no part of any budget and stay once.
+    Repeated rows are documents of their own. Extra columns are kept, whatever their names; an
+    empty table gives an empty result.
     """
     mixed = mix_sources(docs, **options)
-    taken = mixed.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int").alias("_times"))
+    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
+    taken = mixed.select(F.coalesce("doc_id", F.lit(0)).alias("t_id"), F.col("row_key").alias("t_key"), times.alias("times"))
     # repeated rows: number both sides, so that each row meets one decision
-    place = Window.partitionBy("_id", "_key").orderBy(F.desc("_times"))
-    taken = taken.where("_times > 0").withColumn("_place", F.row_number().over(place))
-    keyed = docs.withColumn("_row_key", F.xxhash64("text"))
-    here = Window.partitionBy("doc_id", "_row_key").orderBy(*[c for c in docs.columns if c in ("source", "lang")] or [F.lit(0)])
-    keyed = keyed.withColumn("_row_place", F.row_number().over(here))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row_key") == F.col("_key")) & (F.col("_row_place") == F.col("_place"))
-    repeated = keyed.join(taken, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return repeated.select(*docs.columns)
+    place = Window.partitionBy("t_id", "t_key").orderBy(F.desc("times"))
+    taken = taken.where("times > 0").withColumn("t_place", F.row_number().over(place))
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    doc_id, text = F.col("row").getField("doc_id"), F.col("row").getField("text")
+    keyed = carried.select("row", F.coalesce(doc_id, F.lit(0)).alias("id"), _row_key(doc_id, text).alias("key"))
+    here = Window.partitionBy("id", "key").orderBy(F.xxhash64(F.to_json("row")))
+    keyed = keyed.withColumn("place", F.row_number().over(here))
+    # the place is no key of the join, so that texts keep the partitioning of the window
+    on = (F.col("id") == F.col("t_id")) & (F.col("key") == F.col("t_key")) & (F.col("place") - F.col("t_place") == 0)
+    repeated = keyed.join(taken, on).select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    return repeated.select("row.*")

@@ -72,10 +72,30 @@ def test_targets_stop_at_twice_the_size_and_pass_on_the_excess():
 
 
 def brute_targets(rows):
+    """Targets by the wording of the contract: share by weight, stop the full ones, share the rest again."""
     size = defaultdict(int)
     for r in rows:
         size[r[3]] += len(words_of(r[1]))
-    return size, share_targets(list(size.items()))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    stopped = set()
+    while True:
+        left = 1.5 * sum(size.values()) - sum(2 * size[s] for s in stopped)
+        whole = sum(weight[s] for s in order if s not in stopped)
+        target = {s: 2.0 * size[s] if s in stopped else left * weight[s] / whole for s in order}
+        above = {s for s in order if target[s] > 2 * size[s]}
+        if not above:
+            return size, target
+        stopped |= above
+
+
+def test_targets_match_the_wording():
+    rng = random.Random(4)
+    for _ in range(100):
+        rows = [(i, "w " * rng.choice([0, 1, 5, 40, 900]), "", rng.choice(["a", "b", "c", "d", "é", "\U0001f600", "\uffee", None])) for i in range(rng.randint(1, 15))]
+        size, want = brute_targets(rows)
+        got = share_targets(list(size.items()))
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) <= 1e-9 * max(1, want[s]) for s in want)
 
 
 def test_rows(spark):
@@ -86,7 +106,7 @@ def test_rows(spark):
     assert Counter((r.doc_id, r.source, r["size"], r.source_size) for r in got) == Counter((r[0], r[3], len(words_of(r[1])), size[r[3]]) for r in rows)
     taken = defaultdict(int)
     for r in got:
-        assert r.target == target[r.source] and 0 <= r.taken <= 2 * r["size"]
+        assert abs(r.target - target[r.source]) < 1e-6 and 0 <= r.taken <= 2 * r["size"]
         taken[r.source] += r.taken
     for s in size:
         assert abs(taken[s] - target[s]) <= (10_000 if any(r[0] == 903 and r[3] == s for r in rows) else 1)  # 903 has 20,000 words
@@ -114,3 +134,28 @@ def test_one_hot_length_and_empty(spark):
     assert abs(sum(r.taken for r in got if r.source == "s") - target["s"]) <= 3
     assert mix_sources(frame(spark, [])).count() == 0
     assert repeat_mixed(frame(spark, [(1, None, None, None, None)])).count() == 1
+
+
+def test_copies_of_a_length_differ_by_one_at_most(spark):
+    """Row by row: each length's copies are spread evenly, and no row leaves the range."""
+    rows = awkward()
+    by = defaultdict(list)
+    for r in mix_sources(frame(spark, rows)).collect():
+        if r["size"]:
+            assert r.taken % r["size"] == 0
+            by[r.source, r["size"]].append(r.taken // r["size"])
+    assert all(max(v) - min(v) <= 1 and max(v) <= 2 for v in by.values())
+
+
+def test_equal_rows_without_ids_and_names_of_its_own(spark):
+    rows = [(None, "a b c", "en", "s", 1)] * 500 + [(1, "a b", None, "t", 2), (1, "a b", "fr", "t", 2), (2, None, None, None, None)]
+    df = frame(spark, rows)
+    odd = df.withColumns({"_row_key": F.lit("x"), "_row_place": F.lit(1), "_copy": F.lit(2), "row": F.lit(3), "times": F.lit(4), "place": F.lit(5)})
+    got, size = repeat_mixed(odd), brute_targets(rows)[1]
+    assert got.columns == odd.columns
+    words = defaultdict(int)
+    for r in got.collect():
+        assert tuple(r)[5:] == ("x", 1, 2, 3, 4, 5) and tuple(r)[:5] in set(rows)
+        words[r.source] += len(words_of(r.text))
+    assert abs(words["s"] - size["s"]) <= 3 and abs(words["t"] - size["t"]) <= 2 and sum(r.doc_id == 2 for r in got.collect()) == 1
+    assert repeat_mixed(frame(spark, [])).count() == 0
