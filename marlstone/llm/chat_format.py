@@ -4,8 +4,9 @@ Messages form trees through parent ids. Iterative self-joins with doubled step (
 grandparent, then four up ...) give every message its depth and the summed score of its path
 in log2(depth) joins. Leaves are ranked within their conversation by mean score; the same
 step tables then enumerate the messages of the chosen root-to-leaf paths, and each path is
-formatted as one conversation. All joins are on (conversation, message), so a conversation
-with a large share of the rows is dealt over all tasks until its one text is put together.
+formatted as one conversation. Turns are numbered and joined by (conversation, turn) or
+(conversation, message), so a conversation with a large share of the rows is dealt over all tasks
+until its paths are ranked (ids and scores alone) and its one text is put together.
 
 Template, per turn: ``<|im_start|>role\ntext<|im_end|>\n``. Inside roles and texts ``&``
 becomes ``&amp;`` and ``<|`` becomes ``&lt;|`` (in roles also a line feed ``&#10;``), so no
@@ -43,10 +44,17 @@ def _unescape_role(role: Column) -> Column:
 def chain_replies(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """Linear conversations as reply trees: each turn answers the one before it.
 
-    Ties in ``turn`` are ordered by role and text; null turns come first.
+    Rows of one turn are ordered by role and text; null turns come first. A null conversation is
+    one of its own, repeated rows are turns of their own, extra columns are ignored, an empty
+    table gives an empty result. Only counts by turn meet in a task of their conversation.
     """
-    order = Window.partitionBy(conv).orderBy(turn, "role", "text")
-    m = turns.select(F.col(conv).alias("conv_id"), F.row_number().over(order).cast("long").alias("msg_id"), "role", "text")
+    t = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), "role", "text")
+    counts = t.groupBy("conv_id", "turn").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    here = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    m = t.withColumn("place", F.row_number().over(here)).join(starts, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t")))
+    m = m.select("conv_id", (F.col("start") + F.col("place")).alias("msg_id"), "role", "text")
     return m.withColumn("parent_id", F.when(F.col("msg_id") > 1, F.col("msg_id") - 1)).withColumn("score", F.lit(0.0))
 
 
@@ -98,17 +106,26 @@ def format_paths(paths: DataFrame) -> DataFrame:
     """
     role, text = _escape_role(text_or_empty(F.col("role"))), escape(text_or_empty(F.col("text")))
     p = paths.select("conv_id", "branch", "depth", (F.col("role") == "assistant").alias("learn"), role.alias("role"), text.alias("text"))
-    p = p.withColumn("piece", F.concat(F.lit(START), "role", F.lit("\n"), "text", F.lit(END)))
-    before = Window.partitionBy("conv_id", "branch").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
-    begin = F.coalesce(F.sum(F.length("piece").cast("long")).over(before), F.lit(0)) + len(START) + F.length("role") + 1
-    p = p.withColumn("begin", begin).withColumn("end", F.col("begin") + F.length("text"))
-    turns = p.groupBy("conv_id", "branch").agg(F.sort_array(F.collect_list(F.struct("depth", "piece", "learn", "begin", "end"))).alias("turns"))
-    spans = F.transform(F.filter("turns", lambda t: t["learn"]), lambda t: F.struct(t["begin"].alias("begin"), t["end"].alias("end")))
+    head = len(START) + F.length("role") + 1
+    p = p.select("conv_id", "branch", F.struct("depth", F.concat(F.lit(START), "role", F.lit("\n"), "text", F.lit(END)).alias("piece"), "learn", head.cast("long").alias("head")).alias("turn"))
+    turns = p.groupBy("conv_id", "branch").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+    begun = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<begin:bigint,end:bigint>>").alias("spans"))
+
+    def add(done: Column, t: Column) -> Column:
+        after = done["at"] + F.length(t["piece"])
+        span = F.struct((done["at"] + t["head"]).alias("begin"), (after - len(END)).alias("end"))
+        return F.struct(after.alias("at"), F.when(t["learn"], F.array_append(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
+
+    spans = F.aggregate("turns", begun, add)["spans"]
     return turns.select("conv_id", "branch", F.array_join(F.transform("turns", lambda t: t["piece"]), "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, turns (role, text) and loss_text, parsed from the formatted text and its spans."""
+    """conv_id, branch, formatted, turns (role, text) and loss_text, parsed from the formatted text and its spans.
+
+    Null roles and texts come back as empty ones. Repeated rows are each read, extra columns are
+    left out, an empty table gives an empty result.
+    """
     pieces = F.split("formatted", r"<\|im_end\|>\n", -1)
     pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
     body = F.transform(pieces, lambda x: F.substr(x, F.lit(len(START) + 1)))
