@@ -53,6 +53,25 @@ def test_bands_guarantee_retrieval():
             assert c["window"] - c["step"] >= words
 
 
+def test_the_bands_retrieve(spark):
+    """With one band a template is found only by texts that hold its smallest shingle."""
+    w = template_words(TEMPLATES["MPL-2.0"])
+    rows = [(i, " ".join(w[:i] + ["zz"] + w[i + 1 :]), "", "", 1) for i in range(len(w))] + [(900, " ".join(w), "", "", 1)]
+    docs = frame(spark, rows)
+    least = [r.n_licenses for r in license_scan(docs, probability=1e-9).orderBy("doc_id").collect()]
+    most = [r.n_licenses for r in license_scan(docs).orderBy("doc_id").collect()]
+    assert least[-1] == most[-1] == 1 and sum(least) < sum(most) == sum(brute(r[1])[1] for r in rows)
+
+
+def test_whole_licenses_in_long_texts(spark):
+    filler = " ".join(f"word{i}" for i in range(3000))
+    names = [n for n in TEMPLATES if len(template_words(TEMPLATES[n])) > 100]
+    assert len(names) >= 6
+    rows = [(i, f"{filler} {TEMPLATES[n]} {filler}", "", "", 1) for i, n in enumerate(names)]
+    got = {r.doc_id: r.licenses.split(",") for r in license_scan(frame(spark, rows)).collect()}
+    assert all(n in got[i] for i, n in enumerate(names))
+
+
 def test_short_templates_are_refused_and_empty_table(spark):
     with pytest.raises(ValueError):
         license_scan(frame(spark, []), {"x": "too short"})
