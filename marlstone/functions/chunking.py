@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed value: the boundaries a chunk may end at.
+#: Fixed value: the boundaries a chunk may end at; of two that start together the one named first counts.
 BOUNDARIES = ("\n\n", "\n", ". ", "! ", "? ", "؟ ", "; ", ": ", ", ")
+#: What the next chunk may start after, the best first.
+GAPS = ("\n\n", "\n", " ")
+SOLID = re.compile(r"\S(?:.*\S)?", re.DOTALL)
 
 
 @dataclass(frozen=True)
 class ChunkRules:
+    """``most`` characters a chunk (and one for a boundary that ends there), ``overlap`` with the next,
+    ``least`` characters before a boundary counts, which must lie in the last ``window`` characters."""
+
     most: int = 900
     overlap: int = 120
     least: int = 180
@@ -24,44 +33,61 @@ class ChunkRules:
             raise ValueError("chunks must be longer than their overlap")
 
 
-def chunk_spans(text: str, rules: ChunkRules) -> list[tuple[int, int]]:
-    """[start, end) of each chunk, in code points of ``text``."""
-    spans, at, size = [], 0, len(text)
-    while at < size and text.strip():
-        stop = _stop(text, at, rules)
-        piece = text[at:stop]
-        begin, end = at + len(piece) - len(piece.lstrip()), at + len(piece.rstrip())
-        if begin < end:
-            spans.append((begin, end))
-        if stop >= size:
-            break
-        at = _resume(text, at, stop, rules)
-    if len(spans) > 1 and spans[-1][1] - spans[-1][0] < rules.least and spans[-1][1] - spans[-2][0] <= rules.most:
-        spans[-2:] = [(spans[-2][0], spans[-1][1])]  # a short tail joins its neighbour where it fits
-    return spans
+class _Marks:
+    """All boundaries and gaps of a text, sorted by place in one scan each; lookups are binary searches."""
+
+    def __init__(self, text: str):
+        def places(mark: str) -> list[int]:
+            return [m.start() for m in re.finditer(f"(?={re.escape(mark)})", text)]
+
+        # of boundaries that start together the one named first comes last, so that a search from the right meets it
+        found = sorted((at, -rank, at + len(mark)) for rank, mark in enumerate(BOUNDARIES) for at in places(mark))
+        self.starts, self.ends = [f[0] for f in found], [f[2] for f in found]
+        self.gaps = [(len(mark), places(mark)) for mark in GAPS]
 
+    def cut(self, low: int, reach: int) -> int:
+        """End of the boundary that starts last in [low, reach] and ends by reach + 1; ``reach`` without one."""
+        for i in range(bisect_right(self.starts, reach) - 1, bisect_left(self.starts, low) - 1, -1):
+            if self.ends[i] <= reach + 1:
+                return self.ends[i]
+        return reach
 
-def _stop(text: str, at: int, rules: ChunkRules) -> int:
-    reach = at + rules.most
-    if reach >= len(text):
-        return len(text)
-    low = max(at + rules.least, reach - rules.window)
-    # the farthest start wins; of equal starts, the boundary named first
-    place, width = max(((text.rfind(b, low, reach + 1), -i) for i, b in enumerate(BOUNDARIES)), default=(-1, 0))
-    return place + len(BOUNDARIES[-width]) if place >= low else reach
+    def resume(self, low: int, high: int) -> int:
+        """End of the first gap in [low, high), the best kind there is; ``low`` without one."""
+        for width, places in self.gaps:
+            i = bisect_left(places, low)
+            if i < len(places) and places[i] + width <= high:
+                return places[i] + width
+        return low
 
 
-def _resume(text: str, at: int, stop: int, rules: ChunkRules) -> int:
-    low = max(stop - rules.overlap, at + 1)
-    for b in ("\n\n", "\n", " "):
-        place = text.find(b, low, min(stop + 1, len(text)))
-        if place >= 0:
-            return place + len(b)
-    return low
+def _windows(size: int, marks: _Marks, rules: ChunkRules) -> Iterator[tuple[int, int]]:
+    """[start, stop) of the windows over a text, each at least one character on from the last."""
+    start, stop = 0, 0
+    while stop < size:
+        reach = start + rules.most
+        stop = size if reach >= size else marks.cut(max(start + rules.least, reach - rules.window), reach)
+        yield start, stop
+        start = marks.resume(max(stop - rules.overlap, start + 1), min(stop + 1, size))
+
+
+def chunk_spans(text: str, rules: ChunkRules) -> list[tuple[int, int]]:
+    """[start, end) of each chunk, in code points of ``text``: windows without the white space at their ends.
+
+    A last chunk shorter than ``least`` joins the one before where both fit into ``most``. Blank
+    texts have no chunk.
+    """
+    solid = (SOLID.search(text, *window) for window in _windows(len(text), _Marks(text), rules))
+    spans = [m.span() for m in solid if m]
+    if len(spans) > 1:
+        (first, _), (tail, end) = spans[-2:]
+        if end - tail < rules.least and end - first <= rules.most:
+            spans[-2:] = [(first, end)]
+    return spans
 
 
 def chunks(text: Column, rules: ChunkRules = ChunkRules()) -> Column:
-    """array<struct<start, end, text>>."""
+    """array<struct<start, end, text>>; empty for null and blank texts."""
 
     @F.pandas_udf("array<struct<start:int,end:int,text:string>>")
     def cut(texts: pd.Series) -> pd.Series:
