@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -26,6 +27,8 @@ DOCUMENT_TYPES = (
     ("SPECIFICATION", ("cahier des charges", "terms of reference", " cdc ", "spécification")),
     ("CONTRACT", ("contrat", "contract", "avenant", "convention", "marché", "marche", "accord", "عقد", "اتفاقية")),
 )
+QUERY_STOP_WORDS = ("a", "au", "aux", "avec", "ce", "ces", "dans", "de", "des", "du", "elle", "en", "et", "il", "la", "le", "les", "leur", "leurs", "mais", "ou", "où", "par", "pour", "que", "qui", "sur", "un", "une", "the", "and", "for", "from", "into", "of", "to", "with", "يجب", "من", "في", "على", "إلى")
+GROUNDING_STOP_WORDS = ("avec", "dans", "pour", "sans", "sous", "plus", "moins", "entre", "ainsi", "afin", "cette", "leurs", "notre", "votre", "dont", "tout", "tous", "toute", "toutes", "être", "avoir", "faire", "mise", "place", "projet", "mission", "phase", "article", "contrat", "elaboration", "élaboration", "prestataire", "client", "banque", "the", "and", "from", "with", "this")
 ARABIC_MARKS = "[ؐ-ًؚ-ٰٟۖ-ۭـ]"
 ARABIC_FORMS = ("أإآٱىؤئ", "اااايوي")
 # ---------------------------------------------------------------------------------------------
@@ -49,6 +52,12 @@ def strip_marks(text: pd.Series) -> pd.Series:
     return text.map(fold)
 
 
+def folded(text: object, keep: str = "") -> str:
+    """``fold_key`` of a value on the driver, for aliases and other parameters."""
+    plain = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", "" if text is None else str(text)).casefold())
+    return " ".join(re.sub(f"[^a-z0-9{keep}]+", " ", "".join(c for c in plain if not unicodedata.combining(c))).split())
+
+
 def squeeze(text: Column) -> Column:
     """One space for each run of white space, none at the ends; no-break spaces count."""
     return F.trim(F.regexp_replace(text, r"[\s ]+", " "))
@@ -103,12 +112,24 @@ def clean_redacted(text: Column) -> Column:
 
 
 def redact(text: Column, rules: tuple[tuple[str, str], ...]) -> tuple[Column, dict[str, Column]]:
-    """The text with each pattern in turn replaced by ``[LABEL]``, and how often each was."""
-    counts = {}
+    """The text with each pattern in turn replaced by ``[LABEL]``, and how often each was.
+
+    Each pattern sees the text as the ones before left it; every step is made once, in a lambda,
+    instead of once for each later use.
+    """
+    state = F.struct(text.alias("text"), F.array().cast("array<bigint>").alias("counts"))
+
+    def masked(label: str, pattern: str):
+        return lambda s: F.struct(F.regexp_replace(s["text"], pattern, f"[{label}]").alias("text"), F.array_append(s["counts"], F.regexp_count(s["text"], F.lit(pattern)).cast("long")).alias("counts"))
+
     for label, pattern in rules:
-        counts[label] = F.regexp_count(text, F.lit(pattern)).cast("long")
-        text = F.regexp_replace(text, pattern, f"[{label}]")
-    return text, counts
+        state = _once(state, masked(label, pattern))
+    return state["text"], {label: F.get(state["counts"], i) for i, (label, _) in enumerate(rules)}
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value made once a row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 PAGE_RULES = (("EMAIL", EMAIL), ("IBAN", IBAN), ("MONETARY_AMOUNT", MONEY), ("PHONE_LIKE", PHONE))
@@ -120,25 +141,52 @@ def counts_map(counts: dict[str, Column]) -> Column:
 
 
 def redact_mapping(values: Column, keys: list[str]) -> Column:
+    """A map with the values of some keys (in any case) masked; of JSON texts see ``redact_json``."""
     return F.transform_values(values, lambda k, v: F.when(F.lower(k).isin([x.lower() for x in keys]), F.lit("[REDACTED]")).otherwise(v))
 
 
+def redact_json(text: Column, keys: list[str]) -> Column:
+    """A JSON text with the values of some keys masked at every depth; other texts become null."""
+    import json
+
+    named = frozenset(k.lower() for k in keys)
+
+    def masked(value):
+        if isinstance(value, dict):
+            return {k: "[REDACTED]" if k.lower() in named else masked(v) for k, v in value.items()}
+        return [masked(v) for v in value] if isinstance(value, list) else value
+
+    @F.pandas_udf("string")
+    def mask(texts: pd.Series) -> pd.Series:
+        def one(t):
+            try:
+                return None if t is None else json.dumps(masked(json.loads(t)), ensure_ascii=False)
+            except ValueError:
+                return None
+
+        return texts.map(one)
+
+    return mask(text)
+
+
 def count_words(text: Column, listed: tuple[str, ...]) -> Column:
     found = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
     return F.size(F.filter(found, lambda w: w.isin(*listed)))
 
 
 def page_language(text: Column) -> Column:
-    """fr, en, ar, fr-ar, en-ar or und, by share of scripts and stop words."""
+    """fr, en, ar, fr-ar, en-ar or und, by share of scripts and stop words; the words are read once."""
     arabic, latin = F.regexp_count(text, F.lit(r"\p{IsArabic}")), F.regexp_count(text, F.lit(r"\p{IsLatin}"))
     letters = F.greatest(arabic + latin, F.lit(1))
-    language = F.when(count_words(text, FRENCH_WORDS) >= count_words(text, ENGLISH_WORDS), "fr").otherwise("en")
-    return (
-        F.when((arabic / letters >= 0.18) & (latin / letters >= 0.18), F.concat(language, F.lit("-ar")))
-        .when(arabic / letters >= 0.55, "ar")
-        .when(latin / letters >= 0.40, language)
-        .otherwise("und")
-    )
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+    lead = F.aggregate(found, F.lit(0), lambda n, w: n + F.when(w.isin(*FRENCH_WORDS), 1).otherwise(0) - F.when(w.isin(*ENGLISH_WORDS), 1).otherwise(0))
+    shares = F.struct((arabic / letters).alias("a"), (latin / letters).alias("l"), F.when(lead >= 0, "fr").otherwise("en").alias("word"))
+
+    def named(s: Column) -> Column:
+        both = (s["a"] >= 0.18) & (s["l"] >= 0.18)
+        return F.when(both, F.concat(s["word"], F.lit("-ar"))).when(s["a"] >= 0.55, "ar").when(s["l"] >= 0.40, s["word"]).otherwise("und")
+
+    return _once(shares, named)
 
 
 def brief_language(text: Column) -> Column:
@@ -197,17 +245,43 @@ def excerpt(text: Column, most: int) -> Column:
     return F.substring(text, 1, most)
 
 
-def term_coverage(query_tokens: Column, evidence_tokens: Column) -> Column:
-    """Share of the distinct query tokens that the evidence has; 0 without any."""
-    q = F.array_distinct(query_tokens)
-    return F.when(F.size(q) > 0, F.size(F.array_intersect(q, evidence_tokens)) / F.size(q)).otherwise(0.0)
+def query_terms(text: Column, stop_words: tuple[str, ...] = QUERY_STOP_WORDS) -> Column:
+    """Distinct folded words of two characters or more that are no stop words, in order of the text."""
+    stop = frozenset(stop_words)
+    words = re.compile(r"[\wÀ-ÿ]+")
 
+    @F.pandas_udf("array<string>")
+    def found(texts: pd.Series) -> pd.Series:
+        known: dict[str, str] = {}  # of one batch
 
-def grounding_score(target: Column, evidence: Column, most: int = 60) -> Column:
-    """Shared words of four letters or more over at most ``most`` of the target's."""
+        def key(word: str) -> str:
+            if word not in known:
+                known[word] = folded(word)
+            return known[word]
+
+        def terms(t: str | None) -> list[str]:
+            return [k for k in dict.fromkeys(key(w) for w in words.findall(t or "")) if len(k) >= 2 and k not in stop]
+
+        return texts.map(terms)
+
+    return found(text)
+
+
+def term_coverage(wanted: Column, held: Column) -> Column:
+    """Share of the query's terms (``query_terms``) that the evidence has; 0 without any."""
+    q = F.array_distinct(wanted)
+    return F.when(F.size(q) > 0, F.size(F.array_intersect(q, held)) / F.size(q)).otherwise(0.0)
+
+
+def grounding_score(target: Column, evidence: Column, most: int = 60, stop_words: tuple[str, ...] = GROUNDING_STOP_WORDS) -> Column:
+    """Shared words of four letters or more over at most ``most`` of the target's; stop words don't count.
+
+    Names that occur in every text, such as the owner's own, belong to ``stop_words``, too.
+    """
 
     def long_words(t):
-        return F.array_distinct(F.regexp_extract_all(F.lower(t), F.lit(r"([\p{L}]{4,})"), F.lit(1)))
+        found = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))), F.lit(r"([\p{L}]{4,})"), F.lit(1)))
+        return F.array_except(found, F.array(*map(F.lit, stop_words)))
 
     a = long_words(target)
     shared = F.size(F.array_intersect(a, long_words(evidence)))
@@ -219,10 +293,44 @@ def mission_title(text: Column, fallback: Column) -> Column:
     return F.when(F.length(head).between(20, 180), head).otherwise(fallback)
 
 
-def labelled_lines(facets: dict[str, Column], head: Column, body: Column, per_facet: int = 3, per_value: int = 120, per_line: int = 200) -> Column:
-    """Retrieval text: a head line, a line per non-empty facet, and the body."""
+def labelled_lines(facets: dict[str, Column], head: Column, body: Column, per_facet: int = 3, per_value: int = 120, per_line: int = 200, per_head: int = 700) -> Column:
+    """Retrieval text: a head line, a line per non-empty facet, and the body.
+
+    Head and facet lines together take ``per_head`` characters at most.
+    """
     lines = []
     for label, values in facets.items():
         cut = F.transform(F.slice(F.filter(values, lambda v: v != ""), 1, per_facet), lambda v: F.substring(v, 1, per_value))
         lines.append(F.when(F.size(cut) > 0, F.substring(F.concat(F.lit(f"{label}: "), F.array_join(cut, "; ")), 1, per_line)))
-    return F.concat_ws("\n", head, *lines, body)
+    return F.concat_ws("\n", F.substring(F.concat_ws("\n", head, *lines), 1, per_head), body)
+
+
+def clean_scalar(value: Column, kind: str = "string") -> Column:
+    """A cell as text: null empty, booleans in lower case, dates as ISO, whole numbers without a fraction."""
+    if kind == "boolean":
+        out = F.when(value, "true").otherwise("false")
+    elif kind in ("double", "float"):
+        out = F.when(value == F.floor(value), F.floor(value).cast("string")).otherwise(value.cast("string"))
+    elif kind == "timestamp":
+        out = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+    elif kind == "date":
+        out = F.date_format(value, "yyyy-MM-dd")
+    else:
+        out = nfkc(value.cast("string"))
+    return F.when(value.isNull(), "").otherwise(F.trim(F.regexp_replace(out, r"\s+", " ")))
+
+
+def citation_label(file_name: Column, page: Column) -> Column:
+    return F.concat(file_name, F.lit(" — page "), page.cast("int").cast("string"))
+
+
+def citation_uri(document_id: Column, page: Column, base: str) -> Column:
+    """``base`` names the store, with ``{id}`` where the document's id goes."""
+    before, after = base.split("{id}")
+    return F.concat(F.lit(before), document_id.cast("string"), F.lit(after), F.lit("#page="), page.cast("int").cast("string"))
+
+
+def metadata_line(facets: dict[str, Column], per_facet: int = 4, most: int = 1000) -> Column:
+    """``Label: v, v | Label: v`` of the facets that have values, cut to ``most`` characters."""
+    parts = [F.when(F.size(v) > 0, F.concat(F.lit(f"{label}: "), F.array_join(F.slice(v, 1, per_facet), ", "))) for label, v in facets.items()]
+    return F.substring(F.concat_ws(" | ", *parts), 1, most)

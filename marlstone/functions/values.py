@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import fold_key, folded
+
 YEAR = r"\b((?:19|20)\d{2})\b"
 
 
@@ -15,10 +17,9 @@ def years(text: Column) -> Column:
 def year_interval(text: Column, ongoing_tokens: list[str], first: int = 1990, last: int = 2035) -> dict[str, Column]:
     """year_start, year_end, ongoing, project_status of a free text; ongoing projects end in ``last``."""
     found = F.filter(years(text), lambda y: y.between(first, last))
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    ongoing = F.lit(False)
+    plain, ongoing = fold_key(text), F.lit(False)
     for t in ongoing_tokens:
-        ongoing = ongoing | lowered.contains(t)
+        ongoing = ongoing | plain.contains(folded(t))
     return {
         "year_start": F.array_min(found),
         "year_end": F.when(ongoing, last).otherwise(F.array_max(found)),
@@ -27,6 +28,17 @@ def year_interval(text: Column, ongoing_tokens: list[str], first: int = 1990, la
     }
 
 
+def year_bounds(text: Column, unknown: str) -> Column:
+    """struct<first, last>: the first and last year of a text in its order, or a placeholder."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(YEAR), F.lit(1))
+    return F.when(F.size(found) > 0, F.struct(F.get(found, 0).alias("first"), F.element_at(found, -1).alias("last"))).otherwise(F.struct(F.lit(unknown).alias("first"), F.lit(unknown).alias("last")))
+
+
+def latest_recency(text: Column, reference_year: int) -> Column:
+    """Recency of the latest year that a free text names."""
+    return recency(F.array_max(years(text)), reference_year)
+
+
 def recency(year_end: Column, reference_year: int) -> Column:
     age = reference_year - F.least(year_end, F.lit(reference_year))
     return F.when(year_end.isNull(), 0.25).otherwise(F.greatest(F.lit(0.0), 1 - age / 20.0))
@@ -64,16 +76,31 @@ def json_values(text: Column) -> Column:
     return first_seen(F.filter(F.transform(listed, lambda v: F.trim(F.regexp_replace(F.coalesce(v, F.lit("")), r"\s+", " "))), lambda v: v != ""))
 
 
+def json_list(text: Column) -> Column:
+    """The values of a JSON list as trimmed strings, blanks left out, repeats kept; a bare value is a list of one."""
+    listed = F.coalesce(F.from_json(text, "array<string>"), F.array(text))
+    return F.filter(F.transform(listed, lambda v: F.trim(F.coalesce(v, F.lit("")))), lambda v: v != "")
+
+
+def holds_all(held: Column, needed: list[str]) -> Column:
+    """Whether an array has all of some values."""
+    return F.size(F.array_except(F.array(*map(F.lit, needed)), held)) == 0 if needed else F.lit(True)
+
+
 def tags(text: Column, taxonomy: dict[str, list[str]]) -> Column:
-    """Sorted tags with an alias anywhere in the text."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    found = []
-    for tag, aliases in sorted(taxonomy.items()):
-        hit = F.lit(False)
-        for a in aliases:
-            hit = hit | lowered.contains(a.lower())
-        found.append(F.when(hit, F.lit(tag)))
-    return F.array_compact(F.array(*found))
+    """Sorted tags with an alias anywhere in the text, both folded; the text is folded once."""
+    rules = [(tag, [folded(a) for a in aliases]) for tag, aliases in sorted(taxonomy.items())]
+
+    def held(plain: Column) -> Column:
+        found = []
+        for tag, aliases in rules:
+            hit = F.lit(False)
+            for a in aliases:
+                hit = hit | plain.contains(a)
+            found.append(F.when(hit, F.lit(tag)))
+        return F.array_compact(F.array(*found))
+
+    return F.get(F.transform(F.array(fold_key(text)), held), 0)
 
 
 def truthy(value: Column) -> Column:
