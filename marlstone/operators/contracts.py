@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +46,30 @@ def issue_rows(df: DataFrame, key: str, checks: dict[str, tuple[str, object]]) -
     """(key, issue, severity) for each check whose condition holds; one pass over the table."""
     found = [F.when(condition, F.struct(F.lit(name).alias("issue"), F.lit(severity).alias("severity"))) for name, (severity, condition) in checks.items()]
     return df.select(key, F.explode(F.array_compact(F.array(*found))).alias("i")).select(key, "i.issue", "i.severity")
+
+
+def same_keys(a: DataFrame, b: DataFrame, key: str) -> bool:
+    """Whether two tables hold the same keys, each once in each: rows that belong together are joined, never counted off."""
+    require_unique(a, [key])
+    require_unique(b, [key])
+    return a.join(b, key, "left_anti").isEmpty() and b.join(a, key, "left_anti").isEmpty()
+
+
+def require_same_keys(tables: dict[str, DataFrame], key: str) -> None:
+    """Refuses an index, vectors and chunks that do not cover the same rows."""
+    (first_name, first), *others = tables.items()
+    for name, table in others:
+        if not same_keys(first, table, key):
+            raise EngineError(f"{name} and {first_name} do not hold the same {key}")
+
+
+def safe_target(path: str, root: str, forbidden: list[str] = ()) -> str:
+    """The real path of a write target; one outside ``root`` or inside a forbidden folder is refused."""
+    target, base = os.path.realpath(os.path.expanduser(path)), os.path.realpath(root)
+
+    def within(folder: str) -> bool:
+        return os.path.commonpath([target, os.path.realpath(folder)]) == os.path.realpath(folder)
+
+    if not within(base) or any(within(f) for f in forbidden):
+        raise EngineError(f"not a place to write to: {target}")
+    return target

@@ -7,12 +7,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .contracts import EngineError, require_unique
 
-def ranking_metrics(rankings: DataFrame, grades: DataFrame, keys: list[str] = ("mode", "query_id")) -> DataFrame:
+
+def ranking_metrics(rankings: DataFrame, grades: DataFrame, keys: list[str] = ("mode", "query_id"), asked: DataFrame | None = None) -> DataFrame:
     """Recall@10, precision@5, MRR and nDCG@10 per query and mode; NULL (precision 0) without a relevant item.
 
     ``rankings``: keys, id, rank. ``grades``: query_id, id, grade; relevant from grade 1, gain 2^grade - 1.
+    Every query of ``asked`` (keys) has a row, also one that no hit came back for; without
+    ``asked``, every query that is ranked or graded, in every mode that ranks any.
     """
+    keys = list(keys)
+    if asked is None:
+        others = [k for k in keys if k != "query_id"]
+        queries = grades.select("query_id").unionByName(rankings.select("query_id")).distinct()
+        modes = rankings.agg(F.collect_set(F.struct(*others)).alias("modes")) if others else None  # one row
+        asked = queries if modes is None else queries.join(F.broadcast(modes)).select("query_id", F.inline("modes"))
     graded = grades.groupBy("query_id").agg(F.count_if(F.col("grade") >= 1).alias("relevant"), F.slice(F.sort_array(F.collect_list(F.pow(F.lit(2.0), "grade") - 1), asc=False), 1, 10).alias("ideal"))
     best = F.aggregate(F.transform("ideal", lambda g, i: g / F.log2(i + F.lit(2.0))), F.lit(0.0), lambda s, x: s + x)
     ranked = rankings.join(grades, ["query_id", "id"], "left")
@@ -23,13 +33,13 @@ def ranking_metrics(rankings: DataFrame, grades: DataFrame, keys: list[str] = ("
         F.min(F.when(hit, rank)).alias("first"),
         F.sum(F.when(rank <= 10, (F.pow(F.lit(2.0), F.coalesce("grade", F.lit(0))) - 1) / F.log2(rank + F.lit(1.0)))).alias("dcg"),
     )
-    m = found.join(graded, "query_id", "left").withColumn("best", best)
+    m = asked.select(*keys).distinct().join(found, keys, "left").join(graded, "query_id", "left").withColumn("best", best)
     answerable = F.coalesce(F.col("relevant"), F.lit(0)) > 0
     return m.select(
         *keys,
         answerable.alias("answerable"),
-        F.when(answerable, F.col("hits10") / F.col("relevant")).alias("recall_at_10"),
-        F.when(answerable, F.col("hits5") / 5.0).otherwise(0.0).alias("precision_at_5"),
+        F.when(answerable, F.coalesce("hits10", F.lit(0)) / F.col("relevant")).alias("recall_at_10"),
+        F.when(answerable, F.coalesce("hits5", F.lit(0)) / 5.0).otherwise(0.0).alias("precision_at_5"),
         F.when(answerable, F.coalesce(1.0 / F.col("first"), F.lit(0.0))).alias("mrr"),
         F.when(answerable & (F.col("best") > 0), F.coalesce("dcg", F.lit(0.0)) / F.col("best")).alias("ndcg_at_10"),
     )
@@ -56,18 +66,48 @@ def paired_bootstrap(metrics: DataFrame, value: str, a: str, b: str, draws: int
     """Mean difference of two modes over shared queries with a 95% interval; one row.
 
     ``metrics``: mode, query_id and ``value``, a row per query and mode of an evaluation set.
+    Draws are made a hundred at a time, so memory grows with the queries alone.
     """
     wide = metrics.groupBy("query_id").pivot("mode", [a, b]).agg(F.first(value)).dropna(subset=[a, b])
 
     def resample(rows: pd.DataFrame) -> pd.DataFrame:
         d = (rows.sort_values("query_id")[a] - rows.sort_values("query_id")[b]).to_numpy()
-        picks = np.random.default_rng(seed).integers(0, len(d), (draws, len(d)))
-        low, high = np.percentile(d[picks].mean(1), [2.5, 97.5])
+        rng = np.random.default_rng(seed)
+        means = [d[rng.integers(0, len(d), (min(100, draws - i), len(d)))].mean(1) for i in range(0, draws, 100)]
+        low, high = np.percentile(np.concatenate(means), [2.5, 97.5])
         return pd.DataFrame({"difference": [d.mean()], "low": [low], "high": [high], "queries": [len(d)]})
 
     return wide.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(lambda rows: resample(rows), "difference double, low double, high double, queries long")
 
 
+def labelled_pairs(first: DataFrame, second: DataFrame, keys: list[str] = ("query_id", "candidate_id"), value: str = "relevance") -> DataFrame:
+    """Two labelers' grades side by side: keys, ``value``_1, ``value``_2, agreement; one row of each for every key.
+
+    A key that one of them has and the other has not, or has twice, is refused.
+    """
+    keys = list(keys)
+    a = require_unique(first, keys).select(*keys, F.col(value).alias(f"{value}_1"))
+    b = require_unique(second, keys).select(*keys, F.col(value).alias(f"{value}_2"))
+    if not (a.join(b, keys, "left_anti").isEmpty() and b.join(a, keys, "left_anti").isEmpty()):
+        raise EngineError("the labelers did not grade the same rows")
+    return a.join(b, keys).withColumn("agreement", F.col(f"{value}_1") == F.col(f"{value}_2"))
+
+
+def final_grades(pairs: DataFrame, adjudicated: DataFrame, keys: list[str] = ("query_id", "candidate_id"), value: str = "relevance") -> DataFrame:
+    """keys, grade: what both labelers say, else what the adjudication says; an open disagreement is refused."""
+    keys = list(keys)
+    ruled = require_unique(adjudicated, keys).select(*keys, F.col(value).alias("_ruled"))
+    out = pairs.join(ruled, keys, "left").select(*keys, F.when(F.col("agreement"), F.col(f"{value}_1")).otherwise(F.col("_ruled")).alias("grade"))
+    if not out.where("grade IS NULL").isEmpty():
+        raise EngineError("a disagreement has not been adjudicated")
+    return out
+
+
+def status_counts(rows: DataFrame, column: str, listed: list[str]) -> DataFrame:
+    """One row: total, and a count of each listed status."""
+    return rows.agg(F.count("*").alias("total"), *[F.count_if(F.trim(column) == s).alias(s) for s in listed])
+
+
 def gate(values: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     """(metric, value, threshold, passed) of one row of metrics."""
     rows = F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).cast("double").alias("value"), F.lit(float(t)).alias("threshold"), F.coalesce(F.col(k) >= t, F.lit(False)).alias("passed")) for k, t in thresholds.items()])

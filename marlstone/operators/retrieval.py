@@ -6,12 +6,12 @@ document can be ranked. Only postings of query terms are counted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..functions.values import dot
-from .contracts import NotAuthorized
+from .contracts import EngineError, NotAuthorized
 
 
 def authorized(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
@@ -28,58 +28,157 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, folded: bool = False) -
     return t.withColumn("length", F.size("terms"))
 
 
+def _idf(n, df):
+    return F.log(1 + (n - df + 0.5) / (df + 0.5))
+
+
 def term_statistics(docs: DataFrame) -> DataFrame:
     """(term, df, cf, idf) of a tokenized corpus; idf = ln(1 + (N - df + 0.5) / (df + 0.5))."""
     n = docs.agg(F.count("*").alias("n"))
-    counted = docs.select("id", F.explode("terms").alias("term")).groupBy("term").agg(F.count_distinct("id").alias("df"), F.count("*").alias("cf"))
-    return counted.join(F.broadcast(n)).select("term", "df", "cf", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    each = docs.select("id", F.explode("terms").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))  # combined in the map task of the document
+    counted = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return counted.join(F.broadcast(n)).select("term", "df", "cf", _idf(F.col("n"), F.col("df")).alias("idf"))
 
 
-def bm25_scores(docs: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, id, score) of every document that holds a query term.
+#: Query terms up to this number go to every task; more are joined by a shuffle.
+MOST_QUERY_TERMS = 1_000_000
 
-    ``docs`` and ``queries`` are tokenized (id, terms, length). A repeated query term counts as
-    often as it is repeated. Scores are rounded to six digits, so that equal texts tie whatever the
-    order of their sums.
+
+class Bm25Index:
+    """Postings, terms and lengths of a corpus as Parquet tables, built once and read by every search.
+
+    ``postings``: term, id, tf, length, sorted by term within files dealt by its hash, so that row
+    group statistics skip what no query asks for. ``terms``: term, df, cf, idf. ``facts``: one row.
     """
-    terms = queries.select(F.col("id").alias("query_id"), F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-    wanted = terms.select("term").distinct()
-    postings = docs.select("id", "length", F.explode("terms").alias("term")).join(wanted, "term", "left_semi").groupBy("id", "length", "term").agg(F.count("*").alias("tf"))
-    totals = docs.agg(F.count("*").alias("n"), F.avg("length").alias("mean"))  # one row
-    stats = postings.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(totals)).select("term", "mean", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    weighted = postings.join(stats, "term")
-    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
-    # each posting's weight once; queries then only add
-    return weighted.select("id", "term", part.alias("part")).join(terms, "term").groupBy("query_id", "id").agg(F.round(F.sum(F.col("qtf") * F.col("part")), 6).alias("score"))
+
+    TABLES = ("postings", "terms", "facts")
+
+    def __init__(self, postings: DataFrame, terms: DataFrame, facts: DataFrame):
+        self.postings, self.terms, self.facts = postings, terms, facts
+
+    @classmethod
+    def of(cls, docs: DataFrame, k1: float = 1.2, b: float = 0.75) -> Bm25Index:
+        """Plans over a tokenized corpus (id, terms, length); nothing is stored."""
+        postings = docs.select("id", "length", F.explode("terms").alias("term")).groupBy("id", "length", "term").agg(F.count("*").alias("tf"))
+        facts = docs.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), F.count_if(F.col("length") == 0).alias("empty")).withColumns({"k1": F.lit(float(k1)), "b": F.lit(float(b))})
+        counted = postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+        terms = counted.join(F.broadcast(facts.select("n"))).select("term", "df", "cf", _idf(F.col("n"), F.col("df")).alias("idf"))
+        return cls(postings.select("term", "id", "tf", "length"), terms, facts)
+
+    @classmethod
+    def build(cls, docs: DataFrame, path: str, refuse_empty: bool = False, **bm25) -> Bm25Index:
+        """Writes the index below ``path`` and reads it back; a corpus without documents is refused.
+
+        With ``refuse_empty`` a document without a term is refused, too; else it has no posting.
+        """
+        planned = cls.of(docs, **bm25)
+        planned.postings.repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+        stored = docs.sparkSession.read.parquet(f"{path}/postings")
+        planned.facts.write.mode("overwrite").parquet(f"{path}/facts")
+        facts = docs.sparkSession.read.parquet(f"{path}/facts")
+        counted = stored.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+        terms = counted.join(F.broadcast(facts.select("n"))).select("term", "df", "cf", _idf(F.col("n"), F.col("df")).alias("idf"))
+        terms.write.mode("overwrite").parquet(f"{path}/terms")
+        one = facts.first()
+        if not one.n or (refuse_empty and one.empty):
+            raise EngineError("the corpus is empty or holds a document without a term")
+        return cls.load(docs.sparkSession, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Bm25Index:
+        return cls(*(spark.read.parquet(f"{path}/{t}") for t in cls.TABLES))
+
+    def problems(self) -> DataFrame:
+        """(check, rows) of every invariant that does not hold; empty for a sound index."""
+        one = F.broadcast(self.facts)
+        found = self.postings.groupBy("term").agg(F.count("*").alias("_df"), F.sum("tf").alias("_cf"), F.count_distinct("id").alias("_ids"))
+        terms = self.terms.join(found, "term", "full").join(one)
+        finite = F.coalesce(F.col("idf").isNotNull() & ~F.isnan("idf") & (F.abs("idf") < 1e300), F.lit(False))
+        checks = {
+            "TERM_COUNTS": ~F.coalesce((F.col("df") == F.col("_df")) & (F.col("cf") == F.col("_cf")) & (F.col("_ids") == F.col("_df")), F.lit(False)),
+            "DOCUMENT_FREQUENCY": ~F.coalesce(F.col("df").between(1, F.col("n")), F.lit(False)),
+            "IDF": ~finite,
+        }
+        of_terms = terms.agg(*[F.count_if(c).alias(k) for k, c in checks.items()])
+        sums = self.postings.groupBy("id").agg(F.sum("tf").alias("s"), F.min("length").alias("low"), F.max("length").alias("high"))
+        of_docs = sums.agg(F.count_if((F.col("s") != F.col("low")) | (F.col("low") != F.col("high"))).alias("LENGTHS"), F.count("*").alias("_docs"))
+        total = of_docs.join(one).select("LENGTHS", (F.col("_docs") + F.col("empty") != F.col("n")).cast("long").alias("DOCUMENTS"))
+        listed = [F.struct(F.lit(k).alias("check"), F.col(k).alias("rows")) for k in (*checks, "LENGTHS", "DOCUMENTS")]
+        return of_terms.join(F.broadcast(total)).select(F.inline(F.array(*listed))).where("rows > 0")
+
+    def verify(self) -> Bm25Index:
+        if bad := self.problems().collect():
+            raise EngineError(f"the index is unsound: {', '.join(f'{r.check} {r.rows}' for r in bad)}")
+        return self
+
+    def scores(self, queries: DataFrame, allowed_ids: DataFrame | None = None) -> DataFrame:
+        """(query_id, id, score) of every document, of ``allowed_ids`` (id) if given, that holds a query term.
+
+        ``queries`` is tokenized (id, terms, length). A repeated query term counts as often as it is
+        repeated. Scores are rounded to six digits, so that equal texts tie whatever the order of
+        their sums. Authorization comes before weighing; statistics are those of all documents.
+        """
+        asked = queries.select(F.col("id").alias("query_id"), F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
+        weighted = asked.join(self.terms.select("term", "idf"), "term")
+        each = weighted.groupBy("term").agg(F.first("idf").alias("idf"), F.collect_list(F.struct("query_id", "qtf")).alias("asking"))
+        each = each.join(F.broadcast(self.facts))
+        few = queries.agg(F.sum("length")).first()[0] or 0
+        each = F.broadcast(each) if few <= MOST_QUERY_TERMS else each  # at most one row and one pair for each query word
+        postings = self.postings
+        if allowed_ids is not None:
+            postings = postings.join(allowed_ids.select("id").distinct(), "id", "left_semi")
+        hits = postings.join(each, "term")
+        part = F.col("idf") * F.col("tf") * (F.col("k1") + 1) / (F.col("tf") + F.col("k1") * (1 - F.col("b") + F.col("b") * F.col("length") / F.greatest(F.col("mean"), F.lit(1e-9))))
+        # each posting's weight once; queries then only add
+        parts = hits.select("id", part.alias("part"), F.explode("asking").alias("q"))
+        return parts.groupBy(F.col("q.query_id").alias("query_id"), "id").agg(F.round(F.sum(F.col("q.qtf") * F.col("part")), 6).alias("score"))
+
+
+def bm25_scores(docs: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """``Bm25Index.scores`` of a tokenized corpus that has no stored index: only postings of query terms are counted."""
+    wanted = queries.select(F.explode("terms").alias("term")).distinct()
+    index = Bm25Index.of(docs, k1, b)
+    kept = index.postings.join(wanted, "term", "left_semi")
+    return Bm25Index(kept, index.terms.join(wanted, "term", "left_semi"), index.facts).scores(queries)
 
 
 def top_ranked(scores: DataFrame, limit: int, group: str = "query_id", id_col: str = "id") -> DataFrame:
-    """Adds ``rank`` (from 1) by falling score, then id; at most ``limit`` rows of each group."""
+    """Adds ``rank`` (from 1) by falling score, then id; at most ``limit`` rows of each group.
+
+    Scores that are null, NaN or infinite are dropped.
+    """
     order = Window.partitionBy(group).orderBy(F.desc("score"), id_col)
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+    finite = scores.where(~F.isnan("score") & (F.abs("score") != float("inf")))
+    return finite.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
-def lexical_top(docs: DataFrame, queries: DataFrame, allowed_ids: DataFrame, limit: int, positive_only: bool = False, **bm25) -> DataFrame:
-    """Top documents per query among ``allowed_ids`` (id).
+def lexical_top(docs: DataFrame | Bm25Index, queries: DataFrame, allowed_ids: DataFrame, limit: int, positive_only: bool = False, **bm25) -> DataFrame:
+    """Top documents per query among ``allowed_ids`` (id); ``docs``: a tokenized corpus or its index.
 
     As in exhaustive scoring, documents without a query term score 0 and fill up a short list
     in order of id. Only the ``limit`` smallest allowed ids can do so.
     """
-    scored = bm25_scores(docs, queries, **bm25).join(allowed_ids.select("id"), "id", "left_semi").where("score > 0")
+    if isinstance(docs, Bm25Index):
+        scored = docs.scores(queries, allowed_ids).where("score > 0")
+    else:
+        scored = bm25_scores(docs, queries, **bm25).join(allowed_ids.select("id"), "id", "left_semi").where("score > 0")
+    best = top_ranked(scored, limit)
     if positive_only:
-        return top_ranked(scored, limit)
-    best = top_ranked(scored, limit).drop("rank")
-    fill = allowed_ids.select("id").orderBy("id").limit(limit)  # limit rows
-    zero = queries.select(F.col("id").alias("query_id")).join(F.broadcast(fill)).join(scored.select("query_id", "id"), ["query_id", "id"], "left_anti")
-    return top_ranked(best.unionByName(zero.withColumn("score", F.lit(0.0))), limit)
+        return best
+    fill = allowed_ids.select("id").distinct().orderBy("id").limit(limit)  # limit rows
+    zero = queries.select(F.col("id").alias("query_id")).join(F.broadcast(fill))
+    # a filler that has a score below the best ``limit`` is not needed: those fill the list already
+    short = best.groupBy("query_id").agg(F.count("*").alias("n"), F.collect_set("id").alias("held"))
+    zero = zero.join(short, "query_id", "left").where("n IS NULL OR (n < %d AND NOT array_contains(held, id))" % limit)
+    return top_ranked(best.drop("rank").unionByName(zero.select("query_id", "id", F.lit(0.0).alias("score"))), limit)
 
 
 def dense_scores(vectors: DataFrame, queries: DataFrame, block: int = 4096, most_broadcast: int = 16_384) -> DataFrame:
     """(query_id, id, score): exact inner products of all vectors with a stated set of queries.
 
-    ``vectors``: id, embedding. ``queries``: query_id, query_vector. Queries are held in arrays
-    of about ``block``. Up to ``most_broadcast`` of them go to every task; beyond that number
-    each vector is sent to every block instead.
+    ``vectors``: id, embedding and any other columns, which come along. ``queries``: query_id,
+    query_vector. Queries are held in arrays of about ``block``. Up to ``most_broadcast`` of them
+    go to every task; beyond that number each vector is sent to every block instead.
     """
     n = queries.count()
     count = max(1, -(-n // block))
@@ -89,8 +188,9 @@ def dense_scores(vectors: DataFrame, queries: DataFrame, block: int = 4096, most
         pairs = vectors.join(F.broadcast(blocks))
     else:
         pairs = vectors.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(blocks, "_b")
-    pairs = pairs.select("id", "embedding", F.explode("qs").alias("q"))
-    return pairs.select(F.col("q.query_id").alias("query_id"), "id", dot(F.col("embedding"), F.col("q.query_vector")).alias("score"))
+    others = [c for c in vectors.columns if c not in ("id", "embedding")]
+    pairs = pairs.select("id", "embedding", *others, F.explode("qs").alias("q"))
+    return pairs.select(F.col("q.query_id").alias("query_id"), "id", *others, dot(F.col("embedding"), F.col("q.query_vector")).alias("score"))
 
 
 def reciprocal_rank_fusion(rankings: list[tuple[DataFrame, float]], k: int = 60) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import term_coverage
+from ..functions.text import fold_search, query_terms, term_coverage
 from . import evaluation, matching, retrieval
 from .contracts import EngineError
 
@@ -49,16 +49,18 @@ def encoded(df: DataFrame, text: str, encoder: Encoder, kind: str = "passage", n
     return df.withColumn(name, encode(F.col(text)))
 
 
-def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mode: str = "hybrid", limit: int = 10, hard: Column | None = None, pool: int = 100, weights: tuple[float, float] = (0.5, 0.5), k: int = 60, documents: DataFrame | None = None) -> DataFrame:
+def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mode: str = "hybrid", limit: int = 10, hard: Column | None = None, pool: int = 100, weights: tuple[float, float] = (0.5, 0.5), k: int = 60, documents: DataFrame | None = None, index: retrieval.Bm25Index | None = None) -> DataFrame:
     """(query_id, id, score, rank) over ``chunks``: id, document_id, text, embedding, security_classification.
 
     ``queries``: id, text, query_vector. Authorization, hard filters and ``documents``
     (document_id: those that may be found) hold before ranking; term statistics are those of all
-    chunks. ``limit`` 0 means the default of 10.
+    chunks. ``index``: a stored one of all chunks, else postings are made anew. In hybrid mode each
+    retriever gives max(``pool``, ``limit``) chunks. ``limit`` 0 means the default of 10.
     """
     if mode not in MODES:
         raise EngineError(f"unknown mode {mode}")
     limit = limit or 10
+    pool = max(pool, limit)
     may = retrieval.authorized(chunks, "security_classification", allowed)
     if hard is not None:
         may = may.where(hard)
@@ -66,7 +68,8 @@ def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mod
         may = may.join(documents.select("document_id").distinct(), "document_id", "left_semi")
     lexical = dense = None
     if mode != "dense":
-        lexical = retrieval.lexical_top(retrieval.tokenized(chunks, "id", "text"), retrieval.tokenized(queries, "id", "text"), may.select("id"), pool if mode == "hybrid" else limit)
+        corpus = index or retrieval.tokenized(chunks, "id", "text")
+        lexical = retrieval.lexical_top(corpus, retrieval.tokenized(queries, "id", "text"), may.select("id"), pool if mode == "hybrid" else limit)
     if mode != "bm25":
         asked = queries.select(F.col("id").alias("query_id"), "query_vector")
         dense = retrieval.top_ranked(retrieval.dense_scores(may.select("id", "embedding"), asked), pool if mode == "hybrid" else limit)
@@ -81,19 +84,22 @@ def search_documents(chunks: DataFrame, queries: DataFrame, allowed: list[str],
     return retrieval.roll_up(found.join(chunks.select("id", "document_id"), "id"), limit)
 
 
-def match(chunks: DataFrame, requirements: DataFrame, references: DataFrame, allowed: list[str], score_share: float = 0.8, limit: int = 100, pool: int = 100, **options) -> DataFrame:
+def match(chunks: DataFrame, requirements: DataFrame, references: DataFrame, allowed: list[str], score_share: float = 0.8, limit: int = 100, **options) -> DataFrame:
     """Evidence rows of all requirements in one plan: reference_id, requirement_id, chunk_id, scores, rank.
 
     ``requirements``: id, text, query_vector. ``references``: reference_id, document_id, those
     eligible. Of each requirement the ``limit`` best chunks of their documents are candidates.
     These fan out to the references of their document, are reranked by scaled score and term
-    coverage, and three stay for each (reference, requirement).
+    coverage, and three stay for each (reference, requirement). Term coverage compares folded words
+    without stop words; only texts of candidates are folded.
     """
-    found = search_chunks(chunks, requirements, allowed, limit=limit, pool=max(pool, limit), documents=references, **options)
-    texts = retrieval.tokenized(chunks, "id", "text").select("id", F.col("terms").alias("have"))
-    asked = retrieval.tokenized(requirements, "id", "text").select(F.col("id").alias("query_id"), F.col("terms").alias("want"))
-    rows = found.join(texts, "id").join(asked, "query_id").join(chunks.select("id", "document_id"), "id").join(references, "document_id")
-    ev = rows.select("reference_id", F.col("query_id").alias("requirement_id"), F.col("id").alias("chunk_id"), "score", F.col("rank").alias("retrieval_rank"), term_coverage(F.col("want"), F.col("have")).alias("term_coverage"))
+    found = search_chunks(chunks, requirements, allowed, limit=limit, documents=references, **options)
+    texts = chunks.select("id", "document_id", "text").join(found.select("id").distinct(), "id", "left_semi")
+    texts = texts.select("id", "document_id", query_terms(F.col("text")).alias("have"))
+    asked = requirements.select(F.col("id").alias("query_id"), query_terms(F.col("text")).alias("want"))
+    rows = found.join(texts, "id").join(asked, "query_id")
+    rows = rows.withColumn("term_coverage", term_coverage(F.col("want"), F.col("have"))).drop("want", "have").join(references, "document_id")
+    ev = rows.select("reference_id", F.col("query_id").alias("requirement_id"), F.col("id").alias("chunk_id"), "score", F.col("rank").alias("retrieval_rank"), "term_coverage")
     return matching.keep_evidence(matching.rerank(ev, score_share))
 
 
@@ -120,16 +126,80 @@ def select_system(means: DataFrame, least_recall: float) -> DataFrame:
     return means.where(F.col("recall_at_10") >= least_recall).orderBy(F.desc("ndcg_at_10"), F.desc("mrr"), "mode").limit(1)
 
 
-def probes(documents: DataFrame, facets: list[str], most: int = 50) -> DataFrame:
-    """Evaluation probes: pairs of facet values, each with the documents that have both.
+#: Fixed value: the facets that a probe names, the most specific first.
+PROBE_TEMPLATES = (("client", "offering", "sector"), ("client", "service_nature", "country"), ("offering", "sector", "country"), ("client", "country"), ("service_nature", "country"))
+#: Fixed value: facet values that say nothing.
+EMPTY_ANSWERS = ("oui", "non", "na", "n a")
 
-    ``documents``: id and array columns. A document proposes the first value of its first two
-    facets; of equal proposals the last document by id gives the probe.
+
+def probes(documents: DataFrame, facets: list[str], most: int = 50, templates: tuple[tuple[str, ...], ...] = PROBE_TEMPLATES, most_relevant: int = 12, prefix: str = "expérience et référence ", seed: str = "0") -> DataFrame:
+    """Evaluation probes: query_id, query_text, terms, relevant (document ids), filter, primary_id, specificity.
+
+    ``documents``: id and the array columns ``facets``. Each document proposes, for each template,
+    the first value of its facets; proposals of at least two values count whose values all occur
+    together in 1 to ``most_relevant`` documents. Of proposals with one and the same text the last
+    document by id counts. Probes with few relevant documents and many facets come first, then by
+    a seeded hash; each document gives one before any gives a second.
+    """
+    values = {f: F.coalesce(F.col(f), F.array().cast("array<string>")) for f in facets}
+
+    def named(f: str) -> Column:
+        return F.transform(values[f], lambda v: F.struct(F.lit(f).alias("facet"), v.alias("value")))
+
+    pairs = F.flatten(F.array(*map(named, facets)))
+    each = documents.select("id", F.explode(pairs).alias("p")).select("id", "p.facet", fold_search(F.col("p.value")).alias("term")).distinct()
+
+    def proposal(names: tuple[str, ...]) -> Column:
+        firsts = [F.when(F.size(values[f]) > 0, F.struct(F.lit(f).alias("facet"), F.trim(F.substring(F.get(values[f], 0), 1, 160)).alias("value"))) for f in names if f in facets]
+        return F.array_compact(F.array(*firsts)) if firsts else F.array().cast("array<struct<facet:string,value:string>>")
+
+    proposed = documents.select(F.col("id").alias("primary_id"), F.posexplode(F.array(*map(proposal, templates))).alias("template", "picked"))
+    flat = proposed.select("primary_id", "template", F.posexplode("picked").alias("place", "x")).select("primary_id", "template", "place", "x.facet", "x.value").withColumn("term", fold_search(F.col("value")))
+    flat = flat.where(~F.trim("term").isin(*EMPTY_ANSWERS))
+    parts = F.sort_array(F.collect_list(F.struct("place", "facet", "value", "term")))
+    rows = flat.groupBy("primary_id", "template").agg(parts.alias("parts")).where(F.size("parts") >= 2)
+    text = F.concat(F.lit(prefix), F.array_join(F.transform("parts", lambda p: p["value"]), " "))
+    last = F.element_at("parts", -1)
+    rows = rows.select("primary_id", "template", "parts", text.alias("query_text"), F.struct(last["facet"].alias("facet"), last["value"].alias("value")).alias("filter"))
+    rows = rows.withColumn("query_key", fold_search(F.col("query_text")))
+    later = Window.partitionBy("query_key").orderBy(F.desc("primary_id"), F.desc("template"))
+    # documents that have all terms, counted per (proposal text, document); the commonest term's list is never gathered
+    asked = rows.withColumn("n", F.row_number().over(later)).where("n = 1").drop("n")
+    terms = asked.select("query_key", F.size("parts").alias("needed"), F.explode("parts").alias("p")).select("query_key", "needed", F.col("p.facet").alias("facet"), F.col("p.term").alias("term")).distinct()
+    needed = terms.groupBy("query_key").agg(F.count("*").alias("k"))
+    hits = terms.join(each, ["facet", "term"]).groupBy("query_key", "id").agg(F.count("*").alias("held")).join(needed, "query_key").where("held = k")
+    relevant = hits.groupBy("query_key").agg(F.count("*").alias("relevant_count"), F.slice(F.sort_array(F.collect_list("id")), 1, most_relevant).alias("relevant")).where(F.col("relevant_count") <= most_relevant)
+    scored = asked.join(relevant, "query_key").withColumns({"specificity": F.size("parts"), "order_hash": F.sha2(F.concat(F.lit(f"{seed}|"), "query_text"), 256)})
+    order = [F.col("relevant_count"), F.desc("specificity"), F.col("order_hash")]
+    place = F.row_number().over(Window.partitionBy("primary_id").orderBy(*order))
+    best = scored.withColumn("again", (place > 1).cast("int")).orderBy("again", *order).limit(most)
+    query_id = F.concat(F.lit("BOOT-"), F.lpad(F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("again", *order)).cast("string"), 3, "0"), F.lit("-"), F.substring(F.sha2("query_text", 256), 1, 8))
+    return best.select(query_id.alias("query_id"), "query_text", F.transform("parts", lambda p: p["value"]).alias("terms"), "relevant", "filter", "primary_id", "specificity", "relevant_count")  # most rows
+
+
+def evaluate_bootstrap(chunks: DataFrame, asked: DataFrame, allowed: list[str], hard_of: dict | None = None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(metrics by mode, hits, checks) of probes over document search in every mode.
+
+    ``asked``: id, text, query_vector, relevant (document ids). ``hits``: mode, query_id, id, rank,
+    score, best_id. ``checks``: query_id, filtered (the chunks that its hard filter lets through
+    are all that come back), for the queries named in ``hard_of`` (query id to condition).
     """
-    first = [F.get(F.col(f), 0) for f in facets[:2]]
-    proposed = documents.select("id", *[c.alias(f"v{i}") for i, c in enumerate(first)]).dropna()
-    by_terms = proposed.groupBy("v0", "v1").agg(F.max("id").alias("source_id"), F.array_sort(F.collect_set("id")).alias("relevant"))
-    return by_terms.orderBy("source_id").limit(most)
+    hits = None
+    for mode in MODES:
+        found = search_documents(chunks, asked, allowed, mode=mode, **options)
+        part = found.select(F.lit(mode).alias("mode"), "query_id", F.col("document_id").alias("id"), "rank", "score", "best_id")
+        hits = part if hits is None else hits.unionByName(part)
+    grades = asked.select(F.col("id").alias("query_id"), F.explode("relevant").alias("id"), F.lit(1).alias("grade"))
+    every = asked.select(F.col("id").alias("query_id"), F.explode(F.array(*map(F.lit, MODES))).alias("mode"))
+    metrics = evaluation.system_means(evaluation.ranking_metrics(hits, grades, asked=every))
+    checks = None
+    for query_id, condition in (hard_of or {}).items():
+        one = asked.where(F.col("id") == query_id)
+        found = search_chunks(chunks, one, allowed, hard=condition, **options)
+        kept = found.join(chunks.where(condition).select("id"), "id", "left_semi").agg(F.count("*").alias("kept"))
+        part = found.agg(F.count("*").alias("n")).join(F.broadcast(kept)).select(F.lit(query_id).alias("query_id"), ((F.col("n") > 0) & (F.col("n") == F.col("kept"))).alias("filtered"))
+        checks = part if checks is None else checks.unionByName(part)
+    return metrics, hits, checks
 
 
 def citation_metrics(evidence: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 import hashlib
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators import corpus, search
+from marlstone.operators import corpus, retrieval, search
 from marlstone.operators.contracts import EngineError, NotAuthorized
 
 
@@ -68,12 +69,77 @@ def test_encoder_is_deterministic_and_unit():
 
 def test_probe_selection_and_overlap(spark):
     d = spark.createDataFrame([(1, ["x"], ["y"]), (2, ["x"], ["y"]), (3, ["x"], [])], "id long, a array<string>, b array<string>")
-    assert [(r.source_id, r.relevant) for r in search.probes(d, ["a", "b"]).collect()] == [(2, [1, 2])]
+    assert [(r.primary_id, r.relevant) for r in search.probes(d, ["a", "b"], templates=(("a", "b"),)).collect()] == [(2, [1, 2])]
     means = spark.createDataFrame([("a", 0.9, 0.5, 0.5), ("b", 0.9, 0.6, 0.1), ("c", 0.2, 0.9, 0.9)], "mode string, recall_at_10 double, ndcg_at_10 double, mrr double")
     assert search.select_system(means, 0.85).first().mode == "b"
     assert search.overlap(d.select("id"), d.where("id > 1").select("id"), "id").first().jaccard == pytest.approx(2 / 3)
 
 
+def plain_probes(docs, most, seed):
+    """The wording: a probe per document and template, at most 12 relevant, distinct primary documents first."""
+
+    def fold(t):
+        return t.lower()
+
+    held = {i: {(f, fold(v)) for f, vs in facets.items() for v in vs} for i, facets in docs.items()}
+    found = {}
+    for i in sorted(docs):
+        for names in search.PROBE_TEMPLATES:
+            picked = [(f, docs[i][f][0]) for f in names if docs[i].get(f) and fold(docs[i][f][0]) not in search.EMPTY_ANSWERS]
+            relevant = sorted(j for j in docs if all((f, fold(v)) in held[j] for f, v in picked))
+            if len(picked) >= 2 and len(relevant) <= 12:
+                text = "expérience et référence " + " ".join(v for _, v in picked)
+                found[fold(text)] = (len(relevant), -len(picked), hashlib.sha256(f"{seed}|{text}".encode()).hexdigest(), text, relevant, i, picked[-1])
+    rows, first, used = sorted(found.values()), [], set()
+    for r in rows:
+        if r[5] not in used:
+            first.append(r)
+            used.add(r[5])
+    return [(r[3], r[4], r[5], r[6]) for r in (first + [r for r in rows if r not in first])[:most]]
+
+
+def test_probes_match_the_plain_wording(spark):
+    rng = random.Random(6)
+    names = ("client", "offering", "sector", "service_nature", "country")
+    docs = {i: {f: [rng.choice(["Oui", "A b", "Cé", "D", "e"]) + (str(rng.randrange(3)) if f == "client" else "") for _ in range(rng.randint(0, 2))] for f in names} for i in range(60)}
+    df = spark.createDataFrame([(i, *[d[f] for f in names]) for i, d in docs.items()], "id long, " + ", ".join(f"{f} array<string>" for f in names))
+    for most in (5, 40, 500):
+        got = search.probes(df, list(names), most).orderBy("query_id").collect()
+        assert len({r.query_id for r in got}) == len(got)
+        assert [(r.query_text, r.relevant, r.primary_id, tuple(r.filter)) for r in got] == plain_probes(docs, most, "0")
+
+
+def test_bootstrap_evaluation_checks_filters_and_counts_misses(spark, chunks, asked):
+    probes = asked.withColumn("relevant", F.when(F.col("id") == "R1", F.array(F.lit("d1"))).otherwise(F.array(F.lit("d9"))))
+    metrics, hits, checks = search.evaluate_bootstrap(chunks, probes, ["PUBLIC", "INTERNAL"], {"R1": F.col("document_id") == "d1"})
+    assert {r.mode: (r.queries, r.recall_at_10) for r in metrics.collect()} == dict.fromkeys(search.MODES, (2, 0.5))
+    assert {r.id for r in hits.collect()} <= {"d1", "d2"} and checks.first().filtered
+
+
+def test_pool_is_as_large_as_the_limit(spark):
+    rows = [(i, f"d{i}", "solar", "PUBLIC") for i in range(150)]
+    many = search.encoded(spark.createDataFrame(rows, "id long, document_id string, text string, security_classification string"), "text", search.HashEncoder())
+    one = search.encoded(spark.createDataFrame([("R1", "solar")], "id string, text string"), "text", search.HashEncoder(), "query", "query_vector")
+    assert search.search_chunks(many, one, ["PUBLIC"], "hybrid", limit=140).count() == 140
+
+
+def test_stored_index_gives_the_scores_of_the_formula_and_finds_damage(spark, chunks, asked, tmp_path):
+    corpus, queries = retrieval.tokenized(chunks, "id", "text"), retrieval.tokenized(asked, "id", "text")
+    index = retrieval.Bm25Index.build(corpus, str(tmp_path / "i"), refuse_empty=True).verify()
+    plain = {tuple(r) for r in retrieval.bm25_scores(corpus, queries).collect()}
+    assert {tuple(r) for r in index.scores(queries).collect()} == plain and plain
+    allowed = chunks.where("id < 3").select("id")
+    assert {tuple(r) for r in index.scores(queries, allowed).collect()} == {r for r in plain if r[1] < 3}
+    for damaged in (retrieval.Bm25Index(index.postings.where("id <> 1"), index.terms, index.facts), retrieval.Bm25Index(index.postings, index.terms.withColumn("idf", F.lit(float("nan"))), index.facts)):
+        with pytest.raises(EngineError):
+            damaged.verify()
+    for bad in (corpus.where("id < 0"), retrieval.tokenized(chunks.withColumn("text", F.lit("?")), "id", "text")):
+        with pytest.raises(EngineError):
+            retrieval.Bm25Index.build(bad, str(tmp_path / "j"), refuse_empty=True)
+    odd = spark.createDataFrame([(1, 1, float("nan")), (1, 2, 0.5), (1, 3, float("inf")), (1, 4, None)], "query_id int, id int, score double")
+    assert [(r.id, r["rank"]) for r in retrieval.top_ranked(odd, 5).collect()] == [(2, 1)]
+
+
 def test_citations_are_checked_against_the_text(spark):
     sha = hashlib.sha256(b"t").hexdigest()
     chunks = spark.createDataFrame([(1, "t", sha, "u#page=1"), (2, "t", "broken", "")], "id long, text string, text_sha256 string, citation_uri string")
