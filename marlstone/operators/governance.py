@@ -111,12 +111,15 @@ def next_state(queries: int, frozen: str | None, current: str, labels: int, expe
 
 
 def retrieval_query(requirements: DataFrame, group: str, most: int = 1800) -> DataFrame:
-    """One query text per group: requirements by class, then locator, as long as they fit; longer ones are skipped."""
+    """One query text per group: requirements by class, then locator, a line each; those that don't fit are skipped.
+
+    Every line counts one character more than its text.
+    """
     rank = F.element_at(F.create_map(*[F.lit(x) for kv in {"MUST": 0, "SHOULD": 1, "PREFERRED": 2, "CONTEXT": 3}.items() for x in kv]), F.col("classification"))
     rows = requirements.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(rank.alias("r"), "locator", squeeze(F.col("text")).alias("t")))).alias("rows"))
 
     def add(text, x):
-        longer = F.when(text == "", x["t"]).otherwise(F.concat_ws(" ", text, x["t"]))
-        return F.when(F.length(longer) <= most, longer).otherwise(text)
+        longer = F.when(text == "", x["t"]).otherwise(F.concat_ws("\n", text, x["t"]))
+        return F.when(F.length(longer) + 1 <= most, longer).otherwise(text)
 
     return rows.select(group, F.aggregate("rows", F.lit(""), add).alias("query_text"))

@@ -42,7 +42,7 @@ def test_packets_and_states(spark):
 
 def test_retrieval_query_skips_what_does_not_fit(spark):
     df = spark.createDataFrame([("g", "CONTEXT", "1", "tail"), ("g", "MUST", "2", "b" * 30), ("g", "MUST", "1", "head")], "g string, classification string, locator string, text string")
-    assert G.retrieval_query(df, "g", most=12).first().query_text == "head tail"
+    assert G.retrieval_query(df, "g", most=12).first().query_text == "head\ntail"
 
 
 def test_reference_contract(spark):
