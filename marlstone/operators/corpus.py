@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chunking import ChunkRules, chunks
-from ..functions.text import clean_redacted, document_type, page_language
+from ..functions.text import citation_label, citation_uri, clean_redacted, document_type, page_language, text_metrics
 from ..functions.values import first_seen, stable_id
 from .contracts import forbid_columns, require_columns, require_unique
 
@@ -27,6 +27,32 @@ def page_status(chars: Column, ocr: Column, confidence: Column, blank: Column, f
     return status.otherwise("PASS"), reason.otherwise("")
 
 
+def repair_status(chars: Column, words: Column, confidence: Column, fail=20, good=80, good_words=10, bad=45.0, doubtful=70.0) -> tuple[Column, Column]:
+    """(PASS, REVIEW or FAILED; reason) of a repaired page: words count, and confidence always does."""
+    c = F.coalesce(confidence, F.lit(0.0))
+    rules = [
+        (chars < fail, "FAILED", "very_low_text_volume"),
+        ((chars < good) | (words < good_words), "REVIEW", "low_text_volume"),
+        (c < bad, "FAILED", "very_low_ocr_confidence"),
+        (c < doubtful, "REVIEW", "low_ocr_confidence"),
+    ]
+    status = reason = F.when(F.lit(False), "")
+    for when, s, r in rules:
+        status, reason = status.when(when, s), reason.when(when, r)
+    return status.otherwise("PASS"), reason.otherwise("")
+
+
+def usable_digital_text(text: Column, least_chars: int = 80, least_words: int = 10) -> Column:
+    """Whether a page's own text is enough, so that it needs no recognition."""
+    m = text_metrics(text)
+    return (m["character_count"] >= least_chars) & (m["word_count"] >= least_words)
+
+
+def review_queue(pages: DataFrame, status: str = "qa_status") -> DataFrame:
+    """The pages that a repair or a person must look at."""
+    return pages.where(F.col(status).isin("REVIEW", "FAILED"))
+
+
 def best_attempt(attempts: DataFrame, keys: list[str]) -> DataFrame:
     """The best repair attempt of each page: status, then words and chars up to a bound, confidence, earliest."""
     quality = F.element_at(F.create_map(*[F.lit(x) for kv in {"PASS": 3, "REVIEW": 2, "FAILED": 1, "BLANK": 0}.items() for x in kv]), F.col("status"))
@@ -95,6 +121,63 @@ def reference_metadata(references: DataFrame, fields: list[str]) -> DataFrame:
     return references.groupBy("canonical_document_id").agg(*[listed(f) for f in fields], F.array_sort(F.collect_set("row_number")).alias("reference_rows"), F.array_sort(F.collect_set("reference_id")).alias("reference_ids"))
 
 
+def document_records(pages: DataFrame, canonical: DataFrame, metadata: DataFrame, fields: list[str]) -> DataFrame:
+    """One row per document of all its pages: counts, quality, type, language, and reference metadata as JSON.
+
+    ``pages``: document_id, page, file_name, source_sha256, security_classification,
+    retrieval_eligible. ``canonical``: its eligible pages with clean text. ``metadata``: of
+    ``reference_metadata``; documents without a reference have empty lists.
+    """
+    counts = pages.groupBy("document_id").agg(
+        F.min_by("file_name", "page").alias("file_name"),
+        F.min_by("source_sha256", "page").alias("source_sha256"),
+        F.min_by("security_classification", "page").alias("security_classification"),
+        F.count("*").alias("page_count"),
+        F.count_if(F.col("retrieval_eligible").eqNullSafe(True)).alias("eligible_page_count"),
+    )
+    texts = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n\n")
+    d = counts.join(canonical.groupBy("document_id").agg(texts.alias("_text")), "document_id", "left").withColumn("_text", F.coalesce("_text", F.lit("")))
+    kind, basis = document_type(F.col("file_name"), F.col("_text"))
+    quality = F.when(F.col("eligible_page_count") == 0, "NO_ELIGIBLE_PAGES").when(F.col("eligible_page_count") < F.col("page_count"), "PARTIAL_PAGE_EXCLUSION").otherwise("PASS")
+    d = d.withColumns({"document_type": kind, "document_type_rule": basis, "document_language": page_language(F.col("_text")), "text_sha256": F.sha2("_text", 256), "excluded_page_count": F.col("page_count") - F.col("eligible_page_count"), "retrieval_eligible": F.col("eligible_page_count") > 0, "data_quality_status": quality, "evidence_available": F.lit(True)})
+    m = metadata.select(F.col("canonical_document_id").alias("document_id"), *[F.col(f).alias(f"_m_{f}") for f in fields], "reference_rows", "reference_ids")
+    d = d.drop("_text").join(m, "document_id", "left")
+    listed = {f"{f}_values_json": F.coalesce(F.to_json(f"_m_{f}"), F.lit("[]")) for f in fields} | {"reference_rows_json": F.coalesce(F.to_json("reference_rows"), F.lit("[]")), "reference_ids_json": F.coalesce(F.to_json("reference_ids"), F.lit("[]"))}
+    return d.withColumns(listed).drop(*[f"_m_{f}" for f in fields], "reference_rows", "reference_ids")
+
+
+def with_document(rows: DataFrame, documents: DataFrame, columns: list[str]) -> DataFrame:
+    """Pages or chunks with attributes of their document; a row without a document is left out."""
+    return rows.join(documents.select("document_id", *columns), "document_id")
+
+
+def cited(pages: DataFrame, base: str) -> DataFrame:
+    """Adds citation_label and citation_uri of pages (document_id, page, file_name)."""
+    return pages.withColumns({"citation_label": citation_label(F.col("file_name"), F.col("page")), "citation_uri": citation_uri(F.col("document_id"), F.col("page"), base)})
+
+
+def corpus_frames(pages: DataFrame, references: DataFrame, fields: list[str], base: str, rules: ChunkRules = ChunkRules()) -> dict[str, DataFrame]:
+    """The tables of a corpus: pages, excluded_pages, documents, chunks, references, filter_values, statistics.
+
+    ``pages``: document_id, page, file_name, source_sha256, security_classification, text,
+    retrieval_eligible. ``references``: reference_id, row_number, canonical_document_id and ``fields``.
+    """
+    from .filters import facet_counts
+
+    clean = cited(canonical_pages(pages), base)
+    metadata = reference_metadata(references, fields)
+    documents = document_records(pages, clean, metadata, fields)
+    chunked = with_document(chunk_table(clean, rules), documents, ["file_name", "security_classification", "document_type", "document_language", "data_quality_status"])
+    linked = evidence_status(references, documents)
+    per_document = references.groupBy("canonical_document_id").agg(*[F.array_compact(F.collect_set(F.nullif(F.trim(F.col(f)), F.lit("")))).alias(f) for f in fields])
+    values = facet_counts(per_document, [], fields)
+    sizes = chunked.agg(F.count("*").alias("chunks"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chunk_characters"), F.bround(F.avg(F.length("text")), 2).alias("mean_chunk_characters"), F.max(F.length("text")).alias("longest_chunk"), F.count_if(F.col("duplicate_count") > 1).alias("duplicate_chunks"))
+    page_counts = clean.agg(F.count("*").alias("pages"), F.count_distinct("language").alias("languages"))
+    document_counts = documents.agg(F.count("*").alias("documents"), F.count_if("retrieval_eligible").alias("eligible_documents"))
+    statistics = sizes.join(F.broadcast(page_counts)).join(F.broadcast(document_counts))  # one row each
+    return {"pages": clean, "excluded_pages": pages.where(~F.col("retrieval_eligible").eqNullSafe(True)), "documents": documents, "chunks": chunked, "references": linked, "filter_values": values, "statistics": statistics}
+
+
 def evidence_status(references: DataFrame, documents: DataFrame) -> DataFrame:
     q = documents.select(F.col("document_id").alias("canonical_document_id"), F.col("data_quality_status"))
     return references.join(q, "canonical_document_id", "left").withColumn("data_quality_status", F.coalesce("data_quality_status", F.lit("MISSING_EVIDENCE")))

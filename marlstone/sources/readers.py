@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.text import urls
+from ..functions.text import fold_key, folded, urls
+from ..operators.contracts import EngineError
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -30,9 +32,11 @@ def read_json_document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_segments(spark: SparkSession, path: str, most_bytes: int = 20_000_000) -> DataFrame:
-    """(locator, text) of text and Markdown files, whole; larger files are left out."""
+    """(locator, text) of text and Markdown files, whole; a larger file is refused."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{txt,md}").load(path)
-    return files.where(F.col("length") <= most_bytes).select(F.element_at(F.split("path", "/"), -1).alias("locator"), F.decode("content", "UTF-8").alias("text"))
+    if found := files.where(F.col("length") > most_bytes).select("path").limit(1).collect():
+        raise EngineError(f"larger than {most_bytes} bytes: {found[0].path}")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("locator"), F.decode("content", "UTF-8").alias("text"))
 
 
 def inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -62,3 +66,60 @@ def header_row(rows: DataFrame, expected: list[str], first: int = 20, least: int
 def expand_env(text: str) -> str:
     """``${NAME:-default}`` replaced from the environment."""
     return re.sub(r"\$\{(\w+)(?::-([^}]*))?\}", lambda m: os.environ.get(m[1], m[2] or ""), text)
+
+
+def sheet_rows(rows: DataFrame, header: list[str], refuse_blank_headers: bool = False) -> DataFrame:
+    """Cells (row_number, cells) below a header row as named columns; rows that are blank throughout are dropped.
+
+    Cells under a blank header are left out, or refused.
+    """
+    names = [(h or "").strip() for h in header]
+    if refuse_blank_headers and not all(names):
+        raise EngineError("a header is blank")
+    cells = [F.trim(F.coalesce(F.get("cells", i), F.lit(""))) for i in range(len(names))]
+    blank = F.lit(True)
+    for c in cells:
+        blank = blank & (c == "")
+    return rows.where(~blank).select("row_number", *[c.alias(n) for c, n in zip(cells, names, strict=True) if n])
+
+
+def master_metadata(table: DataFrame, fields: dict[str, str], forbidden: list[str] = ()) -> DataFrame:
+    """Only the allowed columns of a master sheet, found by folded header: ``fields`` is output name to header.
+
+    Of equal headers the first counts. A missing header and a forbidden one are refused.
+    """
+    at: dict[str, str] = {}
+    for c in table.columns:
+        at.setdefault(folded(c, "#"), c)
+    wanted = {name: folded(h, "#") for name, h in fields.items()}
+    if missing := sorted(n for n, h in wanted.items() if h not in at):
+        raise EngineError(f"missing headers: {', '.join(missing)}")
+    if set(wanted.values()) & {folded(h, "#") for h in forbidden}:
+        raise EngineError("a forbidden header is among the allowed ones")
+    return table.select(*(c for c in ("row_number",) if c in table.columns), *[F.col(f"`{at[h]}`").alias(n) for n, h in wanted.items()])
+
+
+def matching_sheet(names: list[str], wanted: str) -> str:
+    """The sheet of a folded title, or the only one there is."""
+    found = [n for n in names if folded(n) == folded(wanted)] or (names if len(names) == 1 else [])
+    if len(found) != 1:
+        raise EngineError(f"no sheet, or more than one, is called {wanted}")
+    return found[0]
+
+
+def load_config(path: str) -> dict:
+    """A YAML or JSON file with ``${NAME:-default}`` replaced; YAML needs its library, JSON nothing."""
+    with open(path, encoding="utf-8") as f:
+        text = expand_env(f.read())
+    if path.endswith(".json"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as missing:
+        raise EngineError("YAML files need the yaml library; JSON files are read without it") from missing
+    return yaml.safe_load(text) or {}
+
+
+def children(listing: DataFrame, folder: str) -> DataFrame:
+    """Direct children of a folder in an inventory table (parent, id, name), by folded name, then id."""
+    return listing.where(F.col("parent") == folder).orderBy(fold_key(F.col("name")), "id")
