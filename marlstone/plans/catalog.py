@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import values as V
 from ..functions.chunking import ChunkRules, chunks
-from ..operators import corpus, evaluation, filters, matching, relational, requirements, retrieval, search
+from ..operators import corpus, evaluation, filters, matching, recommend, reference_contract, relational, requirements, retrieval, search
 from ..operators.contracts import issue_rows
 from ..sources.readers import hyperlinks
+from ..sources.scratch import fingerprint, scratch
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -99,7 +100,8 @@ def text_chunks(spark, sf):
     return d.select("doc_id", "chunk_index", "c.start", "c.end", F.sha2("c.text", 256).alias("chunk_sha256"), V.stable_id(F.col("doc_id"), F.col("c.start"), F.col("c.end"), F.sha2("c.text", 256)).alias("chunk_id"))
 
 
-@query()
+@query(r"""WITH f AS (SELECT doc_id, list_filter(regexp_extract_all(strip_accents(replace(lower(text), 'ß', 'ss')), '[\p{L}\p{N}]+'), lambda x: length(x) >= 2) AS t FROM documents)
+    SELECT doc_id, len(t) AS tokens, len(list_distinct(t)) AS distinct_tokens FROM f""")
 def search_tokens(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", T.tokens(F.col("text"), folded=True).alias("t"))
     return d.select("doc_id", F.size("t").alias("tokens"), F.size(F.array_distinct("t")).alias("distinct_tokens"))
@@ -133,18 +135,13 @@ def exact_duplicates(spark, sf):
     return d.join(d.groupBy("text_sha256").agg(F.count("*").alias("duplicate_count")), "text_sha256")  # counts combine before the shuffle
 
 
-QUALITY_SQL = """CASE WHEN c < 20 THEN 'FAILED' WHEN c < 80 THEN 'REVIEW' WHEN q < 0.25 THEN 'FAILED' WHEN q < 0.75 THEN 'REVIEW' ELSE 'PASS' END"""
-
-
-def quality_state(chars, confidence, fail_chars=20, pass_chars=80, fail_confidence=0.25, pass_confidence=0.75):
-    """PASS, REVIEW or FAILED by text volume, then by confidence where there is one."""
-    return F.when(chars < fail_chars, "FAILED").when(chars < pass_chars, "REVIEW").when(confidence < fail_confidence, "FAILED").when(confidence < pass_confidence, "REVIEW").otherwise("PASS")
-
-
-@query(f"SELECT status, count(*) AS n FROM (SELECT {QUALITY_SQL} AS status FROM (SELECT length(text) AS c, l.quality AS q FROM documents d LEFT JOIN labels l USING (doc_id))) GROUP BY status")
+@query("""WITH p AS (SELECT doc_id, length(trim(text)) AS c, doc_id % 3 = 0 AS ocr, (doc_id % 100)::DOUBLE AS conf, doc_id % 50 = 0 AS blank FROM documents),
+    s AS (SELECT CASE WHEN blank AND c < 10 THEN 'BLANK:visually_blank_page' WHEN c < 20 THEN 'FAILED:very_low_text_volume' WHEN c < 80 THEN 'REVIEW:low_text_volume'
+      WHEN ocr AND conf < 45 THEN 'FAILED:very_low_ocr_confidence' WHEN ocr AND conf < 70 THEN 'REVIEW:low_ocr_confidence' ELSE 'PASS:' END AS status FROM p) SELECT status, count(*) AS n FROM s GROUP BY status""")
 def quality_states(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.length("text").alias("c")).join(table(spark, sf, "labels"), "doc_id", "left")
-    return d.groupBy(quality_state(F.col("c"), F.col("quality")).alias("status")).agg(F.count("*").alias("n"))
+    d = table(spark, sf, "documents").select("doc_id", F.length(F.trim("text")).alias("c"))
+    status, reason = corpus.page_status(F.col("c"), F.col("doc_id") % 3 == 0, (F.col("doc_id") % 100).cast("double"), F.col("doc_id") % 50 == 0)
+    return d.groupBy(F.concat_ws(":", status, reason).alias("status")).agg(F.count("*").alias("n"))
 
 
 @query("""SELECT count(*) AS documents, sum(length(text))::BIGINT AS characters, round(avg(length(text)), 2) AS mean_characters, max(length(text)) AS max_characters,
@@ -188,27 +185,43 @@ BM25_SQL = rf"""
     r AS (SELECT item_id, doc_id, source, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / m))), 6) AS score FROM p JOIN s USING (term) JOIN q USING (term), n GROUP BY ALL)"""
 
 
-@query(rf"""WITH d AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents), p AS (SELECT doc_id, unnest(t) AS term FROM d), n AS (SELECT count(*) AS n FROM d)
-    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf, round(ln(1 + (any_value(n) - count(DISTINCT doc_id) + 0.5) / (count(DISTINCT doc_id) + 0.5)), 8) AS idf FROM p, n GROUP BY term HAVING count(*) > 1""")
-def bm25_terms(spark, sf):
-    s = retrieval.term_statistics(retrieval.tokenized(table(spark, sf, "documents"), "doc_id", "text"))
-    return s.where("cf > 1").withColumn("idf", F.round("idf", 8))
+_indexes: dict[tuple, str] = {}
+
+
+def bm25_index(spark, sf):
+    """The stored index of the documents: built once for an application and the files as they are, then read."""
+    d = table(spark, sf, "documents")
+    key = (spark.sparkContext.applicationId, sf, fingerprint(d))
+    if key not in _indexes:
+        path = scratch(spark, "bm25")
+        retrieval.Bm25Index.build(retrieval.tokenized(d, "doc_id", "text"), path)
+        _indexes[key] = path
+    return retrieval.Bm25Index.load(spark, _indexes[key])
 
 
 @query(rf"""WITH d AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents), p AS (SELECT doc_id, unnest(t) AS term FROM d), n AS (SELECT count(*) AS n FROM d)
     SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf, round(ln(1 + (any_value(n) - count(DISTINCT doc_id) + 0.5) / (count(DISTINCT doc_id) + 0.5)), 8) AS idf FROM p, n GROUP BY term""")
-def bm25_terms_all(spark, sf):
-    """Like ``bm25_terms``, with the terms that occur once."""
-    s = retrieval.term_statistics(retrieval.tokenized(table(spark, sf, "documents"), "doc_id", "text"))
-    return s.withColumn("idf", F.round("idf", 8))
+def bm25_terms(spark, sf):
+    return bm25_index(spark, sf).terms.withColumn("idf", F.round("idf", 8))
+
+
+@query(rf"""WITH d AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents), p AS (SELECT doc_id, len(t) AS length, unnest(t) AS term FROM d)
+    SELECT term, doc_id AS id, count(*) AS tf, any_value(length)::INTEGER AS length FROM p GROUP BY term, doc_id""")
+def bm25_postings(spark, sf):
+    return bm25_index(spark, sf).postings
+
+
+@query("SELECT 'NONE' AS check, 0::BIGINT AS rows WHERE false")
+def bm25_problems(spark, sf):
+    """Invariants of the stored index that do not hold: none."""
+    return bm25_index(spark, sf).problems()
 
 
 def _lexical(spark, sf, limit, positive_only=False, classes=ALLOWED):
     docs = table(spark, sf, "documents")
     allowed = retrieval.authorized(docs, "source", classes).select(F.col("doc_id").alias("id"))
-    corpus = retrieval.tokenized(docs, "doc_id", "text")
     asked = retrieval.tokenized(table(spark, sf, "benchmark"), "item_id", "text")
-    return retrieval.lexical_top(corpus, asked, allowed, limit, positive_only)
+    return retrieval.lexical_top(bm25_index(spark, sf), asked, allowed, limit, positive_only)
 
 
 @query(f"""WITH {BM25_SQL}, a AS (SELECT b.item_id, d.doc_id, round(coalesce(r.score, 0), 6) AS score, row_number() OVER (PARTITION BY b.item_id ORDER BY coalesce(r.score, 0) DESC, d.doc_id) AS rank
@@ -263,7 +276,7 @@ def hybrid_rrf(spark, sf):
 def rollup_topk(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("document_id"), "embedding")
     asked = e.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    scores = retrieval.dense_scores(e, asked).where("id <> query_id").join(e.select("id", "document_id"), "id")
+    scores = retrieval.dense_scores(e, asked).where("id <> query_id")
     return retrieval.roll_up(scores, 5).select("query_id", "document_id", F.round("score", 6).alias("score"), "best_id", F.array_join(F.transform("evidence", lambda x: x.cast("string")), ",").alias("evidence"), "rank")
 
 
@@ -361,7 +374,7 @@ def evidence_topk(spark, sf):
 SCORE_SQL = f"""{GRID_SQL}, w AS (SELECT *, CASE classification WHEN 'MUST' THEN 1.0 WHEN 'SHOULD' THEN 0.7 WHEN 'PREFERRED' THEN 0.4 ELSE 0.15 END::DOUBLE AS wt FROM g),
     c AS (SELECT reference_id, sum(wt * relevance) / sum(wt) AS wr, sum(CASE WHEN covered THEN wt ELSE 0 END) / sum(wt) AS wc, count(*) FILTER (classification = 'MUST' AND covered) AS mc, count(*) FILTER (classification = 'MUST') AS mt FROM w GROUP BY ALL),
     y AS (SELECT o_custkey, max(year(o_orderdate)) AS year_end FROM orders GROUP BY ALL),
-    s AS (SELECT reference_id, round(0.6 * wr + 0.2 * wc + 0.1 * 0.8 + 0.05 * greatest(0.0, 1 - (1998 - least(year_end, 1998)) / 20.0) + 0.05 * (CASE WHEN lower(c_mktsegment) = 'building' THEN 1 ELSE 0 END), 8) AS final_score, mc, mt, c_acctbal > 0 AS ok, c_nationkey AS dup
+    s AS (SELECT reference_id, round(0.6 * wr + 0.2 * wc + 0.1 * 0.8 + 0.05 * greatest(0.0, 1 - (1998 - least(year_end, 1998)) / 20.0) + 0.05 * (CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END), 8) AS final_score, mc, mt, c_acctbal > 0 AS ok, c_nationkey AS dup
       FROM c JOIN customer ON c_custkey = reference_id JOIN y ON o_custkey = reference_id),
     t AS (SELECT *, concat_ws(';', CASE WHEN mc < mt THEN 'MISSING_MUST:' || mc || '/' || mt END, CASE WHEN NOT ok THEN 'BASE_ELIGIBILITY_FAILED' END) AS r FROM s),
     u AS (SELECT *, CASE WHEN r = '' AND row_number() OVER (PARTITION BY dup, r = '' ORDER BY final_score DESC, reference_id) > 1 THEN 'DUPLICATE_GROUP_SUPPRESSED' ELSE r END AS reasons FROM t),
@@ -371,7 +384,7 @@ SCORE_SQL = f"""{GRID_SQL}, w AS (SELECT *, CASE classification WHEN 'MUST' THEN
 @query(f"WITH {SCORE_SQL} SELECT reference_id, round(final_score, 6) AS final_score, reasons, CASE WHEN rk <= 10 THEN rk END AS final_rank FROM z")
 def weighted_score_mustgate(spark, sf):
     ends = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("reference_id")).agg(F.max(F.year("o_orderdate")).alias("year_end"))
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("reference_id"), F.lit(0.8).alias("evidence_strength"), matching.soft_fit({"c_mktsegment": "BUILDING"}).alias("soft_fit"), (F.col("c_acctbal") > 0).alias("base_eligible"), F.col("c_nationkey").alias("duplicate_group_id"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("reference_id"), F.lit(0.8).alias("evidence_strength"), matching.soft_fit({"c_mktsegment": "BUILDING", "no_such_field": "x"}, ["c_mktsegment"]).alias("soft_fit"), (F.col("c_acctbal") > 0).alias("base_eligible"), F.col("c_nationkey").alias("duplicate_group_id"))
     scored = matching.score_matches(_grid(spark, sf), c.join(ends, "reference_id"), reference_year=1998)
     return scored.select("reference_id", F.round("final_score", 6).alias("final_score"), "reasons", F.col("final_rank").cast("long").alias("final_rank"))
 
@@ -386,18 +399,17 @@ def duplicate_suppression(spark, sf):
     return relational.keep_first(table(spark, sf, "part"), ["p_brand"], [F.desc("p_retailprice"), F.col("p_partkey")], "DUPLICATE_GROUP_SUPPRESSED").select("p_partkey", "p_brand", "suppressed")
 
 
-@query("""WITH a AS (SELECT c_custkey, c_nationkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer), b AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY r) > 2 AS late FROM a WHERE r <= 100)
-    SELECT c_custkey, c_nationkey, final_rank FROM (SELECT *, row_number() OVER (ORDER BY late, r) AS final_rank FROM b) WHERE final_rank <= 60""")
+@query("""WITH b AS (SELECT c_custkey, c_nationkey, c_acctbal, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) > 2 AS late FROM customer)
+    SELECT c_custkey, c_nationkey, row_number() OVER (ORDER BY late, c_acctbal DESC, c_custkey) AS final_rank FROM b QUALIFY final_rank <= 60""")
 def diversify(spark, sf):
-    best = table(spark, sf, "customer").orderBy(F.desc("c_acctbal"), "c_custkey").limit(100)  # a top-k report
-    ranked = best.withColumn("r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("c_acctbal"), "c_custkey")))
-    return relational.diversify(ranked, "c_nationkey", "r", 2, 60).select("c_custkey", "c_nationkey", F.col("final_rank").cast("long").alias("final_rank"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", F.struct((-F.col("c_acctbal")).alias("s"), "c_custkey").alias("r"))
+    return relational.diversify(c, "c_nationkey", "r", 2, 60).select("c_custkey", "c_nationkey", F.col("final_rank").cast("long").alias("final_rank"))
 
 
 @query("""WITH s AS (SELECT count(*) AS total, count(*) FILTER (s_acctbal > 5000) AS a, count(*) FILTER (s_nationkey < 10) AS b, count(*) FILTER (s_acctbal > -1000) AS c FROM supplier)
     SELECT 'rich' AS rule, a AS matching, total, a >= 5 AS met FROM s UNION ALL SELECT 'near', b, total, b >= 1000000 FROM s UNION ALL SELECT 'all_solvent', c, total, c >= total FROM s""")
 def portfolio_rules(spark, sf):
-    return matching.evaluate_rules(table(spark, sf, "supplier"), {"rich": (F.col("s_acctbal") > 5000, 5), "near": (F.col("s_nationkey") < 10, 1_000_000), "all_solvent": (F.col("s_acctbal") > -1000, None)})
+    return matching.evaluate_rules(table(spark, sf, "supplier"), {"rich": (F.col("s_acctbal") > 5000, 5), "near": (F.col("s_nationkey") < 10, 1_000_000), "all_solvent": (F.col("s_acctbal") > -1000, None)}).drop("ids")
 
 
 # -- evaluation --------------------------------------------------------------------------------
@@ -492,19 +504,11 @@ def requirement_units(spark, sf):
     return r.select("requirement_id", "locator", "unit", "classification", F.length("unit_text").alias("chars"))
 
 
-@query(r"""WITH r AS (SELECT item_id::VARCHAR AS id, regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g') AS t FROM benchmark), v AS (SELECT DISTINCT lower(w) AS value FROM (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS w FROM documents WHERE doc_id < 3))
-    SELECT 'word' AS field, value, 'HARD_CANDIDATE' AS behavior, min(id) AS requirement_id FROM r JOIN v ON ' ' || t || ' ' LIKE '% ' || value || ' %' GROUP BY ALL""")
-def filter_proposals(spark, sf):
-    reqs = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("requirement_id"), F.lit("MUST").alias("classification"), F.col("text").alias("folded"))
-    listed = table(spark, sf, "documents").where("doc_id < 3").select(F.explode(F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))).alias("w"))  # three documents as the list of facet values
-    return requirements.filter_proposals(reqs, listed.select(F.lit("word").alias("field"), F.lower("w").alias("value")).distinct(), key=requirements.word_key)
-
-
 @query(r"""WITH w AS (SELECT DISTINCT item_id::VARCHAR AS id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS value FROM benchmark), x AS (SELECT id FROM w WHERE value IN ('exclure', 'exclu', 'hors', 'sauf', 'sans', 'exclude', 'excluding', 'without', 'باستثناء', 'بدون')),
     v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS value FROM documents)
     SELECT 'word' AS field, value, CASE WHEN id IN (SELECT id FROM x) THEN 'EXCLUSION_CANDIDATE' ELSE 'HARD_CANDIDATE' END AS behavior, min(id) AS requirement_id FROM w JOIN v USING (value) GROUP BY ALL""")
-def filter_proposals_all(spark, sf):
-    """Like ``filter_proposals``, with every word of every document as a facet value."""
+def filter_proposals(spark, sf):
+    """Every word of every document as a facet value."""
     reqs = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("requirement_id"), F.lit("MUST").alias("classification"), F.col("text").alias("folded"))
     listed = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))).alias("value"))
     return requirements.filter_proposals(reqs, listed.select(F.lit("word").alias("field"), "value").distinct(), key=requirements.word_key)
@@ -537,31 +541,199 @@ def table_hash(spark, sf):
 
 
 def _chunks(spark, sf):
-    """Documents as chunks of their source, with hashed-word vectors."""
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("document_id"), "text", F.when(F.col("lang") == "de", "RESTRICTED").otherwise("PUBLIC").alias("security_classification"))
-    return search.encoded(d, "text", search.HashEncoder())
+    """Documents as chunks of their source; German ones are restricted."""
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("document_id"), "text", F.when(F.col("lang") == "de", "RESTRICTED").otherwise("PUBLIC").alias("security_classification"))
+
+
+def _vector_chunks(spark, sf):
+    """The chunks that have a vector in ``embeddings``."""
+    v = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return _chunks(spark, sf).join(v, "id")
 
 
 def _asked(spark, sf):
     b = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
-    return search.encoded(b, "text", search.HashEncoder(), "query", "query_vector")
+    return b.join(table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("query_vector")), "id")
 
 
-@query()
+HYBRID_SQL = rf"""j AS (SELECT doc_id AS id, source, lang, text, embedding FROM documents JOIN embeddings ON vec_id = doc_id),
+    b AS (SELECT item_id, text, embedding FROM benchmark JOIN embeddings ON vec_id = item_id),
+    d AS (SELECT id, {TOKENS_SQL} AS t FROM j), n AS (SELECT count(*) AS n, avg(len(t)) AS m FROM d),
+    p AS (SELECT id, dl, term, count(*) AS tf FROM (SELECT id, len(t) AS dl, unnest(t) AS term FROM d) GROUP BY ALL), s AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+    q AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({TOKENS_SQL}) AS term FROM b) GROUP BY ALL),
+    r AS (SELECT item_id, id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / m))), 6) AS score FROM p JOIN s USING (term) JOIN q USING (term), n GROUP BY ALL),
+    ok AS (SELECT id, source, embedding FROM j WHERE lang IS DISTINCT FROM 'de'),
+    lex AS (SELECT b.item_id, ok.id, row_number() OVER (PARTITION BY b.item_id ORDER BY coalesce(score, 0) DESC, ok.id) AS rank FROM b CROSS JOIN ok LEFT JOIN r ON r.item_id = b.item_id AND r.id = ok.id),
+    den AS (SELECT b.item_id, ok.id, row_number() OVER (PARTITION BY b.item_id ORDER BY list_inner_product(ok.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, ok.id) AS rank FROM b CROSS JOIN ok),
+    f AS (SELECT item_id, id, sum(0.5 / (60 + rank)) AS score FROM (SELECT * FROM lex WHERE rank <= 100 UNION ALL SELECT * FROM den WHERE rank <= 100) GROUP BY ALL),
+    h AS (SELECT item_id, id, source, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) AS rank FROM f JOIN ok USING (id))"""
+
+
+@query(f"WITH {HYBRID_SQL} SELECT item_id AS query_id, id, round(score, 9) AS score, rank FROM h WHERE rank <= 10")
 def hybrid_chunks(spark, sf):
-    return search.search_chunks(_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"]).withColumn("score", F.round("score", 9))
+    return search.search_chunks(_vector_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"]).withColumn("score", F.round("score", 9))
 
 
-@query()
+@query(f"""WITH {HYBRID_SQL}, g AS (SELECT item_id, source, max(score) AS score, arg_min(id, rank) AS best_id FROM h WHERE rank <= 100 GROUP BY ALL),
+    k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, source) AS rank FROM g)
+    SELECT item_id AS query_id, source AS document_id, round(score, 9) AS score, best_id, rank FROM k WHERE rank <= 5""")
 def hybrid_documents(spark, sf):
-    r = search.search_documents(_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"], limit=5)
+    r = search.search_documents(_vector_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"], limit=5)
     return r.select("query_id", "document_id", F.round("score", 9).alias("score"), "best_id", "rank")
 
 
-@query()
+STOP = ", ".join(f"'{w}'" for w in T.QUERY_STOP_WORDS)
+TERMS_SQL = rf"list_distinct(list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '[\p{{L}}\p{{N}}_À-ÿ]+'), lambda w: trim(regexp_replace(strip_accents(replace(lower(w), 'ß', 'ss')), '[^a-z0-9]+', ' ', 'g'))), lambda w: length(w) >= 2 AND w NOT IN ({STOP})))"
+
+
+@query(f"""WITH {BM25_SQL}, ok AS (SELECT doc_id, source, text FROM documents WHERE lang IS DISTINCT FROM 'de' AND source IS NOT NULL),
+    c AS (SELECT b.item_id, ok.doc_id, ok.source, coalesce(r.score, 0) AS score, row_number() OVER (PARTITION BY b.item_id ORDER BY coalesce(r.score, 0) DESC, ok.doc_id) AS rank FROM benchmark b CROSS JOIN ok LEFT JOIN r ON r.item_id = b.item_id AND r.doc_id = ok.doc_id),
+    want AS (SELECT item_id, {TERMS_SQL} AS w FROM benchmark), have AS (SELECT doc_id, {TERMS_SQL} AS h FROM ok),
+    e AS (SELECT item_id, doc_id, source, score, rank, CASE WHEN len(w) > 0 THEN len(list_intersect(w, h)) / len(w) ELSE 0 END AS cov, max(score) OVER (PARTITION BY item_id) AS top FROM c JOIN want USING (item_id) JOIN have USING (doc_id) WHERE rank <= 100),
+    x AS (SELECT *, 0.8::DOUBLE * CASE WHEN top > 0 THEN least(1.0, greatest(0.0, score / top)) ELSE 0 END + 0.2::DOUBLE * cov AS rr FROM e),
+    k AS (SELECT *, row_number() OVER (PARTITION BY source, item_id ORDER BY rr DESC, doc_id) AS n FROM x)
+    SELECT 'REF-' || source AS reference_id, item_id AS requirement_id, doc_id AS chunk_id, score, rank AS retrieval_rank, round(cov, 6) AS term_coverage, round(rr, 6) AS rerank_score, n AS evidence_rank FROM k WHERE n <= 3""")
 def matched_evidence(spark, sf):
-    refs = table(spark, sf, "documents").select("source").distinct().select(F.concat(F.lit("REF-"), "source").alias("reference_id"), F.col("source").alias("document_id"))
-    return search.match(_chunks(spark, sf), _asked(spark, sf), refs, ["PUBLIC"], mode="bm25").withColumn("rerank_score", F.round("rerank_score", 6)).withColumn("term_coverage", F.round("term_coverage", 6))
+    refs = table(spark, sf, "documents").select("source").where("source IS NOT NULL").distinct().select(F.concat(F.lit("REF-"), "source").alias("reference_id"), F.col("source").alias("document_id"))
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
+    found = search.match(_chunks(spark, sf), asked, refs, ["PUBLIC"], mode="bm25", index=bm25_index(spark, sf))
+    return found.withColumn("rerank_score", F.round("rerank_score", 6)).withColumn("term_coverage", F.round("term_coverage", 6))
+
+
+# -- contract, recommendations, labels, records ------------------------------------------------
+
+
+def _contract(spark, sf):
+    """Customers stand in for references: their nation, region, segment, order years and statuses."""
+    o = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min(F.year("o_orderdate")).alias("year_start"), F.max(F.year("o_orderdate")).alias("year_end"), F.array_sort(F.collect_set("o_orderstatus")).alias("capability_tags"))
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
+    c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).join(o, "c_custkey", "left")
+    return c.select(
+        F.col("c_custkey").alias("reference_id"), F.when(F.col("c_custkey") % 5 == 0, "CONFIDENTIAL").otherwise("INTERNAL").alias("security_classification"), (F.col("c_acctbal") > 0).alias("base_shortlist_eligible"),
+        F.col("n_name").alias("country_code"), F.col("r_name").alias("region"), F.col("c_mktsegment").alias("sector_code"), "year_start", "year_end", "capability_tags", (F.col("c_acctbal") / 10000.0).alias("evidence_strength"), F.col("year_end").isNotNull().alias("evidence_available"),
+    )
+
+
+def _filtered(spark, sf):
+    vocabulary = filters.ContractVocabulary({"sector_code": {"Bâtiment": "BUILDING", "machines": "MACHINERY", "cars": "AUTOMOBILE"}})
+    hard = {"region": ["asia ", "Éurope", "AMERICA"], "sector_code": ["batiment", "Machines", "AUTOMOBILE"], "capability_tags": ["f"], "year_from": "1997", "year_to": 1995, "evidence_min_strength": 0.1, "offering_code": ""}
+    drop = [{"field": "country_code", "operator": "contains", "value": "Ind"}, {"field": "evidence_strength", "operator": "gt", "value": "0.95"}, {"field": "evidence_available", "operator": "is_false"}]
+    return filters.filter_contract(_contract(spark, sf), [" ", "internal", "Public"], hard, drop, vocabulary)
+
+
+FLAGS_SQL = """o AS (SELECT o_custkey, min(year(o_orderdate)) AS ys, max(year(o_orderdate)) AS ye, list(DISTINCT o_orderstatus) AS tags FROM orders GROUP BY ALL),
+    k AS (SELECT c_custkey, c_custkey % 5 <> 0 AS a, c_acctbal > 0 AS e, r_name IN ('ASIA', 'EUROPE', 'AMERICA') AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') AND coalesce(list_contains(tags, 'F') AND ye >= 1997 AND ys <= 1995, false) AND c_acctbal / 10000.0 >= 0.1 AS h,
+      lower(n_name) LIKE '%ind%' OR c_acctbal / 10000.0 > 0.95 OR ye IS NULL AS x FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN o ON o_custkey = c_custkey)"""
+
+
+@query(f"WITH {FLAGS_SQL} SELECT c_custkey AS reference_id FROM k WHERE a AND e AND h AND NOT x")
+def contract_filter(spark, sf):
+    return _filtered(spark, sf)[0].select("reference_id")
+
+
+@query(f"""WITH {FLAGS_SQL} SELECT count(*) AS rows, count(*) FILTER (NOT a) AS unauthorized, count(*) FILTER (a AND NOT e) AS ineligible, count(*) FILTER (a AND e AND NOT h) AS filtered, count(*) FILTER (a AND e AND h AND x) AS excluded,
+    count(*) FILTER (a AND e AND h AND NOT x) AS kept, coalesce(string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) FILTER (a AND e AND h AND x), '') AS excluded_ids FROM k""")
+def contract_audit(spark, sf):
+    return _filtered(spark, sf)[1].withColumn("excluded_ids", F.array_join(F.transform("excluded_ids", lambda x: x.cast("string")), ","))
+
+
+TYPES, QUALITIES = {"F": 0.9, "O": 0.7, "OTHER": 0.4}, {"1": 1.0, "2": 0.8, "OTHER": 0.5}
+
+
+def _v1(spark, sf):
+    o = table(spark, sf, "orders")
+    top = F.max("o_totalprice").over(Window.partitionBy("o_orderpriority"))
+    ev = o.select(F.col("o_custkey").alias("reference_id"), F.col("o_orderpriority").alias("requirement_id"), (F.col("o_totalprice") / top).alias("relevance"), F.col("o_orderstatus").alias("document_type"), F.substring("o_orderpriority", 1, 1).alias("data_quality_status"))
+    spans = o.groupBy(F.col("o_custkey").alias("reference_id")).agg(F.concat(F.lit("de "), F.min(F.year("o_orderdate")), F.lit(" à "), F.max(F.year("o_orderdate"))).alias("project_year"))
+    refs = table(spark, sf, "customer").select(F.col("c_custkey").alias("reference_id"), F.col("c_mktsegment").alias("sector"), (F.col("c_acctbal") > 0).alias("evidence_available")).join(spans, "reference_id")
+    return ev, recommend.score_references(ev, _requirements(spark, sf), refs, [("sector", "Build")], TYPES, QUALITIES, 0.5, 1998)
+
+
+V1_SQL = f"""e AS (SELECT o_custkey AS ref, o_orderpriority AS q, o_totalprice / max(o_totalprice) OVER (PARTITION BY o_orderpriority) AS rel,
+      CASE o_orderstatus WHEN 'F' THEN 0.9 WHEN 'O' THEN 0.7 ELSE 0.4 END::DOUBLE * CASE o_orderpriority[1] WHEN '1' THEN 1.0 WHEN '2' THEN 0.8 ELSE 0.5 END::DOUBLE AS strength FROM orders),
+    req AS (SELECT DISTINCT o_orderpriority AS q, CASE o_orderpriority {CASES} ELSE 'CONTEXT' END AS cls FROM orders),
+    g AS (SELECT r.ref, req.q, cls, coalesce(max(rel), 0) AS rel FROM (SELECT DISTINCT ref FROM e) r CROSS JOIN req LEFT JOIN e ON e.ref = r.ref AND e.q = req.q GROUP BY ALL),
+    w AS (SELECT *, rel >= 0.5 AS cov, CASE cls WHEN 'MUST' THEN 1.0 WHEN 'SHOULD' THEN 0.7 WHEN 'PREFERRED' THEN 0.4 ELSE 0.15 END::DOUBLE AS wt FROM g),
+    c AS (SELECT ref, sum(wt * rel) / sum(wt) AS wr, sum(CASE WHEN cov THEN wt ELSE 0 END) / sum(wt) AS wc, count(*) FILTER (cls = 'MUST' AND cov) AS mc, count(*) FILTER (cls = 'MUST') AS mt FROM w GROUP BY ref),
+    s AS (SELECT ref, max(strength) AS eq FROM e GROUP BY ref), y AS (SELECT o_custkey, max(year(o_orderdate)) AS ye FROM orders GROUP BY ALL)"""
+
+
+@query(f"""WITH {V1_SQL} SELECT ref AS reference_id, round(round(0.6 * wr + 0.2 * wc + 0.1 * eq + 0.05 * greatest(0.0, 1 - (1998 - least(ye, 1998)) / 20.0) + 0.05 * (CASE WHEN lower(c_mktsegment) LIKE '%build%' THEN 1 ELSE 0 END), 8), 6) AS base_score, mc AS must_covered, mt AS must_total,
+    concat_ws('; ', CASE WHEN mc < mt THEN 'MUST coverage ' || mc || '/' || mt END, CASE WHEN c_acctbal <= 0 THEN 'missing supporting evidence' END) AS warnings FROM c JOIN s USING (ref) JOIN y ON o_custkey = ref JOIN customer ON c_custkey = ref""")
+def recommendation_scores(spark, sf):
+    return _v1(spark, sf)[1][0].select("reference_id", F.round("base_score", 6).alias("base_score"), "must_covered", "must_total", "warnings")
+
+
+@query(f"WITH {V1_SQL}, m AS (SELECT q, count(DISTINCT ref) AS n FROM e WHERE rel >= 0.9 GROUP BY q) SELECT req.q AS requirement_id, cls AS classification, coalesce(n, 0) AS references_with_evidence, coalesce(n, 0) = 0 AS gap, CASE WHEN coalesce(n, 0) = 0 THEN 'NO_RELIABLE_EVIDENCE_FOUND' ELSE 'EVIDENCE_FOUND' END AS status FROM req LEFT JOIN m ON m.q = req.q")
+def gap_summary(spark, sf):
+    return recommend.gap_summary(_requirements(spark, sf), _v1(spark, sf)[0], 0.9)
+
+
+@query(f"""WITH {GRID_SQL}, c AS (SELECT * FROM g WHERE covered AND reference_id % 10 = 0)
+    SELECT q.requirement_id, count(DISTINCT c.reference_id) AS supporting, coalesce(string_agg(DISTINCT c.reference_id::VARCHAR, ','  ORDER BY c.reference_id::VARCHAR), '') AS reference_ids FROM (SELECT DISTINCT requirement_id FROM g WHERE reference_id % 10 = 0) q LEFT JOIN c USING (requirement_id) GROUP BY ALL""")
+def portfolio_coverage(spark, sf):
+    chosen = table(spark, sf, "customer").where("c_custkey % 10 = 0").select(F.col("c_custkey").alias("reference_id"))  # the portfolio
+    found = reference_contract.portfolio_coverage(_grid(spark, sf), chosen)
+    return found.select("requirement_id", "supporting", F.array_join(F.array_sort(F.transform("reference_ids", lambda x: x.cast("string"))), ",").alias("reference_ids"))
+
+
+@query("SELECT doc_id AS candidate_id, quality::INTEGER AS relevance_1, toxic::INTEGER AS relevance_2, quality = toxic AS agreement FROM labels")
+def labelled_pairs(spark, sf):
+    rows = table(spark, sf, "labels").withColumn("query_id", F.lit(1)).withColumnRenamed("doc_id", "candidate_id")
+    pairs = evaluation.labelled_pairs(rows.withColumn("relevance", F.col("quality").cast("int")), rows.withColumn("relevance", F.col("toxic").cast("int")))
+    return pairs.drop("query_id")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (quality = 1) AS \"1\", count(*) FILTER (quality = 0) AS \"0\" FROM labels")
+def adjudication_counts(spark, sf):
+    return evaluation.status_counts(table(spark, sf, "labels").withColumn("status", F.col("quality").cast("string")), "status", ["1", "0"])
+
+
+@query(r"""SELECT doc_id, source || ' — page ' || (doc_id % 7 + 1) AS label, 'https://store/' || doc_id || '/view#page=' || (doc_id % 7 + 1) AS uri, concat_ws(' | ', 'Lang: ' || lang, 'Source: ' || source) AS line,
+    CASE WHEN n_chars % 2 = 0 THEN (n_chars // 2)::VARCHAR ELSE (n_chars // 2)::VARCHAR || '.5' END AS half FROM documents""")
+def citation_lines(spark, sf):
+    page = F.col("doc_id") % 7 + 1
+    facets = {"Lang": F.array_compact(F.array("lang")), "Source": F.array_compact(F.array("source"))}
+    return table(spark, sf, "documents").select("doc_id", T.citation_label(F.col("source"), page).alias("label"), T.citation_uri(F.col("doc_id"), page, "https://store/{id}/view").alias("uri"), T.metadata_line(facets).alias("line"), T.clean_scalar(F.col("n_chars") / 2, "double").alias("half"))
+
+
+@query("SELECT o_custkey, min(year(o_orderdate))::VARCHAR AS first, max(year(o_orderdate))::VARCHAR AS last FROM orders GROUP BY ALL")
+def project_years(spark, sf):
+    spans = table(spark, sf, "orders").groupBy("o_custkey").agg(F.concat(F.min("o_orderdate").cast("string"), F.lit(" puis "), F.max("o_orderdate").cast("string")).alias("t"))
+    return spans.select("o_custkey", V.year_bounds(F.col("t"), "?").alias("y")).select("o_custkey", "y.first", "y.last")
+
+
+@query(r"""WITH m AS (SELECT doc_id, length(text) AS c, len(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS w, (doc_id % 100)::DOUBLE AS conf FROM documents)
+    SELECT doc_id, CASE WHEN c < 20 THEN 'FAILED:very_low_text_volume' WHEN c < 80 OR w < 10 THEN 'REVIEW:low_text_volume' WHEN conf < 45 THEN 'FAILED:very_low_ocr_confidence' WHEN conf < 70 THEN 'REVIEW:low_ocr_confidence' ELSE 'PASS:' END AS status, c >= 80 AND w >= 10 AS usable FROM m""")
+def repair_states(spark, sf):
+    m = T.text_metrics(F.col("text"))
+    status, reason = corpus.repair_status(m["character_count"], m["word_count"], (F.col("doc_id") % 100).cast("double"))
+    return table(spark, sf, "documents").select("doc_id", F.concat_ws(":", status, reason).alias("status"), corpus.usable_digital_text(F.col("text")).alias("usable"))
+
+
+@query("""SELECT conv_id AS document_id, count(*) AS page_count, count(*) FILTER (length(text) >= 40) AS eligible_page_count, count(*) FILTER (length(text) >= 40) > 0 AS retrieval_eligible,
+    CASE WHEN count(*) FILTER (length(text) >= 40) = 0 THEN 'NO_ELIGIBLE_PAGES' WHEN count(*) FILTER (length(text) < 40) > 0 THEN 'PARTIAL_PAGE_EXCLUSION' ELSE 'PASS' END AS data_quality_status, '["' || arg_min(role, turn) || '"]' AS client_values_json FROM conversations GROUP BY conv_id""")
+def corpus_documents(spark, sf):
+    p = _pages(spark, sf).withColumns({"retrieval_eligible": F.length("text") >= 40, "security_classification": F.lit("PUBLIC")})
+    first = p.groupBy("document_id").agg(F.min_by("file_name", "page").alias("client"), F.min("page").alias("row_number"))
+    refs = first.select(F.col("document_id").alias("canonical_document_id"), "row_number", F.col("document_id").cast("string").alias("reference_id"), "client")
+    d = corpus.document_records(p, corpus.canonical_pages(p), corpus.reference_metadata(refs, ["client"]), ["client"])
+    return d.select("document_id", "page_count", "eligible_page_count", "retrieval_eligible", "data_quality_status", "client_values_json")
+
+
+@query()
+def bootstrap_probes(spark, sf):
+    p = table(spark, sf, "part")
+    d = p.select(F.col("p_partkey").alias("id"), F.array("p_brand").alias("client"), F.array("p_type").alias("offering"), F.array(F.col("p_size").cast("string")).alias("sector"), F.array("p_name").alias("service_nature"), F.array("p_brand").alias("country"))
+    found = search.probes(d, ["client", "offering", "sector", "service_nature", "country"])
+    return found.select("query_id", "query_text", F.array_join(F.transform("relevant", lambda x: x.cast("string")), ",").alias("relevant"), "primary_id", "specificity", "relevant_count")
+
+
+@query()
+def portfolio_selection(spark, sf):
+    c = _contract(spark, sf).withColumns({"offering_code": F.when(F.col("sector_code") == "BUILDING", "CYBERSECURITY").otherwise("OTHER"), "engagement_tags": F.array().cast("array<string>"), "subregion": F.col("region"), "evidence_type": F.lit("ATTESTATION_SCAN"), "final_score": F.col("evidence_strength")})
+    rules = [{"code": "SEC", "level": "PORTFOLIO_COUNT", "minimum_count": 2, "required_capability": "SECURITY_PSSI_ISO27001", "signed_attestation_required": True, "year_start_inclusive": 1996}]
+    return matching.select_portfolio(matching.annotate_capabilities(c), _grid(spark, sf), rules, 8)
 
 
 @query(f"""WITH {DENSE_SQL}, a AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM x),

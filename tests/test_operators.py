@@ -87,9 +87,78 @@ def test_must_gate_duplicates_and_dense_coverage(spark):
     assert open_gate["B"] == ""
 
 
-def test_portfolio_covers_rules_first():
-    c = [{"reference_id": i, "final_score": s, "rules": set(r), "requirements": dict.fromkeys(q, 1.0)} for i, s, r, q in (("a", 0.9, "", "xy"), ("b", 0.5, "k", ""), ("c", 0.7, "", "z"), ("d", 0.6, "", ""))]
-    assert matching.select_portfolio(c, {"k": 1}, 3) == ["b", "a", "c"]
+def portfolio_rows(spark):
+    """reference_id, score, offering, sector, evidence type, years, capabilities."""
+    rows = [
+        ("a", 0.9, "OTHER", "BANKING", "CONTRACT", 2018, 2020, []),
+        ("b", 0.5, "IT_STRATEGY_AMOA", "BANKING", "ATTESTATION_SCAN", 2015, 2022, ["CYBERSECURITY"]),
+        ("c", 0.7, "CYBERSECURITY", "ENERGY", "ATTESTATION_ORIGINAL", None, 2022, []),
+        ("d", 0.6, "OTHER", "ENERGY", "CONTRACT", 2010, 2011, ["IT_GOVERNANCE", "roadmap"]),
+        ("e", 0.65, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "reference_id string, final_score double, offering_code string, sector_code string, evidence_type string, year_start int, year_end int, capability_tags array<string>")
+    return df.withColumns({"engagement_tags": F.array().cast("array<string>"), "subregion": F.lit("Afrique de l’Ouest"), "evidence_available": F.lit(True)})
+
+
+RULES = [
+    {"code": "R-SEC", "level": "PORTFOLIO_COUNT", "minimum_count": 2, "required_capability": "SECURITY_PSSI_ISO27001"},
+    {"code": "R-SDSI", "level": "PORTFOLIO_COUNT", "minimum_count": 1, "required_capability": "SDSI", "required_sector_or_region": "BANKING_FINANCE_INSURANCE", "signed_attestation_required": True},
+    {"code": "R-ALL", "level": "PER_REFERENCE", "required_capability": "ANY"},
+]
+
+
+def plain_portfolio(rows, coverage, most, least):
+    """The three phases with lists: rule deficits by 1 / number asked for, then requirements (MUST 2), then scores."""
+    flags = {"b": {"R-SEC", "R-SDSI"}, "c": {"R-SEC"}}
+    need, chosen = {"R-SEC": 2, "R-SDSI": 1}, []
+    while len(chosen) < most:
+        lacking = [r for r, n in need.items() if sum(r in flags.get(x, ()) for x in chosen) < n]
+        options = [(-sum(1 / need[r] for r in lacking if r in flags.get(x, ())), -s, x) for x, s in rows.items() if x not in chosen]
+        options = [o for o in options if o[0] < 0]
+        if not options:
+            break
+        chosen.append(min(options)[2])
+    got = {r for x in chosen for r in coverage.get(x, {})}
+    while len(chosen) < most:
+        options = [(-sum(w for r, w in coverage.get(x, {}).items() if r not in got), -s, x) for x, s in rows.items() if x not in chosen]
+        options = [o for o in options if o[0] < 0]
+        if not options:
+            break
+        chosen.append(min(options)[2])
+        got |= set(coverage.get(chosen[-1], {}))
+    rest = sorted((-s, x) for x, s in rows.items() if x not in chosen)
+    return chosen + [x for _, x in rest[: max(0, max(least, most) - len(chosen))]]
+
+
+def test_portfolio_in_three_phases(spark):
+    annotated = matching.annotate_capabilities(portfolio_rows(spark))
+    flags = {r.reference_id: r for r in annotated.collect()}
+    assert flags["b"].is_sdsi and flags["b"].is_security and flags["c"].is_security and flags["d"].is_sdsi and not flags["e"].is_sdsi and flags["e"].is_west_or_north_africa
+    covered = {"a": {"q1": 1.0, "q2": 2.0}, "d": {"q3": 1.0}, "b": {"q1": 1.0}}
+    rows = [(x, r, "MUST" if w == 2 else "SHOULD", True) for x, held in covered.items() for r, w in held.items()] + [("e", "q4", "MUST", False)]
+    coverage = spark.createDataFrame(rows, "reference_id string, requirement_id string, classification string, covered boolean")
+    scores = {r.reference_id: r.final_score for r in annotated.collect()}
+    for most, least in ((5, 0), (4, 0), (3, 0), (1, 0), (2, 4)):
+        got = matching.select_portfolio(annotated, coverage, RULES, most, least).orderBy("portfolio_rank").collect()
+        assert [r.reference_id for r in got] == plain_portfolio(scores, covered, most, least)
+    reasons = {r.reference_id: r.selection_reason for r in matching.select_portfolio(annotated, coverage, RULES, 5).collect()}
+    assert reasons == {"b": "PORTFOLIO_RULE:R-SDSI,R-SEC", "c": "PORTFOLIO_RULE:R-SEC", "a": "REQUIREMENT_COVERAGE:q2", "d": "REQUIREMENT_COVERAGE:q3", "e": "RANKED_PORTFOLIO_COMPLETION"}
+    with pytest.raises(EngineError):
+        matching.rule_condition({"required_capability": "NONE"})
+    dated = annotated.where(matching.rule_condition({"required_capability": "ANY", "year_start_inclusive": 2020, "year_end_inclusive": 2016}))
+    assert {r.reference_id for r in dated.collect()} == {"b"}
+
+
+def test_criteria_show_evidence_and_never_award_points(spark):
+    annotated = matching.annotate_capabilities(portfolio_rows(spark))
+    named = {r["code"]: (matching.rule_condition(r), r.get("minimum_count")) for r in RULES}
+    results = matching.evaluate_rules(annotated, named)
+    assert {r.rule: (r.matching, r.met, r.ids) for r in results.collect()} == {"R-SEC": (2, True, ["b", "c"]), "R-SDSI": (1, True, ["b"]), "R-ALL": (5, True, list("abcde"))}
+    coverage = spark.createDataFrame([("q1", 1, ["a"]), ("q2", 0, [])], "requirement_id string, supporting long, reference_ids array<string>")
+    criteria = [{"code": "SCORE-GENERAL", "points": 10, "evaluation_route": "EVIDENCE"}, {"code": "S2", "points": 5, "evaluation_route": "EVIDENCE"}, {"code": "S3", "points": 5, "evaluation_route": "EVIDENCE"}, {"code": "S4", "points": 5, "evaluation_route": "INTERVIEW"}]
+    got = {r.code: r for r in matching.scoring_criteria(criteria, results, coverage, {"S2": ["R-SEC", "R-SDSI"], "S3": ["R-NONE"]}, ["INTERVIEW"]).collect()}
+    assert {c: (r.evidence_status, r.reference_ids) for c, r in got.items()} == {"SCORE-GENERAL": ("EVIDENCE_GAP", ["a"]), "S2": ("READY_FOR_HUMAN_SCORING", ["b", "c"]), "S3": ("EVIDENCE_GAP", []), "S4": ("OUTSIDE_REFERENCE_MATCHING_SCOPE", [])}
+    assert all(r.points_awarded is None and r.human_scoring_required for r in got.values())
 
 
 def test_metrics_by_hand(spark):
@@ -99,6 +168,10 @@ def test_metrics_by_hand(spark):
     assert (got[1].recall_at_10, got[1].precision_at_5, got[1].mrr) == (1.0, 0.4, 0.5)
     assert got[1].ndcg_at_10 == pytest.approx((1 / math.log2(3) + 1 / math.log2(5)) / (1 + 1 / math.log2(3)))
     assert got[2].recall_at_10 is None and got[2].mrr is None and got[2].precision_at_5 == 0.0
+    both = evaluation.ranking_metrics(ranks.where("query_id = 2"), grades)
+    assert {r.query_id: (r.answerable, r.recall_at_10, r.mrr) for r in both.collect()} == {1: (True, 0.0, 0.0), 2: (False, None, None)}  # a query without a hit counts
+    means = evaluation.system_means(evaluation.ranking_metrics(ranks, grades.unionByName(spark.createDataFrame([(3, "q", 2)], grades.schema)))).first()
+    assert (means.queries, means.answerable, means.recall_at_10) == (3, 2, 0.5)
     same = spark.createDataFrame([(0, 0), (1, 1), (2, 2)], "a int, b int")
     assert evaluation.weighted_kappa(same, "a", "b", 3).first().kappa == 1.0
 
@@ -136,9 +209,9 @@ def test_every_document_gives_filter_values_and_every_term_statistics(spark, tmp
     texts = [(0, "solar plant"), (1, "Water"), (2, "roads"), (3, "bridges water"), (9, "harbour")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(7, "Bridges, a harbour and water"), (8, "harbour without cranes or bridges")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    got = sorted(map(tuple, catalog.filter_proposals_all(spark, str(tmp_path)).collect()))
+    got = sorted(map(tuple, catalog.filter_proposals(spark, str(tmp_path)).collect()))
     assert got == [("word", w, b, i) for w in ("bridges", "harbour") for b, i in (("EXCLUSION_CANDIDATE", "8"), ("HARD_CANDIDATE", "7"))] + [("word", "water", "HARD_CANDIDATE", "7")]
-    assert {r.term: (r.df, r.cf) for r in catalog.bm25_terms_all(spark, str(tmp_path)).collect()} == {"solar": (1, 1), "plant": (1, 1), "water": (2, 2), "roads": (1, 1), "bridges": (1, 1), "harbour": (1, 1)}
+    assert {r.term: (r.df, r.cf) for r in catalog.bm25_terms(spark, str(tmp_path)).collect()} == {"solar": (1, 1), "plant": (1, 1), "water": (2, 2), "roads": (1, 1), "bridges": (1, 1), "harbour": (1, 1)}
 
 
 def test_filter_values_of_any_length_aliases_and_exclusions(spark):
