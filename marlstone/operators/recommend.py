@@ -85,7 +85,7 @@ def score_references(evidence: DataFrame, requirements: DataFrame, references: D
 def diversified(recommendations: DataFrame, client: str = "client", per_client: int = 2, limit: int = 10) -> DataFrame:
     """The best ``limit`` recommendations, the third and later of a client only to fill up; no client is one of its own."""
     key = fold_search(F.coalesce(F.col(client), F.lit("")))
-    keyed = recommendations.withColumn("_client", F.when(F.trim(key) == "", F.concat(F.lit("unknown:"), F.col("reference_id").cast("string"))).otherwise(key))
+    keyed = recommendations.withColumn("_client", F.when(key == "", F.concat(F.lit("unknown:"), F.col("reference_id").cast("string"))).otherwise(key))
     keyed = keyed.withColumn("_order", F.struct((-F.col("base_score")).alias("s"), "reference_id"))
     return diversify(keyed, "_client", "_order", per_client, limit).drop("_client", "_order")
 
