@@ -606,17 +606,27 @@ def _star_pairs(met: DataFrame, signed: DataFrame, percent: int, part_rows: int)
     return rows.repartition("leader", "part").sortWithinPartitions("leader", "part").mapInPandas(_search(percent), "a long, b long")
 
 
-def _tree_pairs(met: DataFrame, known: DataFrame, signed: DataFrame, percent: int, tile_rows: int, salts: int = 16) -> DataFrame:
-    """Pairs of different components in blocks that hold several, by dual traversal."""
+def _tree_pairs(met: DataFrame, known: DataFrame, signed: DataFrame, percent: int, tile_rows: int, part_rows: int, salts: int = 16) -> DataFrame:
+    """Pairs of different components in blocks that hold several, by dual traversal.
+
+    The nodes of a block's largest component need comparing with the others only: they are dealt
+    over tiles, and the others go to each. Where the others alone are more than ``tile_rows``, all
+    nodes are dealt, and every pair of tiles is traversed.
+    """
     held = met.select("leader", "node").join(known.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     held = materialise(held.select("leader", "node", F.coalesce("component", "node").alias("comp")), "jaccard-held")
-    open_blocks = held.groupBy("leader").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size")).where("c1 < c2")
+    sizes = held.groupBy("leader", "comp").agg(F.count("*").alias("n"))
+    blocks = sizes.groupBy("leader").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("main")).where("comps > 1")
+    few = F.col("size") - F.col("main.n") <= tile_rows
+    tiles = F.when(few, F.ceil(F.col("main.n") / part_rows)).otherwise(F.ceil(F.col("size") / tile_rows)).cast("int")
     # a leader of many nodes is joined in ``salts`` parts
-    open_blocks = open_blocks.select(F.col("leader").alias("_leader"), F.ceil(F.col("size") / tile_rows).cast("int").alias("tiles"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    blocks = blocks.select(F.col("leader").alias("_leader"), F.when(few, F.col("main.comp")).alias("main"), few.alias("few"), tiles.alias("tiles"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
     salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
-    left = held.withColumn("salt", salt).join(open_blocks, (F.col("leader") == F.col("_leader")) & (F.col("salt") == F.col("_salt"))).drop("_leader", "_salt", "salt")
+    left = held.withColumn("salt", salt).join(blocks, (F.col("leader") == F.col("_leader")) & (F.col("salt") == F.col("_salt"))).drop("_leader", "_salt", "salt")
     left = left.withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    everywhere = F.sequence(F.lit(0), F.col("tiles") - 1)
+    left = left.withColumn("other", F.explode(F.when(F.coalesce(F.col("comp") == F.col("main"), F.lit(False)), F.array("tile")).otherwise(everywhere)))
+    left = left.withColumn("tile", F.when(F.col("few"), F.col("other")).otherwise(F.col("tile")))
     left = left.select("leader", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "node", "comp")
     rows = left.join(signed, F.col("node") == F.col("s_node")).drop("s_node")
     found = rows.repartition("leader", "t1", "t2").sortWithinPartitions("leader", "t1", "t2", "n", "node").mapInPandas(_traverse(percent), "a long, b long")
@@ -638,7 +648,7 @@ def find_links(nodes: DataFrame, percent: int = 75, local: int = 8, most_common:
     stars = materialise(_star_pairs(met, signed, percent, part_rows), "jaccard-stars")
     star_links = materialise(_verify(stars, named, percent), "jaccard-links")
     known = components(star_links)
-    pairs = _tree_pairs(met, known, signed, percent, tile_rows)
+    pairs = _tree_pairs(met, known, signed, percent, tile_rows, part_rows)
     tree_links = materialise(_verify(pairs, named, percent), "jaccard-links")
     sizes = materialise(sizes, "jaccard-sizes")
     discard(seen, met, stars, known, pairs)

@@ -84,6 +84,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, ratio_weights(docs, trusted))
 
 
+# -- what SQL can say of operators whose whole result it can't ---------------------------------
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op8_source_mix`` that do not depend on the choice of documents."""
+    return op8_source_mix(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of the fixed patterns of ``op9_secret_scan``."""
+    return op9_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def rule_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base measures of ``op10_quality_rules``."""
+    return op10_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_language_id": op2_language_id,
@@ -95,9 +113,41 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "mix_targets": mix_targets,
+    "secret_counts": secret_counts,
+    "rule_measures": rule_measures,
 }
 
+WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLES = {
+    "op1_jaccard_join": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, list_transform({WORDS_SQL}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+        x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+        r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON r.root = e.a)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM s JOIN (SELECT id, min(root) AS component_id FROM r GROUP BY id) c ON c.id = doc_id""",
+    "mix_targets": rf"""
+        WITH d AS (SELECT doc_id, source, len({WORDS_SQL}) AS size FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS z, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS i FROM d GROUP BY source),
+        w AS (SELECT *, CASE i % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS w FROM s),
+        o AS (SELECT *, row_number() OVER (ORDER BY 2 * z / w, i) AS k, sum(z) OVER () * 1.5 AS t, sum(w) OVER () AS tw FROM w),
+        l AS (SELECT *, (t - coalesce(sum(2 * z) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / (tw - coalesce(sum(w) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lam FROM o),
+        f AS (SELECT *, lam * w > 2 * z AS full_ FROM l), g AS (SELECT arg_min(lam, k) AS lam FROM f WHERE NOT full_)
+        SELECT doc_id, size, z AS source_size, round(CASE WHEN full_ THEN 2.0 * z ELSE g.lam * w END::DOUBLE, 6) AS target FROM d JOIN f ON f.source IS NOT DISTINCT FROM d.source, g""",
+    "secret_counts": r"""
+        SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 6)) AS n_assign,
+               len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20)) AS n_access,
+               len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24)) AS n_hex FROM documents""",
+    "rule_measures": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS_SQL} AS w FROM documents),
+        v AS (SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+        c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM v),
+        k AS (SELECT doc_id, count(DISTINCT p) AS covered FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM c WHERE n > 1) GROUP BY doc_id),
+        m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+              list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(covered, 0) AS n_repeat_words FROM d LEFT JOIN k USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m""",
     "op6_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
