@@ -7,32 +7,21 @@ segmentations into pieces, by the forward algorithm; a text's is the product ove
 
 from __future__ import annotations
 
-import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _class_of(*categories: str) -> str:
-    """The inside of a character class: all assigned characters of some Unicode categories, as ranges."""
-    runs: list[list[int]] = []
-    for n in (*range(0x20000), *range(0xE0100, 0xE01F0)):  # no marks or numbers are assigned beyond
-        if unicodedata.category(chr(n)).startswith(categories):
-            if runs and runs[-1][1] == n - 1:
-                runs[-1][1] = n
-            else:
-                runs.append([n, n])
-    return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in runs)
-
-
 #: A word: letters (category L) with the marks (M) on them. Fractions, roman numerals and the like are no letters.
-WORD = re.compile(rf"(?:[^\W\d_{_class_of('Nl', 'No')}]+[{_class_of('M')}]*)+")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: Pieces up to so many letters are looked up at every place; longer ones only where their first letters occur.
+SHORT = 5
 
 
 class Pieces:
@@ -48,16 +37,23 @@ class Pieces:
         texts = (model.id_to_piece(i).replace("\u2581", "").lower() for i in range(model.get_piece_size()))
         self.of = {p: i for i, p in enumerate(sorted({t for t in texts if t.isalpha()}))}
         self.longest = max(map(len, self.of), default=1)
+        self.stems = {p[:SHORT] for p in self.of if len(p) > SHORT}
         self.other = len(self.of)
         self.none = self.other + 1
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """(words, length, longest): the piece that ends at a letter and has so many letters more than one; all of one length."""
         n, get, none, longest = len(words[0]), self.of.get, self.none, self.longest
-        cuts = [(j - k, j) for j in range(1, n + 1) for k in range(1, min(longest, j) + 1)]
+        cuts = [(j - k, j) for j in range(1, n + 1) for k in range(1, min(SHORT, longest, j) + 1)]
         found = np.fromiter([get(w[a:b], none) for w in words for a, b in cuts], np.int32, len(words) * len(cuts))
         out = np.full((len(words), n, longest), none, np.int32)
         out[:, [b - 1 for _, b in cuts], [b - a - 1 for a, b in cuts]] = found.reshape(len(words), -1)
+        starts, stems = range(n - SHORT), self.stems
+        for i, w in enumerate(words):
+            for a in starts:
+                if w[a : a + SHORT] in stems:
+                    for b in range(a + SHORT + 1, min(n, a + longest) + 1):
+                        out[i, b - 1, b - a - 1] = get(w[a:b], none)
         single = out[:, :, 0]
         single[single == none] = self.other
         return out
@@ -78,20 +74,20 @@ def _by_length(words: list[str], at_once: int = 2000) -> Iterator[tuple[list[int
 def word_scores(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """log P(word) for each word and language; ``p``: (pieces + 2, languages).
 
-    The forward sums are rescaled at every letter, so words of any length keep full precision.
+    The forward sums are rescaled every eight letters, so words of any length keep full precision.
     """
     out = np.empty((len(words), p.shape[1]))
     for where, same in _by_length(words):
         x = pieces.numbers(same)
-        longest, ends = pieces.longest, (x != pieces.none).any(0)  # where any of the words has a piece
-        alpha = np.zeros((longest, len(same), p.shape[1]))  # of the last letters, the newest first
-        alpha[0] = 1.0
+        ends = (x != pieces.none).any(0)  # where any of the words has a piece
+        sums = [np.ones((len(same), p.shape[1]))]  # forward sums of the last letters, the newest last
         log = np.zeros((len(same), p.shape[1]))
         for j in range(x.shape[1]):
-            now = sum(alpha[k] * p[x[:, j, k]] for k in np.flatnonzero(ends[j, : j + 1]))
-            log += np.log(now)
-            alpha[1:] = alpha[:-1] / now
-            alpha[0] = 1.0
+            sums.append(sum(sums[-1 - k] * p[x[:, j, k]] for k in np.flatnonzero(ends[j, : j + 1])))
+            if j % 8 == 7 or j == x.shape[1] - 1:
+                now = sums[-1]
+                log += np.log(now)
+                sums = [s / now for s in sums[-pieces.longest :]]
         out[where] = log
     return out
 
