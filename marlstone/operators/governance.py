@@ -11,7 +11,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fold_key, squeeze, whole_words
+from ..functions.text import fold_key, safe_file_name, squeeze, whole_words
 from .contracts import EngineError
 
 #: Fixed value: classes from open to closed.
@@ -81,20 +81,64 @@ def resolve_one(files: DataFrame, name: Column, exact: str, word: str) -> DataFr
     raise EngineError("no file, or more than one, fits")
 
 
-def dereferenced(items: DataFrame) -> DataFrame:
-    """Items (id, target_id) with shortcuts replaced by what they point to, if that is known."""
+def downloadable_name(file_id: Column, name: Column) -> Column:
+    """The name a file is kept under: its id, then its own name made safe."""
+    return F.concat(file_id, F.lit("__"), safe_file_name(name))
+
+
+def expanded_links(links: DataFrame, listing: DataFrame) -> DataFrame:
+    """Linked files, and the files directly in linked folders, each once: file_id, name, via.
+
+    ``links``: target_id. ``listing``: parent, id, name, is_folder.
+    """
+    at = listing.select(F.col("id").alias("_id"), "name", "is_folder")
+    found = links.select("target_id").distinct().join(at, F.col("target_id") == F.col("_id"))
+    files = found.where("NOT is_folder").select(F.col("target_id").alias("file_id"), "name", F.lit("").alias("via"))
+    held = listing.where("NOT is_folder").select(F.col("parent").alias("_parent"), F.col("id").alias("file_id"), F.col("name").alias("_name"))
+    inside = found.where("is_folder").join(held, F.col("target_id") == F.col("_parent")).select("file_id", F.col("_name").alias("name"), F.col("target_id").alias("via"))
+    return files.unionByName(inside).groupBy("file_id").agg(F.min_by(F.struct("name", "via"), "via").alias("x")).select("file_id", "x.name", "x.via")
+
+
+@dataclass(frozen=True)
+class ProjectPaths:
+    """The folders of a project, all below one root."""
+
+    root: str
+
+    def __getattr__(self, name: str) -> str:
+        if name not in ("snapshots", "extracted", "canonical", "indexes", "analyses", "exports"):
+            raise AttributeError(name)
+        return f"{self.root.rstrip('/')}/data/{name}"
+
+
+def dereferenced(items: DataFrame, root: str | None = None) -> DataFrame:
+    """Items (id, target_id) with shortcuts replaced by what they point to, if that is known.
+
+    The ``root`` of a source must be among the items, and a folder if they have ``is_folder``.
+    """
+    if root is not None:
+        found = items.where(F.col("id") == root)
+        if found.isEmpty() or ("is_folder" in items.columns and found.where("is_folder").isEmpty()):
+            raise EngineError("the root of the source is missing, or no folder")
     target = items.select(F.col("id").alias("_t"))
     return items.join(target, F.col("target_id") == F.col("_t"), "left").withColumn("resolved_id", F.coalesce("_t", "id")).drop("_t")
 
 
-def packet_issues(packet: DataFrame, key: str, grade: str, note: str, least: int, most: int) -> DataFrame:
-    """(key, issue): missing or out-of-range grades, missing notes for the lowest grade, repeated keys."""
+def packet_issues(packet: DataFrame, key: str, grade: str, note: str, least: int, most: int, frozen: DataFrame | None = None) -> DataFrame:
+    """(key, issue): missing or out-of-range grades, missing notes for the lowest grade, missing and repeated keys.
+
+    With ``frozen``, the packet as it was sent out, rows that came or went are issues, too.
+    """
     g = F.col(grade).try_cast("int")
     rows = packet.select(key, F.explode(F.array_compact(F.array(
         F.when(g.isNull(), "MISSING_GRADE"),
         F.when(~g.between(least, most), "GRADE_OUT_OF_RANGE"),
         F.when((g == least) & (F.coalesce(F.trim(note), F.lit("")) == ""), "NOTE_REQUIRED"),
+        F.when(F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) == "", "MISSING_KEY"),
     ))).alias("issue"))
+    if frozen is not None:
+        here, there = packet.select(key).distinct(), frozen.select(key).distinct()
+        rows = rows.unionByName(there.join(here, key, "left_anti").select(key, F.lit("ROW_REMOVED").alias("issue"))).unionByName(here.join(there, key, "left_anti").select(key, F.lit("ROW_ADDED").alias("issue")))
     repeated = packet.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key, F.lit("REPEATED_KEY").alias("issue"))
     return rows.unionByName(repeated)
 

@@ -677,6 +677,44 @@ def portfolio_coverage(spark, sf):
     return found.select("requirement_id", "supporting", F.array_join(F.array_sort(F.transform("reference_ids", lambda x: x.cast("string"))), ",").alias("reference_ids"))
 
 
+BY = dict(country_aliases={"France ": "FR", "GERMANY": "DE", "Allemagne": "DE", "chine": "CN", "CHINA": "CN"}, countries={"FR": {"name": "France", "region": "Europe", "subregion": "West"}, "DE": {"name": "Allemagne", "region": "Europe"}, "CN": {"region": "Asia"}}, sector_aliases={"Building": "CONSTRUCTION", "machinery": "INDUSTRY"}, evidence_types={"1-URGENT": "ATTESTATION_ORIGINAL", "2-High": "CONTRACT"}, evidence_strength={"ATTESTATION_ORIGINAL": 1.0, "CONTRACT": 0.7, "OTHER": 0.2}, capability_taxonomy={"BUILD": ["building", "bâtiment"], "CAR": ["automob"]}, ongoing=("en cours",))
+
+
+def _normalized(spark, sf):
+    """Orders stand in for references, customers for their documents; those of rich ones are missing."""
+    n = table(spark, sf, "nation")
+    c = table(spark, sf, "customer").join(n, F.col("c_nationkey") == n.n_nationkey)
+    o = table(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
+    year = F.year("o_orderdate")
+    refs = o.select(
+        F.col("o_orderkey").cast("string").alias("reference_id"), F.when(F.col("o_orderkey") % 11 == 0, "#REF!").otherwise("n").alias("reference_number"), F.concat(F.lit("S"), F.col("o_custkey") % 3).alias("sheet"), F.col("o_orderkey").alias("row_number"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey").cast("string")).alias("canonical_document_id"), F.col("c_name").alias("client"), F.col("n_name").alias("country"), F.col("c_mktsegment").alias("sector"), F.lit("x").alias("offering"), F.lit("Étude").alias("service_nature"),
+        F.when(F.col("o_orderkey") % 13 == 0, "").when(F.col("o_orderkey") % 5 == 0, F.concat(year, F.lit(" - En  COURS"))).otherwise(F.concat(year, F.lit("/"), year + 1)).alias("project_year"), F.col("o_orderpriority").alias("attestation_available"), (F.col("o_orderstatus") != "P").alias("evidence_available"), F.lit(True).alias("document_retrieval_eligible"), F.lit("PASS").alias("data_quality_status"),
+    )
+    docs = table(spark, sf, "customer").where("c_acctbal < 9000").select(F.col("c_custkey").cast("string").alias("document_id"), F.lit("f").alias("file_name"), F.sha2("c_name", 256).alias("source_sha256"), F.lit("CONTRACT").alias("document_type"), F.lit("fr").alias("document_language"), F.lit("PUBLIC").alias("security_classification"), (F.col("c_acctbal") > 0).alias("retrieval_eligible"))
+    return reference_contract.build_contract(refs, docs, reference_contract.Normalization(**BY))
+
+
+CONTRACT_SQL = """r AS (SELECT *, year(o_orderdate) AS y, o_orderkey % 7 <> 0 AS doc, o_orderkey % 13 = 0 AS undated, o_orderkey % 5 = 0 AS going, doc AND c_acctbal < 9000 AS has FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+    k AS (SELECT o_orderkey::VARCHAR AS reference_id, CASE n_name WHEN 'FRANCE' THEN 'FR' WHEN 'GERMANY' THEN 'DE' WHEN 'CHINA' THEN 'CN' ELSE '' END AS country_code, CASE WHEN n_name IN ('FRANCE', 'GERMANY') THEN 'Europe' WHEN n_name = 'CHINA' THEN 'Asia' ELSE '' END AS region,
+      CASE c_mktsegment WHEN 'BUILDING' THEN 'CONSTRUCTION' WHEN 'MACHINERY' THEN 'INDUSTRY' ELSE 'UNKNOWN' END AS sector_code, CASE WHEN NOT undated THEN y END AS year_start, CASE WHEN undated THEN NULL WHEN going THEN 2035 ELSE y + 1 END AS year_end, CASE WHEN undated THEN 'UNKNOWN' WHEN going THEN 'ONGOING' ELSE 'COMPLETED' END AS project_status,
+      CASE o_orderpriority WHEN '1-URGENT' THEN 1.0 WHEN '2-HIGH' THEN 0.7 ELSE 0.2 END::DOUBLE AS evidence_strength, CASE c_mktsegment WHEN 'BUILDING' THEN 'BUILD' WHEN 'AUTOMOBILE' THEN 'CAR' ELSE '' END AS capabilities,
+      count(*) OVER (PARTITION BY CASE WHEN doc THEN 'd' || o_custkey ELSE concat_ws('|', c_name, CASE WHEN NOT undated THEN y END, CASE WHEN undated THEN '' WHEN going THEN '2035' ELSE (y + 1)::VARCHAR END) END)::INTEGER AS duplicate_group_size,
+      coalesce(has AND o_orderstatus <> 'P' AND c_acctbal > 0, false) AS base_shortlist_eligible, 'REF-' || lpad(n::VARCHAR, greatest(4, length(n::VARCHAR))::INTEGER, '0') AS display_reference_id, has, undated, o_orderstatus, o_orderkey FROM (SELECT *, row_number() OVER (ORDER BY o_custkey % 3, o_orderkey) AS n FROM r))"""
+
+
+@query(f"WITH {CONTRACT_SQL} SELECT * EXCLUDE (has, undated, o_orderstatus, o_orderkey) FROM k")
+def normalized_references(spark, sf):
+    c = _normalized(spark, sf)
+    return c.select("reference_id", "country_code", "region", "sector_code", F.col("year_start").cast("long").alias("year_start"), F.col("year_end").cast("long").alias("year_end"), "project_status", "evidence_strength", F.array_join("capability_tags", ",").alias("capabilities"), "duplicate_group_size", "base_shortlist_eligible", "display_reference_id")
+
+
+@query(f"""WITH {CONTRACT_SQL} SELECT issue, severity, count(*) AS n FROM (SELECT unnest([CASE WHEN o_orderkey % 11 = 0 THEN 'INVALID_SOURCE_REFERENCE_NUMBER' END, CASE WHEN country_code = '' THEN 'UNMAPPED_COUNTRY' END, CASE WHEN undated THEN 'MISSING_PROJECT_YEAR' END, CASE WHEN o_orderstatus = 'P' THEN 'MISSING_SUPPORTING_EVIDENCE' END, CASE WHEN NOT has THEN 'MISSING_CANONICAL_DOCUMENT' END]) AS issue,
+      CASE WHEN issue IN ('UNMAPPED_COUNTRY', 'MISSING_CANONICAL_DOCUMENT') THEN 'ERROR' ELSE 'WARNING' END AS severity FROM k) WHERE issue IS NOT NULL GROUP BY ALL""")
+def reference_issues(spark, sf):
+    return reference_contract.data_quality_issues(_normalized(spark, sf)).groupBy("issue", "severity").agg(F.count("*").alias("n"))
+
+
 @query("SELECT doc_id AS candidate_id, quality::INTEGER AS relevance_1, toxic::INTEGER AS relevance_2, quality = toxic AS agreement FROM labels")
 def labelled_pairs(spark, sf):
     rows = table(spark, sf, "labels").withColumn("query_id", F.lit(1)).withColumnRenamed("doc_id", "candidate_id")

@@ -60,3 +60,34 @@ def test_reference_contract(spark):
     criteria = spark.createDataFrame([("A", "k1"), ("A", "k2"), ("B", "zz")], "criterion string, code string")
     rules = spark.createDataFrame([("k1", True), ("k2", False)], "code string, met boolean")
     assert {r.criterion: r.status for r in R.scoring_status(criteria, rules).collect()} == {"A": "EVIDENCE_PARTIAL", "B": "NO_RULE"}
+
+
+def test_audited_cases(spark):
+    shortlist = spark.createDataFrame([("r1", "Bank A", "DATA"), ("r2", "Bank A", "API"), ("r3", "B", "X")], "reference_id string, client string, role string")
+    rows = [("C1", "MUST", "t1", "COVERED", "Bank A | B"), ("C2", "MUST", "t2", "GAP", "B"), ("C3", "SHOULD", "t3", " COVERED", "Bank A"), ("C4", "SHOULD", "t4", "COVERED", "B||")]
+    coverage = spark.createDataFrame(rows, "code string, classification string, requirement_text string, audit_status string, supporting_clients string")
+    got = {(r.reference_id, r.code) for r in R.audited_requirements(shortlist, coverage, {"C3": "API", "C4": "DATA"}).collect()}
+    assert got == {("r1", "C1"), ("r2", "C1"), ("r2", "C3"), ("r3", "C1"), ("r3", "C4")}
+    ruled = spark.createDataFrame([("SUPPORTED",), ("PARTIAL",), (" SUPPORTED",), ("UNSUPPORTED",)], "audit_status string")
+    expected = {"must_total": 2, "must_covered": 1, "should_total": 2, "should_covered": 2, "total": 4, "SUPPORTED": 2, "PARTIAL": 1, "UNSUPPORTED": 1}
+    assert R.audited_case(coverage, ruled, expected, ["C2"])["gaps"] == ["C2"]
+    for bad, gaps in ((expected | {"total": 5}, ["C2"]), (expected, [])):
+        with pytest.raises(EngineError):
+            R.audited_case(coverage, ruled, bad, gaps)
+
+
+def test_folders_packets_and_roots(spark):
+    listing = spark.createDataFrame([(None, "root", "r", True), ("root", "f", "folder", True), ("f", "x", "a/b:c.pdf", False), ("f", "g", "deep", True), ("root", "y", "y.pdf", False)], "parent string, id string, name string, is_folder boolean")
+    links = spark.createDataFrame([("f",), ("y",), ("x",), ("gone",)], "target_id string")
+    got = {(r.file_id, r.name, r.via) for r in G.expanded_links(links, listing).collect()}
+    assert got == {("x", "a/b:c.pdf", ""), ("y", "y.pdf", "")}
+    assert listing.where("id = 'x'").select(G.downloadable_name(F.col("id"), F.col("name")).alias("n")).first().n == "x__b_c.pdf"
+    items = listing.select("id", F.lit(None).cast("string").alias("target_id"), "is_folder")
+    assert G.dereferenced(items, "root").count() == 5
+    for bad in ("absent", "y"):
+        with pytest.raises(EngineError):
+            G.dereferenced(items, bad)
+    sent = spark.createDataFrame([("a", "1", "n"), ("b", "2", "n")], "id string, grade string, note string")
+    back = spark.createDataFrame([("a", "1", "n"), ("c", "2", "n"), ("", "1", "n")], sent.schema)
+    assert {(r.id, r.issue) for r in G.packet_issues(back, "id", "grade", "note", 0, 3, sent).collect()} == {("", "MISSING_KEY"), ("b", "ROW_REMOVED"), ("c", "ROW_ADDED"), ("", "ROW_ADDED")}
+    assert G.ProjectPaths("s3a://b/p/").indexes == "s3a://b/p/data/indexes"
