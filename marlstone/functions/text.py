@@ -293,16 +293,18 @@ def mission_title(text: Column, fallback: Column) -> Column:
     return F.when(F.length(head).between(20, 180), head).otherwise(fallback)
 
 
-def labelled_lines(facets: dict[str, Column], head: Column, body: Column, per_facet: int = 3, per_value: int = 120, per_line: int = 200, per_head: int = 700) -> Column:
+def labelled_lines(facets: dict[str, Column], head: Column, body: Column, per_facet: int = 3, per_value: int = 120, per_line: int = 200, per_head: int = 700, most: int = 1700) -> Column:
     """Retrieval text: a head line, a line per non-empty facet, and the body.
 
-    Head and facet lines together take ``per_head`` characters at most.
+    Head and facet lines together take ``per_head`` characters at most; a text of more than ``most``
+    is an error, for an encoder would cut it.
     """
     lines = []
     for label, values in facets.items():
         cut = F.transform(F.slice(F.filter(values, lambda v: v != ""), 1, per_facet), lambda v: F.substring(v, 1, per_value))
         lines.append(F.when(F.size(cut) > 0, F.substring(F.concat(F.lit(f"{label}: "), F.array_join(cut, "; ")), 1, per_line)))
-    return F.concat_ws("\n", F.substring(F.concat_ws("\n", head, *lines), 1, per_head), body)
+    text = F.concat_ws("\n", F.substring(F.concat_ws("\n", head, *lines), 1, per_head), body)
+    return F.when(F.length(text) > most, F.raise_error(F.lit("a retrieval text is too long")).cast("string")).otherwise(text)
 
 
 def clean_scalar(value: Column, kind: str = "string") -> Column:

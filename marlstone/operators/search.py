@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import fold_search, query_terms, term_coverage
+from ..functions.text import excerpt, fold_search, query_terms, term_coverage
 from . import evaluation, matching, retrieval
 from .contracts import EngineError
 
@@ -121,6 +121,18 @@ def candidate_pool(rankings: DataFrame, depth: int = 10, seed: str = "pool") ->
     return named.withColumn("position", F.row_number().over(Window.partitionBy("query_id").orderBy(key)))
 
 
+def judging_packet(rankings: DataFrame, chunks: DataFrame, queries: DataFrame, depth: int = 10, seed: str = "pool", most_chars: int = 1200) -> DataFrame:
+    """The candidate pool as labelers see it: the best chunk of each candidate and what the query asks, in a blinded order.
+
+    ``rankings``: mode, query_id, id (document), rank, score, best_id. ``chunks``: id, text. ``queries``:
+    query_id and its attributes. Neither mode nor rank is shown.
+    """
+    best = rankings.groupBy("query_id", "id").agg(F.min_by("best_id", F.struct("rank", "mode")).alias("best_id"))
+    pool = candidate_pool(rankings, depth, seed).select("query_id", "id", "candidate_id", "position").join(best, ["query_id", "id"])
+    texts = chunks.select(F.col("id").alias("best_id"), excerpt(F.col("text"), most_chars).alias("excerpt"))
+    return pool.join(texts, "best_id").join(queries, "query_id").withColumns({"relevance": F.lit(None).cast("int"), "notes": F.lit("")})
+
+
 def select_system(means: DataFrame, least_recall: float) -> DataFrame:
     """The best system at or above a recall, by nDCG, MRR, then name; one row or none."""
     return means.where(F.col("recall_at_10") >= least_recall).orderBy(F.desc("ndcg_at_10"), F.desc("mrr"), "mode").limit(1)
@@ -217,6 +229,19 @@ def overlap(a: DataFrame, b: DataFrame, item: str) -> DataFrame:
     return both.agg(F.count("a").alias("left"), F.count("b").alias("right"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("shared"), F.count("*").alias("union")).withColumn("jaccard", F.col("shared") / F.col("union"))
 
 
+def dossier_records(recommended: DataFrame, evidence: DataFrame, coverage: DataFrame, text: Column, title: Column, quota: int = 3, least: float = 0.15) -> DataFrame:
+    """One record of each recommendation: its columns, its best grounded evidence and the requirements it covers.
+
+    ``coverage``: reference_id, requirement_id, classification, covered. A recommendation without
+    evidence has an empty list.
+    """
+    rows = dossier(recommended, evidence, text, title, least).where(F.col("place") <= quota)
+    shown = rows.groupBy("reference_id").agg(F.sort_array(F.collect_list(F.struct("place", "chunk_id", "grounding", "weak"))).alias("evidence"))
+    met = coverage.where("covered").groupBy("reference_id").agg(F.sort_array(F.collect_set(F.struct((F.col("classification") != "MUST").alias("optional"), "requirement_id"))).alias("requirements"))
+    out = recommended.join(shown, "reference_id", "left").join(met, "reference_id", "left")
+    return out.withColumns({"evidence": F.coalesce("evidence", F.array().cast(shown.schema["evidence"].dataType)), "requirements": F.coalesce(F.transform("requirements", lambda r: r["requirement_id"]), F.array().cast("array<string>"))})
+
+
 def dossier(recommended: DataFrame, evidence: DataFrame, text: Column, title: Column, least: float = 0.15) -> DataFrame:
     """Evidence of each recommendation that is grounded in its title; the best one, flagged, where none is."""
     from ..functions.text import grounding_score

@@ -140,6 +140,20 @@ def test_stored_index_gives_the_scores_of_the_formula_and_finds_damage(spark, ch
     assert [(r.id, r["rank"]) for r in retrieval.top_ranked(odd, 5).collect()] == [(2, 1)]
 
 
+def test_packets_are_blinded_and_records_whole(spark, chunks):
+    ranked = spark.createDataFrame([("bm25", 1, "d1", 1, 2), ("dense", 1, "d1", 2, 1), ("dense", 1, "d2", 1, 3), ("dense", 1, "d9", 11, 3)], "mode string, query_id int, id string, rank int, best_id long")
+    queries = spark.createDataFrame([(1, "solar?", "fr")], "query_id int, query_text string, query_language string")
+    got = {r.id: r for r in search.judging_packet(ranked, chunks, queries, most_chars=5).collect()}
+    assert set(got) == {"d1", "d2"} and got["d1"].excerpt == "solar" and got["d1"].best_id == 2 and got["d1"].query_language == "fr"
+    assert not {"mode", "modes", "rank"} & set(got["d1"].asDict()) and {r.position for r in got.values()} == {1, 2}
+    rec = spark.createDataFrame([("A", "solar plant works"), ("B", "other")], "reference_id string, title string")
+    ev = spark.createDataFrame([("A", i, t) for i, t in enumerate(["solar plant", "water", "solar works plant", "plant"])], "reference_id string, chunk_id int, text string")
+    cover = spark.createDataFrame([("A", "q2", "SHOULD", True), ("A", "q9", "MUST", True), ("B", "q1", "MUST", False)], "reference_id string, requirement_id string, classification string, covered boolean")
+    made = {r.reference_id: r for r in search.dossier_records(rec, ev, cover, F.col("text"), F.col("title"), quota=2).collect()}
+    assert [e.chunk_id for e in made["A"].evidence] == [2, 0] and made["A"].requirements == ["q9", "q2"]
+    assert made["B"].evidence == [] and made["B"].requirements == []
+
+
 def test_citations_are_checked_against_the_text(spark):
     sha = hashlib.sha256(b"t").hexdigest()
     chunks = spark.createDataFrame([(1, "t", sha, "u#page=1"), (2, "t", "broken", "")], "id long, text string, text_sha256 string, citation_uri string")
