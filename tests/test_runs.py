@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from marlstone.__main__ import main
 from marlstone.functions.chunking import ChunkRules
 from marlstone.operators import filters, search
 from marlstone.operators.contracts import EngineError
@@ -134,3 +135,12 @@ def test_opportunity_to_dossier_runs(spark, corpus_run, tmp_path):
     assert facts["rendering"] == "none" and spark.read.parquet(f"{base}/d/records").count() >= titled.count()
     with pytest.raises(EngineError):
         runs.run_dossiers(spark, titled.unionByName(spark.createDataFrame([("R99", "x")], "reference_id string, title string")), r["evidence"].select("reference_id", "chunk_id", "evidence_excerpt"), "title", "evidence_excerpt", f"{base}/d2")
+
+
+def test_command_line(spark, corpus_run, tmp_path, capsys):
+    assert main(["list"]) == 0 and "bm25_topk" in capsys.readouterr().out
+    assert main(["query", "corpus_statistics", "/root/testdata/sf0.001", f"{tmp_path}/q"], spark) == 0
+    assert spark.read.parquet(f"{tmp_path}/q").first().documents == 200
+    assert main(["verify", corpus_run[0], "--kind", "corpus"], spark) == 0 and '"chunks"' in capsys.readouterr().out
+    assert main(["report", corpus_run[0], f"{tmp_path}/r.md"], spark) == 0 and "# Run of corpus" in (tmp_path / "r.md").read_text()
+    assert main(["verify", f"{corpus_run[0]}-none"], spark) == main(["query", "nonsense", "x", "y"], spark) == 1
