@@ -28,6 +28,8 @@ from .common import SPACE, discard, keep_decided, key_bits, materialise, text_or
 PARTS = 32
 #: Buckets for each shuffle partition, and the most entries of a bucket, where no capacity is given.
 BUCKETS_A_TASK, LARGEST_BUCKET = 8, 65_536
+#: Counts of hash cells that the driver holds at a time.
+CELLS = 1 << 20
 #: Directories of more buckets than this are joined by a shuffle instead of a broadcast.
 MOST_BROADCAST = 1_000_000
 
@@ -85,29 +87,36 @@ def _as_table(spark: SparkSession, buckets: list[tuple[int, int]]) -> DataFrame:
 
 
 def grow_directory(entries: DataFrame, capacity: int, step_bits: int) -> list[tuple[int, int]]:
-    """(depth, prefix) of all buckets; the driver holds two numbers a bucket.
+    """(depth, prefix) of all buckets; the driver holds two numbers a bucket, and ``CELLS`` counts at a time.
 
-    Every round counts entries by the next ``step_bits`` bits of the prefixes still overfull.
+    Every round counts entries by the next bits of the prefixes still overfull: as many bits as
+    even hashes need and two more, ``step_bits`` at most.
     """
-    spark, done, grown = entries.sparkSession, [], [(0, 0)]
+    spark, done = entries.sparkSession, []
+    grown, most, depth = [0], entries.count(), 0
     while grown:
-        depth = grown[0][0]
-        step = min(step_bits, 64 - depth)
-        rows = entries.select("h", _prefix("h", F.lit(depth)).alias("p"))
-        if depth:
-            known = _as_table(spark, grown).hint("shuffle_hash")
-            rows = rows.join(known, F.col("p") == F.col("_p"), "left_semi")
-        cells = rows.groupBy("p", _prefix("h", F.lit(depth + step)).alias("cell")).agg(F.count("*").alias("n"), (F.min("h") < F.max("h")).alias("several"))
-        found: dict[int, dict[int, tuple[int, bool]]] = {p: {} for _, p in grown}
-        for r in cells.collect():  # at most 2 ** step_bits rows a prefix that is overfull
-            found[r.p][r.cell & ((1 << step) - 1)] = (r.n, r.several)
-        grown = []
-        for p, counted in found.items():
-            _, _, buckets = build_directory({c: n for c, (n, _) in counted.items()}, step, capacity)
-            for d, q in buckets:
-                bucket = (depth + d, (p << d) | q)
-                n, several = counted.get(q, (0, False)) if d == step else (0, False)
-                (grown if n > capacity and several and depth + d < 64 else done).append(bucket)
+        step = min(step_bits, 64 - depth, (most // capacity).bit_length() + 2)
+        larger, most = [], 0
+        for part in range(0, len(grown), max(1, CELLS >> step)):
+            prefixes = grown[part : part + max(1, CELLS >> step)]
+            rows = entries.select("h", _prefix("h", F.lit(depth)).alias("p"))
+            if depth:
+                known = _as_table(spark, [(depth, p) for p in prefixes]).hint("shuffle_hash")
+                rows = rows.join(known, F.col("p") == F.col("_p"), "left_semi")
+            cells = rows.groupBy("p", _prefix("h", F.lit(depth + step)).alias("cell")).agg(F.count("*").alias("n"), (F.min("h") < F.max("h")).alias("several"))
+            found: dict[int, dict[int, tuple[int, bool]]] = {p: {} for p in prefixes}
+            for r in cells.collect():  # CELLS rows at most
+                found[r.p][r.cell & ((1 << step) - 1)] = (r.n, r.several)
+            for p, counted in found.items():
+                _, _, buckets = build_directory({c: n for c, (n, _) in counted.items()}, step, capacity)
+                for d, q in buckets:
+                    n, several = counted.get(q, (0, False)) if d == step else (0, False)
+                    if n > capacity and several and depth + d < 64:
+                        larger.append((p << d) | q)
+                        most = max(most, n)
+                    else:
+                        done.append((depth + d, (p << d) | q))
+        grown, depth = larger, depth + step
     return done
 
 
@@ -117,6 +126,8 @@ class Directory:
     def __init__(self, spark, buckets: list[tuple[int, int]]):
         self.depths = sorted({d for d, _ in buckets})
         table = _as_table(spark, buckets)
+        if len(buckets) > 10_000:  # no long literal in every plan
+            table = materialise(table, "dedup-directory")
         self.table = F.broadcast(table) if len(buckets) <= MOST_BROADCAST else table
 
     def find(self, df: DataFrame) -> DataFrame:
