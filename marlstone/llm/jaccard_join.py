@@ -587,6 +587,8 @@ def _dealt(rows: DataFrame, part_rows: int) -> DataFrame:
     return rows.join(side, F.col("leader") == F.col("_leader"), "left").withColumn("parts", F.coalesce("_parts", F.lit(1))).drop("_leader", "_parts")
 
 
+#: Parts that a leader or a component is joined in.
+SALTS = 16
 #: Large blocks up to this number are made known to every task; more are joined by a shuffle.
 MOST_BROADCAST = 200_000
 
@@ -606,7 +608,7 @@ def _star_pairs(met: DataFrame, signed: DataFrame, percent: int, part_rows: int)
     return rows.repartition("leader", "part").sortWithinPartitions("leader", "part").mapInPandas(_search(percent), "a long, b long")
 
 
-def _tree_pairs(met: DataFrame, known: DataFrame, signed: DataFrame, percent: int, tile_rows: int, part_rows: int, salts: int = 16) -> DataFrame:
+def _tree_pairs(met: DataFrame, known: DataFrame, signed: DataFrame, percent: int, tile_rows: int, part_rows: int) -> DataFrame:
     """Pairs of different components in blocks that hold several, by dual traversal.
 
     The nodes of a block's largest component need comparing with the others only: they are dealt
@@ -619,9 +621,8 @@ def _tree_pairs(met: DataFrame, known: DataFrame, signed: DataFrame, percent: in
     blocks = sizes.groupBy("leader").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("main")).where("comps > 1")
     few = F.col("size") - F.col("main.n") <= tile_rows
     tiles = F.when(few, F.ceil(F.col("main.n") / part_rows)).otherwise(F.ceil(F.col("size") / tile_rows)).cast("int")
-    # a leader of many nodes is joined in ``salts`` parts
-    blocks = blocks.select(F.col("leader").alias("_leader"), F.when(few, F.col("main.comp")).alias("main"), few.alias("few"), tiles.alias("tiles"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
+    blocks = blocks.select(F.col("leader").alias("_leader"), F.when(few, F.col("main.comp")).alias("main"), few.alias("few"), tiles.alias("tiles"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
     left = held.withColumn("salt", salt).join(blocks, (F.col("leader") == F.col("_leader")) & (F.col("salt") == F.col("_salt"))).drop("_leader", "_salt", "salt")
     left = left.withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("tiles") - 1)
@@ -664,9 +665,13 @@ def _components(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     sized = sizes.withColumnsRenamed({"node": "_s", "n": "n_shingles"})
     table = groups.join(sized, F.col("node") == F.col("_s")).join(member, F.col("node") == F.col("_m"), "left")
     table = materialise(table.select("key", "first", "n_shingles", F.coalesce("component", "node").alias("root")), "jaccard-table")
-    roots = table.groupBy("root").agg(F.min("first").alias("component_id"), F.min(F.struct("first", "key")).alias("stays")).withColumnRenamed("root", "_root")
-    table = table.join(roots, F.col("root") == F.col("_root"))
-    return ids, table.select("key", "n_shingles", "component_id", F.col("stays.key").alias("stays_key"))
+    # components of several texts only, and each in ``SALTS`` parts, for one may hold very many
+    roots = table.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("first", "key")).alias("stays")).where("n > 1")
+    roots = roots.select(F.col("root").alias("_root"), "stays", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
+    table = table.withColumn("salt", salt).join(roots, (F.col("root") == F.col("_root")) & (F.col("salt") == F.col("_salt")), "left")
+    alone = F.col("stays").isNull()
+    return ids, table.select("key", "n_shingles", F.when(alone, F.col("first")).otherwise(F.col("stays.first")).alias("component_id"), F.when(alone, F.col("key")).otherwise(F.col("stays.key")).alias("stays_key"))
 
 
 def jaccard_components(docs: DataFrame, **options) -> DataFrame:
