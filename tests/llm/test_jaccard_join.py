@@ -66,8 +66,7 @@ def test_components_match_brute_force(spark):
     rows = near_copies(1) + [(1000 + r[0] if r[0] is not None else None, *r[1:]) for r in awkward(20)]
     want = brute(rows)
     assert got(spark, rows) == want
-    assert got(spark, rows, local=2, tile_rows=3) == want
-    assert got(spark, rows, local=1, tile_rows=5, part_rows=2) == want  # nearly every shared shingle in parts
+    assert got(spark, rows, local=1, tile_rows=3, part_rows=2) == want  # nearly every shared shingle in parts
     rows = near_copies(2, groups=25, size=6)
     assert got(spark, rows, local=10_000) == brute(rows)
 
@@ -158,10 +157,11 @@ def test_rows_are_told_apart_by_text_not_by_id_alone(spark):
     kept = J.keep_one_of_each(frame(spark, rows)).collect()
     assert sorted(r.text for r in kept) == sorted([a, rows[2][1]])
     same = [(7, a, "en", "s", 1), (7, a + " eleven", "en", "s", 1), (7, a, "en", "s", 1), (None, a, "en", "s", 1), (8, "", "", "", 1), (8, "", "", "", 1)]
-    kept = J.keep_one_of_each(frame(spark, same)).collect()
-    assert sorted((r.doc_id or 0, len(r.text)) for r in kept)[0] == (0, len(a)) and sum(r.doc_id == 7 for r in kept) == 1 and sum(r.doc_id == 8 for r in kept) == 2
     odd = frame(spark, same).withColumnsRenamed({"lang": "_gone", "source": "key", "n_chars": "row"})
-    assert J.keep_one_of_each(odd).columns == odd.columns and J.keep_one_of_each(odd).count() == len(kept)
+    stage = J.keep_one_of_each(odd)
+    kept = stage.collect()
+    assert stage.columns == odd.columns
+    assert sorted((r.doc_id or 0, len(r.text)) for r in kept)[0] == (0, len(a)) and sum(r.doc_id == 7 for r in kept) == 1 and sum(r.doc_id == 8 for r in kept) == 2
 
 
 def test_many_rows_under_one_null_id(spark):
