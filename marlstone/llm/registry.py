@@ -9,6 +9,7 @@ from . import language_id, packing, quality_classifier
 from .chat_format import best_paths, chain_replies, format_paths, read_back
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
+from .lexical_search import rank_documents
 from .license_scan import license_scan
 from .quality_rules import quality_rules, ratio_weights
 from .secret_scan import secret_scan
@@ -84,6 +85,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, ratio_weights(docs, trusted))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 # -- what SQL can say of operators whose whole result it can't ---------------------------------
 
 
@@ -113,6 +118,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lexical_search": op11_lexical_search,
     "mix_targets": mix_targets,
     "secret_counts": secret_counts,
     "rule_measures": rule_measures,
@@ -120,6 +126,8 @@ QUERIES = {
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+TERMS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLES = {
     "op1_jaccard_join": rf"""
         WITH RECURSIVE w AS (SELECT doc_id, list_transform({WORDS_SQL}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
@@ -148,6 +156,15 @@ ORACLES = {
         m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
               list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(covered, 0) AS n_repeat_words FROM d LEFT JOIN k USING (doc_id))
         SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m""",
+    "op11_lexical_search": rf"""
+        WITH d AS (SELECT doc_id, {TERMS_SQL} AS t FROM documents), n AS (SELECT doc_id, t, len(t)::BIGINT AS n, row_number() OVER () AS r FROM d WHERE len(t) > 0),
+        g AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM n),
+        x AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, n, unnest(t) AS term FROM n) GROUP BY ALL),
+        q AS (SELECT item_id, term, count(*)::BIGINT AS qtf FROM (SELECT item_id, unnest({TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM x, g GROUP BY term, docs),
+        s AS (SELECT item_id, r, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score FROM q JOIN x USING (term) JOIN w USING (term), g GROUP BY item_id, r, doc_id),
+        k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM s WHERE score > 0)
+        SELECT * FROM k WHERE rank <= 10""",
     "op6_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
