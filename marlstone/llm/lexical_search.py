@@ -257,11 +257,11 @@ def _bitmaps(products: np.ndarray, places: list[np.ndarray], columns: list[slice
     return out.reshape(len(products), len(places), width).view(np.uint64)
 
 
-def search_shard(lists: list[tuple[np.ndarray, np.ndarray, int]], asking: list[list[tuple[int, int]]], documents: int, items: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search_shard(lists: list[tuple[np.ndarray, np.ndarray, int]], asking: list[list[tuple[int, int]]], documents: int, items: int, k: int, together: tuple[int, int] = (ITEMS_TOGETHER, TERMS_TOGETHER)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(item, place, score) of the k best documents of each item 0..items-1 in one shard.
 
     ``lists``: (places, slices, weight) of each term; ``asking``: its (item, repeats). Equal scores
-    are ranked by place.
+    are ranked by place. ``together``: items and terms that are summed at a time.
     """
     width = 8 * -(-documents // 64)
     slices = np.concatenate([s for _, s, _ in lists], axis=1)
@@ -273,13 +273,13 @@ def search_shard(lists: list[tuple[np.ndarray, np.ndarray, int]], asking: list[l
         for item, repeats in asked:
             most[item] += int(w) * repeats << IMPACT_BITS
     out = [(np.empty(0, np.int64),) * 3]
-    for begin in range(0, items, ITEMS_TOGETHER):
-        end = min(begin + ITEMS_TOGETHER, items)
+    for begin in range(0, items, together[0]):
+        end = min(begin + together[0], items)
         total = np.zeros((max(int(x).bit_length() for x in most[begin:end]) + 1, end - begin, width // 8), np.uint64)
         mine = [(t, [(i - begin, r) for i, r in asked if begin <= i < end]) for t, asked in enumerate(asking)]
         mine = sorted((x for x in mine if x[1]), key=lambda x: -len(x[1]))
-        for first in range(0, len(mine), TERMS_TOGETHER):
-            part = mine[first : first + TERMS_TOGETHER]
+        for first in range(0, len(mine), together[1]):
+            part = mine[first : first + together[1]]
             maps = _bitmaps(products, [lists[t][0] for t, _ in part], [slice(ends[t] - bytes_of[t], ends[t]) for t, _ in part], width)
             steps: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
             taken: Counter = Counter()
@@ -325,6 +325,8 @@ def search(index: ImpactIndex, items: DataFrame, k: int = 10) -> DataFrame:
     lists = index.lists.where("term IS NOT NULL").join(F.broadcast(asking) if few else asking, "term").select("shard", "block", "places", "slices", "n", "w", "asking")
     ids = index.lists.where("term IS NULL").select(F.col("shard").alias("of_shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("places").alias("ids"), F.col("slices").alias("known"), F.col("n").alias("documents"))
 
+    together = ITEMS_TOGETHER, TERMS_TOGETHER
+
     def best(found: pa.Table, held: pa.Table) -> pa.Table:
         columns = {"item_id": pa.int64(), "doc_id": pa.int64(), "score": pa.int64()}
         if not found.num_rows:
@@ -337,7 +339,7 @@ def search(index: ImpactIndex, items: DataFrame, k: int = 10) -> DataFrame:
             for places, slices, w, who in zip(*(b.column(c).to_pylist() for c in ("places", "slices", "w", "asking")), strict=True):
                 lists.append((np.frombuffer(places, kind).astype(np.int64), np.frombuffer(slices, np.uint8).reshape(IMPACT_BITS, -1), w))
                 asking.append([(numbers.setdefault(x["i"], len(numbers)), x["r"]) for x in who])
-        item, place, score = search_shard(lists, asking, documents, len(numbers), k)
+        item, place, score = search_shard(lists, asking, documents, len(numbers), k, together)
         names = pa.array(list(numbers), pa.int64())
         known = np.frombuffer(held.column("known")[0].as_py(), np.uint8).astype(bool)[place]
         doc = pa.array(np.frombuffer(held.column("ids")[0].as_py(), "<i8")[place], pa.int64(), mask=~known)

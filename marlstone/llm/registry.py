@@ -14,6 +14,8 @@ from .license_scan import license_scan
 from .quality_rules import quality_rules, ratio_weights
 from .secret_scan import secret_scan
 from .source_mix import mix_sources
+from .spelling import spelling_variants
+from .token_files import token_files
 from .vocabularies import vocabulary
 
 
@@ -89,6 +91,14 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_documents(spark, sf_dir))
+
+
 # -- what SQL can say of operators whose whole result it can't ---------------------------------
 
 
@@ -119,6 +129,8 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
     "op11_lexical_search": op11_lexical_search,
+    "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
     "mix_targets": mix_targets,
     "secret_counts": secret_counts,
     "rule_measures": rule_measures,
@@ -165,6 +177,21 @@ ORACLES = {
         s AS (SELECT item_id, r, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score FROM q JOIN x USING (term) JOIN w USING (term), g GROUP BY item_id, r, doc_id),
         k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM s WHERE score > 0)
         SELECT * FROM k WHERE rank <= 10""",
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        r AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL),
+        b AS (SELECT run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END)) AS bytes FROM r WHERE length(run) >= 6),
+        h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, crc),
+        w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n FROM h GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+        k AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+        d AS (SELECT DISTINCT k.word AS longer, k.n AS longer_n, w.word AS shorter, w.n AS shorter_n FROM k JOIN w ON w.word = k.a || k.z),
+        e AS (SELECT x.word, y.word AS near, y.n AS near_n FROM k x JOIN k y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+              UNION ALL SELECT longer, shorter, shorter_n FROM d UNION ALL SELECT shorter, longer, longer_n FROM d),
+        f AS (SELECT word, count(*) AS n_near, max(near_n) AS best_n FROM e GROUP BY word),
+        g AS (SELECT word, n_near, best_n, min(near) AS best FROM e JOIN f USING (word) WHERE near_n = best_n GROUP BY ALL),
+        v AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n FROM w LEFT JOIN g USING (word)),
+        o AS (SELECT word, word AS root, 0 AS step FROM v UNION ALL SELECT o.word, v.form, step + 1 FROM o JOIN v ON v.word = o.root WHERE v.form IS NOT NULL)
+        SELECT v.word, form, root, n, n_near, form_n FROM v JOIN (SELECT word, arg_max(root, step) AS root FROM o GROUP BY word) USING (word)""",
     "op6_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
