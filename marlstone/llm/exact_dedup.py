@@ -3,7 +3,7 @@
 Texts are equal when their bytes are equal after each run of white space became one space.
 
 1. A light row (row number, doc_id, 64-bit hash, SHA-256) per document is written to the shared
-   folder, and from these one entry per (hash, SHA-256).
+   folder, and from these one entry per (hash, SHA-256), which buckets are filled with.
 2. The directory starts with one bucket. While a bucket holds more entries than ``capacity`` it
    is split on its next hash bit, doubling the directory where needed. Entries are counted by
    ``step_bits`` bits at a time, and only below prefixes that are still overfull, so depth has
@@ -13,8 +13,10 @@ Texts are equal when their bytes are equal after each run of white space became
    inside each map task first, so a text that a third of all rows repeat costs one row per task
    (and ``PARTS`` rows after that), and then go to the owner task of their bucket.
 4. An owner walks the texts of each hash of its buckets in order, comparing bytes: every change
-   begins the next link of the chain. It counts the rows of each link and writes the index.
-5. The light rows find bucket, hash and link in the index, which names the row that stays.
+   begins the next link of the chain. It counts the rows of each link, finds its smallest doc_id and
+   writes the index.
+5. The light rows find bucket, hash and link in the index, which names the row that stays. Links
+   of large groups are broadcast to their rows.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ PARTS = 32
 BUCKETS_A_TASK, LARGEST_BUCKET = 8, 65_536
 #: Counts of hash cells that the driver holds at a time.
 CELLS = 1 << 20
+#: Rows of a group from which on its link is broadcast to them.
+LARGE_GROUP = 10_000
 #: Directories of more buckets than this are joined by a shuffle instead of a broadcast.
 MOST_BROADCAST = 1_000_000
 
@@ -153,37 +157,63 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     elif hash_bits < 64:
         h = F.shiftleft(F.shiftrightunsigned(h, 64 - hash_bits), 64 - hash_bits)
     rows = materialise(text.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", h.alias("h"), F.sha2("norm", 256).alias("text_sha256")), "dedup-rows")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no")).alias("first")
-    entries = rows.groupBy("h", "text_sha256").agg(F.count("*").alias("n"), first)
-    entries = materialise(entries.select("h", "text_sha256", "n", F.col("first.doc_id").alias("keep_id"), F.col("first.row_no").alias("keep_row")), "dedup-entries")
+    one = F.min(F.struct("doc_id", "row_no")).alias("one")
+    entries = materialise(rows.groupBy("h", "text_sha256").agg(F.count("*").alias("n"), one), "dedup-entries")
     if capacity is None:
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         capacity = min(LARGEST_BUCKET, max(1, entries.count() // (BUCKETS_A_TASK * tasks)))
     directory = Directory(spark, grow_directory(entries, capacity, step_bits))
 
-    repeated = entries.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    asked = with_may_hold(text.select("norm", h.alias("h")), "h", key_bits(repeated), "maybe").where("maybe")
+    hashes = materialise(entries.groupBy("h").agg(F.sum("n").alias("n"), F.first("text_sha256").alias("text_sha256"), F.first("one").alias("one")), "dedup-hashes")
+    asked = with_may_hold(text.select("doc_id", "norm", h.alias("h")), "h", key_bits(hashes.where("n > 1").select("h")), "maybe").where("maybe")
+    chains = materialise(own_chains(asked, hashes, directory), "dedup-chains")
+    # of rows that share text and smallest doc_id, one stays; keyed by doc_id, too, so a large group is spread
+    named = chains.select(F.col("h").alias("_h"), F.col("text_sha256").alias("_sha"), "keep_id")
+    mine = (F.col("h") == F.col("_h")) & (F.col("text_sha256") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    least = rows.join(named, mine).groupBy("h", "text_sha256").agg(F.min("row_no").alias("keep_row"))
+    repeated = chains.join(least, ["h", "text_sha256"])
+    single = directory.find(hashes.where("n = 1").select("h", "text_sha256", F.col("one.doc_id").alias("keep_id"), F.col("one.row_no").alias("keep_row")))
+    columns = ["depth", "prefix", "h", "chain", "text_sha256", "keep_id", "keep_row", "group_size"]
+    single = single.withColumns({"chain": F.lit(0).cast("long"), "group_size": F.lit(1).cast("long")})  # no chain to walk
+    index = materialise(single.select(columns).unionByName(repeated.select(columns)), "dedup-index")
+    discard(entries, hashes, chains)
+    return rows, index, directory
+
+
+def own_chains(asked: DataFrame, hashes: DataFrame, directory: Directory) -> DataFrame:
+    """(depth, prefix, h, chain, text_sha256, keep_id, group_size) of the texts (doc_id, norm, h) whose hash is repeated.
+
+    An owner holds whole buckets. It walks the texts of a hash in order and compares bytes; each
+    link of the chain gathers its rows and the smallest doc_id, and so names the one that stays.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first")
     part = F.pmod(F.spark_partition_id(), F.lit(PARTS))
-    combined = asked.select("h", "norm", part.alias("part")).groupBy("h", "part", "norm").agg(F.count("*").alias("n"))
-    owned = directory.find(combined.select("h", "norm", "n")).repartition("depth", "prefix")
+    combined = asked.select("doc_id", "h", "norm", part.alias("part")).groupBy("h", "part", "norm").agg(F.count("*").alias("n"), first)
+    wanted = hashes.where("n > 1").select(F.col("h").alias("_h"))
+    combined = combined.join(wanted, F.col("h") == F.col("_h"), "left_semi")  # what the bitmap let through by chance goes
+    owned = directory.find(combined.select("h", "norm", "n", "first")).repartition("depth", "prefix")
     walk = Window.partitionBy("depth", "prefix", "h").orderBy("norm")
     differs = F.coalesce(F.lag("norm").over(walk) != F.col("norm"), F.lit(True))
     linked = owned.withColumn("differs", differs.cast("int"))
     linked = linked.withColumn("chain", F.sum("differs").over(walk.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    linked = linked.select("depth", "prefix", "h", "chain", F.sha2("norm", 256).alias("text_sha256"), "n")
-    chains = linked.groupBy("depth", "prefix", "h", "chain", "text_sha256").agg(F.sum("n").alias("group_size"))
-
-    bucket = ["depth", "prefix", "h", "text_sha256"]
-    index = directory.find(entries).join(chains, bucket, "left")  # a hash seen once has no chain to walk
-    index = index.select("depth", "prefix", "h", F.coalesce("chain", F.lit(0)).alias("chain"), "text_sha256", "keep_id", "keep_row", F.coalesce("group_size", "n").alias("group_size"))
-    index = materialise(index, "dedup-index")
-    discard(entries)
-    return rows, index, directory
+    links = linked.groupBy("depth", "prefix", "h", "chain").agg(F.first(F.sha2("norm", 256)).alias("text_sha256"), F.sum("n").alias("group_size"), F.min("first").alias("first"))
+    return links.select("depth", "prefix", "h", "chain", "text_sha256", F.col("first.doc_id").alias("keep_id"), "group_size")
 
 
 def _looked_up(docs: DataFrame, **options) -> DataFrame:
     rows, index, directory = build_index(docs, **options)
-    found = directory.find(rows).join(index, ["depth", "prefix", "h", "text_sha256"])
+    answers = ["keep_id", "group_size", "keep_row"]
+    large = index.where(F.col("group_size") >= LARGE_GROUP)
+    if 0 < large.count() <= MOST_BROADCAST:
+        # the rows of a large group meet its link where they are
+        known = large.select(F.col("h").alias("_h"), F.col("text_sha256").alias("_sha"), *answers)
+        marked = rows.join(F.broadcast(known), (F.col("h") == F.col("_h")) & (F.col("text_sha256") == F.col("_sha")), "left").drop("_h", "_sha")
+        hot = marked.where("group_size IS NOT NULL")
+        rows, index = marked.where("group_size IS NULL").drop(*answers), index.where(F.col("group_size") < LARGE_GROUP)
+    else:
+        hot = None
+    found = directory.find(rows).join(index, ["depth", "prefix", "h", "text_sha256"]).select("row_no", "doc_id", "text_sha256", *answers)
+    found = found if hot is None else found.unionByName(hot.select(found.columns))
     return found.select("doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), "text_sha256")
 
 

@@ -2,6 +2,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from marlstone.llm import exact_dedup as exact_dedup_module
 from marlstone.llm.exact_dedup import build_directory, build_index, drop_copies, exact_dedup
 
@@ -54,6 +56,28 @@ def test_the_owner_compares_bytes(spark):
     assert len({(r.depth, r.prefix) for r in found}) == 1 and sorted(r.chain for r in found) == list(range(40)) and {r.group_size for r in found} == {5}
 
 
+def test_rows_change_where_the_owners_are_broken(spark, monkeypatch):
+    """The row that stays and the size of a group come from the owners' chains, and from nowhere else."""
+    rows = [(i, f"text {i % 7}", None, None, None) for i in range(40)]
+    whole = exact_dedup_module.own_chains
+
+    def broken(*args):
+        return whole(*args).withColumns({"keep_id": F.col("keep_id") + 7, "group_size": F.col("group_size") + 1})
+
+    monkeypatch.setattr(exact_dedup_module, "own_chains", broken)
+    assert {(r.keep_id, r.kept) for r in exact_dedup(frame(spark, rows)).where("doc_id < 14").collect()} == {(k + 7, k_ == 1) for k in range(7) for k_ in (0, 1)}
+    monkeypatch.setattr(exact_dedup_module, "own_chains", lambda *args: whole(*args).where("keep_id > 0"))
+    assert exact_dedup(frame(spark, rows)).count() == 34
+
+
+def test_large_groups_meet_their_link_where_they_are(spark, monkeypatch):
+    rows = [(i // 2 if i < 90 else None, f"text {i % 3 if i % 2 else i}", None, None, None) for i in range(100)]
+    monkeypatch.setattr(exact_dedup_module, "LARGE_GROUP", 5)
+    for most in (1000, 1):
+        monkeypatch.setattr(exact_dedup_module, "MOST_BROADCAST", most)
+        assert sorted(map(tuple, exact_dedup(frame(spark, rows)).collect()), key=str) == brute(rows)
+
+
 def test_directory_splits_only_overfull_buckets():
     depth, slots, buckets = build_directory({0: 5, 1: 5, 2: 1, 3: 1, 4: 1}, 3, 6)
     assert depth == 3 and slots == [0, 1, 2, 2, 3, 3, 3, 3] and buckets == [(3, 0), (3, 1), (2, 1), (1, 1)]
