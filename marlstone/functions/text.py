@@ -79,10 +79,9 @@ def fold_search(text: Column) -> Column:
     return strip_marks(F.translate(plain, *ARABIC_FORMS))
 
 
-def tokens(text: Column, folded: bool = False) -> Column:
-    """Runs of letters and digits, two characters at least."""
-    source = fold_search(text) if folded else F.lower(F.coalesce(text, F.lit("")))
-    return F.filter(F.regexp_extract_all(source, F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)), lambda t: F.length(t) >= 2)
+def tokens(text: Column) -> Column:
+    """Runs of letters and digits of the search form, two characters at least."""
+    return F.filter(F.regexp_extract_all(fold_search(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)), lambda t: F.length(t) >= 2)
 
 
 def text_metrics(text: Column) -> dict[str, Column]:
@@ -294,17 +293,31 @@ def mission_title(text: Column, fallback: Column) -> Column:
 
 
 def labelled_lines(facets: dict[str, Column], head: Column, body: Column, per_facet: int = 3, per_value: int = 120, per_line: int = 200, per_head: int = 700, most: int = 1700) -> Column:
-    """Retrieval text: a head line, a line per non-empty facet, and the body.
+    """Retrieval text: a head line, a line of values (bars between them) per non-empty facet, and the trimmed body.
 
-    Head and facet lines together take ``per_head`` characters at most; a text of more than ``most``
-    is an error, for an encoder would cut it.
+    Head and facet lines together take ``per_head`` characters at most. An empty text, and one of more
+    than ``most`` characters, is an error: an encoder would cut it.
     """
     lines = []
     for label, values in facets.items():
-        cut = F.transform(F.slice(F.filter(values, lambda v: v != ""), 1, per_facet), lambda v: F.substring(v, 1, per_value))
-        lines.append(F.when(F.size(cut) > 0, F.substring(F.concat(F.lit(f"{label}: "), F.array_join(cut, "; ")), 1, per_line)))
-    text = F.concat_ws("\n", F.substring(F.concat_ws("\n", head, *lines), 1, per_head), body)
-    return F.when(F.length(text) > most, F.raise_error(F.lit("a retrieval text is too long")).cast("string")).otherwise(text)
+        cut = F.transform(F.slice(F.filter(values, lambda v: v.isNotNull() & (v != "")), 1, per_facet), lambda v: F.substring(v, 1, per_value))
+        lines.append(F.when(F.size(cut) > 0, F.substring(F.concat(F.lit(f"{label}: "), F.array_join(cut, " | ")), 1, per_line)))
+    context = F.regexp_replace(F.substring(F.concat_ws("\n", head, *lines), 1, per_head), r"\s+$", "")
+    text = F.regexp_replace(F.concat(context, F.lit("\n"), F.regexp_replace(F.coalesce(body, F.lit("")), r"^\s+|\s+$", "")), r"^\s+|\s+$", "")
+    return F.when((F.length(text) > most) | (text == ""), F.raise_error(F.lit("a retrieval text is empty or too long")).cast("string")).otherwise(text)
+
+
+# The label of each facet in a retrieval text, in order.
+CONTEXT_LABELS = {"client": "Client", "country": "Pays", "sector": "Secteur", "offering": "Offre", "service_nature": "Prestation", "project_year": "Année"}
+
+
+def retrieval_text(file_name: Column, facets: dict[str, Column], body: Column, **bounds) -> Column:
+    """The text of a chunk that index, encoder and coverage share: its document's name and facets before it.
+
+    ``facets``: arrays by the names of ``CONTEXT_LABELS``; others are not shown.
+    """
+    known = {label: facets[name] for name, label in CONTEXT_LABELS.items() if name in facets}
+    return labelled_lines(known, F.concat(F.lit("Document: "), file_name), body, **bounds)
 
 
 def clean_scalar(value: Column, kind: str = "string") -> Column:

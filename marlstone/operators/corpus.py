@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.chunking import ChunkRules, chunks
@@ -55,12 +55,57 @@ def review_queue(pages: DataFrame, status: str = "qa_status") -> DataFrame:
 
 def best_attempt(attempts: DataFrame, keys: list[str]) -> DataFrame:
     """The best repair attempt of each page: status, then words and chars up to a bound, confidence, earliest."""
-    quality = F.element_at(F.create_map(*[F.lit(x) for kv in {"PASS": 3, "REVIEW": 2, "FAILED": 1, "BLANK": 0}.items() for x in kv]), F.col("status"))
-    rank = F.struct(quality, F.least("words", F.lit(1000)), F.least("chars", F.lit(5000)), F.round("confidence", 4), -F.col("attempt"))
+    quality = F.try_element_at(F.create_map(*[F.lit(x) for kv in {"PASS": 3, "REVIEW": 2, "FAILED": 1, "BLANK": 0}.items() for x in kv]), F.col("status"))
+    rank = F.struct(F.coalesce(quality, F.lit(0)), F.least(F.coalesce("words", F.lit(0)), F.lit(1000)), F.least(F.coalesce("chars", F.lit(0)), F.lit(5000)), F.round(F.coalesce("confidence", F.lit(0.0)), 4), -F.col("attempt"))
     value = F.struct(*[c for c in attempts.columns if c not in keys])
     return attempts.groupBy(*keys).agg(F.max_by(value, rank).alias("v")).select(*keys, "v.*")
 
 
+def attempt_plan(pages: DataFrame, keys: list[str], latin: str, arabic: str, mixed: str, most: int = 8) -> DataFrame:
+    """The ordered repair attempts of each page: keys, attempt, name, kind, languages, psm, variant, rotation.
+
+    ``pages``: keys, arabic_character_count, has_native_text, status. Native text comes first
+    where there is any; failed pages are tried rotated and in mixed languages, others in mixed ones
+    only if they show Arabic. ``most`` attempts a page.
+    """
+    script = F.coalesce(F.col("arabic_character_count"), F.lit(0)) >= 8
+    primary = F.when(script, F.lit(arabic)).otherwise(F.lit(latin))
+
+    def spec(name: str, kind: str = "ocr", languages: Column | None = None, psm: int | None = None, variant: str | None = None, rotation: int = 0) -> Column:
+        return F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), (F.lit("native") if languages is None else languages).alias("languages"), F.lit(psm).cast("int").alias("psm"), F.lit(variant).alias("variant"), F.lit(rotation).alias("rotation"))
+
+    first = [spec(name, "ocr", primary, psm, variant) for name, psm, variant in PRIMARY_ATTEMPTS]
+    both = spec("mixed_psm6_auto", "ocr", F.lit(mixed), 6, "autocontrast")
+    turned = [spec(f"primary_psm6_rot{angle}", "ocr", primary, 6, "autocontrast", angle) for angle in (90, 270)]
+    none = F.array().cast("array<struct<name:string,kind:string,languages:string,psm:int,variant:string,rotation:int>>")
+    native = F.when(F.coalesce("has_native_text", F.lit(False)), F.array(spec("native_slide_text", "native", variant="native"))).otherwise(none)
+    more = F.when(F.col("status").eqNullSafe("FAILED"), F.array(both, *turned)).when(script, F.array(both)).otherwise(none)
+    plan = F.slice(F.concat(native, F.array(*first), more), 1, most)
+    return pages.select(*keys, F.posexplode(plan).alias("at", "spec")).select(*keys, (F.col("at") + 1).alias("attempt"), "spec.*")
+
+
+#: Name, page segmentation mode and image variant of the attempts that every page gets.
+PRIMARY_ATTEMPTS = (("primary_psm3_auto", 3, "autocontrast"), ("primary_psm6_auto", 6, "autocontrast"), ("primary_psm6_threshold", 6, "threshold"), ("primary_psm11_sharpen", 11, "sharpen"))
+
+
+def made_attempts(attempts: DataFrame, keys: list[str], enough: float) -> DataFrame:
+    """The attempts of each page that are made: in order, up to the first repair that passes with confidence ``enough``.
+
+    Attempt 0 is the page as it was; it never ends the repair. Later rows are left out whatever they hold.
+    """
+    good = (F.col("attempt") > 0) & (F.col("status") == "PASS") & (F.coalesce("confidence", F.lit(0.0)) >= enough)
+    order = Window.partitionBy(*keys).orderBy("attempt").rowsBetween(Window.unboundedPreceding, -1)  # a page's few attempts
+    ended = F.coalesce(F.max(good.cast("int")).over(order), F.lit(0))
+    return attempts.withColumn("_ended", ended).where("_ended = 0").drop("_ended")
+
+
+def repaired_pages(attempts: DataFrame, keys: list[str], enough: float = 70.0) -> DataFrame:
+    """The selected attempt of each page among those made, with ``attempts_made``."""
+    made = made_attempts(attempts, keys, enough)
+    counted = made.groupBy(*keys).agg((F.count("*") - F.count_if(F.col("attempt") == 0)).alias("attempts_made"))
+    return best_attempt(made, keys).join(counted, keys)
+
+
 def ocr_lines(words: DataFrame, keys: list[str]) -> DataFrame:
     """Text and confidence of pages from recognised words (block, paragraph, line, word, text, confidence).
 

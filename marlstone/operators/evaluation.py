@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import blake2b
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch
 from .contracts import EngineError, require_unique
 
 
@@ -45,8 +49,16 @@ def ranking_metrics(rankings: DataFrame, grades: DataFrame, keys: list[str] = ("
     )
 
 
-def system_means(metrics: DataFrame, by: str = "mode") -> DataFrame:
-    return metrics.groupBy(by).agg(F.count("*").alias("queries"), F.count_if("answerable").alias("answerable"), *[F.avg(c).alias(c) for c in ("recall_at_10", "mrr", "ndcg_at_10")], F.avg("precision_at_5").alias("precision_at_5"))
+def system_means(metrics: DataFrame, by: str | list[str] = "mode") -> DataFrame:
+    """Means over the answerable queries, and the precision over all of them, of each system (or subgroup)."""
+    by = [by] if isinstance(by, str) else list(by)
+    answerable = [F.avg(F.when(F.col("answerable"), F.col(c))).alias(c) for c in ("recall_at_10", "mrr", "ndcg_at_10", "precision_at_5")]
+    return metrics.groupBy(*by).agg(F.count("*").alias("queries"), F.count_if("answerable").alias("answerable"), F.count_if(~F.col("answerable")).alias("no_relevant"), *answerable, F.avg("precision_at_5").alias("precision_at_5_all_queries"))
+
+
+def with_attributes(metrics: DataFrame, queries: DataFrame) -> DataFrame:
+    """Metric rows with what is known of their queries (query_id, language, query_type, ...); unknown ones stay, with nulls."""
+    return metrics.join(queries, "query_id", "left")
 
 
 def weighted_kappa(labels: DataFrame, a: str, b: str, grades: int) -> DataFrame:
@@ -62,22 +74,128 @@ def weighted_kappa(labels: DataFrame, a: str, b: str, grades: int) -> DataFrame:
     return observed.join(F.broadcast(expected)).select((1 - F.col("o") / F.col("e")).alias("kappa"), (F.coalesce("same", F.lit(0)) / F.col("t")).alias("agreement"), F.col("t").alias("pairs"))
 
 
-def paired_bootstrap(metrics: DataFrame, value: str, a: str, b: str, draws: int = 2000, seed: int = 0) -> DataFrame:
-    """Mean difference of two modes over shared queries with a 95% interval; one row.
+#: Arrow batches of a task hold so many queries at a time while they are resampled.
+RESAMPLED_TOGETHER = 2000
 
-    ``metrics``: mode, query_id and ``value``, a row per query and mode of an evaluation set.
-    Draws are made a hundred at a time, so memory grows with the queries alone.
-    """
-    wide = metrics.groupBy("query_id").pivot("mode", [a, b]).agg(F.first(value)).dropna(subset=[a, b])
 
-    def resample(rows: pd.DataFrame) -> pd.DataFrame:
-        d = (rows.sort_values("query_id")[a] - rows.sort_values("query_id")[b]).to_numpy()
-        rng = np.random.default_rng(seed)
-        means = [d[rng.integers(0, len(d), (min(100, draws - i), len(d)))].mean(1) for i in range(0, draws, 100)]
-        low, high = np.percentile(np.concatenate(means), [2.5, 97.5])
-        return pd.DataFrame({"difference": [d.mean()], "low": [low], "high": [high], "queries": [len(d)]})
+def replicate_weights(query_id: object, draws: int, seed: int) -> np.ndarray:
+    """How often each of ``draws`` replicates holds a query: Poisson(1) numbers that query and seed alone decide."""
+    key = int.from_bytes(blake2b(f"{seed}|{query_id}".encode(), digest_size=16).digest(), "little")
+    return np.random.Generator(np.random.Philox(key=key)).poisson(1.0, draws)
 
-    return wide.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(lambda rows: resample(rows), "difference double, low double, high double, queries long")
+
+def paired_bootstrap(metrics: DataFrame, values: list[str], systems: list[str] | None = None, draws: int = 2000, seed: int = 0) -> DataFrame:
+    """(left, right, metric, difference, low, high, queries) for every pair of systems: mean difference over shared queries, 95% interval.
+
+    ``metrics``: mode, query_id and ``values``, a row per query and mode. Replicates are weighted
+    sums: every query's weights come from a hash of its id, so any task can make them, and tasks
+    only add up ``draws`` columns per pair and metric. A query that lacks a value counts in no pair
+    that needs it; a pair without shared queries has nulls.
+    """
+    if systems is None:
+        systems = sorted(r[0] for r in metrics.select("mode").distinct().collect())  # the systems compared
+    pairs = [(a, b) for i, a in enumerate(systems) for b in systems[i + 1 :]]
+    each = F.struct("mode", *[F.col(v).cast("double").alias(v) for v in values])
+    wide = metrics.where(F.col("mode").isin(systems)).groupBy("query_id").agg(F.collect_list(each).alias("found"))  # a row for each system
+
+    def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = (len(pairs), len(values))
+        counts, total = np.zeros(shape, np.int64), np.zeros(shape)
+        held, weighted = np.zeros((*shape, draws)), np.zeros((*shape, draws))
+        for batch in batches:
+            for begin in range(0, batch.num_rows, RESAMPLED_TOGETHER):
+                part = batch.slice(begin, RESAMPLED_TOGETHER)
+                weights = np.array([replicate_weights(q, draws, seed) for q in part.column(0).to_pylist()], np.float64)
+                grades = np.full((part.num_rows, len(systems), len(values)), np.nan)
+                for i, found in enumerate(part.column(1).to_pylist()):
+                    for x in found:
+                        grades[i, systems.index(x["mode"])] = [np.nan if x[v] is None else x[v] for v in values]
+                for p, (a, b) in enumerate(pairs):
+                    d = grades[:, systems.index(a)] - grades[:, systems.index(b)]
+                    known = ~np.isnan(d)
+                    d = np.where(known, d, 0.0)
+                    counts[p] += known.sum(axis=0)
+                    total[p] += d.sum(axis=0)
+                    held[p] += known.T.astype(float) @ weights
+                    weighted[p] += d.T @ weights
+        rows = [(p, v) for p in range(len(pairs)) for v in range(len(values))]
+        columns = [[pairs[p][0] for p, _ in rows], [pairs[p][1] for p, _ in rows], [values[v] for _, v in rows], [int(counts[r]) for r in rows], [total[r] for r in rows], [held[r].tolist() for r in rows], [weighted[r].tolist() for r in rows]]
+        kinds = [pa.string()] * 3 + [pa.int64(), pa.float64()] + [pa.list_(pa.float64())] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["left", "right", "metric", "queries", "total", "held", "weighted"])
+
+    parts = wide.mapInArrow(partial_sums, "left string, right string, metric string, queries long, total double, held array<double>, weighted array<double>")
+    keys = ["left", "right", "metric"]
+    means = parts.groupBy(*keys).agg(F.sum("queries").alias("queries"), F.sum("total").alias("total"))
+    draw = parts.select(*keys, F.posexplode(F.arrays_zip("held", "weighted")).alias("draw", "x")).groupBy(*keys, "draw").agg(F.sum("x.held").alias("held"), F.sum("x.weighted").alias("weighted"))
+    bounds = draw.where("held > 0").groupBy(*keys).agg(F.percentile(F.col("weighted") / F.col("held"), F.array(F.lit(0.025), F.lit(0.975))).alias("b"))  # ``draws`` rows of a group
+    out = means.join(bounds, keys, "left")
+    return out.select(*keys, F.when(F.col("queries") > 0, F.col("total") / F.col("queries")).alias("difference"), F.get("b", 0).alias("low"), F.get("b", 1).alias("high"), "queries")
+
+
+#: Values of a group that are put in order by one task; larger groups are divided first.
+FEW_VALUES = 50_000
+#: Cells of a histogram.
+CELLS = 1024
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, shares: list[float], few: int = FEW_VALUES, cells: int = CELLS) -> DataFrame:
+    """keys, share, percentile: linearly interpolated, exactly, without a group's values in one task.
+
+    Each pass counts the values of a group in ``cells`` equal cells between its smallest and largest
+    and goes on with the cells that hold a wanted rank, until ``few`` values are left or all are
+    equal. Where equal cells hardly divide a group, cells of about equal counts do. Null and NaN are
+    left out; a group without values has no row.
+    """
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_"))
+    values = df.select(key.alias("k"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)").withColumn("c", F.lit(""))
+    counted = values.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    place = F.col("share") * (F.col("n") - 1)
+    asked = counted.select("k", "n", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
+    asked = asked.withColumns({"first": F.floor(place).cast("long"), "last": F.ceil(place).cast("long"), "part": place - F.floor(place)})
+    # wanted: what is still looked for, (group, cell, rank in the cell), with the rank in the group as its name
+    wanted = asked.select("k", F.explode(F.array("first", "last")).alias("rank")).distinct().withColumns({"c": F.lit(""), "inside": F.col("rank")})
+    sizes = counted.withColumn("c", F.lit(""))
+    found, spread, before = None, False, None
+    while True:
+        sizes, wanted = _stored(sizes, "percentile-sizes"), _stored(wanted, "percentile-ranks")
+        on = wanted.join(sizes, ["k", "c"])
+        same = on.where("low = high").select("k", "rank", F.col("low").alias("v"))
+        found = same if found is None else found.unionByName(same)
+        largest = on.where("low < high").agg(F.max("n")).first()[0]
+        if largest is None:
+            break
+        live = on.where("low < high").select("k", "c", "n", "low", "high").distinct()
+        inside = values.join(live, ["k", "c"])
+        if largest <= few:
+            row = F.row_number().over(Window.partitionBy("k", "c").orderBy("v")) - 1  # ``few`` values
+            ranked = inside.withColumn("inside", row.cast("long")).select("k", "c", "inside", "v")
+            found = found.unionByName(wanted.join(ranked, ["k", "c", "inside"]).select("k", "rank", "v"))
+            break
+        spread = before is not None and not spread and largest > before // 4
+        before = largest
+        if spread:
+            bounds = inside.groupBy("k", "c").agg(F.array_distinct(F.percentile_approx("v", [i / 64 for i in range(1, 64)], 10_000)).alias("bounds"))
+            cell = F.size(F.filter("bounds", lambda x: x < F.col("v")))
+            inside = inside.join(bounds, ["k", "c"])
+        else:
+            cell = F.least(F.lit(cells - 1), F.floor((F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * cells))
+        inside = inside.withColumn("d", F.concat("c", F.lit("."), cell.cast("string")))
+        histogram = _stored(inside.groupBy("k", "c", "d").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")), "percentile-cells")
+        rising = Window.partitionBy("k", "c").orderBy("low")  # ``cells`` rows
+        histogram = histogram.withColumn("below", F.sum("n").over(rising) - F.col("n"))
+        hit = wanted.join(histogram, ["k", "c"]).where((F.col("inside") >= F.col("below")) & (F.col("inside") < F.col("below") + F.col("n")))
+        wanted = hit.select("k", F.col("d").alias("c"), "rank", (F.col("inside") - F.col("below")).alias("inside"))
+        sizes = histogram.join(hit.select("k", "d").distinct(), ["k", "d"]).select("k", F.col("d").alias("c"), "n", "low", "high")
+        values = inside.join(hit.select("k", "d").distinct(), ["k", "d"], "left_semi").select("k", "v", F.col("d").alias("c"))
+    a, b = (found.select("k", F.col("rank").alias(n), F.col("v").alias(f"v_{n}")) for n in ("first", "last"))
+    both = asked.join(a, ["k", "first"]).join(b, ["k", "last"])
+    return both.select(*[F.col("k")[c].alias(c) for c in keys], "share", (F.col("v_first") + (F.col("v_last") - F.col("v_first")) * F.col("part")).alias("percentile"))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def labelled_pairs(first: DataFrame, second: DataFrame, keys: list[str] = ("query_id", "candidate_id"), value: str = "relevance") -> DataFrame:

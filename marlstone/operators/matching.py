@@ -20,10 +20,16 @@ def weight_of(column):
 
 
 def rerank(evidence: DataFrame, score_share: float = 0.8) -> DataFrame:
-    """Adds ``rerank_score``: score over the largest of its requirement, and term coverage."""
-    top = F.max("score").over(Window.partitionBy("requirement_id"))
+    """Adds ``rerank_score``: score over the largest of its requirement, and term coverage.
+
+    The largest is the column ``top_score`` where there is one; else maxima are aggregated and
+    joined, for a requirement may hold a large part of all evidence.
+    """
+    if "top_score" not in evidence.columns:
+        evidence = evidence.join(evidence.groupBy("requirement_id").agg(F.max("score").alias("top_score")), "requirement_id")
+    top = F.col("top_score")
     scaled = F.when(top > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("score") / top))).otherwise(0.0)
-    return evidence.withColumn("rerank_score", score_share * scaled + (1 - score_share) * F.col("term_coverage"))
+    return evidence.withColumn("rerank_score", score_share * scaled + (1 - score_share) * F.col("term_coverage")).drop("top_score")
 
 
 def keep_evidence(evidence: DataFrame, limit: int = 3) -> DataFrame:

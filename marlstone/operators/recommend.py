@@ -7,27 +7,25 @@ from pyspark.sql import functions as F
 
 from ..functions.text import excerpt, fold_search
 from ..functions.values import latest_recency
-from . import retrieval
+from .lexical_index import Bm25Index
 from .matching import REQUIREMENT_WEIGHTS, weight_of
 from .relational import diversify
+from .search import passage_index, passages
 
 # Fixed value: the columns that a citation must have.
 CITATION_FIELDS = ("reference_id", "requirement_id", "document_id", "chunk_id", "chunk_text_sha256", "source_sha256", "page_number_1_based", "citation_label", "citation_uri", "evidence_excerpt")
 COMPONENTS = {"relevance": 0.60, "coverage": 0.20, "evidence_quality": 0.10, "recency": 0.05, "soft_fit": 0.05}
 
 
-def requirement_evidence(chunks: DataFrame, requirements: DataFrame, references: DataFrame, allowed: list[str], candidates: int = 100, least_score: float = 0.0, index: retrieval.Bm25Index | None = None) -> DataFrame:
+def requirement_evidence(chunks: DataFrame, requirements: DataFrame, references: DataFrame, allowed: list[str], candidates: int = 100, least_score: float = 0.0, index: Bm25Index | None = None) -> DataFrame:
     """The best chunk of each (reference, requirement), for all requirements in one plan.
 
     ``chunks``: id, document_id, text, security_classification and what a citation shows.
     ``requirements``: id, text. ``references``: reference_id, document_id, those eligible. Only
     scores above ``least_score`` count; ``relevance`` is the score over the best of the requirement.
     """
-    may = retrieval.authorized(chunks, "security_classification", allowed).join(references.select("document_id").distinct(), "document_id", "left_semi")
-    asked = retrieval.tokenized(requirements, "id", "text")
-    corpus = index or retrieval.tokenized(chunks, "id", "text")
-    found = retrieval.lexical_top(corpus, asked, may.select("id"), candidates, positive_only=True).where(F.col("score") > least_score)
-    top = F.greatest(F.max("score").over(Window.partitionBy("query_id")), F.lit(1e-9))
+    found = passages(index or passage_index(chunks), requirements, allowed, candidates, documents=references, positive_only=True).where(F.col("score") > least_score)
+    top = F.greatest(F.max("score").over(Window.partitionBy("query_id")), F.lit(1e-9))  # over ``candidates`` rows, as they were ranked
     found = found.withColumn("relevance", F.least(F.lit(1.0), F.col("score") / top))
     rows = found.join(chunks.select("id", "document_id", F.sha2("text", 256).alias("chunk_text_sha256"), excerpt(F.col("text"), 700).alias("evidence_excerpt")), "id").join(references, "document_id")
     best = Window.partitionBy("reference_id", "query_id").orderBy(F.desc("score"), "id")

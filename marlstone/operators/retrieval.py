@@ -1,17 +1,22 @@
-"""Lexical, dense and fused retrieval over batches of queries.
+"""Dense and fused retrieval over batches of queries; lexical retrieval is in ``lexical_index``.
 
-Corpus statistics are taken from all documents; the authorization filter applies before a
-document can be ranked. Only postings of query terms are counted.
+The authorization filter applies before a document can be ranked.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.text import tokens
-from ..functions.values import dot
+from ..functions.analysis import search_form
 from .contracts import EngineError, NotAuthorized
+from .lexical_index import Scope
 
 
 def authorized(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
@@ -22,126 +27,6 @@ def authorized(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
     return df.where(F.upper(F.col(column)).isin(classes))
 
 
-def tokenized(df: DataFrame, id_col: str, text_col: str, folded: bool = False) -> DataFrame:
-    """(id, terms, length)."""
-    t = df.select(F.col(id_col).alias("id"), tokens(F.col(text_col), folded).alias("terms"))
-    return t.withColumn("length", F.size("terms"))
-
-
-def _idf(n, df):
-    return F.log(1 + (n - df + 0.5) / (df + 0.5))
-
-
-def term_statistics(docs: DataFrame) -> DataFrame:
-    """(term, df, cf, idf) of a tokenized corpus; idf = ln(1 + (N - df + 0.5) / (df + 0.5))."""
-    n = docs.agg(F.count("*").alias("n"))
-    each = docs.select("id", F.explode("terms").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))  # combined in the map task of the document
-    counted = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    return counted.join(F.broadcast(n)).select("term", "df", "cf", _idf(F.col("n"), F.col("df")).alias("idf"))
-
-
-#: Query terms up to this number go to every task; more are joined by a shuffle.
-MOST_QUERY_TERMS = 1_000_000
-
-
-class Bm25Index:
-    """Postings, terms and lengths of a corpus as Parquet tables, built once and read by every search.
-
-    ``postings``: term, id, tf, length, sorted by term within files dealt by its hash, so that row
-    group statistics skip what no query asks for. ``terms``: term, df, cf, idf. ``facts``: one row.
-    """
-
-    TABLES = ("postings", "terms", "facts")
-
-    def __init__(self, postings: DataFrame, terms: DataFrame, facts: DataFrame):
-        self.postings, self.terms, self.facts = postings, terms, facts
-
-    @classmethod
-    def of(cls, docs: DataFrame, k1: float = 1.2, b: float = 0.75) -> Bm25Index:
-        """Plans over a tokenized corpus (id, terms, length); nothing is stored."""
-        postings = docs.select("id", "length", F.explode("terms").alias("term")).groupBy("id", "length", "term").agg(F.count("*").alias("tf"))
-        facts = docs.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), F.count_if(F.col("length") == 0).alias("empty")).withColumns({"k1": F.lit(float(k1)), "b": F.lit(float(b))})
-        counted = postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-        terms = counted.join(F.broadcast(facts.select("n"))).select("term", "df", "cf", _idf(F.col("n"), F.col("df")).alias("idf"))
-        return cls(postings.select("term", "id", "tf", "length"), terms, facts)
-
-    @classmethod
-    def build(cls, docs: DataFrame, path: str, refuse_empty: bool = False, **bm25) -> Bm25Index:
-        """Writes the index below ``path`` and reads it back; a corpus without documents is refused.
-
-        With ``refuse_empty`` a document without a term is refused, too; else it has no posting.
-        """
-        planned = cls.of(docs, **bm25)
-        planned.postings.repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
-        stored = docs.sparkSession.read.parquet(f"{path}/postings")
-        planned.facts.write.mode("overwrite").parquet(f"{path}/facts")
-        facts = docs.sparkSession.read.parquet(f"{path}/facts")
-        counted = stored.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-        terms = counted.join(F.broadcast(facts.select("n"))).select("term", "df", "cf", _idf(F.col("n"), F.col("df")).alias("idf"))
-        terms.write.mode("overwrite").parquet(f"{path}/terms")
-        one = facts.first()
-        if not one.n or (refuse_empty and one.empty):
-            raise EngineError("the corpus is empty or holds a document without a term")
-        return cls.load(docs.sparkSession, path)
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> Bm25Index:
-        return cls(*(spark.read.parquet(f"{path}/{t}") for t in cls.TABLES))
-
-    def problems(self) -> DataFrame:
-        """(check, rows) of every invariant that does not hold; empty for a sound index."""
-        one = F.broadcast(self.facts)
-        found = self.postings.groupBy("term").agg(F.count("*").alias("_df"), F.sum("tf").alias("_cf"), F.count_distinct("id").alias("_ids"))
-        terms = self.terms.join(found, "term", "full").join(one)
-        finite = F.coalesce(F.col("idf").isNotNull() & ~F.isnan("idf") & (F.abs("idf") < 1e300), F.lit(False))
-        checks = {
-            "TERM_COUNTS": ~F.coalesce((F.col("df") == F.col("_df")) & (F.col("cf") == F.col("_cf")) & (F.col("_ids") == F.col("_df")), F.lit(False)),
-            "DOCUMENT_FREQUENCY": ~F.coalesce(F.col("df").between(1, F.col("n")), F.lit(False)),
-            "IDF": ~finite,
-        }
-        of_terms = terms.agg(*[F.count_if(c).alias(k) for k, c in checks.items()])
-        sums = self.postings.groupBy("id").agg(F.sum("tf").alias("s"), F.min("length").alias("low"), F.max("length").alias("high"))
-        of_docs = sums.agg(F.count_if((F.col("s") != F.col("low")) | (F.col("low") != F.col("high"))).alias("LENGTHS"), F.count("*").alias("_docs"))
-        total = of_docs.join(one).select("LENGTHS", (F.col("_docs") + F.col("empty") != F.col("n")).cast("long").alias("DOCUMENTS"))
-        listed = [F.struct(F.lit(k).alias("check"), F.col(k).alias("rows")) for k in (*checks, "LENGTHS", "DOCUMENTS")]
-        return of_terms.join(F.broadcast(total)).select(F.inline(F.array(*listed))).where("rows > 0")
-
-    def verify(self) -> Bm25Index:
-        if bad := self.problems().collect():
-            raise EngineError(f"the index is unsound: {', '.join(f'{r.check} {r.rows}' for r in bad)}")
-        return self
-
-    def scores(self, queries: DataFrame, allowed_ids: DataFrame | None = None) -> DataFrame:
-        """(query_id, id, score) of every document, of ``allowed_ids`` (id) if given, that holds a query term.
-
-        ``queries`` is tokenized (id, terms, length). A repeated query term counts as often as it is
-        repeated. Scores are rounded to six digits, so that equal texts tie whatever the order of
-        their sums. Authorization comes before weighing; statistics are those of all documents.
-        """
-        asked = queries.select(F.col("id").alias("query_id"), F.explode("terms").alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-        weighted = asked.join(self.terms.select("term", "idf"), "term")
-        each = weighted.groupBy("term").agg(F.first("idf").alias("idf"), F.collect_list(F.struct("query_id", "qtf")).alias("asking"))
-        each = each.join(F.broadcast(self.facts))
-        few = queries.agg(F.sum("length")).first()[0] or 0
-        each = F.broadcast(each) if few <= MOST_QUERY_TERMS else each  # at most one row and one pair for each query word
-        postings = self.postings
-        if allowed_ids is not None:
-            postings = postings.join(allowed_ids.select("id").distinct(), "id", "left_semi")
-        hits = postings.join(each, "term")
-        part = F.col("idf") * F.col("tf") * (F.col("k1") + 1) / (F.col("tf") + F.col("k1") * (1 - F.col("b") + F.col("b") * F.col("length") / F.greatest(F.col("mean"), F.lit(1e-9))))
-        # each posting's weight once; queries then only add
-        parts = hits.select("id", part.alias("part"), F.explode("asking").alias("q"))
-        return parts.groupBy(F.col("q.query_id").alias("query_id"), "id").agg(F.round(F.sum(F.col("q.qtf") * F.col("part")), 6).alias("score"))
-
-
-def bm25_scores(docs: DataFrame, queries: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """``Bm25Index.scores`` of a tokenized corpus that has no stored index: only postings of query terms are counted."""
-    wanted = queries.select(F.explode("terms").alias("term")).distinct()
-    index = Bm25Index.of(docs, k1, b)
-    kept = index.postings.join(wanted, "term", "left_semi")
-    return Bm25Index(kept, index.terms.join(wanted, "term", "left_semi"), index.facts).scores(queries)
-
-
 def top_ranked(scores: DataFrame, limit: int, group: str = "query_id", id_col: str = "id") -> DataFrame:
     """Adds ``rank`` (from 1) by falling score, then id; at most ``limit`` rows of each group.
 
@@ -152,45 +37,177 @@ def top_ranked(scores: DataFrame, limit: int, group: str = "query_id", id_col: s
     return finite.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
-def lexical_top(docs: DataFrame | Bm25Index, queries: DataFrame, allowed_ids: DataFrame, limit: int, positive_only: bool = False, **bm25) -> DataFrame:
-    """Top documents per query among ``allowed_ids`` (id); ``docs``: a tokenized corpus or its index.
-
-    As in exhaustive scoring, documents without a query term score 0 and fill up a short list
-    in order of id. Only the ``limit`` smallest allowed ids can do so.
-    """
-    if isinstance(docs, Bm25Index):
-        scored = docs.scores(queries, allowed_ids).where("score > 0")
-    else:
-        scored = bm25_scores(docs, queries, **bm25).join(allowed_ids.select("id"), "id", "left_semi").where("score > 0")
-    best = top_ranked(scored, limit)
-    if positive_only:
-        return best
-    fill = allowed_ids.select("id").distinct().orderBy("id").limit(limit)  # limit rows
-    zero = queries.select(F.col("id").alias("query_id")).join(F.broadcast(fill))
-    # a filler that has a score below the best ``limit`` is not needed: those fill the list already
-    short = best.groupBy("query_id").agg(F.count("*").alias("n"), F.collect_set("id").alias("held"))
-    zero = zero.join(short, "query_id", "left").where("n IS NULL OR (n < %d AND NOT array_contains(held, id))" % limit)
-    return top_ranked(best.drop("rank").unionByName(zero.select("query_id", "id", F.lit(0.0).alias("score"))), limit)
-
-
-def dense_scores(vectors: DataFrame, queries: DataFrame, block: int = 4096, most_broadcast: int = 16_384) -> DataFrame:
-    """(query_id, id, score): exact inner products of all vectors with a stated set of queries.
-
-    ``vectors``: id, embedding and any other columns, which come along. ``queries``: query_id,
-    query_vector. Queries are held in arrays of about ``block``. Up to ``most_broadcast`` of them
-    go to every task; beyond that number each vector is sent to every block instead.
+# -- exact dense scoring ------------------------------------------------------------------------
+
+#: Queries whose vectors go to every task at a time; more take as many passes over the vectors.
+MOST_QUERIES = 4096
+#: Vectors of a block of the matrix product.
+BLOCK_ROWS = 512
+#: Scores are rounded to so many digits, so that equal vectors tie whatever the order of their sums.
+DIGITS = 12
+
+
+class _Best:
+    """The ``limit`` best ids of each key so far; scores below a key's bar are not kept."""
+
+    def __init__(self, limit: int):
+        self.limit, self.held, self.names = limit, 0, []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.bars = np.full(1, -np.inf)
+
+    def bar(self, keys: int) -> np.ndarray:
+        if len(self.bars) < keys:
+            self.bars = np.append(self.bars, np.full(keys - len(self.bars), -np.inf))
+        return self.bars
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        self.parts.append((keys, ids, scores))
+        self.held += len(keys)
+
+    def crowded(self) -> bool:
+        return self.held > max(100_000, 2 * self.limit * len(self.bars))
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.held:
+            self.parts = []
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        keys, ids, scores = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.lexsort((ids, -scores, keys))
+        keys, ids, scores = keys[order], ids[order], scores[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        place = np.arange(len(keys)) - np.repeat(first, np.diff(first, append=len(keys)))
+        full = place == self.limit - 1
+        self.bar(int(keys.max()) + 1)[keys[full]] = scores[full]
+        kept = place < self.limit
+        self.parts, self.held = [(keys[kept], ids[kept], scores[kept])], int(kept.sum())
+        return self.parts[0]
+
+
+def _masks(requests: list[tuple], queries: dict, values: dict[str, list], rows: int) -> np.ndarray | None:
+    """(rows, queries) of what each query may find; ``values``: facet to the values of each row."""
+    may = None
+    for facet in sorted({r[1] for r in requests}):
+        mine = [r for r in requests if r[1] == facet]
+        asking = np.zeros(len(queries), bool)
+        equal: dict[str, list] = {}
+        years = []
+        for q, _, operator, value in mine:
+            which = slice(None) if q is None else queries.get(q)
+            if which is None:
+                continue
+            asking[which] = True
+            if operator == "is":
+                equal.setdefault(value, []).append(which)
+            else:
+                years.append((operator, int(value), which))
+        met = np.repeat(~asking[None, :], rows, axis=0)
+        for i, each in enumerate(values[facet]):
+            for v in each or ():
+                form = "" if v is None else search_form(str(v)).strip()
+                for which in equal.get(form, ()):
+                    met[i, which] = True
+                if years and form.isdigit():
+                    for operator, year, which in years:
+                        if int(form) <= year if operator == "at_most" else int(form) >= year:
+                            met[i, which] = True
+        may = met if may is None else may & met
+    return may
+
+
+def dense_top(vectors: DataFrame, queries: DataFrame, limit: int, scope: Scope | None = None, group: str | None = None, apart: bool = False) -> DataFrame:
+    """(query_id, [group], id, score): the best inner products of each query over all vectors, exactly.
+
+    ``vectors``: id, embedding, and the columns that ``scope`` and ``group`` name. ``queries``:
+    query_id, query_vector. A task multiplies blocks of its vectors with all queries and keeps
+    ``limit`` rows a query (and value of ``group``), so at most that many leave it; the caller ranks
+    them (``top_ranked``). ``apart``: a vector is not found by the query of its id. Null vectors
+    are not found.
     """
+    spark = vectors.sparkSession
+    kind, id_kind = queries.schema["query_id"].dataType, vectors.schema["id"].dataType
     n = queries.count()
-    count = max(1, -(-n // block))
-    dealt = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(count)).cast("int"))
-    blocks = dealt.groupBy("_b").agg(F.collect_list(F.struct("query_id", "query_vector")).alias("qs"))
-    if n <= most_broadcast:
-        pairs = vectors.join(F.broadcast(blocks))
-    else:
-        pairs = vectors.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(blocks, "_b")
-    others = [c for c in vectors.columns if c not in ("id", "embedding")]
-    pairs = pairs.select("id", "embedding", *others, F.explode("qs").alias("q"))
-    return pairs.select(F.col("q.query_id").alias("query_id"), "id", *others, dot(F.col("embedding"), F.col("q.query_vector")).alias("score"))
+    passes = max(1, -(-n // MOST_QUERIES))
+    requests = [] if scope is None else [tuple(r) for r in scope.requests.distinct().collect()]  # no more than a few for each query
+    facets = sorted({r[1] for r in requests})
+    if missing := [f for f in facets if f not in vectors.columns]:
+        raise EngineError(f"the vectors have no facet {', '.join(missing)}")
+    spec = T.StructType().add("query_id", kind)
+    if group:
+        spec = spec.add(group, vectors.schema[group].dataType)
+    spec = spec.add("id", id_kind).add("score", "double")
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in spec])
+
+    def listed(name: str):
+        c = F.col(name)
+        return (c if isinstance(vectors.schema[name].dataType, T.ArrayType) else F.array(c)).cast("array<string>").alias(f"facet_{name}")
+
+    rows = vectors.where("embedding IS NOT NULL").select("id", "embedding", (F.col(group) if group else F.lit(0)).alias("group"), *map(listed, facets))
+    out = None
+    for k in range(passes):
+        part = queries if passes == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == k)
+        asked = part.select("query_id", "query_vector").collect()  # MOST_QUERIES or about so
+        if not asked:
+            continue
+        names = {r.query_id: i for i, r in enumerate(asked)}
+        shared = spark.sparkContext.broadcast(([r.query_id for r in asked], np.array([r.query_vector for r in asked], np.float64), [r for r in requests if r[0] is None or r[0] in names], names))
+
+        def multiply(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids_of, matrix, wanted, names = shared.value
+            best, found, groups, values_of = _Best(limit), [], {}, []
+            for batch in batches:
+                for begin in range(0, batch.num_rows, BLOCK_ROWS):
+                    b = batch.slice(begin, BLOCK_ROWS)
+                    x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+                    scores = np.round(x @ matrix.T, DIGITS)
+                    ids, mine = b.column(0).to_pylist(), b.column(2).to_pylist()
+                    may = np.isfinite(scores)
+                    if wanted:
+                        may &= _masks(wanted, names, {f: b.column(3 + i).to_pylist() for i, f in enumerate(facets)}, b.num_rows)
+                    if apart:
+                        for i, doc in enumerate(ids):
+                            if doc in names:
+                                may[i, names[doc]] = False
+                    for v in mine:
+                        if v not in groups:
+                            groups[v] = len(groups)
+                            values_of.append(v)
+                    code = np.array([groups[v] for v in mine], np.int64)
+                    keys = code[:, None] * len(ids_of) + np.arange(len(ids_of))
+                    row, q = np.nonzero(may & (scores >= best.bar(len(groups) * len(ids_of))[keys]))
+                    best.add(keys[row, q], len(found) + row, scores[row, q])
+                    found += ids
+                    # places stand for ids; ties must go by id, so places are put into its order when they are settled
+                    if best.crowded() or len(found) > 1_000_000:
+                        found = _by_id(best, found)
+            _by_id(best, found)
+            keys, places, scores = best.settle()
+            named = best.names
+            for begin in range(0, len(keys), 50_000):
+                cut = slice(begin, begin + 50_000)
+                columns = {"query_id": [ids_of[i] for i in (keys[cut] % len(ids_of)).tolist()], "id": [named[i] for i in places[cut].tolist()], "score": scores[cut]}
+                if group:
+                    columns[group] = [values_of[i] for i in (keys[cut] // len(ids_of)).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+
+        made = rows.mapInArrow(multiply, spec)
+        out = made if out is None else out.unionByName(made)
+    return spark.createDataFrame([], spec) if out is None else out
+
+
+def _by_id(best: _Best, found: list) -> list:
+    """Renumbers what ``best`` holds in order of id, and settles it; the ids that are still held."""
+    if best.held:
+        keys, places, scores = (np.concatenate(x) for x in zip(*best.parts, strict=True))
+        held = np.unique(places)
+        order = sorted(held.tolist(), key=lambda i: (found[i] is None, found[i]))
+        rank = np.empty(len(found), np.int64)
+        rank[order] = np.arange(len(order))
+        best.parts = [(keys, rank[places], scores)]
+        best.names = [found[i] for i in order]
+        best.settle()
+        return list(best.names)
+    best.parts, best.names = [], []
+    return []
 
 
 def reciprocal_rank_fusion(rankings: list[tuple[DataFrame, float]], k: int = 60) -> DataFrame:

@@ -9,10 +9,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.analysis import fold_array, folded_form
 from ..functions.text import excerpt, fold_search, query_terms, term_coverage
-from . import evaluation, matching, retrieval
+from ..sources.scratch import scratch
+from . import evaluation, filters, matching, retrieval
 from .contracts import EngineError
+from .lexical_index import Bm25Index, Scope
 
 MODES = ("bm25", "dense", "hybrid")
 
@@ -49,33 +53,99 @@ def encoded(df: DataFrame, text: str, encoder: Encoder, kind: str = "passage", n
     return df.withColumn(name, encode(F.col(text)))
 
 
-def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mode: str = "hybrid", limit: int = 10, hard: Column | None = None, pool: int = 100, weights: tuple[float, float] = (0.5, 0.5), k: int = 60, documents: DataFrame | None = None, index: retrieval.Bm25Index | None = None) -> DataFrame:
-    """(query_id, id, score, rank) over ``chunks``: id, document_id, text, embedding, security_classification.
+def passage_index(chunks: DataFrame, path: str | None = None, text: str = "text", facets: tuple[str, ...] = (), **bm25) -> Bm25Index:
+    """A stored index of chunks (id, ``text``, document_id, security_classification and ``facets``) that ``search_chunks`` can read.
 
-    ``queries``: id, text, query_vector. Authorization, hard filters and ``documents``
-    (document_id: those that may be found) hold before ranking; term statistics are those of all
-    chunks. ``index``: a stored one of all chunks, else postings are made anew. In hybrid mode each
-    retriever gives max(``pool``, ``limit``) chunks. ``limit`` 0 means the default of 10.
+    ``text`` names what is searched: the retrieval text, where the chunks have one.
+    """
+    named = list(dict.fromkeys(["security_classification", "document_id", *facets]))
+    docs = chunks.select("id", F.col(text).alias("text"), *named)
+    return Bm25Index.build(docs, path or scratch(chunks.sparkSession, "passages"), named, **bm25)
+
+
+def passages(index: Bm25Index, queries: DataFrame, allowed: list[str], limit: int, scope: Scope | None = None, documents: DataFrame | None = None, positive_only: bool = False) -> DataFrame:
+    """The lexical side of ``search_chunks``: query_id, id, score, rank."""
+    kind = queries.schema["id"].dataType
+    within = Scope.security(queries.sparkSession, "security_classification", allowed, kind).also(scope)
+    if documents is not None:
+        within = within.values("document_id", documents.select("document_id"))
+    return index.top(queries.select("id", "text"), limit, within, positive_only=positive_only)
+
+
+def search_chunks(chunks: DataFrame, queries: DataFrame, allowed: list[str], mode: str = "hybrid", limit: int = 10, scope: Scope | None = None, pool: int = 100, weights: tuple[float, float] = (0.5, 0.5), k: int = 60, documents: DataFrame | None = None, index: Bm25Index | None = None) -> DataFrame:
+    """(query_id, id, score, rank, lexical_score, lexical_rank, dense_score, dense_rank) over ``chunks``: id, document_id, embedding, security_classification.
+
+    ``queries``: id, text, query_vector. Authorization, ``scope`` (what each query may find, or
+    all) and ``documents`` (document_id: those that may be found) hold before ranking; term
+    statistics are those of all chunks. ``index``: the stored one of all chunks (``passage_index``
+    with the facets that the scope names); without it, one is made of their ``text``. In hybrid
+    mode each retriever gives max(``pool``, ``limit``) chunks, whose scores and ranks come along.
+    ``limit`` 0 means the default of 10.
     """
     if mode not in MODES:
         raise EngineError(f"unknown mode {mode}")
     limit = limit or 10
-    pool = max(pool, limit)
+    pool = max(pool, limit) if mode == "hybrid" else limit
     may = retrieval.authorized(chunks, "security_classification", allowed)
-    if hard is not None:
-        may = may.where(hard)
-    if documents is not None:
-        may = may.join(documents.select("document_id").distinct(), "document_id", "left_semi")
     lexical = dense = None
     if mode != "dense":
-        corpus = index or retrieval.tokenized(chunks, "id", "text")
-        lexical = retrieval.lexical_top(corpus, retrieval.tokenized(queries, "id", "text"), may.select("id"), pool if mode == "hybrid" else limit)
+        if index is None:
+            index = passage_index(chunks, facets=tuple(sorted((scope.facets or set()) - {"document_id", "security_classification"})) if scope else ())
+        lexical = passages(index, queries, allowed, pool, scope, documents)
     if mode != "bm25":
+        if documents is not None:
+            may = may.join(documents.select("document_id").distinct(), "document_id", "left_semi")
         asked = queries.select(F.col("id").alias("query_id"), "query_vector")
-        dense = retrieval.top_ranked(retrieval.dense_scores(may.select("id", "embedding"), asked), pool if mode == "hybrid" else limit)
-    if mode == "hybrid":
-        return retrieval.top_ranked(retrieval.reciprocal_rank_fusion([(lexical, weights[0]), (dense, weights[1])], k), limit)
-    return (lexical if mode == "bm25" else dense).select("query_id", "id", "score", "rank")
+        dense = retrieval.top_ranked(retrieval.dense_top(may, asked, pool, scope), pool)
+    none = F.lit(None)
+    empty = {"lexical_score": none.cast("double"), "lexical_rank": none.cast("int"), "dense_score": none.cast("double"), "dense_rank": none.cast("int")}
+    parts = []
+    for name, found in (("lexical", lexical), ("dense", dense)):
+        if found is not None:
+            own = empty | {f"{name}_score": F.col("score"), f"{name}_rank": F.col("rank")}
+            parts.append(found.select("query_id", "id", *[c.alias(n) for n, c in own.items()]))
+    if mode != "hybrid":
+        (one,) = parts
+        side = "lexical" if mode == "bm25" else "dense"
+        return one.select("query_id", "id", F.col(f"{side}_score").alias("score"), F.col(f"{side}_rank").alias("rank"), *empty)
+    both = parts[0].unionByName(parts[1]).groupBy("query_id", "id").agg(*[F.max(c).alias(c) for c in empty])
+    share = [F.coalesce(F.lit(w) / (k + F.col(c)), F.lit(0.0)) for w, c in zip(weights, ("lexical_rank", "dense_rank"), strict=True)]
+    return retrieval.top_ranked(both.withColumn("score", share[0] + share[1]), limit).select("query_id", "id", "score", "rank", *empty)
+
+
+def hit_audit(hits: DataFrame, chunks: DataFrame, allowed: list[str], scope: Scope | None = None) -> DataFrame:
+    """(query_id, scored, authorized, in_scope) of every query that came back: chunks, those of an allowed class, and those that its requests let through.
+
+    Classes and values are looked up in ``chunks`` again, not taken from the search.
+    """
+    facets = sorted(set(scope.facets or ())) if scope else []
+    held = hits.select("query_id", "id").join(chunks.select("id", "security_classification", *[F.col(f).alias(f"_{f}") for f in facets]), "id", "left")
+    classes = sorted({c.strip().upper() for c in allowed if c and c.strip()})
+    met = F.lit(True)
+    if scope:
+        wanted = scope.requests.groupBy("query_id", "facet").agg(F.collect_set(F.struct("operator", "value")).alias("wanted"))  # a request's values
+        for f in facets:
+            mine = wanted.where(F.col("facet") == f)
+            general = mine.where("query_id IS NULL").select(F.col("wanted").alias(f"_all_{f}"))
+            own = mine.where("query_id IS NOT NULL").select("query_id", F.col("wanted").alias(f"_own_{f}"))
+            held = held.join(own, "query_id", "left").join(F.broadcast(general), how="left")
+            column = F.col(f"_{f}") if isinstance(chunks.schema[f].dataType, T.ArrayType) else F.array(f"_{f}")
+            forms = F.transform(column.cast("array<string>"), lambda v: F.coalesce(v, F.lit("")))
+            held = held.withColumn(f"_{f}", fold_array(forms))
+            for kind in ("all", "own"):
+                met = met & meets(f"_{f}", f"_{kind}_{f}")
+    return held.groupBy("query_id").agg(
+        F.count("*").alias("scored"), F.count_if(F.coalesce(F.upper("security_classification").isin(classes), F.lit(False))).alias("authorized"), F.count_if(F.coalesce(met, F.lit(False))).alias("in_scope")
+    )
+
+
+def meets(values: str, wanted: str) -> Column:
+    """Whether one of the folded ``values`` meets one of the requests ``wanted``; true without requests."""
+    is_ = F.exists(wanted, lambda w: (w["operator"] == "is") & F.array_contains(F.col(values), w["value"]))
+    number = lambda v: F.when(v.rlike("^[0-9]{1,9}$"), v).cast("int")
+    low = F.exists(wanted, lambda w: (w["operator"] == "at_most") & F.exists(values, lambda v: number(v) <= number(w["value"])))
+    high = F.exists(wanted, lambda w: (w["operator"] == "at_least") & F.exists(values, lambda v: number(v) >= number(w["value"])))
+    return F.col(wanted).isNull() | F.coalesce(is_, F.lit(False)) | F.coalesce(low, F.lit(False)) | F.coalesce(high, F.lit(False))
 
 
 def search_documents(chunks: DataFrame, queries: DataFrame, allowed: list[str], limit: int = 10, **options) -> DataFrame:
@@ -85,24 +155,35 @@ def search_documents(chunks: DataFrame, queries: DataFrame, allowed: list[str],
 
 
 def match(chunks: DataFrame, requirements: DataFrame, references: DataFrame, allowed: list[str], score_share: float = 0.8, limit: int = 100, **options) -> DataFrame:
-    """Evidence rows of all requirements in one plan: reference_id, requirement_id, chunk_id, scores, rank.
+    """Evidence rows of all requirements in one plan: reference_id, requirement_id, chunk_id, scores, ranks.
 
     ``requirements``: id, text, query_vector. ``references``: reference_id, document_id, those
     eligible. Of each requirement the ``limit`` best chunks of their documents are candidates.
     These fan out to the references of their document, are reranked by scaled score and term
-    coverage, and three stay for each (reference, requirement). Term coverage compares folded words
-    without stop words; only texts of candidates are folded.
+    coverage, and three stay for each (reference, requirement), with the score and rank that each
+    retriever gave. Term coverage compares folded words without stop words; only texts of
+    candidates are folded.
     """
     found = search_chunks(chunks, requirements, allowed, limit=limit, documents=references, **options)
+    found = found.withColumn("top_score", F.max("score").over(Window.partitionBy("query_id")))  # over ``limit`` rows, as they were ranked
     texts = chunks.select("id", "document_id", "text").join(found.select("id").distinct(), "id", "left_semi")
     texts = texts.select("id", "document_id", query_terms(F.col("text")).alias("have"))
     asked = requirements.select(F.col("id").alias("query_id"), query_terms(F.col("text")).alias("want"))
     rows = found.join(texts, "id").join(asked, "query_id")
     rows = rows.withColumn("term_coverage", term_coverage(F.col("want"), F.col("have"))).drop("want", "have").join(references, "document_id")
-    ev = rows.select("reference_id", F.col("query_id").alias("requirement_id"), F.col("id").alias("chunk_id"), "score", F.col("rank").alias("retrieval_rank"), "term_coverage")
+    ev = rows.select("reference_id", F.col("query_id").alias("requirement_id"), F.col("id").alias("chunk_id"), "score", F.col("rank").alias("retrieval_rank"), "term_coverage", "top_score", "lexical_score", "lexical_rank", "dense_score", "dense_rank")
     return matching.keep_evidence(matching.rerank(ev, score_share))
 
 
+def match_contract(chunks: DataFrame, requirements: DataFrame, contract: DataFrame, allowed: list[str], hard: dict | None = None, exclusions: list[dict] | None = None, vocabulary: filters.ContractVocabulary | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """(evidence, audit): ``match`` over the references that pass the contract's own filters first.
+
+    ``contract``: reference_id, document_id and the fields of a reference contract.
+    """
+    eligible, audit = filters.filter_contract(contract, allowed, hard or {}, exclusions or [], vocabulary)
+    return match(chunks, requirements, eligible.select("reference_id", "document_id"), allowed, **options), audit
+
+
 def fusion_sweep(lexical: DataFrame, dense: DataFrame, grades: DataFrame, weights: list[float], k: int = 60) -> DataFrame:
     """Mean metrics of the fused ranking for each lexical weight; both rankings are read once."""
     both = lexical.select("query_id", "id", F.lit(True).alias("lex"), "rank").unionByName(dense.select("query_id", "id", F.lit(False).alias("lex"), "rank"))
@@ -189,29 +270,40 @@ def probes(documents: DataFrame, facets: list[str], most: int = 50, templates: t
     return best.select(query_id.alias("query_id"), "query_text", F.transform("parts", lambda p: p["value"]).alias("terms"), "relevant", "filter", "primary_id", "specificity", "relevant_count")  # most rows
 
 
-def evaluate_bootstrap(chunks: DataFrame, asked: DataFrame, allowed: list[str], hard_of: dict | None = None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+def evaluate_bootstrap(chunks: DataFrame, asked: DataFrame, allowed: list[str], filtered_by: str | None = None, citation: str | None = None, index: Bm25Index | None = None, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(metrics by mode, hits, checks) of probes over document search in every mode.
 
-    ``asked``: id, text, query_vector, relevant (document ids). ``hits``: mode, query_id, id, rank,
-    score, best_id. ``checks``: query_id, filtered (the chunks that its hard filter lets through
-    are all that come back), for the queries named in ``hard_of`` (query id to condition).
+    ``asked``: id, text, query_vector, relevant (document ids), and where ``filtered_by`` names it
+    a struct of facet and value: each probe's own filter. ``hits``: mode, query_id, id, rank, score,
+    best_id, cited (its best chunk has a ``citation``). ``checks``: one row of filter_correctness, the
+    share of probes whose own filter gives chunks and only such that pass it, and citation_coverage.
+    All probes are searched in one plan per mode, and one more with their filters.
     """
+    spark = asked.sparkSession
+    if index is None:
+        facets = [r[0] for r in asked.select(F.col(filtered_by)["facet"]).distinct().collect()] if filtered_by else []  # the facets that probes know
+        index = passage_index(chunks, facets=tuple(sorted(f for f in facets if f)))
     hits = None
     for mode in MODES:
-        found = search_documents(chunks, asked, allowed, mode=mode, **options)
+        found = search_documents(chunks, asked, allowed, mode=mode, index=index, **options)
         part = found.select(F.lit(mode).alias("mode"), "query_id", F.col("document_id").alias("id"), "rank", "score", "best_id")
         hits = part if hits is None else hits.unionByName(part)
+    uri = F.coalesce(F.col(citation), F.lit("")) != "" if citation else F.lit(None).cast("boolean")
+    hits = hits.join(chunks.select(F.col("id").alias("best_id"), uri.alias("cited")), "best_id", "left").select("mode", "query_id", "id", "rank", "score", "best_id", "cited")
     grades = asked.select(F.col("id").alias("query_id"), F.explode("relevant").alias("id"), F.lit(1).alias("grade"))
     every = asked.select(F.col("id").alias("query_id"), F.explode(F.array(*map(F.lit, MODES))).alias("mode"))
     metrics = evaluation.system_means(evaluation.ranking_metrics(hits, grades, asked=every))
-    checks = None
-    for query_id, condition in (hard_of or {}).items():
-        one = asked.where(F.col("id") == query_id)
-        found = search_chunks(chunks, one, allowed, hard=condition, **options)
-        kept = found.join(chunks.where(condition).select("id"), "id", "left_semi").agg(F.count("*").alias("kept"))
-        part = found.agg(F.count("*").alias("n")).join(F.broadcast(kept)).select(F.lit(query_id).alias("query_id"), ((F.col("n") > 0) & (F.col("n") == F.col("kept"))).alias("filtered"))
-        checks = part if checks is None else checks.unionByName(part)
-    return metrics, hits, checks
+    checks = spark.range(1).select(F.lit(None).cast("double").alias("filter_correctness"))
+    if filtered_by:
+        own = asked.select(F.col("id").alias("query_id"), F.col(filtered_by)["facet"].alias("facet"), F.lit("is").alias("operator"), folded_form(F.col(filtered_by)["value"]).alias("value")).where("value <> ''")
+        known = {r[0] for r in own.select("facet").distinct().collect()}
+        scope = Scope(own, known)
+        found = search_chunks(chunks, asked, allowed, index=index, scope=scope, **options)
+        audit = asked.select(F.col("id").alias("query_id")).join(hit_audit(found, chunks, allowed, scope), "query_id", "left")
+        right = F.coalesce((F.col("scored") > 0) & (F.col("scored") == F.col("authorized")) & (F.col("scored") == F.col("in_scope")), F.lit(False))
+        checks = audit.agg(F.avg(right.cast("int")).alias("filter_correctness"))
+    covered = hits.agg(F.avg(F.col("cited").cast("int")).alias("citation_coverage"))
+    return metrics, hits, checks.join(F.broadcast(covered))
 
 
 def citation_metrics(evidence: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -229,25 +321,36 @@ def overlap(a: DataFrame, b: DataFrame, item: str) -> DataFrame:
     return both.agg(F.count("a").alias("left"), F.count("b").alias("right"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("shared"), F.count("*").alias("union")).withColumn("jaccard", F.col("shared") / F.col("union"))
 
 
-def dossier_records(recommended: DataFrame, evidence: DataFrame, coverage: DataFrame, text: Column, title: Column, quota: int = 3, least: float = 0.15) -> DataFrame:
+def dossier_records(recommended: DataFrame, evidence: DataFrame, coverage: DataFrame, text: Column, title: Column, quota: int = 3, least: float = 0.15, **grounding) -> DataFrame:
     """One record of each recommendation: its columns, its best grounded evidence and the requirements it covers.
 
     ``coverage``: reference_id, requirement_id, classification, covered. A recommendation without
     evidence has an empty list.
     """
-    rows = dossier(recommended, evidence, text, title, least).where(F.col("place") <= quota)
+    rows = dossier(recommended, evidence, text, title, least=least, **grounding).where(F.col("place") <= quota)
     shown = rows.groupBy("reference_id").agg(F.sort_array(F.collect_list(F.struct("place", "chunk_id", "grounding", "weak"))).alias("evidence"))
     met = coverage.where("covered").groupBy("reference_id").agg(F.sort_array(F.collect_set(F.struct((F.col("classification") != "MUST").alias("optional"), "requirement_id"))).alias("requirements"))
     out = recommended.join(shown, "reference_id", "left").join(met, "reference_id", "left")
     return out.withColumns({"evidence": F.coalesce("evidence", F.array().cast(shown.schema["evidence"].dataType)), "requirements": F.coalesce(F.transform("requirements", lambda r: r["requirement_id"]), F.array().cast("array<string>"))})
 
 
-def dossier(recommended: DataFrame, evidence: DataFrame, text: Column, title: Column, least: float = 0.15) -> DataFrame:
-    """Evidence of each recommendation that is grounded in its title; the best one, flagged, where none is."""
+def dossier(recommended: DataFrame, evidence: DataFrame, text: Column, title: Column, context: Column | None = None, relevance: Column | None = None, uri: Column | None = None, least: float = 0.15) -> DataFrame:
+    """Evidence of each recommendation that is grounded in it; the best one, flagged, where none is.
+
+    Grounding is the larger of the excerpt's overlap with ``context`` (what is known of the
+    reference; the title where there is none) and 0.65 of its overlap with the title plus 0.35 of
+    that. Equal ones go by falling ``relevance``, then ``uri``, then chunk id; a chunk cited twice under one
+    uri counts once.
+    """
     from ..functions.text import grounding_score
 
-    rows = recommended.join(evidence, "reference_id").withColumn("grounding", grounding_score(title, text))
-    order = Window.partitionBy("reference_id").orderBy(F.desc("grounding"), "chunk_id")
-    rows = rows.withColumn("place", F.row_number().over(order))
+    rows = recommended.join(evidence, "reference_id")
+    known = grounding_score(title if context is None else context, text)
+    rows = rows.withColumns({"_known": known, "_titled": grounding_score(title, text), "_relevance": F.lit(0.0) if relevance is None else relevance, "_uri": F.lit("") if uri is None else uri})
+    rows = rows.withColumn("grounding", F.greatest("_known", F.lit(0.65) * F.col("_titled") + F.lit(0.35) * F.col("_known")))
+    order = [F.desc("grounding"), F.desc("_relevance"), F.col("_uri"), F.col("chunk_id")]
+    once = Window.partitionBy("reference_id", "chunk_id", "_uri").orderBy(*order)
+    rows = rows.withColumn("_again", F.row_number().over(once)).where("_again = 1")
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("reference_id").orderBy(*order)))
     kept = rows.where((F.col("grounding") >= least) | (F.col("place") == 1))
-    return kept.withColumn("weak", F.col("grounding") < least)
+    return kept.withColumn("weak", F.col("grounding") < least).drop("_known", "_titled", "_relevance", "_uri", "_again")

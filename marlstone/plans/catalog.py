@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
+from ..functions.analysis import folded_form
 from ..functions.chunking import ChunkRules, chunks
-from ..operators import corpus, evaluation, filters, matching, recommend, reference_contract, relational, requirements, retrieval, search
+from ..operators import corpus, evaluation, filters, matching, packets, recommend, reference_contract, relational, requirements, retrieval, search
 from ..operators.contracts import issue_rows
+from ..operators.lexical_index import Bm25Index, Scope
+from ..operators.packets import Rule
 from ..sources.readers import hyperlinks
 from ..sources.scratch import fingerprint, scratch
 
@@ -103,7 +106,7 @@ def text_chunks(spark, sf):
 @query(r"""WITH f AS (SELECT doc_id, list_filter(regexp_extract_all(strip_accents(replace(lower(text), 'ß', 'ss')), '[\p{L}\p{N}]+'), lambda x: length(x) >= 2) AS t FROM documents)
     SELECT doc_id, len(t) AS tokens, len(list_distinct(t)) AS distinct_tokens FROM f""")
 def search_tokens(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", T.tokens(F.col("text"), folded=True).alias("t"))
+    d = table(spark, sf, "documents").select("doc_id", T.tokens(F.col("text")).alias("t"))
     return d.select("doc_id", F.size("t").alias("tokens"), F.size(F.array_distinct("t")).alias("distinct_tokens"))
 
 
@@ -176,7 +179,8 @@ def stable_ids(spark, sf):
 
 # -- retrieval ---------------------------------------------------------------------------------
 
-TOKENS_SQL = rf"list_filter(regexp_extract_all(lower(coalesce(text, '')), {WORDS}), lambda x: length(x) >= 2)"
+FORM_SQL = "translate(regexp_replace(strip_accents(replace(lower(coalesce({x}, '')), 'ß', 'ss')), '[ؐ-ًؚ-ٰٟۖ-ۭـ]', '', 'g'), 'أإآٱىؤئ', 'اااايوي')"
+TOKENS_SQL = f"list_filter(regexp_extract_all({FORM_SQL.format(x='text')}, {WORDS}), lambda x: length(x) >= 2)"
 BM25_SQL = rf"""
     d AS (SELECT doc_id, source, {TOKENS_SQL} AS t FROM documents), n AS (SELECT count(*) AS n, avg(len(t)) AS m FROM d),
     p AS (SELECT doc_id, source, dl, term, count(*) AS tf FROM (SELECT doc_id, source, len(t) AS dl, unnest(t) AS term FROM d) GROUP BY ALL),
@@ -194,21 +198,22 @@ def bm25_index(spark, sf):
     key = (spark.sparkContext.applicationId, sf, fingerprint(d))
     if key not in _indexes:
         path = scratch(spark, "bm25")
-        retrieval.Bm25Index.build(retrieval.tokenized(d, "doc_id", "text"), path)
+        docs = _chunks(spark, sf).join(d.select(F.col("doc_id").alias("id"), "lang", "source"), "id")
+        Bm25Index.build(docs, path, ["security_classification", "document_id", "source", "lang"])
         _indexes[key] = path
-    return retrieval.Bm25Index.load(spark, _indexes[key])
+    return Bm25Index.load(spark, _indexes[key])
 
 
 @query(rf"""WITH d AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents), p AS (SELECT doc_id, unnest(t) AS term FROM d), n AS (SELECT count(*) AS n FROM d)
     SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf, round(ln(1 + (any_value(n) - count(DISTINCT doc_id) + 0.5) / (count(DISTINCT doc_id) + 0.5)), 8) AS idf FROM p, n GROUP BY term""")
 def bm25_terms(spark, sf):
-    return bm25_index(spark, sf).terms.withColumn("idf", F.round("idf", 8))
+    return bm25_index(spark, sf).statistics().withColumn("idf", F.round("idf", 8))
 
 
 @query(rf"""WITH d AS (SELECT doc_id, {TOKENS_SQL} AS t FROM documents), p AS (SELECT doc_id, len(t) AS length, unnest(t) AS term FROM d)
     SELECT term, doc_id AS id, count(*) AS tf, any_value(length)::INTEGER AS length FROM p GROUP BY term, doc_id""")
 def bm25_postings(spark, sf):
-    return bm25_index(spark, sf).postings
+    return bm25_index(spark, sf).postings()
 
 
 @query("SELECT 'NONE' AS check, 0::BIGINT AS rows WHERE false")
@@ -218,10 +223,8 @@ def bm25_problems(spark, sf):
 
 
 def _lexical(spark, sf, limit, positive_only=False, classes=ALLOWED):
-    docs = table(spark, sf, "documents")
-    allowed = retrieval.authorized(docs, "source", classes).select(F.col("doc_id").alias("id"))
-    asked = retrieval.tokenized(table(spark, sf, "benchmark"), "item_id", "text")
-    return retrieval.lexical_top(bm25_index(spark, sf), asked, allowed, limit, positive_only)
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
+    return bm25_index(spark, sf).top(asked, limit, Scope.security(spark, "source", classes, "bigint"), positive_only=positive_only)
 
 
 @query(f"""WITH {BM25_SQL}, a AS (SELECT b.item_id, d.doc_id, round(coalesce(r.score, 0), 6) AS score, row_number() OVER (PARTITION BY b.item_id ORDER BY coalesce(r.score, 0) DESC, d.doc_id) AS rank
@@ -240,8 +243,7 @@ def auth_filter_topk(spark, sf):
 def _dense(spark, sf, limit):
     e = table(spark, sf, "embeddings")
     asked = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))  # the stated query set
-    scores = retrieval.dense_scores(e.select(F.col("vec_id").alias("id"), "embedding"), asked).where("id <> query_id")
-    return retrieval.top_ranked(scores, limit)
+    return retrieval.top_ranked(retrieval.dense_top(e.select(F.col("vec_id").alias("id"), "embedding"), asked, limit, apart=True), limit)
 
 
 DENSE_SQL = """x AS (SELECT q.vec_id AS query_id, v.vec_id AS id, v.label, list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS s
@@ -276,7 +278,7 @@ def hybrid_rrf(spark, sf):
 def rollup_topk(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("document_id"), "embedding")
     asked = e.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    scores = retrieval.dense_scores(e, asked).where("id <> query_id")
+    scores = retrieval.dense_top(e, asked, 3, group="document_id", apart=True)
     return retrieval.roll_up(scores, 5).select("query_id", "document_id", F.round("score", 6).alias("score"), "best_id", F.array_join(F.transform("evidence", lambda x: x.cast("string")), ",").alias("evidence"), "rank")
 
 
@@ -440,10 +442,24 @@ def ranking_metrics(spark, sf):
     return m.withColumns({c: F.round(c, 6) for c in ("recall_at_10", "precision_at_5", "mrr", "ndcg_at_10")})
 
 
-@query(f"WITH {METRICS_SQL} SELECT mode, count(*) AS queries, count(*) FILTER (answerable) AS answerable, round(avg(recall_at_10), 6) AS recall_at_10, round(avg(precision_at_5), 6)::DOUBLE AS precision_at_5, round(avg(mrr), 6)::DOUBLE AS mrr, round(avg(ndcg_at_10), 6) AS ndcg_at_10 FROM m GROUP BY mode")
+MEANS_SQL = """count(*) AS queries, count(*) FILTER (answerable) AS answerable, count(*) FILTER (NOT answerable) AS no_relevant, round(avg(recall_at_10), 6) AS recall_at_10, round(avg(precision_at_5) FILTER (answerable), 6)::DOUBLE AS precision_at_5, round(avg(precision_at_5), 6)::DOUBLE AS precision_at_5_all_queries, round(avg(mrr), 6)::DOUBLE AS mrr, round(avg(ndcg_at_10), 6) AS ndcg_at_10"""
+
+
+@query(f"WITH {METRICS_SQL} SELECT mode, {MEANS_SQL} FROM m GROUP BY mode")
 def system_means(spark, sf):
     m = evaluation.system_means(evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf)))
-    return m.withColumns({c: F.round(c, 6) for c in ("recall_at_10", "precision_at_5", "mrr", "ndcg_at_10")})
+    return m.withColumns({c: F.round(c, 6) for c in MEANS})
+
+
+MEANS = ("recall_at_10", "precision_at_5", "precision_at_5_all_queries", "mrr", "ndcg_at_10")
+
+
+@query(f"WITH {METRICS_SQL} SELECT mode, lang, {MEANS_SQL} FROM m LEFT JOIN documents ON doc_id = query_id GROUP BY mode, lang")
+def subgroup_means(spark, sf):
+    """Metrics by the language of the queried document, a missing one its own group."""
+    m = evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf))
+    attributes = table(spark, sf, "documents").select(F.col("doc_id").alias("query_id"), "lang")
+    return evaluation.system_means(evaluation.with_attributes(m, attributes), ["mode", "lang"]).withColumns({c: F.round(c, 6) for c in MEANS})
 
 
 @query(f"WITH {METRICS_SQL} SELECT query_id, max(recall_at_10) FILTER (mode = 'dense') AS dense, max(recall_at_10) FILTER (mode = 'label') AS label FROM (SELECT mode, query_id, round(recall_at_10, 6) AS recall_at_10 FROM m) GROUP BY query_id")
@@ -454,7 +470,9 @@ def system_pivot(spark, sf):
 
 @query()
 def bootstrap_interval(spark, sf):
-    return evaluation.paired_bootstrap(evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf)), "ndcg_at_10", "label", "dense")
+    metrics = evaluation.ranking_metrics(_rankings(spark, sf), _grades(spark, sf))
+    found = evaluation.paired_bootstrap(metrics, ["recall_at_10", "precision_at_5", "mrr", "ndcg_at_10"])
+    return found.withColumns({c: F.round(c, 6) for c in ("difference", "low", "high")})
 
 
 @query("""SELECT lang, source, count(*) AS n, round(avg(quality), 6) AS quality, sum(toxic)::BIGINT AS toxic FROM documents JOIN labels USING (doc_id) GROUP BY GROUPING SETS ((lang), (source))""")
@@ -483,8 +501,8 @@ def stratified_sample(spark, sf):
 
 @query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY event_type")
 def latency_percentiles(spark, sf):
-    p = table(spark, sf, "events").groupBy("event_type").agg(F.percentile("value", F.array(F.lit(0.5), F.lit(0.95))).alias("p"))
-    return p.select("event_type", F.round(F.get("p", 0), 6).alias("p50"), F.round(F.get("p", 1), 6).alias("p95"))
+    p = evaluation.exact_percentiles(table(spark, sf, "events"), ["event_type"], "value", [0.5, 0.95])
+    return p.groupBy("event_type").pivot("share", [0.5, 0.95]).agg(F.first(F.round("percentile", 6))).toDF("event_type", "p50", "p95")
 
 
 @query("SELECT avg(quality) AS value, 0.5::DOUBLE AS threshold, avg(quality) >= 0.5 AS passed, 'quality' AS metric FROM labels UNION ALL SELECT avg(1 - toxic), 0.95, avg(1 - toxic) >= 0.95, 'clean' FROM labels")
@@ -551,6 +569,14 @@ def _vector_chunks(spark, sf):
     return _chunks(spark, sf).join(v, "id")
 
 
+def vector_index(spark, sf):
+    """The stored index of the chunks that have a vector."""
+    key = (spark.sparkContext.applicationId, sf, fingerprint(table(spark, sf, "documents")), fingerprint(table(spark, sf, "embeddings")))
+    if key not in _indexes:
+        _indexes[key] = search.passage_index(_vector_chunks(spark, sf)).path
+    return Bm25Index.load(spark, _indexes[key])
+
+
 def _asked(spark, sf):
     b = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
     return b.join(table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("query_vector")), "id")
@@ -569,16 +595,57 @@ HYBRID_SQL = rf"""j AS (SELECT doc_id AS id, source, lang, text, embedding FROM
     h AS (SELECT item_id, id, source, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) AS rank FROM f JOIN ok USING (id))"""
 
 
+FILTERED_SQL = f"""own AS (SELECT b.item_id, d.source, d.lang FROM benchmark b JOIN documents d ON d.doc_id = b.item_id),
+    ok AS (SELECT own.item_id, d.doc_id, own.source IS NOT NULL AND d.source = own.source AND (own.lang IS NULL OR own.item_id % 2 = 0 OR d.lang = own.lang) AS may FROM own JOIN documents d ON d.lang IS DISTINCT FROM 'de'),
+    k AS (SELECT ok.item_id, ok.doc_id, round(coalesce(r.score, 0), 6) AS score, row_number() OVER (PARTITION BY ok.item_id ORDER BY coalesce(r.score, 0) DESC, ok.doc_id) AS rank FROM ok LEFT JOIN r ON r.item_id = ok.item_id AND r.doc_id = ok.doc_id WHERE may)"""
+
+
+def _own_filters(spark, sf):
+    """Each item asks for the source of the document of its id, and odd ones for its language, too."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("query_id"), "source", "lang")
+    own = d.join(table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id")), "query_id")
+    wanted = F.array(F.struct(F.lit("source").alias("facet"), F.col("source").alias("value")), F.struct(F.lit("lang").alias("facet"), F.when(F.col("query_id") % 2 == 1, F.col("lang")).alias("value")))
+    each = own.select("query_id", F.inline(wanted)).where("value IS NOT NULL").select("query_id", "facet", F.lit("is").alias("operator"), folded_form("value").alias("value"))
+    return Scope(each, {"source", "lang"})
+
+
+@query(f"WITH {BM25_SQL}, {FILTERED_SQL} SELECT item_id, doc_id, score, rank FROM k WHERE rank <= 10")
+def filtered_search(spark, sf):
+    """Every item under its own hard filters, in one plan."""
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
+    asked = asked.join(table(spark, sf, "documents").where("source IS NOT NULL").select(F.col("doc_id").alias("id")), "id")
+    scope = Scope.security(spark, "security_classification", ["public"], "bigint").also(_own_filters(spark, sf))
+    return bm25_index(spark, sf).top(asked, 10, scope).select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id"), "score", "rank")
+
+
+@query(f"WITH {BM25_SQL}, {FILTERED_SQL} SELECT item_id AS query_id, count(*) FILTER (rank <= 10) AS scored, count(*) FILTER (rank <= 10) AS authorized, count(*) FILTER (rank <= 10) AS in_scope FROM k GROUP BY item_id")
+def filtered_audit(spark, sf):
+    """What ``filtered_search`` returned, looked up again in the documents."""
+    hits = filtered_search(spark, sf).select(F.col("item_id").alias("query_id"), F.col("doc_id").alias("id"))
+    chunks = _chunks(spark, sf).join(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "source", "lang"), "id")
+    return search.hit_audit(hits, chunks, ["PUBLIC"], _own_filters(spark, sf))
+
+
+@query("""WITH h AS (SELECT p_partkey, p_type, 'Document: ' || p_name || chr(10) || 'Client: ' || p_brand || chr(10) || 'Secteur: ' || array_to_string(list_slice(list_filter(string_split(p_type, ' '), lambda x: x <> ''), 1, 3), ' | ') || chr(10) || 'Année: ' || p_size::VARCHAR AS head FROM part)
+    SELECT p_partkey, sha256(trim(rtrim(head[1:700]) || chr(10) || trim(p_type))) AS retrieval_text_sha256 FROM h""")
+def retrieval_texts(spark, sf):
+    """Parts stand in for chunks: their name is the document, brand, type and size the facets."""
+    p = table(spark, sf, "part")
+    text = T.retrieval_text(F.col("p_name"), {"client": F.array("p_brand"), "sector": F.split("p_type", " "), "project_year": F.array(F.col("p_size").cast("string"))}, F.col("p_type"))
+    return p.select("p_partkey", F.sha2(text, 256).alias("retrieval_text_sha256"))
+
+
 @query(f"WITH {HYBRID_SQL} SELECT item_id AS query_id, id, round(score, 9) AS score, rank FROM h WHERE rank <= 10")
 def hybrid_chunks(spark, sf):
-    return search.search_chunks(_vector_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"]).withColumn("score", F.round("score", 9))
+    found = search.search_chunks(_vector_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"], index=vector_index(spark, sf))
+    return found.select("query_id", "id", F.round("score", 9).alias("score"), "rank")
 
 
 @query(f"""WITH {HYBRID_SQL}, g AS (SELECT item_id, source, max(score) AS score, arg_min(id, rank) AS best_id FROM h WHERE rank <= 100 GROUP BY ALL),
     k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, source) AS rank FROM g)
     SELECT item_id AS query_id, source AS document_id, round(score, 9) AS score, best_id, rank FROM k WHERE rank <= 5""")
 def hybrid_documents(spark, sf):
-    r = search.search_documents(_vector_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"], limit=5)
+    r = search.search_documents(_vector_chunks(spark, sf), _asked(spark, sf), ["PUBLIC"], limit=5, index=vector_index(spark, sf))
     return r.select("query_id", "document_id", F.round("score", 9).alias("score"), "best_id", "rank")
 
 
@@ -597,6 +664,7 @@ def matched_evidence(spark, sf):
     refs = table(spark, sf, "documents").select("source").where("source IS NOT NULL").distinct().select(F.concat(F.lit("REF-"), "source").alias("reference_id"), F.col("source").alias("document_id"))
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
     found = search.match(_chunks(spark, sf), asked, refs, ["PUBLIC"], mode="bm25", index=bm25_index(spark, sf))
+    found = found.drop("lexical_score", "lexical_rank", "dense_score", "dense_rank")
     return found.withColumn("rerank_score", F.round("rerank_score", 6)).withColumn("term_coverage", F.round("term_coverage", 6))
 
 
@@ -814,12 +882,28 @@ def canonical_chunks(spark, sf):
     return corpus.chunk_table(corpus.canonical_pages(_pages(spark, sf))).drop("text")
 
 
-@query("""SELECT user_id, arg_max(event_id, (CASE event_type WHEN 'purchase' THEN 3 WHEN 'click' THEN 2 ELSE 1 END, -event_id)) AS attempt FROM events GROUP BY user_id""")
-def best_repair(spark, sf):
+def _attempts(spark, sf):
+    """Events stand in for repair attempts of their user's page, in order; the first is the page as it was."""
     e = table(spark, sf, "events")
     status = F.when(F.col("event_type") == "purchase", "PASS").when(F.col("event_type") == "click", "REVIEW").otherwise("FAILED")
-    tries = e.select("user_id", F.col("event_id").alias("attempt"), status.alias("status"), F.lit(5).alias("words"), F.lit(9).alias("chars"), F.lit(0.5).alias("confidence"))
-    return corpus.best_attempt(tries, ["user_id"]).select("user_id", "attempt")
+    order = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    return e.select("user_id", order.alias("attempt"), status.alias("status"), (F.col("event_id") % 1700).alias("words"), (F.col("event_id") % 6007).alias("chars"), F.round(F.pmod("value", F.lit(100.0)), 2).alias("confidence"))
+
+
+ATTEMPTS_SQL = """a AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS attempt, CASE event_type WHEN 'purchase' THEN 'PASS' WHEN 'click' THEN 'REVIEW' ELSE 'FAILED' END AS status, event_id % 1700 AS words, event_id % 6007 AS chars, round(value % 100.0, 2) AS confidence FROM events)"""
+RANK_SQL = "(CASE status WHEN 'PASS' THEN 3 WHEN 'REVIEW' THEN 2 ELSE 1 END, least(words, 1000), least(chars, 5000), round(confidence, 4), -attempt)"
+
+
+@query(f"WITH {ATTEMPTS_SQL} SELECT user_id, arg_max(attempt, {RANK_SQL}) AS attempt FROM a GROUP BY user_id")
+def best_repair(spark, sf):
+    return corpus.best_attempt(_attempts(spark, sf), ["user_id"]).select("user_id", "attempt")
+
+
+@query(f"""WITH RECURSIVE {ATTEMPTS_SQL}, r AS (SELECT * FROM a WHERE attempt = 0 UNION ALL SELECT a.* FROM r JOIN a ON a.user_id = r.user_id AND a.attempt = r.attempt + 1 WHERE NOT (r.attempt > 0 AND r.status = 'PASS' AND r.confidence >= 60))
+    SELECT user_id, arg_max(attempt, {RANK_SQL}) AS attempt, count(*) - 1 AS attempts_made FROM r GROUP BY user_id""")
+def repair_selection(spark, sf):
+    """Attempts in order up to the first good one; the best of those."""
+    return corpus.repaired_pages(_attempts(spark, sf), ["user_id"], 60.0).select("user_id", "attempt", "attempts_made")
 
 
 @query("""SELECT o_custkey AS canonical_document_id, string_agg(v, ',' ORDER BY r) AS status, max(n) AS rows FROM (SELECT o_custkey, o_orderstatus AS v, min(o_orderkey) AS r, any_value(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) GROUP BY ALL) GROUP BY o_custkey""")
@@ -829,6 +913,26 @@ def reference_metadata(spark, sf):
     return m.select("canonical_document_id", F.array_join("status", ",").alias("status"), F.size("reference_rows").cast("long").alias("rows"))
 
 
+PACKET_RULES = [
+    Rule("SHORT", "row", "length(text) < 60"),
+    Rule("LANGUAGE", "row", "coalesce(lang, '') NOT IN ('en', 'fr', 'es')", "en, fr or es"),
+    Rule("COUNT", "table", "count(*) <> 50", "exactly 50"),
+    Rule("MINIMUM", "table", "count_if(lang = 'fr') < 5", "fr: 5"),
+    Rule("MINIMUM", "table", "count_if(lang = 'xx') < 5", "xx: 5"),
+    Rule("REPEATED", "folded", "text"),
+    Rule("SOURCE_TAKEN", "unique", "concat(source, '|', n_chars)"),
+]
+
+
+@query(f"""WITH f AS (SELECT doc_id, trim({FORM_SQL.format(x='text')}) AS f, source || '|' || n_chars AS s FROM documents)
+    SELECT 'SHORT' AS code, doc_id::VARCHAR AS key, '' AS detail FROM documents WHERE length(text) < 60 UNION ALL SELECT 'LANGUAGE', doc_id::VARCHAR, 'en, fr or es' FROM documents WHERE coalesce(lang, '') NOT IN ('en', 'fr', 'es')
+    UNION ALL SELECT 'COUNT', NULL, 'exactly 50' FROM documents HAVING count(*) <> 50 UNION ALL SELECT 'MINIMUM', NULL, 'fr: 5' FROM documents HAVING count(*) FILTER (lang = 'fr') < 5 UNION ALL SELECT 'MINIMUM', NULL, 'xx: 5' FROM documents HAVING count(*) FILTER (lang = 'xx') < 5
+    UNION ALL SELECT 'REPEATED', doc_id::VARCHAR, '' FROM f WHERE f <> '' AND f IN (SELECT f FROM f GROUP BY f HAVING count(*) > 1) UNION ALL SELECT 'SOURCE_TAKEN', doc_id::VARCHAR, '' FROM f WHERE s IN (SELECT s FROM f GROUP BY s HAVING count(*) > 1)""")
+def packet_rules(spark, sf):
+    """Documents stand in for the rows of a review packet."""
+    return packets.issues(table(spark, sf, "documents"), "doc_id", PACKET_RULES)
+
+
 @query("SELECT page_id, CASE WHEN length(html) > 5000 THEN 'SKIPPED:size' ELSE 'DOWNLOADED' END AS status FROM pages")
 def route_status(spark, sf):
     return table(spark, sf, "pages").select("page_id", corpus.route_status(F.lit("text/html"), F.length("html"), ["text/html"], 5000).alias("status"))

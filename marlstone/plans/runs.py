@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chunking import ChunkRules
-from ..operators import corpus, evaluation, filters, matching, recommend, requirements, retrieval, search
+from ..functions.text import retrieval_text
+from ..operators import corpus, evaluation, filters, matching, recommend, requirements, search
 from ..operators.contracts import EngineError, forbid_columns, repeated_keys, require_same_keys
 from ..operators.governance import EngineConfig, checked_query, next_state
+from ..operators.lexical_index import Bm25Index
 from ..operators.relational import logical_hash
 from ..sources.sinks import exists, get_text, put_text
 
@@ -169,26 +171,39 @@ def verify_corpus(spark: SparkSession, out: str) -> dict:
     return verify_run(spark, out, "corpus")
 
 
-def run_retrieval(spark: SparkSession, corpus_run: str, out: str, encoder: search.Encoder, allowed: list[str], facets: list[str], thresholds: dict[str, float] | None = None, most_probes: int = 50, citation: str = "citation_uri") -> dict:
-    """Index, vectors, probes and their metrics in every mode over a corpus run; a metric below its gate is shown, not hidden."""
+def run_retrieval(spark: SparkSession, corpus_run: str, out: str, encoder: search.Encoder, allowed: list[str], facets: list[str], thresholds: dict[str, float] | None = None, most_probes: int = 50) -> dict:
+    """Index, vectors, probes and their metrics in every mode over a corpus run; a metric below its gate is shown, not hidden.
+
+    Index and vectors are made of the chunks' retrieval texts, kept with their hashes in
+    ``passages``; every search reads that index. Probes are searched with and without their own filter.
+    """
     up = pinned(spark, corpus_run, "corpus")
-    chunks = up["chunks"].select(F.col("chunk_id").alias("id"), "document_id", "text", "security_classification")
-    index = retrieval.Bm25Index.build(retrieval.tokenized(chunks, "id", "text", folded=True), f"{out}/index", refuse_empty=False).verify()
-    vectors = search.encoded(chunks, "text", encoder)
-    vectors.select("id", "embedding").write.mode("overwrite").parquet(f"{out}/vectors")
-    vectors = chunks.join(spark.read.parquet(f"{out}/vectors"), "id")
-    require_same_keys({"chunks": chunks, "vectors": vectors.select("id")}, "id")
-    values = {f: F.from_json(f"{f}_values_json", "array<string>").alias(f) for f in facets}
-    probes = search.probes(up["documents"].where("retrieval_eligible").select(F.col("document_id").alias("id"), *values.values()), facets, most_probes)
-    asked = search.encoded(probes.select(F.col("query_id").alias("id"), F.col("query_text").alias("text"), "relevant"), "text", encoder, "query", "query_vector")
-    metrics, hits, _ = search.evaluate_bootstrap(vectors, asked, allowed)
+    values = {f: F.coalesce(F.from_json(f"{f}_values_json", "array<string>"), F.array().cast("array<string>")).alias(f) for f in facets}
+    documents = up["documents"].select("document_id", *values.values())
+    pages = up["pages"].select("page_id", "citation_uri")
+    chunks = up["chunks"].select(F.col("chunk_id").alias("id"), "document_id", "page_id", "file_name", "text", "security_classification").join(documents, "document_id").join(pages, "page_id")
+    passage = retrieval_text(F.col("file_name"), {f: F.col(f) for f in facets}, F.col("text"))
+    chunks.select("id", "document_id", "security_classification", "citation_uri", *facets, passage.alias("text")).withColumn("retrieval_text_sha256", F.sha2("text", 256)).write.mode("overwrite").parquet(f"{out}/passages")
+    passages = spark.read.parquet(f"{out}/passages")
+    index = search.passage_index(passages, f"{out}/index", facets=tuple(facets)).verify()
+    search.encoded(passages, "text", encoder).select("id", "embedding").write.mode("overwrite").parquet(f"{out}/vectors")
+    vectors = passages.join(spark.read.parquet(f"{out}/vectors"), "id")
+    require_same_keys({"chunks": passages, "vectors": vectors.select("id")}, "id")
+    probed = up["documents"].where("retrieval_eligible").select(F.col("document_id").alias("id"), *values.values())
+    search.probes(probed, facets, most_probes).write.mode("overwrite").parquet(f"{out}/probes-made")
+    probes = spark.read.parquet(f"{out}/probes-made")
+    asked = search.encoded(probes.select(F.col("query_id").alias("id"), F.col("query_text").alias("text"), "relevant", "filter"), "text", encoder, "query", "query_vector")
+    metrics, hits, checks = search.evaluate_bootstrap(vectors, asked, allowed, filtered_by="filter", citation="citation_uri", index=index)
     passed = evaluation.gate(metrics.where("mode = 'hybrid'"), thresholds or {"recall_at_10": 0.85})
-    facts = {"label_source": "BOOTSTRAP_METADATA_NOT_EXPERT", "production_quality_claim_allowed": False, "documents": index.facts.first().n, "gates": [r.asDict() for r in passed.collect()]}
+    facts = {"label_source": "BOOTSTRAP_METADATA_NOT_EXPERT", "production_quality_claim_allowed": False, "documents": index.fact.n, "analyser": index.fact.analyser, "gates": [r.asDict() for r in passed.collect()]} | checks.first().asDict()
     return write_run(spark, out, "retrieval", {"probes": probes, "metrics": metrics, "hits": hits}, facts)
 
 
 def verify_retrieval(spark: SparkSession, out: str) -> dict:
-    retrieval.Bm25Index.load(spark, f"{out}/index").verify()
+    index = Bm25Index.load(spark, f"{out}/index").verify()
+    passages = spark.read.parquet(f"{out}/passages")
+    _refuse(passages.where(F.sha2("text", 256) != F.col("retrieval_text_sha256")), "a retrieval text is not what was indexed")
+    require_same_keys({"passages": passages, "index": index.documents()}, "id")
     return verify_run(spark, out, "retrieval")
 
 
@@ -274,11 +289,12 @@ def run_portfolio(spark: SparkSession, candidates: DataFrame, coverage: DataFram
     return write_run(spark, out, "portfolio", {"portfolio": chosen, "rules": results, "coverage": covered, "criteria": table}, {"points_awarded": None})
 
 
-def run_dossiers(spark: SparkSession, recommended: DataFrame, evidence: DataFrame, title: str, text: str, out: str, quota: int = 3) -> dict:
+def run_dossiers(spark: SparkSession, recommended: DataFrame, evidence: DataFrame, title: str, text: str, out: str, quota: int = 3, context: list[str] | None = None, relevance: str | None = None, uri: str | None = None, least: float = 0.15) -> dict:
     """Dossier records: of each recommendation the best grounded evidence, ``quota`` rows at most, as JSON lines.
 
-    A recommendation that has no evidence is refused.
+    ``context`` names what is known of a reference. A recommendation that has no evidence is refused.
     """
-    rows = search.dossier(recommended, evidence, F.col(text), F.col(title)).where(F.col("place") <= quota)
+    known = F.concat_ws(" ", *context) if context else None
+    rows = search.dossier(recommended, evidence, F.col(text), F.col(title), known, F.col(relevance) if relevance else None, F.col(uri) if uri else None, least).where(F.col("place") <= quota)
     _refuse(recommended.join(rows, "reference_id", "left_anti"), "a recommendation has no evidence")
     return write_run(spark, out, "dossiers", {"records": rows}, {"weak": rows.where("weak").count(), "rendering": "none"})

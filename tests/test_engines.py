@@ -5,8 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators import corpus, retrieval, search
+from marlstone.operators import corpus, recommend, retrieval, search
 from marlstone.operators.contracts import EngineError, NotAuthorized
+from marlstone.operators.lexical_index import Scope
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,7 @@ def test_no_mode_returns_what_is_not_authorized(chunks, asked, mode):
     assert 4 not in {r.id for r in got} and {r.id for r in got if r["rank"] == 1 and r.query_id == "R1"} == {1}
     with pytest.raises(NotAuthorized):
         search.search_chunks(chunks, asked, [], mode)
-    assert search.search_chunks(chunks, asked, ["PUBLIC"], mode, hard=F.lit(False)).count() == 0
+    assert search.search_chunks(chunks, asked, ["PUBLIC"], mode, scope=Scope.of(chunks.sparkSession, {"document_id": "d9"})).count() == 0
     with pytest.raises(EngineError):
         search.search_chunks(chunks, asked, ["PUBLIC"], "other")
 
@@ -111,9 +112,14 @@ def test_probes_match_the_plain_wording(spark):
 
 def test_bootstrap_evaluation_checks_filters_and_counts_misses(spark, chunks, asked):
     probes = asked.withColumn("relevant", F.when(F.col("id") == "R1", F.array(F.lit("d1"))).otherwise(F.array(F.lit("d9"))))
-    metrics, hits, checks = search.evaluate_bootstrap(chunks, probes, ["PUBLIC", "INTERNAL"], {"R1": F.col("document_id") == "d1"})
+    probes = probes.withColumn("filter", F.struct(F.lit("document_id").alias("facet"), F.when(F.col("id") == "R1", "D1").otherwise("d2").alias("value")))
+    cited = chunks.withColumn("uri", F.when(F.col("id") != 3, F.lit("u")))
+    metrics, hits, checks = search.evaluate_bootstrap(cited, probes, ["PUBLIC", "INTERNAL"], "filter", "uri")
     assert {r.mode: (r.queries, r.recall_at_10) for r in metrics.collect()} == dict.fromkeys(search.MODES, (2, 0.5))
-    assert {r.id for r in hits.collect()} <= {"d1", "d2"} and checks.first().filtered
+    assert {r.id for r in hits.collect()} <= {"d1", "d2"} and checks.first().filter_correctness == 1.0
+    assert checks.first().citation_coverage == pytest.approx(hits.where("best_id <> 3").count() / hits.count()) and 0 < checks.first().citation_coverage < 1
+    nowhere = probes.withColumn("filter", F.struct(F.lit("document_id").alias("facet"), F.lit("d9").alias("value")))
+    assert search.evaluate_bootstrap(cited, nowhere, ["PUBLIC", "INTERNAL"], "filter")[2].first().filter_correctness == 0.0
 
 
 def test_pool_is_as_large_as_the_limit(spark):
@@ -123,23 +129,49 @@ def test_pool_is_as_large_as_the_limit(spark):
     assert search.search_chunks(many, one, ["PUBLIC"], "hybrid", limit=140).count() == 140
 
 
-def test_stored_index_gives_the_scores_of_the_formula_and_finds_damage(spark, chunks, asked, tmp_path):
-    corpus, queries = retrieval.tokenized(chunks, "id", "text"), retrieval.tokenized(asked, "id", "text")
-    index = retrieval.Bm25Index.build(corpus, str(tmp_path / "i"), refuse_empty=True).verify()
-    plain = {tuple(r) for r in retrieval.bm25_scores(corpus, queries).collect()}
-    assert {tuple(r) for r in index.scores(queries).collect()} == plain and plain
-    allowed = chunks.where("id < 3").select("id")
-    assert {tuple(r) for r in index.scores(queries, allowed).collect()} == {r for r in plain if r[1] < 3}
-    for damaged in (retrieval.Bm25Index(index.postings.where("id <> 1"), index.terms, index.facts), retrieval.Bm25Index(index.postings, index.terms.withColumn("idf", F.lit(float("nan"))), index.facts)):
-        with pytest.raises(EngineError):
-            damaged.verify()
-    for bad in (corpus.where("id < 0"), retrieval.tokenized(chunks.withColumn("text", F.lit("?")), "id", "text")):
-        with pytest.raises(EngineError):
-            retrieval.Bm25Index.build(bad, str(tmp_path / "j"), refuse_empty=True)
+def test_hits_carry_both_scores_and_are_audited(spark, chunks, asked):
+    scope = Scope.of(spark, None, {"R1": {"document_id": ["d1", "d3"]}})
+    found = search.search_chunks(chunks, asked, ["PUBLIC", "INTERNAL"], scope=scope)
+    rows = {(r.query_id, r.id): r for r in found.collect()}
+    assert {i for q, i in rows if q == "R1"} == {1, 2} and all(r.dense_rank and r.lexical_rank and r.dense_score is not None for r in rows.values())
+    assert rows["R1", 1].lexical_score > rows["R1", 2].lexical_score > 0
+    assert {r.query_id: (r.scored, r.authorized, r.in_scope) for r in search.hit_audit(found, chunks, ["public", "internal"], scope).collect()} == {"R1": (2, 2, 2), "R2": (3, 3, 3)}
+    wrong = spark.createDataFrame([("R1", 3), ("R1", 4), ("R1", 1)], "query_id string, id long")
+    assert tuple(search.hit_audit(wrong, chunks, ["PUBLIC"], scope).first()) == ("R1", 3, 1, 2)
+    lexical = search.search_chunks(chunks, asked, ["PUBLIC"], "bm25").first()
+    assert lexical.dense_score is None and lexical.lexical_rank == lexical["rank"]
+
+
+def test_accents_and_arabic_forms_are_folded_in_every_engine(spark):
+    rows = [(1, "d1", "Référence Étude de sécurité", "PUBLIC"), (2, "d2", "مُسْتَشْفَىٰ أحمد", "PUBLIC"), (3, "d3", "other words", "PUBLIC")]
+    chunks = search.encoded(spark.createDataFrame(rows, "id long, document_id string, text string, security_classification string"), "text", search.HashEncoder())
+    asked = search.encoded(spark.createDataFrame([("A", "reference etude SECURITE"), ("B", "مستشفي احمد")], "id string, text string"), "text", search.HashEncoder(), "query", "query_vector")
+    refs = spark.createDataFrame([("R1", "d1"), ("R2", "d2"), ("R3", "d3")], "reference_id string, document_id string")
+    best = {r.query_id: (r.id, r.score > 0) for r in search.search_chunks(chunks, asked, ["PUBLIC"], "bm25", 1).collect()}
+    assert best == {"A": (1, True), "B": (2, True)}
+    got = {r.requirement_id: r for r in search.match(chunks, asked, refs, ["PUBLIC"], mode="bm25").where("retrieval_rank = 1").collect()}
+    assert got["A"].reference_id == "R1" and got["A"].term_coverage == 1.0 and got["B"].reference_id == "R2"
+    first = {(r.requirement_id, r.reference_id): r.relevance for r in recommend.requirement_evidence(chunks, asked, refs, ["PUBLIC"]).collect()}
+    assert first == {("A", "R1"): 1.0, ("B", "R2"): 1.0}
+    evidence, audit = search.match_contract(chunks, asked, refs.withColumns({"security_classification": F.lit("PUBLIC"), "base_shortlist_eligible": F.lit(True), "evidence_available": F.col("reference_id") != "R1"}), ["PUBLIC"], exclusions=[{"field": "evidence_available", "operator": "is_false"}], mode="bm25")
+    assert {r.reference_id for r in evidence.collect()} == {"R2", "R3"} and audit.first().excluded_ids == ["R1"]
+
+
+def test_scores_that_are_no_numbers_are_not_ranked(spark):
     odd = spark.createDataFrame([(1, 1, float("nan")), (1, 2, 0.5), (1, 3, float("inf")), (1, 4, None)], "query_id int, id int, score double")
     assert [(r.id, r["rank"]) for r in retrieval.top_ranked(odd, 5).collect()] == [(2, 1)]
 
 
+def test_dossier_evidence_is_grounded_in_context_and_title(spark):
+    rec = spark.createDataFrame([("A", "solar works plant", "solar roofs villages energy")], "reference_id string, title string, context string")
+    ev = spark.createDataFrame([("A", 1, "solar works plant", 0.5, "u1"), ("A", 2, "solar roofs villages energy", 0.5, "u2"), ("A", 3, "energy villages", 0.4, "u3"), ("A", 4, "villages energy", 0.9, "u4"), ("A", 5, "energy villages", 0.4, "u0"), ("A", 2, "solar roofs villages energy", 0.1, "u2"), ("A", 6, "nothing here", 1.0, "u5")], "reference_id string, chunk_id int, text string, relevance double, uri string")
+    got = search.dossier(rec, ev, F.col("text"), F.col("title"), F.col("context"), F.col("relevance"), F.col("uri")).orderBy("place").collect()
+    assert [r.chunk_id for r in got] == [2, 1, 4, 5, 3] and not any(r.weak for r in got)
+    assert got[1].grounding == pytest.approx(0.65 * 1 + 0.35 * 0.25) and got[2].grounding == pytest.approx(0.5)
+    none = search.dossier(rec, ev.where("chunk_id = 6"), F.col("text"), F.col("title"), F.col("context")).collect()
+    assert [(r.chunk_id, r.weak) for r in none] == [(6, True)]
+
+
 def test_packets_are_blinded_and_records_whole(spark, chunks):
     ranked = spark.createDataFrame([("bm25", 1, "d1", 1, 2), ("dense", 1, "d1", 2, 1), ("dense", 1, "d2", 1, 3), ("dense", 1, "d9", 11, 3)], "mode string, query_id int, id string, rank int, best_id long")
     queries = spark.createDataFrame([(1, "solar?", "fr")], "query_id int, query_text string, query_language string")

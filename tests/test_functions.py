@@ -21,7 +21,7 @@ def test_fold_key(spark, text, want):
 
 
 def test_folding_for_search_joins_arabic_variants(spark):
-    assert one(spark, T.tokens(F.col("t"), folded=True), t="أحمد إلى مدرسةً L'École a") == ["احمد", "الي", "مدرسة", "ecole"]
+    assert one(spark, T.tokens(F.col("t")), t="أحمد إلى مدرسةً L'École a") == ["احمد", "الي", "مدرسة", "ecole"]
 
 
 def test_normalizing_and_cleaning(spark):
@@ -109,3 +109,7 @@ def test_coverage_and_grounding(spark):
     assert one(spark, T.grounding_score(F.lit("Solar power plant"), F.lit("a solar farm"))) == pytest.approx(1 / 3)
     lines = T.labelled_lines({"Sector": F.array(F.lit("water"), F.lit("")), "None": F.array().cast("array<string>")}, F.lit("Document: d"), F.lit("body"))
     assert one(spark, lines) == "Document: d\nSector: water\nbody"
+    facets = {"sector": F.array(F.lit("a" * 130), F.lit("b" * 90), F.lit("c"), F.lit("d")), "client": F.array(F.lit("x"), F.lit("y"))}
+    assert one(spark, T.retrieval_text(F.lit("f.pdf"), facets, F.lit(" body \n"))) == f"Document: f.pdf\nClient: x | y\nSecteur: {'a' * 120} | {'b' * 68}\nbody"
+    with pytest.raises(Exception, match="too long"):
+        one(spark, T.retrieval_text(F.lit("f"), {}, F.lit("x" * 1700)))

@@ -2,10 +2,12 @@ import math
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marlstone.operators import evaluation, filters, matching, relational, requirements, retrieval
 from marlstone.operators.contracts import EngineError, NotAuthorized, forbid_columns, issue_rows, require_columns, require_unique, same_rows
+from marlstone.operators.lexical_index import Bm25Index, Scope
 from marlstone.plans import catalog
 from marlstone.sources import readers, sinks
 from marlstone.streaming.incremental import ingest
@@ -15,12 +17,11 @@ def docs(spark):
     return spark.createDataFrame([(1, "solar power plant power", "PUBLIC"), (2, "water plant", "INTERNAL"), (3, "solar solar solar", "RESTRICTED"), (4, "roads", "PUBLIC")], "id long, text string, cls string")
 
 
-def test_bm25_equals_the_formula_and_never_ranks_the_unauthorized(spark):
-    d = docs(spark)
-    corpus = retrieval.tokenized(d, "id", "text")
-    asked = retrieval.tokenized(spark.createDataFrame([(7, "solar plant solar")], "id long, text string"), "id", "text")
-    allowed = retrieval.authorized(d, "cls", ["public", " Internal "]).select("id")
-    got = {r.id: (r.score, r["rank"]) for r in retrieval.lexical_top(corpus, asked, allowed, 3).collect()}
+def test_bm25_equals_the_formula_and_never_ranks_the_unauthorized(spark, tmp_path):
+    index = Bm25Index.build(docs(spark), str(tmp_path / "i"), ["cls"])
+    asked = spark.createDataFrame([(7, "solar plant solar")], "id long, text string")
+    allowed = Scope.security(spark, "cls", ["public", " Internal "], "long")
+    got = {r.id: (r.score, r["rank"]) for r in index.top(asked, 3, allowed).collect()}
     mean = (4 + 2 + 3 + 1) / 4
 
     def part(qtf, tf, df, length):
@@ -29,10 +30,10 @@ def test_bm25_equals_the_formula_and_never_ranks_the_unauthorized(spark):
     assert got[1] == (pytest.approx(part(2, 1, 2, 4) + part(1, 1, 2, 4), abs=1e-6), 1)
     assert got[2] == (pytest.approx(part(1, 1, 2, 2), abs=1e-6), 2)
     assert got[4] == (0.0, 3) and 3 not in got  # a document without a term fills up; a restricted one never shows
-    assert {r.id for r in retrieval.lexical_top(corpus, asked, allowed, 3, positive_only=True).collect()} == {1, 2}
+    assert {r.id for r in index.top(asked, 3, allowed, positive_only=True).collect()} == {1, 2}
     for none in ([], [" ", None]):
         with pytest.raises(NotAuthorized):
-            retrieval.authorized(d, "cls", none)
+            retrieval.authorized(docs(spark), "cls", none)
 
 
 def test_filter_reaches_the_scan(spark):
@@ -41,12 +42,40 @@ def test_filter_reaches_the_scan(spark):
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
 
 
-def test_dense_scores_do_not_depend_on_how_queries_are_dealt(spark):
-    v = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "id long, embedding array<float>")
-    q = v.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    want = {(a, b): a * b + 1.0 for a in range(6) for b in range(6)}
-    for options in ({}, {"block": 2, "most_broadcast": 0}):
-        assert {(r.query_id, r.id): r.score for r in retrieval.dense_scores(v, q, **options).collect()} == want
+def test_dense_top_is_exact_in_passes_blocks_groups_and_scopes(spark, monkeypatch):
+    rng = random.Random(8)
+    data = [(f"v{i:02}", [float(rng.randint(-2, 2)) for _ in range(3)], rng.choice("ab"), rng.sample(["X", "y", "2001"], 2)) for i in range(60)]
+    v = spark.createDataFrame(data + [("none", None, "a", [])], "id string, embedding array<float>, kind string, tags array<string>").repartition(3)
+    q = v.where("embedding IS NOT NULL").limit(20).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector")).cache()
+    asked = {r.query_id: r.query_vector for r in q.collect()}
+
+    def want(limit, may=lambda q, d: True, group=False):
+        out = set()
+        for name, x in asked.items():
+            for g in "ab" if group else "*":
+                rows = sorted((-sum(a * b for a, b in zip(x, d[1])), d[0]) for d in data if may(name, d) and g in (d[2], "*"))[:limit]
+                out |= {(name, i, -s) for s, i in rows}
+        return out
+
+    def got(limit, **options):
+        n = 2 * limit if "group" in options else limit
+        rows = retrieval.dense_top(v, q, limit, **options)
+        best = rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", *([options["group"]] if "group" in options else [])).orderBy(F.desc("score"), "id"))).where(F.col("rank") <= limit)
+        assert rows.count() <= 3 * n * len(asked)
+        return {(r.query_id, r.id, r.score) for r in best.collect()}
+
+    first = sorted(asked)[0]
+    scope = Scope.of(spark, {"kind": "A"}, {first: {"tags": ["Y"], ("tags", "at_least"): 2000}})
+    monkeypatch.setattr(retrieval, "BLOCK_ROWS", 7)
+    for most in (4096, 3):
+        monkeypatch.setattr(retrieval, "MOST_QUERIES", most)
+        assert got(4) == want(4) and got(100) == want(100)
+        assert got(3, apart=True) == want(3, lambda q, d: q != d[0])
+        assert got(2, group="kind") == want(2, group=True)
+        assert got(3, scope=scope) == want(3, lambda q, d: d[2] == "a" and (q != first or "y" in d[3] or "2001" in d[3]))
+    with pytest.raises(EngineError):
+        retrieval.dense_top(v, q, 3, Scope.of(spark, {"other": "x"}))
+    assert retrieval.dense_top(v, q.limit(0), 3).count() == 0
 
 
 def test_fusion_and_roll_up(spark):
@@ -171,7 +200,11 @@ def test_metrics_by_hand(spark):
     both = evaluation.ranking_metrics(ranks.where("query_id = 2"), grades)
     assert {r.query_id: (r.answerable, r.recall_at_10, r.mrr) for r in both.collect()} == {1: (True, 0.0, 0.0), 2: (False, None, None)}  # a query without a hit counts
     means = evaluation.system_means(evaluation.ranking_metrics(ranks, grades.unionByName(spark.createDataFrame([(3, "q", 2)], grades.schema)))).first()
-    assert (means.queries, means.answerable, means.recall_at_10) == (3, 2, 0.5)
+    assert (means.queries, means.answerable, means.no_relevant, means.recall_at_10) == (3, 2, 1, 0.5)
+    assert (means.precision_at_5, means.precision_at_5_all_queries) == (pytest.approx(0.2), pytest.approx(0.4 / 3))
+    about = spark.createDataFrame([(1, "fr"), (2, "en")], "query_id long, language string")
+    by = {r.language: r.recall_at_10 for r in evaluation.system_means(evaluation.with_attributes(evaluation.ranking_metrics(ranks, grades), about), ["mode", "language"]).collect()}
+    assert by == {"fr": 1.0, "en": None}
     same = spark.createDataFrame([(0, 0), (1, 1), (2, 2)], "a int, b int")
     assert evaluation.weighted_kappa(same, "a", "b", 3).first().kappa == 1.0
 
@@ -207,7 +240,7 @@ def test_requirements_are_masked_classified_and_first_seen(spark):
 
 def test_every_document_gives_filter_values_and_every_term_statistics(spark, tmp_path):
     texts = [(0, "solar plant"), (1, "Water"), (2, "roads"), (3, "bridges water"), (9, "harbour")]
-    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(*t, "s", "en") for t in texts], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(7, "Bridges, a harbour and water"), (8, "harbour without cranes or bridges")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = sorted(map(tuple, catalog.filter_proposals(spark, str(tmp_path)).collect()))
     assert got == [("word", w, b, i) for w in ("bridges", "harbour") for b, i in (("EXCLUSION_CANDIDATE", "8"), ("HARD_CANDIDATE", "7"))] + [("word", "water", "HARD_CANDIDATE", "7")]
