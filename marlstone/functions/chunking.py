@@ -38,7 +38,11 @@ class _Marks:
 
     def __init__(self, text: str):
         def places(mark: str) -> list[int]:
-            return [m.start() for m in re.finditer(f"(?={re.escape(mark)})", text)]
+            out, at = [], text.find(mark)
+            while at >= 0:
+                out.append(at)
+                at = text.find(mark, at + 1)
+            return out
 
         # of boundaries that start together the one named first comes last, so that a search from the right meets it
         found = sorted((at, -rank, at + len(mark)) for rank, mark in enumerate(BOUNDARIES) for at in places(mark))

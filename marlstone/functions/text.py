@@ -113,17 +113,14 @@ def clean_redacted(text: Column) -> Column:
 def redact(text: Column, rules: tuple[tuple[str, str], ...]) -> tuple[Column, dict[str, Column]]:
     """The text with each pattern in turn replaced by ``[LABEL]``, and how often each was.
 
-    Each pattern sees the text as the ones before left it; every step is made once, in a lambda,
-    instead of once for each later use.
+    Each pattern sees the text as the ones before left it. The steps are shared subexpressions, which
+    Spark makes once a row where text and counts are columns of one select; a map of the counts is made of those columns.
     """
-    state = F.struct(text.alias("text"), F.array().cast("array<bigint>").alias("counts"))
-
-    def masked(label: str, pattern: str):
-        return lambda s: F.struct(F.regexp_replace(s["text"], pattern, f"[{label}]").alias("text"), F.array_append(s["counts"], F.regexp_count(s["text"], F.lit(pattern)).cast("long")).alias("counts"))
-
+    counts = {}
     for label, pattern in rules:
-        state = _once(state, masked(label, pattern))
-    return state["text"], {label: F.get(state["counts"], i) for i, (label, _) in enumerate(rules)}
+        counts[label] = F.regexp_count(text, F.lit(pattern)).cast("long")
+        text = F.regexp_replace(text, pattern, f"[{label}]")
+    return text, counts
 
 
 def _once(value: Column, use) -> Column:
@@ -136,6 +133,7 @@ BRIEF_RULES = (("EMAIL", EMAIL), ("PHONE", BRIEF_PHONE), ("MONETARY_VALUE", BRIE
 
 
 def counts_map(counts: dict[str, Column]) -> Column:
+    """A map of the counts above 0; pass columns that are made already, for each is used by name and value."""
     return F.map_filter(F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), v)]), lambda _, v: v > 0)
 
 
@@ -173,12 +171,17 @@ def count_words(text: Column, listed: tuple[str, ...]) -> Column:
     return F.size(F.filter(found, lambda w: w.isin(*listed)))
 
 
+def _listed_words(text: Column, listed: tuple[str, ...]) -> Column:
+    """How many words of a text are listed, in any case."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+    return F.size(F.filter(found, lambda w: w.isin(*listed)))
+
+
 def page_language(text: Column) -> Column:
-    """fr, en, ar, fr-ar, en-ar or und, by share of scripts and stop words; the words are read once."""
+    """fr, en, ar, fr-ar, en-ar or und, by share of scripts and stop words."""
     arabic, latin = F.regexp_count(text, F.lit(r"\p{IsArabic}")), F.regexp_count(text, F.lit(r"\p{IsLatin}"))
     letters = F.greatest(arabic + latin, F.lit(1))
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
-    lead = F.aggregate(found, F.lit(0), lambda n, w: n + F.when(w.isin(*FRENCH_WORDS), 1).otherwise(0) - F.when(w.isin(*ENGLISH_WORDS), 1).otherwise(0))
+    lead = _listed_words(text, FRENCH_WORDS) - _listed_words(text, ENGLISH_WORDS)
     shares = F.struct((arabic / letters).alias("a"), (latin / letters).alias("l"), F.when(lead >= 0, "fr").otherwise("en").alias("word"))
 
     def named(s: Column) -> Column:

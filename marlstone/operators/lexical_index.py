@@ -40,6 +40,8 @@ SHARD, SHARD_TERMS = 8192, 4_000_000
 BLOCK = 128
 #: Documents for each bucket of an index, and the most buckets.
 BUCKET_DOCUMENTS, MOST_BUCKETS = 20_000, 256
+#: Corpora of up to so many documents are dealt over the cores before they are read; larger ones stay as their files lie.
+FEW_DOCUMENTS = 200_000
 #: Up to so many queries are analysed on the driver and their terms pushed into the scan.
 FEW_QUERIES = 1000
 #: Queries that a shard is searched for at a time.
@@ -307,8 +309,11 @@ class Bm25Index:
         documents of their own.
         """
         spark, facets = docs.sparkSession, list(facets)
+        count = docs.count()
         if buckets is None:
-            buckets = min(MOST_BUCKETS, 1 << max(2, (docs.count() // BUCKET_DOCUMENTS).bit_length()))
+            buckets = min(MOST_BUCKETS, 1 << max(2, (count // BUCKET_DOCUMENTS).bit_length()))
+        if count <= FEW_DOCUMENTS:  # a small corpus may be one file, and so one task
+            docs = docs.repartition(max(1, min(spark.sparkContext.defaultParallelism, count // 100)))
         id_type = docs.schema["id"].dataType
         schema = _schema(id_type)
         arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])

@@ -59,7 +59,8 @@ def redact_emails(spark, sf):
 @query()
 def redact_pages(spark, sf):
     masked, n = T.redact(F.col("text"), T.PAGE_RULES)
-    return table(spark, sf, "documents").select("doc_id", F.to_json(T.counts_map(n)).alias("redaction_counts"), F.sha2(masked, 256).alias("masked_sha256"))
+    d = table(spark, sf, "documents").select("doc_id", masked.alias("masked"), *[c.alias(k) for k, c in n.items()])
+    return d.select("doc_id", F.to_json(T.counts_map({k: F.col(k) for k in n})).alias("redaction_counts"), F.sha2("masked", 256).alias("masked_sha256"))
 
 
 @query()
@@ -198,7 +199,7 @@ def bm25_index(spark, sf):
     key = (spark.sparkContext.applicationId, sf, fingerprint(d))
     if key not in _indexes:
         path = scratch(spark, "bm25")
-        docs = _chunks(spark, sf).join(d.select(F.col("doc_id").alias("id"), "lang", "source"), "id")
+        docs = _chunks(spark, sf, "source", "lang")
         Bm25Index.build(docs, path, ["security_classification", "document_id", "source", "lang"])
         _indexes[key] = path
     return Bm25Index.load(spark, _indexes[key])
@@ -558,9 +559,9 @@ def table_hash(spark, sf):
 # -- engines -----------------------------------------------------------------------------------
 
 
-def _chunks(spark, sf):
+def _chunks(spark, sf, *columns):
     """Documents as chunks of their source; German ones are restricted."""
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("document_id"), "text", F.when(F.col("lang") == "de", "RESTRICTED").otherwise("PUBLIC").alias("security_classification"))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("document_id"), "text", F.when(F.col("lang") == "de", "RESTRICTED").otherwise("PUBLIC").alias("security_classification"), *columns)
 
 
 def _vector_chunks(spark, sf):
@@ -622,7 +623,7 @@ def filtered_search(spark, sf):
 def filtered_audit(spark, sf):
     """What ``filtered_search`` returned, looked up again in the documents."""
     hits = filtered_search(spark, sf).select(F.col("item_id").alias("query_id"), F.col("doc_id").alias("id"))
-    chunks = _chunks(spark, sf).join(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "source", "lang"), "id")
+    chunks = _chunks(spark, sf, "source", "lang")
     return search.hit_audit(hits, chunks, ["PUBLIC"], _own_filters(spark, sf))
 
 
