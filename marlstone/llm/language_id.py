@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialise
 
 #: A word: letters (category L) with the marks (M) on them. Fractions, roman numerals and the like are no letters.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -134,26 +135,26 @@ def fit_pieces(counts: dict[str, int], pieces: Pieces, rounds: int = 4, smoothin
     return p
 
 
-def train(docs: DataFrame, vocabulary_file: str, max_docs: int = 1500, most_languages: int = 1000) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, vocabulary_file: str, max_docs: int = 1500, together: int = 1000) -> dict[str, np.ndarray] | DataFrame:
     """Piece probabilities by language, from the texts and non-null ``lang`` of ``docs``.
 
     Of each language at most ``max_docs`` documents are read: those of the smallest hash of
     their id, whatever the size of the table. A hash threshold from the languages' counts leaves
-    about twice as many before they are ranked. More than ``most_languages`` values of ``lang``
-    are refused, for every task holds the models of all.
+    about twice as many before they are ranked. Up to ``together`` languages come back as a
+    dictionary, which every task can hold; more as a stored table (lang, p), which ``identify``
+    takes in blocks.
     """
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()
-    if len(counts) > most_languages:
-        raise ValueError(f"more than {most_languages} languages to learn")
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    few = counts.limit(together + 1).count() <= together
     bits = 40
-    limits = docs.sparkSession.createDataFrame([(r.lang, min(1 << bits, (2 * max_docs << bits) // r.n)) for r in counts], "_lang string, _limit long")
-    hashed = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(limits), F.col("lang") == F.col("_lang"))  # most_languages at most
+    limits = counts.select(F.col("lang").alias("_lang"), F.expr(f"least({1 << bits}L, {2 * max_docs << bits}L div n)").alias("_limit"))
+    hashed = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(limits) if few else limits, F.col("lang") == F.col("_lang"))
     hashed = hashed.where(F.pmod("h", F.lit(1 << bits)) < F.col("_limit"))
     place = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << bits)), "doc_id")
     chosen = hashed.select("doc_id", "lang", "h").distinct().withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= max_docs)
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    sample = labelled.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))  # max_docs a language at most
+    sample = labelled.join(F.broadcast(chosen) if few else chosen, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))  # max_docs a language at most
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -168,8 +169,13 @@ def train(docs: DataFrame, vocabulary_file: str, max_docs: int = 1500, most_lang
         return pd.DataFrame({"lang": rows.lang.iloc[:1], "p": [p.astype("<f8").tobytes()]})
 
     counts = sample.select("text", "lang").mapInArrow(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    found = counts.groupBy("lang").applyInPandas(lambda rows: fitted(rows), "lang string, p binary").collect()
-    return {r.lang: np.frombuffer(bytes(r.p), "<f8") for r in sorted(found, key=lambda r: r.lang)}
+    found = counts.groupBy("lang").applyInPandas(lambda rows: fitted(rows), "lang string, p binary")
+    return _as_models(found) if few else materialise(found, "language-models")
+
+
+def _as_models(rows: DataFrame) -> dict[str, np.ndarray]:
+    """Models of a table (lang, p) of few languages, in order of their names."""
+    return {r.lang: np.frombuffer(bytes(r.p), "<f8") for r in sorted(rows.collect(), key=lambda r: r.lang)}
 
 
 def learning_rows(docs: DataFrame) -> DataFrame:
@@ -186,7 +192,8 @@ class Scorer:
         self.place: dict[str, int] = {}
         self.table = np.empty((0, len(self.langs)))
 
-    def __call__(self, texts) -> list[tuple[str, float]]:
+    def totals(self, texts) -> Iterator[np.ndarray | None]:
+        """The log probability of each text in every language; None without a letter or a language."""
         found = [WORD.findall(t.lower()) if isinstance(t, str) else [] for t in texts]
         if len(self.place) > self.most:
             self.place, self.table = {}, self.table[:0]
@@ -195,24 +202,33 @@ class Scorer:
             start = len(self.place)
             self.table = np.concatenate([self.table, word_scores(new, self.pieces, self.p)])
             self.place.update(zip(new, range(start, start + len(new)), strict=True))
-        out = []
         for ws in found:
-            if not ws or not self.langs:
+            if ws and self.langs:
+                yield self.table[np.fromiter(map(self.place.__getitem__, ws), np.int64, len(ws))].sum(0)
+            else:
+                yield None
+
+    def __call__(self, texts) -> list[tuple[str, float]]:
+        out = []
+        for total in self.totals(texts):
+            if total is None:
                 out.append(("und", 0.0))
                 continue
-            total = self.table[np.fromiter(map(self.place.__getitem__, ws), np.int64, len(ws))].sum(0)
             best = int(total.argmax())
             out.append((self.langs[best], float(1.0 / np.exp(total - total[best]).sum())))
         return out
 
 
-def identify(docs: DataFrame, model: dict[str, np.ndarray], vocabulary_file: str) -> DataFrame:
+def identify(docs: DataFrame, model: dict[str, np.ndarray] | DataFrame, vocabulary_file: str, together: int = 250) -> DataFrame:
     """doc_id, lang_pred and score (the posterior under equal priors) of every whole text.
 
     Null texts and texts without a letter are ``und`` with score 0, and so is every text where
     no language was learned; equal scores go to the first language by name. Repeated rows and
-    null ids are passed through, extra columns are ignored.
+    null ids are passed through, extra columns are ignored, an empty table gives an empty result.
+    A ``model`` that is a table is taken in blocks of about ``together`` languages, one pass each.
     """
+    if isinstance(model, DataFrame):
+        return _in_blocks(docs, model, vocabulary_file, together)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,3 +240,37 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], vocabulary_file: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scored, "doc_id long, lang_pred string, score double")
+
+
+def _in_blocks(docs: DataFrame, models: DataFrame, vocabulary_file: str, together: int) -> DataFrame:
+    """``identify`` with more languages than a task can hold.
+
+    Each block gives a text its best language and the log of its summed probabilities; these join
+    by row to the best of all and its posterior.
+    """
+    blocks = max(1, -(-models.count() // together))
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long"), "text"), "language-rows")
+    spec = "row_no long, doc_id long, lang string, total double, mass double"
+    out = None
+    for k in range(blocks):
+        part = _as_models(models.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == k))  # ``together`` or about so
+        shared = docs.sparkSession.sparkContext.broadcast(part)
+
+        def scored(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            scorer = Scorer(shared.value, vocabulary_file, 20_000)
+            for b in batches:
+                for begin in range(0, b.num_rows, 500):
+                    some = b.slice(begin, 500)
+                    got = []
+                    for total in scorer.totals(some.column(2).to_pylist()):
+                        best = None if total is None else int(total.argmax())
+                        got.append((None, None, None) if total is None else (scorer.langs[best], float(total[best]), float(total[best] + np.log(np.exp(total - total[best]).sum()))))
+                    columns = [pa.array([g[i] for g in got], t) for i, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
+                    yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *columns], ["row_no", "doc_id", "lang", "total", "mass"])
+
+        found = rows.mapInArrow(scored, spec)
+        out = found if out is None else out.unionByName(found)
+    best = F.min(F.when(F.col("lang").isNotNull(), F.struct((-F.col("total")).alias("t"), "lang"))).alias("best")
+    each = out.groupBy("row_no").agg(F.first("doc_id").alias("doc_id"), best, F.collect_list("mass").alias("masses"))  # a number for each block
+    share = F.try_divide(F.lit(1.0), F.aggregate("masses", F.lit(0.0), lambda s, x: s + F.exp(x + F.col("best.t"))))
+    return each.select("doc_id", F.coalesce("best.lang", F.lit("und")).alias("lang_pred"), F.coalesce(share, F.lit(0.0)).alias("score"))

@@ -1,9 +1,11 @@
 import itertools
 import math
+import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.llm.language_id import WORD, Pieces, fit_pieces, identify, learning_rows, train, word_scores
 from marlstone.llm.vocabularies import vocabulary
@@ -118,5 +120,18 @@ def test_at_most_so_many_documents_and_languages(spark):
     first = {x: [i for _, i in sorted(ids.items()) if lang[i] == x][:20] for x in ("en", "fr")}
     again = train(frame(spark, [r for r in rows if r[0] in first[r[2]]]), V)
     assert all(np.array_equal(few[x], again[x]) for x in ("en", "fr"))
-    with pytest.raises(ValueError):
-        train(frame(spark, rows), V, most_languages=1)
+
+
+def test_more_languages_than_a_task_holds_are_taken_in_blocks(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice([f"{x}{y}" for y in ("ab", "cde", "fa")] + ["gh"]) for _ in range(12)), f"lang {x}", "", 1) for i, x in enumerate("klmnopq" * 6)]
+    docs = frame(spark, [*rows, (99, None, "lang k", "", 1), (100, "12 .", None, "", 0), rows[0], (None, "kab", None, None, None), (101, "kab " * 5000, None, None, None)]).withColumn("total", F.lit("x"))
+    whole, table = train(docs, V), train(docs, V, together=2)
+    assert isinstance(whole, dict) and table.count() == len(whole) == 7
+
+    def found(model, **options):
+        return sorted((r.doc_id or 0, r.lang_pred, round(r.score, 9)) for r in identify(docs, model, V, **options).collect())
+
+    assert found(table, together=2) == found(table, together=100) == found(whole)
+    assert {(99, "und", 0.0), (100, "und", 0.0)} <= set(found(whole)) and len({x for _, x, _ in found(whole)}) > 5
+    assert identify(docs.limit(0), table, V).count() == 0
