@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm.common import materialise
+from marlstone.llm.common import discard, materialise
 from marlstone.llm.exact_dedup import drop_copies
 from marlstone.llm.jaccard_join import keep_one_of_each
 from marlstone.llm.packing import pack
@@ -74,7 +74,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, stored = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if stored is not None:
+            discard(stored)  # the input of the stage that has just been stored
+        stored = docs
     return STAGES[-1][1](spark, docs, sf_dir)
