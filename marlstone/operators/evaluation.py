@@ -27,8 +27,9 @@ def ranking_metrics(rankings: DataFrame, grades: DataFrame, keys: list[str] = ("
         queries = grades.select("query_id").unionByName(rankings.select("query_id")).distinct()
         modes = rankings.agg(F.collect_set(F.struct(*others)).alias("modes")) if others else None  # one row
         asked = queries if modes is None else queries.join(F.broadcast(modes)).select("query_id", F.inline("modes"))
-    graded = grades.groupBy("query_id").agg(F.count_if(F.col("grade") >= 1).alias("relevant"), F.slice(F.sort_array(F.collect_list(F.pow(F.lit(2.0), "grade") - 1), asc=False), 1, 10).alias("ideal"))
-    best = F.aggregate(F.transform("ideal", lambda g, i: g / F.log2(i + F.lit(2.0))), F.lit(0.0), lambda s, x: s + x)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("grade")))
+    gain = (F.pow(F.lit(2.0), "grade") - 1) / F.log2(F.col("_place") + F.lit(1.0))
+    graded = grades.withColumn("_place", place).groupBy("query_id").agg(F.count_if(F.col("grade") >= 1).alias("relevant"), F.coalesce(F.sum(F.when(F.col("_place") <= 10, gain)), F.lit(0.0)).alias("best"))
     ranked = rankings.join(grades, ["query_id", "id"], "left")
     hit, rank = F.col("grade") >= 1, F.col("rank")
     found = ranked.groupBy(*keys).agg(
@@ -37,7 +38,7 @@ def ranking_metrics(rankings: DataFrame, grades: DataFrame, keys: list[str] = ("
         F.min(F.when(hit, rank)).alias("first"),
         F.sum(F.when(rank <= 10, (F.pow(F.lit(2.0), F.coalesce("grade", F.lit(0))) - 1) / F.log2(rank + F.lit(1.0)))).alias("dcg"),
     )
-    m = asked.select(*keys).distinct().join(found, keys, "left").join(graded, "query_id", "left").withColumn("best", best)
+    m = asked.select(*keys).distinct().join(found, keys, "left").join(graded, "query_id", "left")
     answerable = F.coalesce(F.col("relevant"), F.lit(0)) > 0
     return m.select(
         *keys,
