@@ -99,7 +99,7 @@ def write_vectors(df: DataFrame, path: str, model: str, dimensions: int, key: st
 
 
 def write_report(path: str, title: str, facts: DataFrame, tables: dict[str, DataFrame], most_rows: int = 50) -> str:
-    """A Markdown report of one row of facts and the first rows of small tables."""
+    """A Markdown report of one row of facts and the first rows of tables; it says how many rows of each it leaves out."""
 
     def line(cells) -> str:
         return "| " + " | ".join(str("" if c is None else c).replace("|", "\\|").replace("\n", " ") for c in cells) + " |"
@@ -107,7 +107,10 @@ def write_report(path: str, title: str, facts: DataFrame, tables: dict[str, Data
     one = facts.first()
     out = [f"# {title}", "", *[f"- {k}: {v}" for k, v in (one.asDict() if one else {}).items()]]
     for name, df in tables.items():
-        out += ["", f"## {name}", "", line(df.columns), line(["-"] * len(df.columns)), *[line(r) for r in df.limit(most_rows).collect()]]
+        shown = df.limit(most_rows + 1).collect()
+        out += ["", f"## {name}", "", line(df.columns), line(["-"] * len(df.columns)), *[line(r) for r in shown[:most_rows]]]
+        if len(shown) > most_rows:
+            out += ["", f"{df.count() - most_rows} more rows are not shown."]
     text = "\n".join(out) + "\n"
     write_text_atomic(path, text)
     return text

@@ -140,6 +140,8 @@ def test_vectors_resume_reports_and_places(spark, tmp_path):
         with pytest.raises(EngineError):
             sinks.write_vectors(bad, path, "m", 2)
     text = sinks.write_report(str(tmp_path / "r.md"), "Run", spark.createDataFrame([(1, "a")], "n int, s string"), {"T": spark.createDataFrame([("x|y", None)], "a string, b string")})
+    long = sinks.write_report(str(tmp_path / "l.md"), "Run", spark.range(1), {"T": spark.range(7)}, most_rows=5)
+    assert "2 more rows are not shown." in long and "not shown" not in text
     assert "- n: 1" in text and "| x\\|y |  |" in text
     shown = sinks.review_table(spark.createDataFrame([("=1+1", "keep")], "a string, hidden string"), ["a"]).first()
     assert shown.a == "'=1+1" and shown.reviewer_decision == "PENDING"
