@@ -125,8 +125,8 @@ def dense_top(vectors: DataFrame, queries: DataFrame, limit: int, scope: Scope |
     """
     spark = vectors.sparkSession
     kind, id_kind = queries.schema["query_id"].dataType, vectors.schema["id"].dataType
-    n = queries.count()
-    passes = max(1, -(-n // MOST_QUERIES))
+    first = queries.select("query_id", "query_vector").limit(MOST_QUERIES + 1).collect()
+    passes = 1 if len(first) <= MOST_QUERIES else -(-queries.count() // MOST_QUERIES)
     requests = [] if scope is None else [tuple(r) for r in scope.requests.distinct().collect()]  # no more than a few for each query
     facets = sorted({r[1] for r in requests})
     if missing := [f for f in facets if f not in vectors.columns]:
@@ -144,8 +144,8 @@ def dense_top(vectors: DataFrame, queries: DataFrame, limit: int, scope: Scope |
     rows = vectors.where("embedding IS NOT NULL").select("id", "embedding", (F.col(group) if group else F.lit(0)).alias("group"), *map(listed, facets))
     out = None
     for k in range(passes):
-        part = queries if passes == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == k)
-        asked = part.select("query_id", "query_vector").collect()  # MOST_QUERIES or about so
+        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == k)
+        asked = first if passes == 1 else part.select("query_id", "query_vector").collect()  # MOST_QUERIES or about so
         if not asked:
             continue
         names = {r.query_id: i for i, r in enumerate(asked)}
