@@ -247,22 +247,30 @@ def probes(documents: DataFrame, facets: list[str], most: int = 50, templates: t
         return F.array_compact(F.array(*firsts)) if firsts else F.array().cast("array<struct<facet:string,value:string>>")
 
     proposed = documents.select(F.col("id").alias("primary_id"), F.posexplode(F.array(*map(proposal, templates))).alias("template", "picked"))
-    flat = proposed.select("primary_id", "template", F.posexplode("picked").alias("place", "x")).select("primary_id", "template", "place", "x.facet", "x.value").withColumn("term", fold_search(F.col("value")))
+    proposed = proposed.groupBy("template", "picked").agg(F.max("primary_id").alias("primary_id")).withColumn("proposal", F.struct("template", "picked"))  # the same values give the same text
+    flat = proposed.select("primary_id", "proposal", F.posexplode("picked").alias("place", "x")).select("primary_id", "proposal", "place", "x.facet", "x.value").withColumn("term", fold_search(F.col("value")))
     flat = flat.where(~F.trim("term").isin(*EMPTY_ANSWERS))
     parts = F.sort_array(F.collect_list(F.struct("place", "facet", "value", "term")))
-    rows = flat.groupBy("primary_id", "template").agg(parts.alias("parts")).where(F.size("parts") >= 2)
+    rows = flat.groupBy("primary_id", "proposal").agg(parts.alias("parts")).where(F.size("parts") >= 2).withColumn("template", F.col("proposal.template"))
     text = F.concat(F.lit(prefix), F.array_join(F.transform("parts", lambda p: p["value"]), " "))
     last = F.element_at("parts", -1)
     rows = rows.select("primary_id", "template", "parts", text.alias("query_text"), F.struct(last["facet"].alias("facet"), last["value"].alias("value")).alias("filter"))
     rows = rows.withColumn("query_key", fold_search(F.col("query_text")))
-    later = Window.partitionBy("query_key").orderBy(F.desc("primary_id"), F.desc("template"))
-    # documents that have all terms, counted per (proposal text, document); the commonest term's list is never gathered
-    asked = rows.withColumn("n", F.row_number().over(later)).where("n = 1").drop("n")
-    terms = asked.select("query_key", F.size("parts").alias("needed"), F.explode("parts").alias("p")).select("query_key", "needed", F.col("p.facet").alias("facet"), F.col("p.term").alias("term")).distinct()
-    needed = terms.groupBy("query_key").agg(F.count("*").alias("k"))
-    hits = terms.join(each, ["facet", "term"]).groupBy("query_key", "id").agg(F.count("*").alias("held")).join(needed, "query_key").where("held = k")
-    relevant = hits.groupBy("query_key").agg(F.count("*").alias("relevant_count"), F.slice(F.sort_array(F.collect_list("id")), 1, most_relevant).alias("relevant")).where(F.col("relevant_count") <= most_relevant)
-    scored = asked.join(relevant, "query_key").withColumns({"specificity": F.size("parts"), "order_hash": F.sha2(F.concat(F.lit(f"{seed}|"), "query_text"), 256)})
+    latest = F.max_by(F.struct("primary_id", "parts", "query_text", "filter"), F.struct("primary_id", "template", "query_text"))
+    asked = rows.groupBy("query_key").agg(latest.alias("r")).select("query_key", "r.*")
+    asked = asked.withColumn("wants", F.array_sort(F.array_distinct(F.transform("parts", lambda p: F.struct(p["facet"].alias("facet"), p["term"].alias("term"))))))
+    # each document makes the combinations of its own terms that have the facets of a probe, so what a term's documents share with a term's probes is never made
+    terms = asked.select(F.inline("wants")).distinct()
+    held = each.join(terms, ["facet", "term"], "left_semi").groupBy("id").agg(F.collect_set(F.struct("facet", "term")).alias("terms"))  # a document's own values
+    shapes = asked.select(F.transform("wants", lambda w: w["facet"]).alias("shape")).distinct()  # no more than the parts of the templates
+    made = held.join(F.broadcast(shapes)).withColumn("wants", F.array().cast(asked.schema["wants"].dataType))
+    for i in range(max(map(len, templates), default=0)):
+        mine = F.transform(F.filter("terms", lambda t: t["facet"] == F.get("shape", i)), lambda t: F.concat("wants", F.array(t)))  # noqa: B023
+        made = made.withColumn("wants", F.explode(F.when(F.size("shape") > i, mine).otherwise(F.array("wants"))))
+    counted = made.groupBy("wants").agg(F.count("*").alias("relevant_count")).where(F.col("relevant_count") <= most_relevant)
+    few = counted.join(asked.select("wants").distinct(), "wants")
+    relevant = made.join(few, "wants").groupBy("wants", "relevant_count").agg(F.sort_array(F.collect_list("id")).alias("relevant"))  # most_relevant ids
+    scored = asked.join(relevant, "wants").withColumns({"specificity": F.size("parts"), "order_hash": F.sha2(F.concat(F.lit(f"{seed}|"), "query_text"), 256)})
     order = [F.col("relevant_count"), F.desc("specificity"), F.col("order_hash")]
     place = F.row_number().over(Window.partitionBy("primary_id").orderBy(*order))
     best = scored.withColumn("again", (place > 1).cast("int")).orderBy("again", *order).limit(most)
