@@ -184,7 +184,7 @@ def match_contract(chunks: DataFrame, requirements: DataFrame, contract: DataFra
     return match(chunks, requirements, eligible.select("reference_id", "document_id"), allowed, **options), audit
 
 
-def fusion_sweep(lexical: DataFrame, dense: DataFrame, grades: DataFrame, weights: list[float], k: int = 60) -> DataFrame:
+def fusion_sweep(lexical: DataFrame, dense: DataFrame, grades: DataFrame | evaluation.SameClass, weights: list[float], k: int = 60) -> DataFrame:
     """Mean metrics of the fused ranking for each lexical weight; both rankings are read once."""
     both = lexical.select("query_id", "id", F.lit(True).alias("lex"), "rank").unionByName(dense.select("query_id", "id", F.lit(False).alias("lex"), "rank"))
     each = both.withColumn("weight", F.explode(F.array(*[F.lit(float(w)) for w in weights])))

@@ -258,9 +258,10 @@ def dense_topk(spark, sf):
 
 def _by_label(spark, sf, limit):
     """A second ranking of the query set: vectors of the query's label first, by id."""
-    e = table(spark, sf, "embeddings").select("vec_id", "label")
-    q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label")
-    same = e.select(F.col("vec_id").alias("id"), "label").join(q, "label").where("id <> query_id")
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label")
+    q = e.where("id % 20 = 0").select(F.col("id").alias("query_id"), "label")
+    first = e.where("label IS NOT NULL").withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy("id"))).where(F.col("place") <= limit + 1)  # one of them may be the query
+    same = first.select("id", "label").join(q, "label").where("id <> query_id")
     return retrieval.top_ranked(same.select("query_id", "id", F.lit(1.0).alias("score")), limit)
 
 
@@ -423,9 +424,9 @@ def _rankings(spark, sf):
 
 
 def _grades(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", "label")
-    q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "label")
-    return q.join(e.select(F.col("vec_id").alias("id"), "label"), "label").where("id <> query_id").select("query_id", "id", F.lit(1).alias("grade"))
+    """Every other vector of a query's label is relevant to it."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("class"))
+    return evaluation.SameClass(e, e.where("id % 20 = 0").withColumnRenamed("id", "query_id"))
 
 
 METRICS_SQL = f"""{DENSE_SQL}, a AS (SELECT 'dense' AS mode, query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM x),

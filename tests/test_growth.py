@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from marlstone.operators import search
+from marlstone.operators import evaluation, search
+from marlstone.plans import catalog
 
 
 def rows_made(spark, run) -> int:
@@ -35,3 +36,22 @@ def test_probes_do_not_join_common_terms_with_their_documents(spark):
     rows = rows_made(spark, lambda: found.extend(search.probes(d, ["a", "b"], 20, (("a", "b"),)).collect()))
     assert len(found) == 20 and all(r.relevant == [r.primary_id] for r in found)
     assert 20_000 < rows < 300_000  # 3,000 probes of two terms have 330,000 documents between them
+
+
+def test_class_grades_give_the_metrics_of_their_pairs(spark):
+    items = spark.createDataFrame([(i, None if i % 7 == 0 else i % 3 if i < 30 else i) for i in range(40)], "id long, class int")
+    queries = items.where("id % 4 = 0").withColumnRenamed("id", "query_id")
+    pairs = queries.join(items, "class").where("id <> query_id").select("query_id", "id", F.lit(1).alias("grade"))
+    rankings = spark.createDataFrame([(m, q, (q * 7 + r * (3 if m == "a" else 5)) % 40, r) for m in "ab" for q in range(0, 40, 4) for r in range(1, 21)], "mode string, query_id long, id long, rank int")
+    by_class, by_pair = (sorted(map(repr, evaluation.ranking_metrics(rankings, g).withColumn("ndcg_at_10", F.round("ndcg_at_10", 12)).collect())) for g in (evaluation.SameClass(items, queries), pairs))
+    assert by_class == by_pair and len(by_pair) == 20
+
+
+def test_rankings_and_grades_by_label_are_not_all_pairs(spark, tmp_path):
+    spark.range(4000).select(F.col("id").alias("vec_id"), F.lit(1).alias("label")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = []
+    rows = rows_made(spark, lambda: got.extend(catalog._by_label(spark, tmp_path, 3).where("query_id = 0").collect()))
+    assert [(r.id, r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1), (2, 2), (3, 3)]
+    ranked = catalog._by_label(spark, tmp_path, 3)
+    rows += rows_made(spark, lambda: evaluation.ranking_metrics(ranked.withColumn("mode", F.lit("label")), catalog._grades(spark, tmp_path)).collect())
+    assert rows < 200_000  # 200 queries of one label have 800,000 relevant vectors
