@@ -41,8 +41,8 @@ def top_ranked(scores: DataFrame, limit: int, group: str = "query_id", id_col: s
 
 #: Queries whose vectors go to every task at a time; more take as many passes over the vectors.
 MOST_QUERIES = 4096
-#: Vectors of a block of the matrix product.
-BLOCK_ROWS = 512
+#: Vectors of a block of the matrix product, and its most scores.
+BLOCK_ROWS, BLOCK_SCORES = 512, 1 << 18
 #: Scores are rounded to so many digits, so that equal vectors tie whatever the order of their sums.
 DIGITS = 12
 
@@ -154,9 +154,10 @@ def dense_top(vectors: DataFrame, queries: DataFrame, limit: int, scope: Scope |
         def multiply(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ids_of, matrix, wanted, names = shared.value
             best, found, groups, values_of = _Best(limit), [], {}, []
+            rows_each = max(1, min(BLOCK_ROWS, BLOCK_SCORES // len(ids_of)))
             for batch in batches:
-                for begin in range(0, batch.num_rows, BLOCK_ROWS):
-                    b = batch.slice(begin, BLOCK_ROWS)
+                for begin in range(0, batch.num_rows, rows_each):
+                    b = batch.slice(begin, rows_each)
                     x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
                     scores = np.round(x @ matrix.T, DIGITS)
                     ids, mine = b.column(0).to_pylist(), b.column(2).to_pylist()

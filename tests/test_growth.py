@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marlstone.operators import evaluation, search
+from marlstone.operators import evaluation, retrieval, search
 from marlstone.plans import catalog
 
 
@@ -55,3 +55,13 @@ def test_rankings_and_grades_by_label_are_not_all_pairs(spark, tmp_path):
     ranked = catalog._by_label(spark, tmp_path, 3)
     rows += rows_made(spark, lambda: evaluation.ranking_metrics(ranked.withColumn("mode", F.lit("label")), catalog._grades(spark, tmp_path)).collect())
     assert rows < 200_000  # 200 queries of one label have 800,000 relevant vectors
+
+
+def test_blocks_of_the_dense_product_shrink_with_the_queries(spark, monkeypatch):
+    rows = [(i, [float(i * 7 % 11), float(i * 5 % 13)], i % 3) for i in range(60)]
+    v = spark.createDataFrame(rows, "id long, embedding array<float>, g int")
+    asked = v.where("id % 4 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    plain = sorted(map(repr, retrieval.top_ranked(retrieval.dense_top(v, asked, 3), 3).collect()))
+    for most in (1, 40):  # less than a vector with all queries, and two vectors
+        monkeypatch.setattr(retrieval, "BLOCK_SCORES", most)
+        assert sorted(map(repr, retrieval.top_ranked(retrieval.dense_top(v, asked, 3), 3).collect())) == plain
