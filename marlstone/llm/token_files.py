@@ -2,9 +2,8 @@
 
 Documents are put into ascending order of doc_id, encoded, closed by an end id, and cut into
 shards of about ``SHARD_IDS`` ids, each of whole documents. A shard is compressed by Re-Pair:
-the frequent pairs of neighbouring symbols are replaced by nonterminals, again and again, down to
-pairs of ``LEAST`` occurrences. All pairs above a threshold are replaced in one pass, the
-threshold falling with each pass, so a shard takes a few vectorised passes.
+the most frequent pair of neighbouring symbols is replaced by a nonterminal and the pairs around
+it are counted anew, again and again, down to pairs of ``LEAST`` occurrences.
 
 A row of the table is a shard: ``part`` and ``shard`` give its place, ``first`` the ids before it
 within its part, ``doc_ids`` and ``doc_tokens`` its documents; and as little-endian numbers
@@ -16,6 +15,7 @@ and marks find any range of ids without expanding what lies before it.
 
 from __future__ import annotations
 
+import heapq
 import os
 import re
 import struct
@@ -32,12 +32,10 @@ from .common import scratch_path, worker_cache
 
 #: Ids of a shard: it ends with the document that reaches them.
 SHARD_IDS = 1 << 20
-#: Occurrences below which a pair is left alone, the part of a shard that the first pass asks for, and by what later passes ask for less.
-LEAST, FIRST_PART, FALL = 16, 1024, 8
+#: Occurrences below which a pair is left alone.
+LEAST = 16
 #: Symbols between two marks.
 MARK = 1024
-#: Bits of the table in which pairs are counted.
-_CELLS = 18
 
 #: A run of letters, then a run of marks: two tokens of their own.
 _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
@@ -167,45 +165,88 @@ class ByteEncoder:
 # -- Re-Pair of one shard --------------------------------------------------------------------------
 
 
-def replace_pairs(seq: np.ndarray, symbols: int, threshold: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sequence, pairs): one pass; pair i became the symbol ``symbols`` + i.
+def _grouped(keys: np.ndarray, places: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(key, its places in rising order) of the keys with at least ``least`` places."""
+    if len(keys) < least:
+        return
+    order = keys.argsort(kind="stable")
+    held, at = keys[order], places[order]
+    cuts = (held[1:] != held[:-1]).nonzero()[0] + 1
+    starts = np.concatenate(([0], cuts))
+    often = (np.concatenate((cuts, [len(held)])) - starts >= least).nonzero()[0]
+    if len(often):
+        ends = [*cuts.tolist(), len(held)]
+        for i in often.tolist():
+            yield int(held[starts[i]]), at[starts[i] : ends[i]]
 
-    Takes the pairs of at least ``threshold`` occurrences, at most ``most``, the most frequent
-    first. Of pairs that share a cell of the table one waits for a later pass. Overlapping
-    occurrences are replaced from the left.
+
+def _apart(at: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Places of a pair of equal symbols that don't overlap, from the left; ``after``: the place next to each."""
+    begins = np.append(True, after[:-1] != at[1:]).nonzero()[0]
+    inside = np.arange(len(at)) - np.repeat(begins, np.diff(begins, append=len(at)))
+    return at[(inside & 1) == 0]
+
+
+def replace_pairs(seq: np.ndarray, symbols: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence, pairs) of Re-Pair: the most frequent pair becomes the symbol ``symbols`` + i, again and again.
+
+    It ends with the pairs of fewer than ``least`` occurrences, or with ``most`` pairs; of equally
+    frequent ones the smallest goes first. Places of a pair are kept from when it arises. Replacing
+    others only takes places away, so what a pair had is a bound: the one at the top of the heap is
+    counted again, and goes back unless it still has as many.
     """
-    bits = 16 if symbols + most <= 1 << 16 else 32
-    kind = np.uint32 if bits == 16 else np.uint64
-    wide = seq.astype(kind)
-    pair = (wide[:-1] << kind(bits)) | wide[1:]
-    cell = ((pair * kind(0x9E3779B1 if bits == 16 else 0x9E3779B97F4A7C15)) >> kind(2 * bits - _CELLS)).astype(np.int64)
-    heavy = np.bincount(cell, minlength=1 << _CELLS) >= threshold
-    held = np.sort(pair[heavy[cell]])
-    starts = np.flatnonzero(np.append(True, held[1:] != held[:-1])) if len(held) else np.empty(0, np.int64)
-    counts = np.diff(starts, append=len(held))
-    order = np.flatnonzero(counts >= threshold)
-    order = order[np.argsort(-counts[order], kind="stable")]
-    chosen = held[starts[order]]
-    at_cell = ((chosen * kind(0x9E3779B1 if bits == 16 else 0x9E3779B97F4A7C15)) >> kind(2 * bits - _CELLS)).astype(np.int64)
-    _, first = np.unique(at_cell, return_index=True)
-    first = np.sort(first)[:most]
-    chosen, at_cell = chosen[first], at_cell[first]
-    if not len(chosen):
-        return seq, np.empty((0, 2), np.uint32)
-    taken, keys, rule = np.zeros(1 << _CELLS, bool), np.zeros(1 << _CELLS, kind), np.zeros(1 << _CELLS, np.uint32)
-    taken[at_cell], keys[at_cell], rule[at_cell] = True, chosen, symbols + np.arange(len(chosen))
-    maybe = np.flatnonzero(taken[cell])
-    at = maybe[keys[cell[maybe]] == pair[maybe]]
-    number = np.arange(len(at))
-    begun = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, number, 0))
-    at = at[((number - begun) & 1) == 0]
-    out, stays = seq.copy(), np.ones(len(seq), bool)
-    out[at] = rule[cell[at]]
-    stays[at + 1] = False
-    return out[stays], np.stack([chosen >> kind(bits), chosen & kind((1 << bits) - 1)], axis=1).astype(np.uint32)
-
-
-def compress(ids: np.ndarray, least: int = LEAST, first_part: int = FIRST_PART) -> dict[str, np.ndarray]:
+    n = len(seq)
+    text = np.append(seq.astype(np.int32), np.int32(-1))  # a place after the last, which no pair reaches
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    small = np.uint16 if symbols + most <= 1 << 16 else np.uint32  # of which two bytes are sorted faster
+    pairs = (seq[:-1].astype(np.int64) << 32) | seq[1:]
+    lists = dict(_grouped(pairs, np.arange(n - 1, dtype=np.int32), least))
+    heap = [(-len(at), key) for key, at in lists.items()]
+    heapq.heapify(heap)
+    rules: list[tuple[int, int]] = []
+    while heap and len(rules) < most:
+        bound, key = heapq.heappop(heap)
+        left, right = key >> 32, key & 0xFFFFFFFF
+        at = lists.pop(key)
+        at = at[text[at] == left]
+        second = after[at]
+        fits = text[second] == right
+        at, second = at[fits], second[fits]
+        places = at
+        if left == right and len(at):
+            at = _apart(at, second)
+            second = after[at]
+        if len(at) < least:
+            continue
+        if len(at) < -bound and heap and (-len(at), key) > heap[0]:
+            lists[key] = places  # those that overlap may be free by then
+            heapq.heappush(heap, (-len(at), key))
+            continue
+        made = symbols + len(rules)
+        rules.append((left, right))
+        behind = after[second]
+        text[at], text[second] = made, -1
+        after[at], before[behind] = behind, at
+        follows = text[behind]
+        ahead = before[at]
+        inner = ahead >= 0
+        ahead = ahead[inner]
+        precedes = text[ahead]
+        ahead, precedes = ahead[precedes != made], precedes[precedes != made]  # two of the new symbols: found from the left one
+        inside = behind < n
+        for other, places in _grouped(follows[inside].astype(small), at[inside], least):
+            new = (made << 32) | other
+            lists[new] = places
+            heapq.heappush(heap, (-len(places), new))
+        for other, places in _grouped(precedes.astype(small), ahead, least):
+            new = (other << 32) | made
+            lists[new] = places
+            heapq.heappush(heap, (-len(places), new))
+    out = text[:n]
+    return out[out >= 0].astype(np.uint32), np.array(rules, np.uint32).reshape(-1, 2)
+
+
+def compress(ids: np.ndarray, least: int = LEAST) -> dict[str, np.ndarray]:
     """terminals, rules, lengths, symbols and marks of one shard's ids (unsigned 32-bit)."""
     terminals = np.unique(ids) if len(ids) == 0 or ids.max() > 1 << 24 else np.flatnonzero(np.bincount(ids)).astype(np.uint32)
     place = np.zeros(int(terminals[-1]) + 1 if len(terminals) and terminals[-1] <= 1 << 24 else 0, np.uint32)
@@ -213,19 +254,11 @@ def compress(ids: np.ndarray, least: int = LEAST, first_part: int = FIRST_PART)
         place[terminals] = np.arange(len(terminals))
     seq = place[ids] if len(place) else np.searchsorted(terminals, ids).astype(np.uint32)
     room = (1 << 16 if len(terminals) <= 60_000 else 1 << 24) - len(terminals)
-    rules, threshold, last = [np.empty((0, 2), np.uint32)], max(least, len(ids) // first_part), False
-    while not last and room and len(seq) > 1:
-        last = threshold <= least
-        seq, found = replace_pairs(seq, len(terminals) + sum(map(len, rules)), threshold, room)
-        rules.append(found)
-        room -= len(found)
-        threshold = max(least, threshold // FALL)
-    table = np.concatenate(rules)
-    lengths = np.ones(len(terminals) + len(table), np.int64)
-    done = len(terminals)
-    for found in rules:  # a pass refers to earlier symbols only
-        lengths[done : done + len(found)] = lengths[found].sum(axis=1)
-        done += len(found)
+    seq, table = replace_pairs(seq, len(terminals), max(least, 2), room) if len(seq) > 1 else (seq, np.empty((0, 2), np.uint32))
+    lengths = [1] * len(terminals)
+    for left, right in table.tolist():  # a rule refers to earlier symbols only
+        lengths.append(lengths[left] + lengths[right])
+    lengths = np.array(lengths, np.int64)
     before = np.concatenate([[0], np.cumsum(lengths[seq])])
     return {"terminals": terminals, "rules": table, "lengths": lengths[len(terminals) :], "symbols": seq, "marks": before[:-1:MARK]}
 

@@ -109,3 +109,34 @@ def test_empty_tables(spark):
 def test_the_query_matches_the_tokenizer(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
     assert rows(registry.op12_token_files(spark, SF)) == brute(docs)
+
+
+def plain_repair(seq, symbols, least):
+    seq, rules = list(seq), []
+    while True:
+        counts, last = {}, {}
+        for i, p in enumerate(zip(seq, seq[1:])):
+            if p[0] == p[1] and last.get(p) == i - 1:  # overlaps the one before
+                last[p] = None
+            else:
+                counts[p], last[p] = counts.get(p, 0) + 1, i
+        best = min(((-n, p) for p, n in counts.items() if n >= least), default=None)
+        if best is None:
+            return seq, rules
+        out, i = [], 0
+        while i < len(seq):
+            hit = tuple(seq[i : i + 2]) == best[1]
+            out.append(symbols + len(rules) if hit else seq[i])
+            i += 2 if hit else 1
+        seq = out
+        rules.append(best[1])
+
+
+@pytest.mark.parametrize("alphabet", [1, 2, 3, 6])
+def test_the_most_frequent_pair_is_replaced_first(alphabet):
+    rng = np.random.default_rng(alphabet)
+    for n in (2, 3, 7, 40, 150):
+        for least in (2, 3):
+            ids = rng.integers(0, alphabet, n).astype(np.uint32)
+            seq, rules = token_files.replace_pairs(ids, alphabet, least, 1000)
+            assert (seq.tolist(), list(map(tuple, rules.tolist()))) == plain_repair(ids.tolist(), alphabet, least)
