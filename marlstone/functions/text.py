@@ -6,6 +6,7 @@ import re
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -34,22 +35,30 @@ ARABIC_FORMS = ("أإآٱىؤئ", "اااايوي")
 # ---------------------------------------------------------------------------------------------
 
 
-@F.pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+#: Texts that are Python strings at a time while a batch is folded.
+FOLDED_TOGETHER = 256
 
 
-@F.pandas_udf(StringType())
-def strip_marks(text: pd.Series) -> pd.Series:
+def _each(texts: pa.Array, change) -> pa.Array:
+    """``change`` of each text that is not null, a few at a time: a batch of long texts is held in Arrow's form only."""
+    parts = [pa.array([None if t is None else change(t) for t in texts.slice(i, FOLDED_TOGETHER).to_pylist()], pa.string()) for i in range(0, len(texts), FOLDED_TOGETHER)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+@F.arrow_udf(StringType())
+def nfkc(texts: pa.Array) -> pa.Array:
+    return _each(texts, lambda t: unicodedata.normalize("NFKC", t))
+
+
+@F.arrow_udf(StringType())
+def strip_marks(texts: pa.Array) -> pa.Array:
     """NFKC, case folding, NFKD, and no combining marks."""
 
     def fold(t):
-        if t is None:
-            return None
         t = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", t).casefold())
         return "".join(c for c in t if not unicodedata.combining(c))
 
-    return text.map(fold)
+    return _each(texts, fold)
 
 
 def folded(text: object, keep: str = "") -> str:

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,11 @@ def test_coverage_and_grounding(spark):
     assert one(spark, T.retrieval_text(F.lit("f.pdf"), facets, F.lit(" body \n"))) == f"Document: f.pdf\nClient: x | y\nSecteur: {'a' * 120} | {'b' * 68}\nbody"
     with pytest.raises(Exception, match="too long"):
         one(spark, T.retrieval_text(F.lit("f"), {}, F.lit("x" * 1700)))
+
+
+def test_folding_takes_a_few_texts_at_a_time(spark, monkeypatch):
+    texts = ["Été", None, "ﬁn", "", "ÀB", "x"] * 3
+    monkeypatch.setattr(T, "FOLDED_TOGETHER", 4)
+    got = T.strip_marks.func(pa.array(texts, pa.string()))
+    assert got.to_pylist() == [None if t is None else {"Été": "ete", "ﬁn": "fin", "ÀB": "ab"}.get(t, t) for t in texts]
+    assert T.nfkc.func(pa.array([], pa.string())).to_pylist() == []
