@@ -11,19 +11,26 @@ from pyspark.sql.types import ArrayType, StringType
 
 from .text import ARABIC_FORMS, ARABIC_MARKS
 
-_WORD = re.compile(r"[^\W_]+")
+_WORD = re.compile(r"[^\W_]{2,}")
 _MARKS = re.compile(ARABIC_MARKS)
 _FORMS = str.maketrans(*ARABIC_FORMS)
-#: Pieces of texts that an analyser remembers.
-_REMEMBERED = 300_000
+
+
+def _bare(text: str) -> str:
+    """The text without combining marks."""
+    for mark in filter(unicodedata.combining, set(text)):
+        text = text.replace(mark, "")
+    return text
 
 
 def search_form(text: str) -> str:
     """Case, accents and compatibility forms folded; Arabic marks dropped, letter variants joined."""
     if text.isascii():
         return text.lower()
-    plain = _MARKS.sub("", unicodedata.normalize("NFKC", text).casefold()).translate(_FORMS)
-    return "".join(c for c in unicodedata.normalize("NFKD", plain) if not unicodedata.combining(c))
+    plain = _MARKS.sub("", unicodedata.normalize("NFKC", text).casefold())
+    if any(form in plain for form in ARABIC_FORMS[0]):
+        plain = plain.translate(_FORMS)
+    return _bare(unicodedata.normalize("NFKD", plain))
 
 
 @F.pandas_udf(StringType())
@@ -39,27 +46,12 @@ def fold_array(values: pd.Series) -> pd.Series:
 
 
 class FoldedWords:
-    """Runs of letters and digits of the search form, two characters at least.
-
-    Pieces between white space are folded once and remembered: folding never reaches across it.
-    """
+    """Runs of letters and digits of the search form, two characters at least."""
 
     name = "folded-words-1"
 
-    def __init__(self):
-        self.known: dict[str, list[str]] = {}
-
     def __call__(self, text: str | None) -> list[str]:
-        out: list[str] = []
-        known = self.known
-        for piece in (text or "").split():
-            found = known.get(piece)
-            if found is None:
-                if len(known) >= _REMEMBERED:
-                    known.clear()
-                found = known[piece] = [w for w in _WORD.findall(search_form(piece)) if len(w) >= 2]
-            out += found
-        return out
+        return _WORD.findall(search_form(text)) if text else []
 
 
 #: Analysers by the name that an index keeps.

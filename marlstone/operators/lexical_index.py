@@ -40,8 +40,8 @@ SHARD, SHARD_TERMS = 8192, 4_000_000
 BLOCK = 128
 #: Documents for each bucket of an index, and the most buckets.
 BUCKET_DOCUMENTS, MOST_BUCKETS = 20_000, 256
-#: Corpora of up to so many documents are dealt over the cores before they are read; larger ones stay as their files lie.
-FEW_DOCUMENTS = 200_000
+#: Most documents of a task that reads them: a corpus is dealt over the cores, however few files or row groups hold it.
+TASK_DOCUMENTS = 4 * SHARD
 #: Up to so many queries are analysed on the driver and their terms pushed into the scan.
 FEW_QUERIES = 1000
 #: Queries that a shard is searched for at a time.
@@ -108,7 +108,14 @@ class _Shard:
             yield self._batch(schema, len(named), number, kind="facets", bucket=[_bucket(f"{f}={v}", buckets) for f, v in named], facet=[f for f, _ in named], term=[v for _, v in named], n=[len(x) for x in at], places=pa.array(at, pa.list_(pa.int32())))
         if not self.held:
             return
-        keys, tf = np.unique((np.concatenate(self.tokens).astype(np.int64) << 32) | np.repeat(place, [len(t) for t in self.tokens]), return_counts=True)
+        keys, filled = np.empty(self.held, np.int64), 0
+        for i, each in enumerate(self.tokens):
+            keys[filled : filled + len(each)] = (each.astype(np.int64) << 32) | place[i]
+            filled += len(each)
+        self.tokens.clear()
+        keys.sort()
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        tf, keys = np.diff(begins, append=len(keys)), keys[begins]
         term, at = keys >> 32, (keys & 0xFFFFFFFF).astype(np.int32)
         starts = np.flatnonzero(np.diff(term, prepend=-1))
         ends = np.append(starts, len(at))
@@ -312,8 +319,7 @@ class Bm25Index:
         count = docs.count()
         if buckets is None:
             buckets = min(MOST_BUCKETS, 1 << max(2, (count // BUCKET_DOCUMENTS).bit_length()))
-        if count <= FEW_DOCUMENTS:  # a small corpus may be one file, and so one task
-            docs = docs.repartition(max(1, min(spark.sparkContext.defaultParallelism, count // 100)))
+        docs = docs.repartition(max(1, min(spark.sparkContext.defaultParallelism, count // 100), -(-count // TASK_DOCUMENTS)))
         id_type = docs.schema["id"].dataType
         schema = _schema(id_type)
         arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from marlstone.operators import evaluation, retrieval, search
+from marlstone.operators import evaluation, lexical_index, retrieval, search
+from marlstone.operators.lexical_index import Bm25Index
 from marlstone.plans import catalog
 
 
@@ -65,3 +66,11 @@ def test_blocks_of_the_dense_product_shrink_with_the_queries(spark, monkeypatch)
     for most in (1, 40):  # less than a vector with all queries, and two vectors
         monkeypatch.setattr(retrieval, "BLOCK_SCORES", most)
         assert sorted(map(repr, retrieval.top_ranked(retrieval.dense_top(v, asked, 3), 3).collect())) == plain
+
+
+def test_a_large_corpus_of_one_file_is_indexed_by_many_tasks(spark, tmp_path):
+    docs = spark.range(0, 200_001, 1, 1).select("id", F.concat(F.lit("word"), F.col("id") % 7).alias("text"))  # one partition, as of one row group
+    index = Bm25Index.build(docs, f"file://{tmp_path}/index")
+    tasks = index.rows.where("kind = 'documents'").groupBy(F.shiftright("shard", 32)).agg(F.sum("n").alias("n")).collect()
+    assert len(tasks) > 1 and max(r.n for r in tasks) <= lexical_index.TASK_DOCUMENTS + len(tasks)
+    assert index.terms.agg(F.sum("df")).first()[0] == 200_001
