@@ -7,6 +7,7 @@ import unicodedata
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -35,19 +36,32 @@ ARABIC_FORMS = ("أإآٱىؤئ", "اااايوي")
 # ---------------------------------------------------------------------------------------------
 
 
-#: Texts that are Python strings at a time while a batch is folded.
+#: Texts that are Python strings at a time while a batch is worked on.
 FOLDED_TOGETHER = 256
+#: Words of queries and evidence that are remembered.
+REMEMBERED = 50_000
 
 
-def _each(texts: pa.Array, change) -> pa.Array:
-    """``change`` of each text that is not null, a few at a time: a batch of long texts is held in Arrow's form only."""
-    parts = [pa.array([None if t is None else change(t) for t in texts.slice(i, FOLDED_TOGETHER).to_pylist()], pa.string()) for i in range(0, len(texts), FOLDED_TOGETHER)]
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+def few_at_a_time(texts: pa.Array, kind: pa.DataType, made) -> pa.Array:
+    """``made`` of slices of a few texts, put together: a batch of long texts is held in Arrow's form only."""
+    parts = [made(texts.slice(i, FOLDED_TOGETHER)) for i in range(0, len(texts), FOLDED_TOGETHER)]
+    return pa.concat_arrays(parts) if len(parts) > 1 else parts[0] if parts else pa.array([], kind)
+
+
+def _each(texts: pa.Array, change, of_ascii) -> pa.Array:
+    """``change`` of each text that is not null; ``of_ascii`` of slices that are all ASCII, which stay Arrow's."""
+
+    def made(some: pa.Array) -> pa.Array:
+        if pc.all(pc.string_is_ascii(some)).as_py() is not False:
+            return of_ascii(some)
+        return pa.array([None if t is None else change(t) for t in some.to_pylist()], pa.string())
+
+    return few_at_a_time(texts, pa.string(), made)
 
 
 @F.arrow_udf(StringType())
 def nfkc(texts: pa.Array) -> pa.Array:
-    return _each(texts, lambda t: unicodedata.normalize("NFKC", t))
+    return _each(texts, lambda t: unicodedata.normalize("NFKC", t), lambda some: some)
 
 
 @F.arrow_udf(StringType())
@@ -55,10 +69,12 @@ def strip_marks(texts: pa.Array) -> pa.Array:
     """NFKC, case folding, NFKD, and no combining marks."""
 
     def fold(t):
+        if t.isascii():
+            return t.lower()
         t = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", t).casefold())
         return "".join(c for c in t if not unicodedata.combining(c))
 
-    return _each(texts, fold)
+    return _each(texts, fold, pc.ascii_lower)
 
 
 def folded(text: object, keep: str = "") -> str:
@@ -256,24 +272,32 @@ def excerpt(text: Column, most: int) -> Column:
     return F.substring(text, 1, most)
 
 
-def query_terms(text: Column, stop_words: tuple[str, ...] = QUERY_STOP_WORDS) -> Column:
-    """Distinct folded words of two characters or more that are no stop words, in order of the text."""
-    stop = frozenset(stop_words)
+def term_lists(texts: pa.Array, stop: frozenset[str]) -> pa.Array:
+    """``query_terms`` of a batch."""
     words = re.compile(r"[\wÀ-ÿ]+")
+    known: dict[str, str] = {}
+
+    def key(word: str) -> str:
+        got = known.get(word)
+        if got is None:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            got = known[word] = folded(word)
+        return got
+
+    def terms(t: str | None) -> list[str]:
+        return [k for k in dict.fromkeys(key(w) for w in words.findall(t or "")) if len(k) >= 2 and k not in stop]
 
-    @F.pandas_udf("array<string>")
-    def found(texts: pd.Series) -> pd.Series:
-        known: dict[str, str] = {}  # of one batch
+    return few_at_a_time(texts, pa.list_(pa.string()), lambda some: pa.array([terms(t) for t in some.to_pylist()], pa.list_(pa.string())))
 
-        def key(word: str) -> str:
-            if word not in known:
-                known[word] = folded(word)
-            return known[word]
 
-        def terms(t: str | None) -> list[str]:
-            return [k for k in dict.fromkeys(key(w) for w in words.findall(t or "")) if len(k) >= 2 and k not in stop]
+def query_terms(text: Column, stop_words: tuple[str, ...] = QUERY_STOP_WORDS) -> Column:
+    """Distinct folded words of two characters or more that are no stop words, in order of the text."""
+    stop = frozenset(stop_words)
 
-        return texts.map(terms)
+    @F.arrow_udf("array<string>")
+    def found(texts: pa.Array) -> pa.Array:
+        return term_lists(texts, stop)
 
     return found(text)
 

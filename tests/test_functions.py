@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as T
 from marlstone.functions import values as V
-from marlstone.functions.chunking import ChunkRules, chunk_spans
+from marlstone.functions.chunking import ChunkRules, chunk_lists, chunk_spans
 
 
 def one(spark, column, **values):
@@ -122,3 +123,24 @@ def test_folding_takes_a_few_texts_at_a_time(spark, monkeypatch):
     got = T.strip_marks.func(pa.array(texts, pa.string()))
     assert got.to_pylist() == [None if t is None else {"Été": "ete", "ﬁn": "fin", "ÀB": "ab"}.get(t, t) for t in texts]
     assert T.nfkc.func(pa.array([], pa.string())).to_pylist() == []
+
+
+@pytest.mark.parametrize("made", [lambda t: T.term_lists(t, frozenset()), lambda t: chunk_lists(t, ChunkRules(40, 5, 10, 20))])
+def test_python_memory_of_a_batch_does_not_grow_with_its_rows(made):
+    def peak(rows):
+        texts = pa.array([" ".join(f"w{i}x{j}" for j in range(60)) for i in range(rows)], pa.string())
+        tracemalloc.start()
+        out = made(texts)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(out) == rows and len(out[rows - 1]) >= 10
+        return most
+
+    assert peak(5000) < 1.5 * peak(1000)  # all words and lists of a batch were Python objects
+
+
+def test_texts_of_ascii_fold_as_others_do():
+    texts = ["ABC [z]", None, "", "a\x00\x1f~"]
+    for some in (texts, [*texts, "É"]):
+        assert T.strip_marks.func(pa.array(some, pa.string())).to_pylist()[:4] == ["abc [z]", None, "", "a\x00\x1f~"]
+        assert T.nfkc.func(pa.array(some, pa.string())).to_pylist()[:4] == texts
