@@ -13,6 +13,10 @@ from .contracts import EngineError, issue_rows, require_columns
 from .evaluation import status_counts
 
 
+#: Rows of a part of a sheet, within which display numbers are counted.
+PART_ROWS = 100_000
+
+
 @dataclass(frozen=True)
 class Normalization:
     """Spellings, codes, taxonomies and strengths that references are normalized by; small dictionaries."""
@@ -54,6 +58,7 @@ def build_contract(references: DataFrame, documents: DataFrame, by: Normalizatio
     text = {c: F.coalesce(F.col(c).cast("string"), blank) for c in ("reference_id", "canonical_document_id", "client", "country", "sector", "offering", "service_nature", "project_year", "attestation_available", "data_quality_status")}
     d = documents.select(F.col("document_id").alias("_document"), "file_name", "source_sha256", "document_type", "document_language", "security_classification", F.col("retrieval_eligible").alias("_catalogued"))
     r = references.withColumns(text).join(d, F.col("canonical_document_id") == F.col("_document"), "left").withColumn("has_document", F.col("_document").isNotNull())
+    r = placed = _in_parts(r, references)
     r = r.withColumns({c: F.coalesce(c, blank) for c in ("file_name", "source_sha256", "document_type", "document_language")} | {"security_classification": F.coalesce("security_classification", F.lit(by.security_classification))})
 
     def spelled(column: str, names: dict[str, str], default: str) -> Column:
@@ -76,11 +81,21 @@ def build_contract(references: DataFrame, documents: DataFrame, by: Normalizatio
     for c in checks:
         eligible = eligible & F.coalesce(c, F.lit(False))
     r = r.withColumn("base_shortlist_eligible", eligible).drop("_document", "_catalogued")
-    # display numbers run over all sheets: a row's place in its sheet, after the rows of the sheets before
-    here = Window.partitionBy("sheet").orderBy("row_number", "reference_id")
-    before = references.groupBy("sheet").agg(F.count("*").alias("_rows")).withColumn("_before", F.coalesce(F.sum("_rows").over(Window.partitionBy(F.lit(0)).orderBy("sheet").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a sheet
-    r = r.withColumn("_place", F.row_number().over(here)).join(before.select(F.col("sheet").alias("_sheet"), "_before"), F.col("sheet").eqNullSafe(F.col("_sheet")))
-    return r.withColumn("display_reference_id", F.format_string("REF-%04d", F.col("_before") + F.col("_place"))).drop("_place", "_sheet", "_before")
+    # display numbers run over all sheets: a row's place in its part of its sheet, after the rows of the parts before
+    here = Window.partitionBy("sheet", "_part").orderBy("row_number", "reference_id")
+    counts = placed.groupBy("sheet", "_part").agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy(F.lit(0)).orderBy("sheet", "_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a part
+    starts = counts.select(F.col("sheet").alias("_sheet"), F.col("_part").alias("_of"), before.alias("_before"))
+    r = r.withColumn("_place", F.row_number().over(here)).join(F.broadcast(starts), F.col("sheet").eqNullSafe(F.col("_sheet")) & F.col("_part").eqNullSafe(F.col("_of")))
+    return r.withColumn("display_reference_id", F.format_string("REF-%04d", F.col("_before") + F.col("_place"))).drop("_place", "_sheet", "_before", "_part", "_of")
+
+
+def _in_parts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Adds ``_part``: rising with the row's number in its sheet, about ``PART_ROWS`` rows each where numbers lie evenly; null of a null number."""
+    number = F.col("row_number").cast("double")
+    spans = sizes.groupBy("sheet").agg(F.min(number).alias("_least"), F.max(number).alias("_most"), F.ceil(F.count("*") / PART_ROWS).alias("_parts")).withColumnRenamed("sheet", "_sheet")  # one row a sheet
+    part = F.floor((number - F.col("_least")) * F.col("_parts") / (F.col("_most") - F.col("_least") + 1))
+    return rows.join(F.broadcast(spans), F.col("sheet").eqNullSafe(F.col("_sheet"))).withColumn("_part", part).drop("_sheet", "_least", "_most", "_parts")
 
 
 def data_quality_issues(contract: DataFrame) -> DataFrame:

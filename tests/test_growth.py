@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marlstone.operators import evaluation, lexical_index, retrieval, search
+from marlstone.operators import evaluation, lexical_index, reference_contract, retrieval, search
 from marlstone.operators.lexical_index import Bm25Index
 from marlstone.plans import catalog
 
@@ -74,3 +74,16 @@ def test_a_large_corpus_of_one_file_is_indexed_by_many_tasks(spark, tmp_path):
     tasks = index.rows.where("kind = 'documents'").groupBy(F.shiftright("shard", 32)).agg(F.sum("n").alias("n")).collect()
     assert len(tasks) > 1 and max(r.n for r in tasks) <= lexical_index.TASK_DOCUMENTS + len(tasks)
     assert index.terms.agg(F.sum("df")).first()[0] == 200_001
+
+
+def test_display_numbers_are_counted_in_parts_of_a_sheet(spark, monkeypatch):
+    monkeypatch.setattr(reference_contract, "PART_ROWS", 4)
+    rows = [(f"r{i:02}", "s" if i % 3 else None, i // 2 if i % 5 else None, f"d{i % 4}") for i in range(40)] + [("z", "t", 10**12, "d1")]
+    others = {c: F.lit("x") for c in ("reference_number", "client", "country", "sector", "offering", "service_nature", "project_year", "attestation_available", "data_quality_status")}
+    refs = spark.createDataFrame(rows, "reference_id string, sheet string, row_number long, canonical_document_id string").withColumns(others | {"evidence_available": F.lit(True), "document_retrieval_eligible": F.lit(True)})
+    docs = spark.createDataFrame([("d1", "f", "h", "t", "fr", "PUBLIC", True)], "document_id string, file_name string, source_sha256 string, document_type string, document_language string, security_classification string, retrieval_eligible boolean")
+    contract = reference_contract.build_contract(refs, docs, reference_contract.Normalization())
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", r[2] is not None, r[2] or 0, r[0]))
+    assert {r.reference_id: r.display_reference_id for r in contract.collect()} == {r[0]: f"REF-{n:04d}" for n, r in enumerate(order, 1)}
+    parts = reference_contract._in_parts(refs, refs).groupBy("sheet", "_part").count().collect()
+    assert max(r["count"] for r in parts) <= 10 and len(parts) > 6  # a sheet was one part
