@@ -3,7 +3,8 @@
 Documents are put into ascending order of doc_id, encoded, closed by an end id, and cut into
 shards of about ``SHARD_IDS`` ids, each of whole documents. A shard is compressed by Re-Pair:
 the most frequent pair of neighbouring symbols is replaced by a nonterminal and the pairs around
-it are counted anew, again and again, down to pairs of ``LEAST`` occurrences.
+it are counted anew, again and again, down to pairs of ``LEAST`` occurrences. Pairs that don't
+change each other's counts or order are replaced together.
 
 A row of the table is a shard: ``part`` and ``shard`` give its place, ``first`` the ids before it
 within its part, ``doc_ids`` and ``doc_tokens`` its documents; and as little-endian numbers
@@ -15,11 +16,11 @@ and marks find any range of ids without expanding what lies before it.
 
 from __future__ import annotations
 
-import heapq
 import os
 import re
 import struct
 import zlib
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -165,85 +166,174 @@ class ByteEncoder:
 # -- Re-Pair of one shard --------------------------------------------------------------------------
 
 
-def _grouped(keys: np.ndarray, places: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(key, its places in rising order) of the keys with at least ``least`` places."""
-    if len(keys) < least:
-        return
-    order = keys.argsort(kind="stable")
-    held, at = keys[order], places[order]
-    cuts = (held[1:] != held[:-1]).nonzero()[0] + 1
-    starts = np.concatenate(([0], cuts))
-    often = (np.concatenate((cuts, [len(held)])) - starts >= least).nonzero()[0]
-    if len(often):
-        ends = [*cuts.tolist(), len(held)]
-        for i in often.tolist():
-            yield int(held[starts[i]]), at[starts[i] : ends[i]]
+#: A place in a round's order that no pair has.
+_NONE = (1 << 31) - 1
+#: Pairs that a round looks at, at least and at most; those of equal counts go together.
+_ROUND = (8, 2048)
 
 
-def _apart(at: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Places of a pair of equal symbols that don't overlap, from the left; ``after``: the place next to each."""
-    begins = np.append(True, after[:-1] != at[1:]).nonzero()[0]
-    inside = np.arange(len(at)) - np.repeat(begins, np.diff(begins, append=len(at)))
-    return at[(inside & 1) == 0]
+def _grouped(pairs: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs with at least ``least`` places, how many each has, and these places: pair by pair, in rising order."""
+    if pairs.dtype == np.uint32:  # pair and place in one number are sorted without an index
+        held = pairs.astype(np.uint64) << np.uint64(32) | places.astype(np.uint64)
+        held.sort()
+        at = (held & np.uint64(0xFFFFFFFF)).view(np.int64)
+        held >>= np.uint64(32)
+    else:
+        order = np.lexsort((places, pairs))
+        at, held = places[order], pairs[order]
+    starts = np.append(True, held[1:] != held[:-1]).nonzero()[0][: len(held)]
+    sizes = np.diff(starts, append=len(held))
+    often = sizes >= least
+    return held[starts[often]].astype(pairs.dtype), sizes[often], at[np.repeat(often, sizes)]
+
+
+def _overlapping(at: np.ndarray, owner: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Which places of pairs of equal symbols overlap one that is replaced, from the left."""
+    begins = np.append(True, (after[at[:-1]] != at[1:]) | (owner[1:] != owner[:-1])).nonzero()[0][: len(at)]
+    return (np.arange(len(at)) - np.repeat(begins, np.diff(begins, append=len(at)))) & 1 == 1
+
+
+def _losing(mine: np.ndarray, by_next: np.ndarray, by_last: np.ndarray, whole: int) -> tuple[list[int], np.ndarray]:
+    """The pairs of a round that lose places to pairs replaced before them, and how many places.
+
+    ``mine``: the ranks of the pairs of some places; ``by_next`` and ``by_last``: those of the
+    pairs that share their second and their first symbol there. A pair that loses places waits,
+    so it takes none away.
+    """
+    one, other = np.minimum(by_next, by_last), np.maximum(by_next, by_last)
+    two = other < mine
+    edges = np.unique(np.concatenate((mine << 32 | one, (mine << 32 | other)[two])))
+    waits = [False] * (whole + 1)
+    for i, by in zip((edges >> 32).tolist(), (edges & 0xFFFFFFFF).tolist(), strict=True):
+        if not waits[by]:
+            waits[i] = True
+    waiting = np.array(waits)
+    lost = ~waiting[one] | (two & ~waiting[np.minimum(other, whole)])
+    return waiting.nonzero()[0].tolist(), np.bincount(mine[lost], minlength=whole)
 
 
 def replace_pairs(seq: np.ndarray, symbols: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, pairs) of Re-Pair: the most frequent pair becomes the symbol ``symbols`` + i, again and again.
 
     It ends with the pairs of fewer than ``least`` occurrences, or with ``most`` pairs; of equally
-    frequent ones the smallest goes first. Places of a pair are kept from when it arises. Replacing
-    others only takes places away, so what a pair had is a bound: the one at the top of the heap is
-    counted again, and goes back unless it still has as many.
+    frequent ones the smallest goes first. A round takes the next pairs of that order together, as
+    far as none changes what follows: a pair that loses places to one before it waits for the next
+    round, and the round ends where such a pair, or a pair that arose, would come before the next.
     """
     n = len(seq)
-    text = np.append(seq.astype(np.int32), np.int32(-1))  # a place after the last, which no pair reaches
-    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
-    small = np.uint16 if symbols + most <= 1 << 16 else np.uint32  # of which two bytes are sorted faster
-    pairs = (seq[:-1].astype(np.int64) << 32) | seq[1:]
-    lists = dict(_grouped(pairs, np.arange(n - 1, dtype=np.int32), least))
-    heap = [(-len(at), key) for key, at in lists.items()]
-    heapq.heapify(heap)
+    bits, kind = (16, np.uint32) if symbols + most <= 1 << 16 and n < 1 << 32 else (32, np.uint64)
+    shift, mask, gone = kind(bits), kind((1 << bits) - 1), np.uint32(0xFFFFFFFF)
+    text = np.append(seq, gone).astype(np.uint32)  # a place after the last, which no pair reaches
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    keys, sizes, pool = _grouped(text[: n - 1].astype(kind) << shift | text[1:n], np.arange(n - 1), least)
+    keys, sizes, used = np.append(kind(0), keys), np.append(0, sizes), len(pool)  # pair 0 stands for those not kept
+    starts, count, bound = sizes.cumsum() - sizes, sizes.copy(), sizes.copy()  # places now; pairs of equal symbols may have less occurrences
+    number, rank = np.zeros(n + 1, np.int64), np.full(len(keys), _NONE)  # of the pair at a place; of a pair in the round
+    number[pool] = np.repeat(np.arange(len(keys)), sizes)
     rules: list[tuple[int, int]] = []
-    while heap and len(rules) < most:
-        bound, key = heapq.heappop(heap)
-        left, right = key >> 32, key & 0xFFFFFFFF
-        at = lists.pop(key)
-        at = at[text[at] == left]
-        second = after[at]
-        fits = text[second] == right
-        at, second = at[fits], second[fits]
-        places = at
-        if left == right and len(at):
-            at = _apart(at, second)
-            second = after[at]
-        if len(at) < least:
-            continue
-        if len(at) < -bound and heap and (-len(at), key) > heap[0]:
-            lists[key] = places  # those that overlap may be free by then
-            heapq.heappush(heap, (-len(at), key))
-            continue
-        made = symbols + len(rules)
-        rules.append((left, right))
-        behind = after[second]
-        text[at], text[second] = made, -1
-        after[at], before[behind] = behind, at
-        follows = text[behind]
-        ahead = before[at]
-        inner = ahead >= 0
-        ahead = ahead[inner]
-        precedes = text[ahead]
-        ahead, precedes = ahead[precedes != made], precedes[precedes != made]  # two of the new symbols: found from the left one
-        inside = behind < n
-        for other, places in _grouped(follows[inside].astype(small), at[inside], least):
-            new = (made << 32) | other
-            lists[new] = places
-            heapq.heappush(heap, (-len(places), new))
-        for other, places in _grouped(precedes.astype(small), ahead, least):
-            new = (other << 32) | made
-            lists[new] = places
-            heapq.heappush(heap, (-len(places), new))
+    width = _ROUND[0]
+    while len(rules) < most:
+        value = np.minimum(count, bound)
+        level = max(int(np.partition(value, -width)[-width]) if width < len(value) else 0, least)
+        some = (value >= level).nonzero()[0]
+        if not len(some):
+            break
+        owner = np.repeat(np.arange(len(some)), sizes[some])
+        at = pool[np.arange(len(owner)) + np.repeat(starts[some] + sizes[some] - sizes[some].cumsum(), sizes[some])]
+        stay = (number[at] == some[owner]).nonzero()[0]
+        at, owner = at[stay], owner[stay]
+        counts, real = count[some], None
+        alike = keys[some] >> shift == keys[some] & mask
+        if alike.any():
+            runs = alike[owner].nonzero()[0]
+            spare = _overlapping(at[runs], owner[runs], after)
+            counts = counts - np.bincount(owner[runs[spare]], minlength=len(some))
+            bound[some] = counts
+            real = np.ones(len(at), bool)
+            real[runs[spare]] = False
+            runs_at, runs_of = at[runs], some[owner[runs]]
+            number[runs_at[spare]] = 0
+        order = np.lexsort((keys[some], -counts))
+        order = order[: np.count_nonzero(counts >= level)]
+        whole = stop = min(len(order), most - len(rules))
+        if stop:
+            ranked = list(zip((-counts[order]).tolist(), keys[some[order]].tolist(), strict=True))
+            mine = np.full(len(some), _NONE)
+            mine[order[:stop]] = np.arange(stop)
+            rank[some] = mine
+            a, r = at, mine[owner]
+            if stop < len(some):
+                here = (r < stop).nonzero()[0]
+                a, r, real = a[here], r[here], None if real is None else real[here]
+            s, h = after[a], before[a]
+            at_s, at_h = number[s], number[h]
+            by_next, by_last = rank[at_s], rank[at_h]
+            hit = ((by_next < r) | (by_last < r)).nonzero()[0]
+            goes = real
+            waiting: list[int] = []
+            if len(hit):
+                waiting, lost = _losing(r[hit], by_next[hit], by_last[hit], whole)
+                for i in waiting:
+                    less = 0 if alike[order[i]] else int(lost[i])
+                    stop = min(stop, max(i + 1, bisect(ranked, (ranked[i][0] + less, ranked[i][1]))))
+                out = np.zeros(whole, bool)
+                out[waiting] = True
+                out[stop:] = True
+                rank[some[order[:whole][out]]] = _NONE
+                goes = ~out[r] if real is None else real & ~out[r]
+            if goes is not None:
+                a, s, h, r, at_s, at_h = a[goes], s[goes], h[goes], r[goes], at_s[goes], at_h[goes]
+            waits = set(waiting)
+            chosen = [i for i in range(stop) if i not in waits]
+            base = symbols + len(rules)
+            made = np.zeros(whole + 1, np.uint32)
+            made[chosen] = np.arange(base, base + len(chosen))
+            new, b, g = made[r], after[s], before[h]
+            on, off = rank[number[b]], rank[number[g]]  # of the pairs that begin and end next to it: replaced already?
+            follows = np.where(on <= r, made[np.minimum(on, whole)], text[b])
+            precedes = np.where(off < r, made[np.minimum(off, whole)], text[h])
+            inside, inner = b < n, (h >= 0) & (off != r)  # two of one new symbol are found from the left one
+            arisen = np.concatenate(((new.astype(kind) << shift | follows)[inside], (precedes.astype(kind) << shift | new)[inner]))
+            found, found_sizes, found_pool = _grouped(arisen, np.concatenate((a[inside], np.where(off < r, g, h)[inner])), least)
+            newest = np.maximum(found >> shift, found & mask).astype(np.int64) - base
+            cut = stop
+            for key, size, i in zip(found.tolist(), found_sizes.tolist(), newest.tolist(), strict=True):
+                if chosen[i] + 1 < cut:
+                    cut = min(cut, max(chosen[i] + 1, bisect(ranked, (-size, key))))
+            if cut < stop:
+                stop = cut
+                goes = r < stop
+                a, s, b, h, new, off, at_s, at_h = a[goes], s[goes], b[goes], h[goes], new[goes], off[goes], at_s[goes], at_h[goes]
+                chosen = [i for i in chosen if i < stop]
+                goes = newest < len(chosen)
+                found, found_sizes, found_pool = found[goes], found_sizes[goes], found_pool[np.repeat(goes, found_sizes)]
+            rank[some] = _NONE
+            count -= np.bincount(np.concatenate((at_s, at_h[off >= stop])), minlength=len(count))
+            count[some[order[chosen]]] = count[0] = 0
+            number[a] = number[s] = number[h] = 0
+            text[a], text[s] = new, gone
+            after[a], before[b] = b, a
+            rules += [(ranked[i][1] >> bits, ranked[i][1] & int(mask)) for i in chosen]
+            if len(found):
+                of, key = np.repeat(np.arange(len(found)), found_sizes), np.repeat(found, found_sizes)
+                alive = (text[found_pool] == key >> shift) & (text[after[found_pool]] == key & mask)
+                number[found_pool[alive]] = len(keys) + of[alive]
+                if used + len(found_pool) > len(pool):
+                    pool = np.append(pool[:used], np.empty(used // 2 + len(found_pool), pool.dtype))
+                pool[used : used + len(found_pool)] = found_pool
+                starts = np.append(starts, used + found_sizes.cumsum() - found_sizes)
+                used += len(found_pool)
+                now = np.bincount(of[alive], minlength=len(found))
+                keys, sizes = np.append(keys, found), np.append(sizes, found_sizes)
+                count, bound, rank = np.append(count, now), np.append(bound, now), np.append(rank, np.full(len(found), _NONE))
+        if alike.any():  # those that are still there take all their places back
+            there = (text[runs_at] == keys[runs_of] & mask) & (text[after[runs_at]] == keys[runs_of] & mask)
+            number[runs_at[there]] = runs_of[there]
+            count[some[alike]] = np.bincount(runs_of[there], minlength=len(count))[some[alike]]
+        width = min(2 * width, _ROUND[1]) if stop == whole else max(width // 2, _ROUND[0])
     out = text[:n]
-    return out[out >= 0].astype(np.uint32), np.array(rules, np.uint32).reshape(-1, 2)
+    return out[out != gone], np.array(rules, np.uint32).reshape(-1, 2)
 
 
 def compress(ids: np.ndarray, least: int = LEAST) -> dict[str, np.ndarray]:

@@ -140,3 +140,22 @@ def test_the_most_frequent_pair_is_replaced_first(alphabet):
             ids = rng.integers(0, alphabet, n).astype(np.uint32)
             seq, rules = token_files.replace_pairs(ids, alphabet, least, 1000)
             assert (seq.tolist(), list(map(tuple, rules.tolist()))) == plain_repair(ids.tolist(), alphabet, least)
+
+
+@pytest.mark.parametrize("symbols", [8, 100_000])
+def test_rounds_replace_the_pairs_that_one_at_a_time_would(symbols, monkeypatch):
+    rng = np.random.default_rng(symbols)
+    for width in (1, 2, 5, 50):
+        monkeypatch.setattr(token_files, "_ROUND", (width, 64))
+        for n in (5, 60, 200):
+            base = rng.integers(0, 8, n // 3 + 1)
+            for ids in (np.tile(base, 3), rng.zipf(1.5, n) % 8, np.repeat(base, rng.integers(1, 6, len(base)))):
+                seq, rules = token_files.replace_pairs(ids.astype(np.uint32), symbols, 2, 1000)
+                assert (seq.tolist(), list(map(tuple, rules.tolist()))) == plain_repair(ids.tolist(), symbols, 2)
+
+
+def test_a_shard_is_replaced_in_few_rounds(monkeypatch):
+    rounds, ordered = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: rounds.append(1) or ordered(keys))
+    _, rules = token_files.replace_pairs((np.random.default_rng(1).zipf(1.2, 200_000) % 3000).astype(np.uint32), 3000, 16, 60_000)
+    assert len(rules) > 300 and 0 < len(rounds) < len(rules) / 5
