@@ -16,6 +16,7 @@ and marks find any range of ids without expanding what lies before it.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import struct
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +39,8 @@ SHARD_IDS = 1 << 20
 LEAST = 16
 #: Symbols between two marks.
 MARK = 1024
+#: Bytes of the texts that are encoded together.
+TEXT_BYTES = 4 << 20
 
 #: A run of letters, then a run of marks: two tokens of their own.
 _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
@@ -67,6 +71,10 @@ class ByteEncoder:
         moved = [b for b in range(256) if b not in self.kept]
         self.letters = {b: 256 + i for i, b in enumerate(moved)}
         self.blank_letter = chr(self.letters[32])
+        self.spelled = np.array([self.letters.get(b, b) for b in range(256)], "<u2")
+        self.bare = Tokenizer(self.model)
+        tokens = [t for t in self.tokenizer.get_vocab() if chr(self.letters[0]) in t]
+        self.apart = self.model.token_to_id(tokens[0]) if tokens == [chr(self.letters[0])] else None
         self.most = remembered
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -104,25 +112,55 @@ class ByteEncoder:
                 self.young[w] = got
         return got
 
-    def _fill(self, words: list[str], found: list[bytes | None]) -> None:
-        """Puts the ids of words that are not remembered into their places."""
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """``_run`` of each. No merge reaches across a byte 0, so many runs are one call of the library's model."""
+        if self.apart is None:
+            return list(map(self._run, runs))
+        some = [self.spelled[np.frombuffer("\0".join(runs[i : i + 64]).encode(), np.uint8)].tobytes().decode("utf-16-le") for i in range(0, len(runs), 64)]
+        ids: list[int] = []
+        for coded in self.bare.encode_batch_fast(some, add_special_tokens=False):
+            ids += coded.ids
+            ids.append(self.apart)
+        flat = np.array(ids, "<u4")
+        raw, cuts = flat.tobytes(), (4 * (flat == self.apart).nonzero()[0]).tolist()
+        return [raw[i:j] for i, j in zip([0, *(c + 4 for c in cuts)], cuts, strict=False)]
+
+    def _fill(self, words: list[str], found: list[bytes | None]) -> list[int]:
+        """Puts the ids of words that are not remembered into their places; the places of those that depend on what is around them."""
         young, old, mark_ids = self.young, self.old, self.mark_ids
-        for i, got in enumerate(found):
-            if got is not None:
-                continue
+        fresh: dict[str, bytes] = {}
+        waiting, bound = [], []
+        for i in [i for i, got in enumerate(found) if got is None]:
             w = words[i]
             mark = mark_ids.get(w[-1:])
             plain = w if mark is None else w[:-1]
-            if (plain[1:] if plain[:1] == " " else plain).isalpha():  # letters, with one mark or none: the mark is a piece of its own
-                got = young.get(plain)
+            if not (plain[1:] if plain[:1] == " " else plain).isalpha():  # else letters, with one mark or none: the mark is a piece of its own
+                got = old.get(w)
+                if got is not None:
+                    young[w] = found[i] = got
+                    continue
+                m = _MARKED.fullmatch(w, w[:1] == " ")
+                if m is None:
+                    try:
+                        found[i] = self.word(w)
+                    except _Boundary:
+                        found[i] = b""
+                        bound.append(i)
+                    continue
+                plain, mark = w[: len(w) - len(m[2])], self.word(m[2])
+            got = young.get(plain)
+            if got is None:
+                got = old.get(plain)
                 if got is None:
-                    got = old.get(plain)
-                    if got is None:
-                        got = self._run(plain)
-                    young[plain] = got
-                found[i] = got if mark is None else got + mark
-            else:
-                found[i] = self.word(w)
+                    fresh[plain] = b""
+                    waiting.append((i, plain, mark))
+                    continue
+                young[plain] = got
+            found[i] = got if mark is None else got + mark
+        young.update(zip(fresh, self._runs(list(fresh)), strict=True))
+        for i, plain, mark in waiting:
+            found[i] = young[plain] if mark is None else young[plain] + mark
+        return bound
 
     def _unknown(self, w: str) -> bytes:
         bare = w[1:] if w.startswith(" ") else w
@@ -143,24 +181,42 @@ class ByteEncoder:
         return out
 
     def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+        return self.several([text])[0]
+
+    def several(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's ids. Arrow finds the distinct words of all texts together."""
         if len(self.young) > self.most:
             self.young, self.old = {"\n": self._white("\n")}, self.young
-        body = text.rstrip(" \t\n\r")
-        if "\0" in body or not body or any(s in body for s in self.special):
-            return self.whole(text)
-        tail = text[len(body) :]
-        if "\n" in body and not ("\n\n" in body or " \n" in body or "\n " in body):
-            body = body.replace("\n", "\0\n\0")  # a line end between words is a piece of its own
-        words = body.replace(" ", "\0 ").split("\0")
+        out, places, bodies, tails = [b""] * len(texts), [], [], []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            body = text.rstrip(" \t\n\r")
+            if "\0" in body or not body or any(s in body for s in self.special):
+                out[i] = self.whole(text)
+                continue
+            places.append(i)
+            tails.append(text[len(body) :])
+            if "\n" in body and not ("\n\n" in body or " \n" in body or "\n " in body):
+                body = body.replace("\n", "\0\n\0")  # a line end between words is a piece of its own
+            bodies.append(body.replace(" ", "\0 "))
+        if not bodies:
+            return out
+        ends = np.array([b.count("\0") + 1 for b in bodies]).cumsum()
+        coded = pc.split_pattern(pa.array(["\0".join(bodies)], pa.large_string()), "\0").values.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.young.get, words))
-        try:
-            if None in found:
-                self._fill(words, found)
-        except _Boundary:
-            return self.whole(text)
-        return b"".join(found) + (self._white(tail) if tail else b"")
+        at, bound = coded.indices.to_numpy(), [False] * len(bodies)
+        if None in found and (open_words := self._fill(words, found)):
+            bound = np.logical_or.reduceat(np.isin(at, open_words), np.append(0, ends[:-1])).tolist()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, n = sizes.cumsum() - sizes, sizes[at]
+        stops = n.cumsum()
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(starts[at] + n - stops, n) + np.arange(stops[-1])]
+        raw, cuts = ids.tobytes(), (4 * stops[ends - 1]).tolist()
+        for i, tail, begin, end, whole in zip(places, tails, [0, *cuts], cuts, bound, strict=False):
+            out[i] = self.whole(texts[i]) if whole else raw[begin:end] + (self._white(tail) if tail else b"")
+        return out
 
 
 # -- Re-Pair of one shard --------------------------------------------------------------------------
@@ -402,6 +458,18 @@ def expand_range(packed: dict[str, np.ndarray], begin: int, end: int) -> np.ndar
 _SCHEMA = "part int, shard int, first long, n_ids long, least_doc long, largest_doc long, doc_ids array<long>, doc_tokens array<long>, width int, terminals binary, rules binary, lengths binary, symbols binary, marks binary"
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of (id, text) in parts of about ``TEXT_BYTES``, a longer text alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+    begin = held = 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > TEXT_BYTES:
+            yield batch.slice(begin, i - begin)
+            begin, held = i, 0
+        held += size
+    yield batch.slice(begin)
+
+
 def _packed_row(part: int, shard: int, first: int, docs: list, pieces: list[bytes], least: int) -> pa.RecordBatch:
     packed = compress(np.frombuffer(b"".join(pieces), "<u4"), least)
     width = 2 if len(packed["terminals"]) + len(packed["rules"]) <= 1 << 16 else 4
@@ -436,11 +504,10 @@ def write_ids(docs: DataFrame, vocabulary_file: str, path: str, end_id: int = 0,
         part, shard, first, held = TaskContext.get().partitionId(), 0, 0, 0
         ids, pieces = [], []
         for b in batches:
-            for begin in range(0, b.num_rows, 64):
-                some = b.slice(begin, 64)
-                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+            for some in _portions(b):
+                for doc_id, raw in zip(some.column(0).to_pylist(), encode.several(some.column(1).to_pylist()), strict=True):
                     ids.append(doc_id)
-                    pieces.append(encode(text) + end)
+                    pieces.append(raw + end)
                     held += len(pieces[-1]) // 4
                     if held >= shard_ids:
                         yield _packed_row(part, shard, first, ids, pieces, least)

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -159,3 +160,27 @@ def test_a_shard_is_replaced_in_few_rounds(monkeypatch):
     monkeypatch.setattr(np, "lexsort", lambda keys: rounds.append(1) or ordered(keys))
     _, rules = token_files.replace_pairs((np.random.default_rng(1).zipf(1.2, 200_000) % 3000).astype(np.uint32), 3000, 16, 60_000)
     assert len(rules) > 300 and 0 < len(rounds) < len(rules) / 5
+
+
+def test_texts_encoded_together_keep_their_own_ids():
+    texts = [r[1] for r in awkward()] + ["\0", "one\n two", "end, of$$$ line.\n\nnext", " ", "<|endoftext|>", "é$ 日本, don't", None, "x" * 300 + ", ab"]
+    encode = token_files.ByteEncoder(FILE, remembered=20)
+    for some in (texts, texts[::-1], [None], []):
+        assert [ids + b"\0\0\0\0" for ids in encode.several(some)] == [ids_of(t) for t in some]
+    encode.apart = None  # a vocabulary that merges across byte 0
+    encode.young, encode.old = {"\n": encode.young["\n"]}, {}
+    assert encode.several(texts[:50]) == [ids_of(t)[:-4] for t in texts[:50]]
+
+
+def test_new_words_are_few_calls_of_the_model(monkeypatch):
+    encode, calls = token_files.ByteEncoder(FILE), []
+    monkeypatch.setattr(encode, "_run", lambda run: calls.append(run))
+    text = " ".join(f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("mist", "lond", "rash"))
+    assert encode.several([text])[0] + b"\0\0\0\0" == ids_of(text) and not calls
+
+
+def test_batches_are_cut_by_the_bytes_of_their_texts(monkeypatch):
+    monkeypatch.setattr(token_files, "TEXT_BYTES", 10)
+    texts = ["a" * 4, None, "b" * 6, "c", "", "d" * 30, "e"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(7)), "text": texts})
+    assert [p.column(1).to_pylist() for p in token_files._portions(batch)] == [texts[:3], texts[3:5], texts[5:6], texts[6:]]
